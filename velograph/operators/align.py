@@ -47,11 +47,50 @@ def duplicate_instants(readings: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- grid
 
 
-def grid_bounds(readings: DataFrame) -> tuple[Column, Column]:
-    """Scalar-subquery columns for the first/last instant with a reading."""
-    b = (readings.where(F.col("speed").isNotNull())
-         .agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")))
-    return b.select("lo").scalar(), b.select("hi").scalar()
+def grid_bounds(readings: DataFrame) -> tuple[int, int]:
+    """First/last instant with a reading, as epoch micros (one tiny aggregate job).
+
+    Two integers cross to the driver — a bounded scalar, not data — so later
+    plans get literals that Catalyst can fold and push into the scan.
+    """
+    row = (readings.where(F.col("speed").isNotNull())
+           .agg(F.unix_micros(F.min("timestamp").cast("timestamp")).alias("lo"),
+                F.unix_micros(F.max("timestamp").cast("timestamp")).alias("hi"))
+           .first())
+    if row is None or row["lo"] is None:
+        raise RuntimeError("No readings with a value.")
+    return int(row["lo"]), int(row["hi"])
+
+
+def _ts(us: int) -> Column:
+    return F.timestamp_micros(F.lit(int(us)))
+
+
+def _day_floor(us: int) -> int:
+    return (us // US_PER_DAY) * US_PER_DAY
+
+
+def day_ticks(lo_us: int, hi_us: int, freq_minutes: int, day_us: int) -> int:
+    """Ticks of the regular grid (anchored at ``lo``) inside one day."""
+    step = int(freq_minutes) * US_PER_MIN
+    first_k = max(0, -((lo_us - day_us) // step))
+    last_k = min((hi_us - lo_us) // step, (day_us + US_PER_DAY - 1 - lo_us) // step)
+    return max(0, last_k - first_k + 1)
+
+
+def full_days(lo_us: int, hi_us: int, freq_minutes: int) -> list[int]:
+    """W11 helper: days (epoch micros) whose tick count equals steps/day."""
+    need = steps_per_day(freq_minutes)
+    return [d for d in range(_day_floor(lo_us), _day_floor(hi_us) + 1, US_PER_DAY)
+            if day_ticks(lo_us, hi_us, freq_minutes, d) == need]
+
+
+def last_full_day_us(lo_us: int, hi_us: int, freq_minutes: int) -> int:
+    """Latest full calendar day; raises like the reference when none."""
+    days = full_days(lo_us, hi_us, freq_minutes)
+    if not days:
+        raise RuntimeError("No full calendar day found to use as held-out.")
+    return days[-1]
 
 
 def _tick_range(day: Column, lo_us: Column, hi_us: Column, step_us: int) -> tuple[Column, Column]:
@@ -65,14 +104,14 @@ def _tick_range(day: Column, lo_us: Column, hi_us: Column, step_us: int) -> tupl
 
 
 def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
-                 day_from: Column | None = None, day_to: Column | None = None,
-                 bounds: tuple[Column, Column] | None = None) -> DataFrame:
+                 day_from_us: int | None = None, day_to_us: int | None = None,
+                 bounds: tuple[int, int] | None = None) -> DataFrame:
     """W4 (+W1/W3): every sensor on a regular grid from min to max instant.
 
     ``align='exact'`` keeps only readings that sit exactly on a tick (others
     are dropped, as a reindex does); ``'bucket'`` floors readings to the tick
     before averaging. Duplicates average. Output ``(edge_id, day, timestamp,
-    speed, n_obs)``; ``speed`` is NULL on gaps. ``day_from``/``day_to``
+    speed, n_obs)``; ``speed`` is NULL on gaps. ``day_from_us``/``day_to_us``
     restrict the grid (and the scanned readings) to a day range.
     """
     if align not in ("exact", "bucket"):
@@ -80,35 +119,34 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
     step_us = int(freq_minutes) * US_PER_MIN
     if step_us <= 0:
         raise ValueError("freq_minutes must be positive")
-    lo, hi = bounds if bounds is not None else grid_bounds(readings)
-    lo_us, hi_us = _us(lo), _us(hi)
+    lo_us, hi_us = bounds if bounds is not None else grid_bounds(readings)
 
     r = readings.where(F.col("speed").isNotNull())
-    off = _us("timestamp") - lo_us
+    # Every sensor with any reading gets grid rows, also inside a day range.
+    edges = r.select("edge_id").distinct()
+    first_day, last_day = _day_floor(lo_us), _day_floor(hi_us)
+    if day_from_us is not None:
+        first_day = max(first_day, day_from_us)
+        r = r.where(F.col("timestamp") >= _ts(first_day))
+    if day_to_us is not None:
+        last_day = min(last_day, day_to_us)
+        r = r.where(F.col("timestamp") < _ts(last_day + US_PER_DAY))
+    off = _us("timestamp") - F.lit(lo_us)
     if align == "exact":
         r = r.where(off % F.lit(step_us) == 0)
     else:
         r = r.withColumn("timestamp", F.timestamp_micros(
-            lo_us + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
+            F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
     r = r.withColumn("day", day_of("timestamp"))
-    # Every sensor with any reading gets grid rows, also inside a day range.
-    edges = r.select("edge_id").distinct()
-    first_day, last_day = day_of(lo), day_of(hi)
-    if day_from is not None:
-        first_day = F.greatest(first_day, day_from)
-        r = r.where(F.col("day") >= day_from)
-    if day_to is not None:
-        last_day = F.least(last_day, day_to)
-        r = r.where(F.col("day") <= day_to)
 
     # Grid rows come from a generator over (sensor, day): no join, no cartesian
     # product; each (sensor, day) row expands to at most one day of ticks.
     days = edges.select("edge_id", F.explode(
-        F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY"))).alias("day"))
-    first_k, last_k = _tick_range(F.col("day"), lo_us, hi_us, step_us)
+        F.sequence(_ts(first_day), _ts(last_day), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    first_k, last_k = _tick_range(F.col("day"), F.lit(lo_us), F.lit(hi_us), step_us)
     ticks = (days.select("edge_id", "day", F.explode(F.sequence(first_k, last_k)).alias("k"))
              .select("edge_id", "day",
-                     F.timestamp_micros(lo_us + F.col("k") * F.lit(step_us)).alias("timestamp"),
+                     F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("timestamp"),
                      F.lit(None).cast("double").alias("speed")))
     both = r.select("edge_id", "day", "timestamp", "speed").unionByName(ticks)
     return (both.groupBy("edge_id", "day", "timestamp")
@@ -116,14 +154,13 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
 
 
 def grid_day_ticks(readings: DataFrame, freq_minutes: int,
-                   bounds: tuple[Column, Column] | None = None) -> DataFrame:
+                   bounds: tuple[int, int] | None = None) -> DataFrame:
     """A7 on the grid: ticks per calendar day, computed from the bounds alone."""
     step_us = int(freq_minutes) * US_PER_MIN
-    lo, hi = bounds if bounds is not None else grid_bounds(readings)
-    lo_us, hi_us = _us(lo), _us(hi)
+    lo_us, hi_us = bounds if bounds is not None else grid_bounds(readings)
     days = readings.sparkSession.range(1).select(F.explode(
-        F.sequence(day_of(lo), day_of(hi), F.expr("INTERVAL 1 DAY"))).alias("day"))
-    first_k, last_k = _tick_range(F.col("day"), lo_us, hi_us, step_us)
+        F.sequence(_ts(_day_floor(lo_us)), _ts(_day_floor(hi_us)), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    first_k, last_k = _tick_range(F.col("day"), F.lit(lo_us), F.lit(hi_us), step_us)
     return days.select("day", (last_k - first_k + 1).alias("ticks")).where(F.col("ticks") > 0)
 
 
@@ -146,17 +183,6 @@ def sampling_step(readings: DataFrame) -> DataFrame:
         F.when(step_s > 0, F.floor(F.lit(86_400) / step_s)).cast("long").alias("steps_per_day"))
 
 
-def last_full_day(readings: DataFrame, freq_minutes: int,
-                  bounds: tuple[Column, Column] | None = None) -> Column:
-    """Scalar column — latest day whose tick count equals steps/day.
-
-    The caller gets NULL when no day is full (``require_day`` raises).
-    """
-    ticks = grid_day_ticks(readings, freq_minutes, bounds)
-    full = ticks.where(F.col("ticks") == steps_per_day(freq_minutes))
-    return full.agg(F.max("day").alias("d")).select("d").scalar()
-
-
 def ticks_per_day(grid: DataFrame) -> DataFrame:
     """Distinct instants per calendar day of a (gridded or raw) table."""
     return (grid.select(day_of("timestamp").alias("day"), "timestamp").distinct()
@@ -235,23 +261,23 @@ def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
     return g.withColumn("speed", filled).drop("_obs", "_prev", "_next", "_cprev", "_cnext")
 
 
-def edge_boundary(readings: DataFrame, freq_minutes: int, lo: Column, day: Column,
+def edge_boundary(readings: DataFrame, freq_minutes: int, lo_us: int, day_us: int,
                   side: str = "before", align: str = "exact") -> DataFrame:
     """Carry-in/out per sensor: last on-grid reading before ``day`` (``side='before'``)
     or first on-grid reading after the end of ``day`` (``'after'``) → ``(edge_id, ts, v)``.
     """
     step_us = int(freq_minutes) * US_PER_MIN
     r = readings.where(F.col("speed").isNotNull())
-    off = _us("timestamp") - _us(lo)
+    if side == "before":
+        r = r.where(F.col("timestamp") < _ts(day_us))
+    else:
+        r = r.where(F.col("timestamp") >= _ts(day_us + US_PER_DAY))
+    off = _us("timestamp") - F.lit(lo_us)
     if align == "exact":
         r = r.where(off % F.lit(step_us) == 0)
     else:
         r = r.withColumn("timestamp", F.timestamp_micros(
-            _us(lo) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
-    if side == "before":
-        r = r.where(F.col("timestamp") < day)
-    else:
-        r = r.where(F.col("timestamp") >= day + F.expr("INTERVAL 1 DAY"))
+            F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
     per_ts = r.groupBy("edge_id", "timestamp").agg(F.avg("speed").alias("v"))
     pick = F.max_by if side == "before" else F.min_by
     edge_ts = F.max("timestamp") if side == "before" else F.min("timestamp")

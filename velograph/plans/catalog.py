@@ -30,3 +30,109 @@ def q_e2_heldout_eval(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
+
+
+# --------------------------------------------------------------------------- features
+from pyspark.sql import functions as F  # noqa: E402
+
+from velograph.functions.columns import to_ntz  # noqa: E402
+from velograph.operators import align, features  # noqa: E402
+
+
+def _user_readings(spark, sf):
+    """Deduplicated hourly readings, one sensor per user (W3 mean per instant)."""
+    return align.dedup_mean(tables.readings(spark, sf, edge="user")).drop("n_obs")
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@query
+def q_a01_sensor_stats(spark, sf):
+    st = features.sensor_stats(_user_readings(spark, sf))
+    return st.select("edge_id", "n", *[_r6(c).alias(c) for c in ("mu", "sigma", "min", "max", "p90")])
+
+
+@query
+def q_p02_zscore(spark, sf):
+    r = _user_readings(spark, sf)
+    z = features.normalize(r, features.norm_params(features.sensor_stats(r), "z_score"))
+    return z.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("value").alias("z"))
+
+
+@query
+def q_p04_minmax(spark, sf):
+    r = _user_readings(spark, sf)
+    z = features.normalize(r, features.norm_params(features.sensor_stats(r), "min_max"))
+    return z.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("value").alias("scaled"))
+
+
+@query
+def q_p06_denormalize(spark, sf):
+    r = _user_readings(spark, sf)
+    params = features.norm_params(features.sensor_stats(r), "z_score")
+    back = features.denormalize(features.normalize(r, params), params)
+    return back.select("edge_id", to_ntz("timestamp").alias("timestamp"),
+                       _r6("value").alias("speed"))
+
+
+@query
+def q_p07_calendar(spark, sf):
+    inst = tables.readings(spark, sf).select("timestamp").distinct()
+    return features.with_calendar(inst).withColumn("timestamp", to_ntz("timestamp"))
+
+
+@query
+def q_p09_step_weight(spark, sf):
+    r = _user_readings(spark, sf)
+    w = features.congestion_step_weights(r)
+    return w.select("edge_id", to_ntz("timestamp").alias("timestamp"), "weight")
+
+
+@query
+def q_p10_linear_weight(spark, sf):
+    w = features.congestion_linear_weights(_user_readings(spark, sf))
+    return w.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("weight").alias("weight"))
+
+
+@query
+def q_a13_weight_summary(spark, sf):
+    w = features.congestion_linear_weights(_user_readings(spark, sf))
+    return features.weight_summary(w).select(_r6("avg_weight").alias("avg_weight"),
+                                             _r6("max_weight").alias("max_weight"))
+
+
+def _split_grid(spark, sf):
+    r = tables.readings(spark, sf)
+    lo, hi = align.grid_bounds(r)
+    g = align.regular_grid(r, 60, bounds=(lo, hi))
+    return features.ordered_split_grid(g, lo, hi, 60)
+
+
+@query
+def q_o04_ordered_split(spark, sf):
+    g = _split_grid(spark, sf)
+    return g.select("split", to_ntz("timestamp").alias("timestamp")).distinct()
+
+
+@query
+def q_a20_split_summary(spark, sf):
+    s = features.split_summary(_split_grid(spark, sf))
+    return s.select("split", "rows", to_ntz("first_ts").alias("first_ts"),
+                    to_ntz("last_ts").alias("last_ts"), _r6("share").alias("share"))
+
+
+@query
+def q_a05_hourly_avg(spark, sf):
+    h = features.hourly_average(align.dedup_mean(tables.readings(spark, sf)))
+    return h.select("edge_id", "hour", _r6("avg_speed").alias("avg_speed"), "sample_count")
+
+
+@query
+def q_s20_profile(spark, sf):
+    r = tables.readings(spark, sf)
+    g = align.regular_grid(r, 60)
+    p = features.profile(g)
+    return p.select("n_rows", "n_sensors", "n_instants", to_ntz("first_ts").alias("first_ts"),
+                    to_ntz("last_ts").alias("last_ts"), "n_missing")

@@ -19,18 +19,18 @@ from velograph.operators.windows import EVAL_EMA_ALPHA, HORIZONS_MIN, sliding_wi
 def heldout_grid(readings: DataFrame, freq_minutes: int, fill_method: str = "ffill",
                  align_mode: str = "exact"):
     """Filled, clipped grid for the held-out day and the day before; returns (grid, day)."""
-    bounds = align.grid_bounds(readings)
-    day = align.last_full_day(readings, freq_minutes, bounds)
-    day_from = day - F.expr("INTERVAL 1 DAY")
-    grid = align.regular_grid(readings, freq_minutes, align=align_mode,
-                              day_from=day_from, day_to=day, bounds=bounds)
+    lo_us, hi_us = align.grid_bounds(readings)
+    day_us = align.last_full_day_us(lo_us, hi_us, freq_minutes)
+    day_from = day_us - align.US_PER_DAY
+    grid = align.regular_grid(readings, freq_minutes, align=align_mode, day_from_us=day_from,
+                              day_to_us=day_us, bounds=(lo_us, hi_us))
     prior = posterior = None
     if fill_method in ("ffill", "interpolate", "ffill_bfill"):
-        prior = align.edge_boundary(readings, freq_minutes, bounds[0], day_from, "before", align_mode)
+        prior = align.edge_boundary(readings, freq_minutes, lo_us, day_from, "before", align_mode)
     if fill_method in ("interpolate", "ffill_bfill"):
-        posterior = align.edge_boundary(readings, freq_minutes, bounds[0], day, "after", align_mode)
+        posterior = align.edge_boundary(readings, freq_minutes, lo_us, day_us, "after", align_mode)
     filled = align.fill(grid, fill_method, prior=prior, posterior=posterior)
-    return filled.withColumn("speed", clip("speed")), day
+    return filled.withColumn("speed", clip("speed")), F.timestamp_micros(F.lit(day_us))
 
 
 def heldout_windows(readings: DataFrame, freq_minutes: int, t_in: int = 12, t_out: int = 12,

@@ -100,3 +100,89 @@ def oracle_sql() -> dict[str, str]:
         if name.startswith("_q_") and callable(fn):
             out[name[3:]] = fn()
     return out
+
+
+# --------------------------------------------------------------------------- features
+USER_DEDUP = (f"ud AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql('hour', 'user')}) "
+              "WHERE speed IS NOT NULL GROUP BY 1, 2)")
+USER_STATS = ("st AS (SELECT edge_id, count(speed) AS n, avg(speed) AS mu, "
+              "CASE WHEN coalesce(stddev_samp(speed), 1.0) = 0 THEN 1.0 ELSE coalesce(stddev_samp(speed), 1.0) END AS sigma, "
+              "min(speed) AS min, max(speed) AS max, quantile_cont(speed, 0.9) AS p90 FROM ud GROUP BY 1)")
+
+
+def _q_a01_sensor_stats():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, n, round(mu, 6) AS mu, round(sigma, 6) AS sigma, "
+            "round(min, 6) AS min, round(max, 6) AS max, round(p90, 6) AS p90 FROM st")
+
+
+def _q_p02_zscore():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, "
+            "round((speed - mu) / sigma, 6) AS z FROM ud JOIN st USING (edge_id)")
+
+
+def _q_p04_minmax():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, "
+            "round((speed - min) / CASE WHEN max - min <> 0 THEN max - min END, 6) AS scaled "
+            "FROM ud JOIN st USING (edge_id)")
+
+
+def _q_p06_denormalize():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, "
+            "round(((speed - mu) / sigma) * sigma + mu, 6) AS speed FROM ud JOIN st USING (edge_id)")
+
+
+def _q_p07_calendar():
+    return (f"WITH i AS (SELECT DISTINCT timestamp FROM ({readings_sql()})) "
+            "SELECT timestamp, hour(timestamp) AS hour, minute(timestamp) AS minute, "
+            "(hour(timestamp) * 60 + minute(timestamp))::DOUBLE / 1440.0::DOUBLE AS time_of_day, "
+            "isodow(timestamp) - 1 AS day_of_week, CASE WHEN isodow(timestamp) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+            "month(timestamp) AS month FROM i")
+
+
+def _q_p09_step_weight():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, "
+            "CASE WHEN speed / greatest(p90, 1.0::DOUBLE) < 0.4::DOUBLE THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight "
+            "FROM ud LEFT JOIN st USING (edge_id)")
+
+
+LINEAR_W = ("1.0::DOUBLE + 4.0::DOUBLE * (1.0::DOUBLE - " +
+            "CASE WHEN speed / 65.0::DOUBLE IS NULL OR isnan(speed / 65.0::DOUBLE) THEN NULL "
+            "ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, speed / 65.0::DOUBLE)) END)")
+
+
+def _q_p10_linear_weight():
+    return f"WITH {USER_DEDUP} SELECT edge_id, timestamp, round({LINEAR_W}, 6) AS weight FROM ud"
+
+
+def _q_a13_weight_summary():
+    return (f"WITH {USER_DEDUP}, w AS (SELECT edge_id, {LINEAR_W} AS weight FROM ud), "
+            "per AS (SELECT edge_id, avg(weight) AS w, max(weight) AS m FROM w GROUP BY 1) "
+            "SELECT round(avg(w), 6) AS avg_weight, round(max(m), 6) AS max_weight FROM per")
+
+
+SPLIT_CTE = ("sp AS (SELECT timestamp, CASE WHEN rn < floor(n * 0.7::DOUBLE) THEN 'train' "
+             "WHEN rn < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split "
+             "FROM (SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS rn, count(*) OVER () AS n FROM ticks))")
+
+
+def _q_o04_ordered_split():
+    return f"WITH {grid_ctes(60)}, {SPLIT_CTE} SELECT split, timestamp FROM sp"
+
+
+def _q_a20_split_summary():
+    return (f"WITH {grid_ctes(60)}, {SPLIT_CTE}, "
+            "per AS (SELECT split, count(*) AS rows, min(g.timestamp) AS first_ts, max(g.timestamp) AS last_ts "
+            "FROM g JOIN sp USING (timestamp) GROUP BY 1) "
+            "SELECT split, rows, first_ts, last_ts, round(rows / sum(rows) OVER (), 6) AS share FROM per")
+
+
+def _q_a05_hourly_avg():
+    return (f"WITH d AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) "
+            "WHERE speed IS NOT NULL GROUP BY 1, 2) SELECT edge_id, hour(timestamp) AS hour, "
+            "round(avg(speed), 6) AS avg_speed, count(*) AS sample_count FROM d GROUP BY 1, 2")
+
+
+def _q_s20_profile():
+    return (f"WITH {grid_ctes(60)} SELECT count(*) AS n_rows, count(DISTINCT edge_id) AS n_sensors, "
+            "count(DISTINCT timestamp) AS n_instants, min(timestamp) AS first_ts, max(timestamp) AS last_ts, "
+            "count(*) FILTER (WHERE speed IS NULL) AS n_missing FROM g")
