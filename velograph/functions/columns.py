@@ -96,3 +96,10 @@ def sigma_guard(sigma: str | Column) -> Column:
     """Missing sigma → 1, zero sigma → 1."""
     s = F.coalesce(col_(sigma), F.lit(1.0))
     return F.when(s == 0.0, F.lit(1.0)).otherwise(s)
+
+
+def round_to(c: str | Column, digits: int = 6) -> Column:
+    """Round as ``round(x * 10^d) / 10^d`` on the binary double (half away from
+    zero), so results hash equal across engines that round this way."""
+    scale = float(10 ** digits)
+    return F.round(col_(c) * F.lit(scale), 0) / F.lit(scale)

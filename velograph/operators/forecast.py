@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velograph.functions.columns import clip
+from velograph.functions.columns import clip, round_to
 from velograph.operators.windows import (EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, ema,
                                          last_value, prefix_steps)
 
@@ -91,7 +91,7 @@ def evaluation_report(windows: DataFrame, t_out: int, horizons: Sequence[int] =
                        F.avg(F.abs(dl)).alias("last_mae"), F.sqrt(F.avg(dl * dl)).alias("last_rmse")))
     return (per_window.groupBy("horizon", "steps")
             .agg(F.count("*").alias("n_windows"),
-                 *[F.round(F.avg(c), digits).alias(c)
+                 *[round_to(F.avg(c), digits).alias(c)
                    for c in ("ema_mae", "ema_rmse", "last_mae", "last_rmse")]))
 
 

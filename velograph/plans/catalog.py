@@ -35,7 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --------------------------------------------------------------------------- features
 from pyspark.sql import functions as F  # noqa: E402
 
-from velograph.functions.columns import to_ntz  # noqa: E402
+from velograph.functions.columns import round_to, to_ntz  # noqa: E402
 from velograph.operators import align, features  # noqa: E402
 
 
@@ -45,7 +45,7 @@ def _user_readings(spark, sf):
 
 
 def _r6(c):
-    return F.round(c, 6)
+    return round_to(c, 6)
 
 
 @query
@@ -136,3 +136,208 @@ def q_s20_profile(spark, sf):
     p = features.profile(g)
     return p.select("n_rows", "n_sensors", "n_instants", to_ntz("first_ts").alias("first_ts"),
                     to_ntz("last_ts").alias("last_ts"), "n_missing")
+
+
+# --------------------------------------------------------------------------- alignment & windows
+from velograph.functions.columns import clip  # noqa: E402
+from velograph.operators import forecast, windows  # noqa: E402
+
+
+def _grid(spark, sf, method="ffill", edge="event_type"):
+    r = tables.readings(spark, sf, edge=edge)
+    g = align.fill(align.regular_grid(r, 60), method)
+    return g
+
+
+def _grid_out(g, digits=6):
+    return g.select("edge_id", to_ntz("timestamp").alias("timestamp"),
+                    round_to("speed", digits).alias("speed"))
+
+
+@query
+def q_w03_duplicates(spark, sf):
+    d = align.duplicate_instants(tables.readings(spark, sf))
+    return d.select("edge_id", to_ntz("timestamp").alias("timestamp"),
+                    _r6("speed").alias("speed"), "n_obs")
+
+
+@query
+def q_w04_grid_exact(spark, sf):
+    g = align.regular_grid(tables.readings(spark, sf), 60)
+    return g.select("edge_id", to_ntz("timestamp").alias("timestamp"),
+                    _r6("speed").alias("speed"), "n_obs")
+
+
+@query
+def q_w04_grid_offgrid(spark, sf):
+    """Minute-floored readings on a 5-minute exact grid: off-grid readings are dropped."""
+    r = tables.readings(spark, sf, grain="minute")
+    g = align.regular_grid(r, 5)
+    return g.where(F.col("n_obs") > 0).select(
+        "edge_id", to_ntz("timestamp").alias("timestamp"), _r6("speed").alias("speed"), "n_obs")
+
+
+@query
+def q_w04_grid_bucket(spark, sf):
+    r = tables.readings(spark, sf, grain="minute")
+    g = align.regular_grid(r, 30, align="bucket")
+    return g.select("edge_id", to_ntz("timestamp").alias("timestamp"),
+                    _r6("speed").alias("speed"), "n_obs")
+
+
+@query
+def q_w05_ffill(spark, sf):
+    return _grid_out(_grid(spark, sf, "ffill", edge="user"))
+
+
+@query
+def q_w06_interpolate(spark, sf):
+    return _grid_out(_grid(spark, sf, "interpolate", edge="user"))
+
+
+@query
+def q_w08_ffill_bfill(spark, sf):
+    return _grid_out(_grid(spark, sf, "ffill_bfill", edge="user"))
+
+
+@query
+def q_p01_clip(spark, sf):
+    g = align.to_regular(tables.readings(spark, sf), 60, "none")
+    return _grid_out(g)
+
+
+@query
+def q_w09_history_fill(spark, sf):
+    g = align.regular_grid(tables.readings(spark, sf), 60)
+    h = align.history_fill(g, 60, 12)
+    return h.select("edge_id", to_ntz("timestamp").alias("timestamp"), "slot",
+                    _r6("value").alias("value"))
+
+
+@query
+def q_a07_ticks_per_day(spark, sf):
+    t = align.ticks_per_day(tables.readings(spark, sf))
+    return t.select(to_ntz("day").alias("day"), "ticks")
+
+
+@query
+def q_w11_grid_days(spark, sf):
+    """Grid ticks per day and the full-day flag (steps/day from the step)."""
+    t = align.grid_day_ticks(tables.readings(spark, sf), 60)
+    return t.select(to_ntz("day").alias("day"), "ticks",
+                    (F.col("ticks") == align.steps_per_day(60)).alias("is_full"))
+
+
+@query
+def q_w10_sampling_step(spark, sf):
+    return align.sampling_step(tables.readings(spark, sf))
+
+
+def _heldout(spark, sf):
+    return evaluation.heldout_windows(tables.readings(spark, sf), 60)
+
+
+@query
+def q_w12_windows(spark, sf):
+    wl = windows.windows_long(_heldout(spark, sf))
+    return wl.select(to_ntz("label_start").alias("label_start"), "edge_id", "role", "step",
+                     _r6("value").alias("value"))
+
+
+@query
+def q_w13_windows_in_day(spark, sf):
+    grid, day = evaluation.heldout_grid(tables.readings(spark, sf), 60)
+    w = windows.sliding_windows(grid, 60, 6, 6, label_day=day, all_within_day=True,
+                                drop_missing=False)
+    wl = windows.windows_long(w)
+    return wl.select(to_ntz("label_start").alias("label_start"), "edge_id", "role", "step",
+                     _r6("value").alias("value"))
+
+
+@query
+def q_w14_ema_forecast(spark, sf):
+    w = forecast.ema_forecast(_heldout(spark, sf))
+    return w.select(to_ntz("label_start").alias("label_start"), "edge_id", _r6("pred").alias("pred"))
+
+
+@query
+def q_w16_last_value(spark, sf):
+    w = forecast.last_value_forecast(_heldout(spark, sf))
+    return w.select(to_ntz("label_start").alias("label_start"), "edge_id", _r6("pred").alias("pred"))
+
+
+@query
+def q_a08_window_metrics(spark, sf):
+    m = forecast.window_metrics(forecast.ema_forecast(_heldout(spark, sf)), 12)
+    return m.select(to_ntz("label_start").alias("label_start"), "horizon", "steps",
+                    _r6("mae").alias("mae"), _r6("rmse").alias("rmse"))
+
+
+@query
+def q_a10_step_node_mae(spark, sf):
+    m = forecast.step_node_mae(forecast.ema_forecast(_heldout(spark, sf)))
+    return m.select("step", "edge_id", _r6("mae").alias("mae"))
+
+
+def _user_heldout(spark, sf):
+    return evaluation.heldout_windows(tables.readings(spark, sf, edge="user"), 60,
+                                      fill_method="ffill_bfill")
+
+
+@query
+def q_o02_topk_nodes(spark, sf):
+    m = forecast.step_node_mae(forecast.ema_forecast(_user_heldout(spark, sf)))
+    t = forecast.top_k_nodes(m.withColumn("mae", _r6("mae")), step=12, k=20)
+    return t.select("step", "edge_id", "mae")
+
+
+@query
+def q_a04_global_stats(spark, sf):
+    s = forecast.global_stats(_heldout(spark, sf))
+    return s.select(_r6("mean").alias("mean"), _r6("std").alias("std"))
+
+
+def _train_windows(spark, sf):
+    grid = align.fill(align.regular_grid(tables.readings(spark, sf), 60), "ffill")
+    return windows.sliding_windows(grid.withColumn("speed", clip("speed")), 60, 12, 12)
+
+
+@query
+def q_m04_residual_fit(spark, sf):
+    m = forecast.fit_residual(_train_windows(spark, sf))
+    return m.select("edge_id", "step", _r6("a").alias("a"), _r6("b").alias("b"), "n")
+
+
+@query
+def q_m03_residual_forecast(spark, sf):
+    model = forecast.fit_residual(_train_windows(spark, sf))
+    p = forecast.residual_forecast(_heldout(spark, sf), model)
+    return p.select(to_ntz("label_start").alias("label_start"), "edge_id", "step",
+                    _r6("pred").alias("pred"))
+
+
+@query
+def q_a14_smooth_l1(spark, sf):
+    rows = forecast.label_steps(forecast.ema_forecast(_heldout(spark, sf)))
+    return forecast.smooth_l1_loss(rows, 12).select(_r6("smooth_l1").alias("smooth_l1"))
+
+
+@query
+def q_c11_huber(spark, sf):
+    rows = forecast.label_steps(forecast.ema_forecast(_heldout(spark, sf)))
+    return forecast.huber_loss(rows).select(_r6("huber").alias("huber"))
+
+
+@query
+def q_c07_mape_weighted(spark, sf):
+    from velograph.functions.columns import linear_weight
+    rows = forecast.label_steps(forecast.ema_forecast(_heldout(spark, sf)))
+    m = forecast.mape_weighted_mae(rows, linear_weight("y"))
+    return m.select(_r6("mape").alias("mape"), _r6("weighted_mae").alias("weighted_mae"))
+
+
+@query
+def q_o03_first_windows(spark, sf):
+    w = windows.first_n_windows(_heldout(spark, sf), 5)
+    return w.select(to_ntz("label_start").alias("label_start"), "edge_id",
+                    _r6(F.element_at("x", -1)).alias("x_last"), _r6(F.element_at("y", 1)).alias("y_first"))

@@ -50,22 +50,53 @@ def full_day_cte(freq: int) -> str:
             f"count(*) AS c FROM ticks GROUP BY 1) WHERE c = {per_day})")
 
 
+FILL_SQL = {
+    "ffill": "coalesce(speed, pv)",
+    "ffill_bfill": "coalesce(speed, pv, nv)",
+    "none": "speed",
+    "interpolate": ("CASE WHEN speed IS NOT NULL THEN speed WHEN pv IS NOT NULL AND nv IS NOT NULL "
+                    "THEN pv + (nv - pv) * ((epoch_us(timestamp) - pt)::DOUBLE / (nt - pt)::DOUBLE) "
+                    "ELSE coalesce(pv, nv) END"),
+}
+
+
+def filled_cte(method: str, src: str = "g", name: str = "gf") -> str:
+    """``name`` = ``src`` with ``speed`` filled by ``method`` (whole-history windows)."""
+    return f"""{name} AS (SELECT edge_id, timestamp, {FILL_SQL[method]} AS speed FROM (
+  SELECT edge_id, timestamp, speed,
+    last_value(CASE WHEN speed IS NOT NULL THEN epoch_us(timestamp) END IGNORE NULLS) OVER wf AS pt,
+    last_value(speed IGNORE NULLS) OVER wf AS pv,
+    first_value(CASE WHEN speed IS NOT NULL THEN epoch_us(timestamp) END IGNORE NULLS) OVER wb AS nt,
+    first_value(speed IGNORE NULLS) OVER wb AS nv
+  FROM {src}
+  WINDOW wf AS (PARTITION BY edge_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         wb AS (PARTITION BY edge_id ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)))"""
+
+
 def windows_ctes(freq: int, t_in: int = 12, t_out: int = 12, grain: str = "hour",
-                 edge: str = "event_type") -> str:
-    """... f (filled+clipped grid), w (all candidate windows), win (held-out, complete)."""
+                 edge: str = "event_type", fill: str = "ffill", heldout: bool = True,
+                 within_day: bool = False, drop_missing: bool = True) -> str:
+    """... f (filled+clipped grid), w (candidate windows), win (kept windows)."""
     xs = ", ".join(f"lag(v, {k}) OVER ww" for k in range(t_in, 0, -1))
     ys = ", ".join(["v"] + [f"lead(v, {k}) OVER ww" for k in range(1, t_out)])
+    conds = ["t0 IS NOT NULL", "t1 IS NOT NULL", "date_trunc('day', t1) = date_trunc('day', label_start)"]
+    if heldout:
+        conds.append("date_trunc('day', label_start) = (SELECT day FROM full_day)")
+    if within_day:
+        conds.append("date_trunc('day', t0) = date_trunc('day', label_start)")
+    keep = ("SELECT wd.label_start, wd.edge_id, wd.x, wd.y FROM wd SEMI JOIN ok USING (label_start)"
+            if drop_missing else "SELECT label_start, edge_id, x, y FROM wd")
     return f"""{grid_ctes(freq, grain, edge)},
 {full_day_cte(freq)},
-f AS (SELECT edge_id, timestamp, {clip_sql('fv')} AS v FROM (SELECT edge_id, timestamp, {FFILL} AS fv FROM g)),
+{filled_cte(fill)},
+f AS (SELECT edge_id, timestamp, {clip_sql('speed')} AS v FROM gf),
 w AS (SELECT edge_id, timestamp AS label_start, [{xs}] AS x, [{ys}] AS y,
         lag(timestamp, {t_in}) OVER ww AS t0, lead(timestamp, {t_out - 1}) OVER ww AS t1
       FROM f WINDOW ww AS (PARTITION BY edge_id ORDER BY timestamp)),
-wd AS (SELECT w.* FROM w, full_day WHERE date_trunc('day', label_start) = full_day.day
-       AND t0 IS NOT NULL AND t1 IS NOT NULL AND date_trunc('day', t1) = full_day.day),
+wd AS (SELECT * FROM w WHERE {' AND '.join(conds)}),
 ok AS (SELECT label_start FROM wd GROUP BY 1
        HAVING bool_and(list_count(x) = {t_in} AND list_count(y) = {t_out})),
-win AS (SELECT wd.label_start, wd.edge_id, wd.x, wd.y FROM wd SEMI JOIN ok USING (label_start))"""
+win AS ({keep})"""
 
 
 def ema_sql(x: str, alpha: float) -> str:
@@ -186,3 +217,180 @@ def _q_s20_profile():
     return (f"WITH {grid_ctes(60)} SELECT count(*) AS n_rows, count(DISTINCT edge_id) AS n_sensors, "
             "count(DISTINCT timestamp) AS n_instants, min(timestamp) AS first_ts, max(timestamp) AS last_ts, "
             "count(*) FILTER (WHERE speed IS NULL) AS n_missing FROM g")
+
+
+# --------------------------------------------------------------------------- alignment & windows
+def _q_w03_duplicates():
+    return (f"SELECT edge_id, timestamp, round(avg(speed), 6) AS speed, count(speed) AS n_obs "
+            f"FROM ({readings_sql()}) WHERE speed IS NOT NULL GROUP BY 1, 2 HAVING count(speed) > 1")
+
+
+def _q_w04_grid_exact():
+    return f"WITH {grid_ctes(60)} SELECT edge_id, timestamp, round(speed, 6) AS speed, n_obs FROM g"
+
+
+def _q_w04_grid_offgrid():
+    return (f"WITH {grid_ctes(5, 'minute')} SELECT edge_id, timestamp, round(speed, 6) AS speed, n_obs "
+            "FROM g WHERE n_obs > 0")
+
+
+def _q_w04_grid_bucket():
+    return (f"WITH {grid_ctes(30, 'minute', align='bucket')} "
+            "SELECT edge_id, timestamp, round(speed, 6) AS speed, n_obs FROM g")
+
+
+def _fill_q(method):
+    return (f"WITH {grid_ctes(60, edge='user')}, {filled_cte(method)} "
+            "SELECT edge_id, timestamp, round(speed, 6) AS speed FROM gf")
+
+
+def _q_w05_ffill():
+    return _fill_q("ffill")
+
+
+def _q_w06_interpolate():
+    return _fill_q("interpolate")
+
+
+def _q_w08_ffill_bfill():
+    return _fill_q("ffill_bfill")
+
+
+def _q_p01_clip():
+    return f"WITH {grid_ctes(60)} SELECT edge_id, timestamp, round({clip_sql('speed')}, 6) AS speed FROM g"
+
+
+def _q_w09_history_fill():
+    frame = "PARTITION BY edge_id ORDER BY timestamp"
+    slots = ", ".join(
+        f"last_value(speed IGNORE NULLS) OVER ({frame} ROWS BETWEEN 11 PRECEDING AND {11 - j} PRECEDING) AS s{j + 1}"
+        if 11 - j > 0 else
+        f"last_value(speed IGNORE NULLS) OVER ({frame} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS s{j + 1}"
+        for j in range(12))
+    lst = ", ".join(f"CASE WHEN s12 IS NULL THEN 0.0 ELSE s{j + 1} END" for j in range(12))
+    return (f"WITH {grid_ctes(60)}, "
+            f"h AS (SELECT edge_id, timestamp, row_number() OVER ({frame}) AS rn, {slots} FROM g), "
+            f"e AS (SELECT edge_id, timestamp, unnest(range(1, 13))::INTEGER AS slot, unnest([{lst}]) AS value "
+            "FROM h WHERE rn >= 12) SELECT edge_id, timestamp, slot, round(value, 6) AS value FROM e")
+
+
+def _q_a07_ticks_per_day():
+    return (f"SELECT date_trunc('day', timestamp) AS day, count(DISTINCT timestamp) AS ticks "
+            f"FROM ({readings_sql()}) GROUP BY 1")
+
+
+def _q_w11_grid_days():
+    return (f"WITH {grid_ctes(60)} SELECT date_trunc('day', timestamp) AS day, count(*) AS ticks, "
+            "count(*) = 24 AS is_full FROM ticks GROUP BY 1")
+
+
+def _q_w10_sampling_step():
+    return (f"WITH r AS ({readings_sql()}), a AS (SELECT min(timestamp) AS t0 FROM r), "
+            "b2 AS (SELECT min(timestamp) AS t1 FROM r, a WHERE timestamp > t0) "
+            "SELECT CAST((epoch_us(t1) - epoch_us(t0)) / 1000000 AS BIGINT) AS step_seconds, "
+            "CAST(floor(86400 / ((epoch_us(t1) - epoch_us(t0)) / 1000000.0)) AS BIGINT) AS steps_per_day FROM a, b2")
+
+
+def _long(win="win", n_x=12, n_y=12):
+    return (f"SELECT label_start, edge_id, role, step, round(value, 6) AS value FROM ("
+            f"SELECT label_start, edge_id, 'x' AS role, unnest(range(1, {n_x + 1}))::INTEGER AS step, unnest(x) AS value FROM {win} "
+            f"UNION ALL SELECT label_start, edge_id, 'y' AS role, unnest(range(1, {n_y + 1}))::INTEGER AS step, unnest(y) AS value FROM {win})")
+
+
+def _q_w12_windows():
+    return f"WITH {windows_ctes(60)} {_long()}"
+
+
+def _q_w13_windows_in_day():
+    return (f"WITH {windows_ctes(60, 6, 6, within_day=True, drop_missing=False)} "
+            f"{_long('win', 6, 6)}")
+
+
+EMA_P = f"{clip_sql(ema_sql('x', 0.3))}"
+
+
+def _q_w14_ema_forecast():
+    return f"WITH {windows_ctes(60)} SELECT label_start, edge_id, round({EMA_P}, 6) AS pred FROM win"
+
+
+def _q_w16_last_value():
+    return f"WITH {windows_ctes(60)} SELECT label_start, edge_id, round({clip_sql('x[-1]')}, 6) AS pred FROM win"
+
+
+STEPS = ("s AS (SELECT label_start, edge_id, pred, unnest(y) AS y, unnest(range(1, 13))::INTEGER AS step "
+         f"FROM (SELECT label_start, edge_id, y, {EMA_P} AS pred FROM win))")
+
+
+def _q_a08_window_metrics():
+    return (f"WITH {windows_ctes(60)}, {STEPS} SELECT label_start, horizon, steps, "
+            "round(avg(abs(pred - y)), 6) AS mae, round(sqrt(avg((pred - y) * (pred - y))), 6) AS rmse "
+            f"FROM s JOIN {horizons_values(12)} ON s.step <= hz.steps GROUP BY 1, 2, 3")
+
+
+def _q_a10_step_node_mae():
+    return (f"WITH {windows_ctes(60)}, {STEPS} SELECT step, edge_id, round(avg(abs(pred - y)), 6) AS mae "
+            "FROM s GROUP BY 1, 2")
+
+
+def _q_o02_topk_nodes():
+    return (f"WITH {windows_ctes(60, edge='user', fill='ffill_bfill')}, {STEPS}, "
+            "m AS (SELECT step, edge_id, round(avg(abs(pred - y)), 6) AS mae FROM s GROUP BY 1, 2) "
+            "SELECT step, edge_id, mae FROM m WHERE step = 12 ORDER BY mae DESC, edge_id LIMIT 20")
+
+
+def _q_a04_global_stats():
+    return (f"WITH {windows_ctes(60)}, v AS (SELECT unnest(list_concat(x, y)) AS v FROM win) "
+            "SELECT round(avg(v), 6) AS mean, round(CASE WHEN stddev_pop(v) = 0 OR stddev_pop(v) IS NULL "
+            "THEN 1.0 ELSE stddev_pop(v) END, 6) AS std FROM v")
+
+
+RESID = (f"rf AS (SELECT label_start, edge_id, y, {ema_sql('x', 0.2)} AS ref, "
+         f"x[-1] - {ema_sql('x', 0.2)} AS gap FROM {{src}}), "
+         "rs AS (SELECT label_start, edge_id, ref, gap, unnest(y) AS y, "
+         "unnest(range(1, 13))::INTEGER AS step FROM rf)")
+
+
+def _train_model_sql():
+    ctes = windows_ctes(60, heldout=False).replace("win AS (", "trainwin AS (")
+    return (ctes + ", " + RESID.replace("{src}", "trainwin").replace("rf AS", "trf AS")
+            .replace("FROM rf", "FROM trf").replace("rs AS", "trs AS") +
+            ", model AS (SELECT edge_id, step, coalesce(regr_slope(y - ref, gap), 0.0) AS b, "
+            "coalesce(regr_intercept(y - ref, gap), 0.0) AS a, count(*) AS n FROM trs GROUP BY 1, 2)")
+
+
+def _q_m04_residual_fit():
+    return (f"WITH {_train_model_sql()} SELECT edge_id, step, round(a, 6) AS a, round(b, 6) AS b, n FROM model")
+
+
+def _q_m03_residual_forecast():
+    return (f"WITH {_train_model_sql()}, "
+            + "hw AS (" + f"SELECT * FROM trainwin WHERE date_trunc('day', label_start) = (SELECT day FROM full_day)"
+            + "), " + RESID.replace("{src}", "hw") +
+            f", o AS (SELECT rs.label_start, rs.edge_id, rs.step, {clip_sql('ref + coalesce(a, 0.0) + coalesce(b, 0.0) * gap')} AS pred "
+            "FROM rs LEFT JOIN model ON model.edge_id = rs.edge_id AND model.step = rs.step) "
+            "SELECT label_start, edge_id, step, round(pred, 6) AS pred FROM o")
+
+
+def _q_a14_smooth_l1():
+    from velograph.operators.forecast import step_weights
+    wl = ", ".join(repr(w) for w in step_weights(12))
+    return (f"WITH {windows_ctes(60)}, {STEPS}, dd AS (SELECT [{wl}][step] * (pred - y) AS d FROM s) "
+            "SELECT round(avg(CASE WHEN abs(d) < 0.02 THEN 0.5 * d * d / 0.02 ELSE abs(d) - 0.01 END), 6) AS smooth_l1 FROM dd")
+
+
+def _q_c11_huber():
+    return (f"WITH {windows_ctes(60)}, {STEPS}, dd AS (SELECT pred - y AS d FROM s) "
+            "SELECT round(avg(CASE WHEN abs(d) <= 1.0 THEN 0.5 * d * d ELSE 1.0 * (abs(d) - 0.5) END), 6) AS huber FROM dd")
+
+
+def _q_c07_mape_weighted():
+    lw = LINEAR_W.replace("speed", "y")
+    return (f"WITH {windows_ctes(60)}, {STEPS}, dd AS (SELECT abs(pred - y) AS d, y, {lw} AS w FROM s) "
+            "SELECT round(avg(d / CASE WHEN abs(y) <> 0 THEN abs(y) END), 6) AS mape, "
+            "round(sum(w * d) / sum(w), 6) AS weighted_mae FROM dd")
+
+
+def _q_o03_first_windows():
+    return (f"WITH {windows_ctes(60)}, fs AS (SELECT DISTINCT label_start FROM win ORDER BY 1 LIMIT 5) "
+            "SELECT label_start, edge_id, round(x[-1], 6) AS x_last, round(y[1], 6) AS y_first "
+            "FROM win SEMI JOIN fs USING (label_start)")
