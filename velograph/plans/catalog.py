@@ -341,3 +341,190 @@ def q_o03_first_windows(spark, sf):
     w = windows.first_n_windows(_heldout(spark, sf), 5)
     return w.select(to_ntz("label_start").alias("label_start"), "edge_id",
                     _r6(F.element_at("x", -1)).alias("x_last"), _r6(F.element_at("y", 1)).alias("y_first"))
+
+
+# --------------------------------------------------------------------------- graph
+from velograph.operators import graph, spatial  # noqa: E402
+
+N_NATIONS = 25
+
+
+def _clean_graph(spark, sf):
+    return graph.clean_edges(tables.graph_edges(spark, sf), N_NATIONS)
+
+
+@query
+def q_g01_clean_edges(spark, sf):
+    return _clean_graph(spark, sf).select("src", "dst", _r6("w").alias("w"))
+
+
+@query
+def q_g03_self_loops(spark, sf):
+    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
+    return g.select("src", "dst", _r6("w").alias("w"))
+
+
+@query
+def q_g05_row_normalize(spark, sf):
+    g = graph.row_normalize(graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS))
+    return g.select("src", "dst", round_to("w", 9).alias("w"))
+
+
+@query
+def q_g06_graph_stats(spark, sf):
+    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
+    return graph.graph_stats(g, N_NATIONS).select(
+        "num_nodes", "num_edges", round_to("avg_degree", 9).alias("avg_degree"),
+        round_to("density", 9).alias("density"))
+
+
+def _nation_values(spark, sf):
+    li = tables.table(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_shipdate")
+    su = tables.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    j = li.join(su, li.l_suppkey == su.s_suppkey)
+    return j.groupBy(F.date_trunc("MONTH", F.col("l_shipdate").cast("timestamp")).alias("t"),
+                     F.col("s_nationkey").alias("node")).agg(F.sum("l_quantity").alias("x"))
+
+
+@query
+def q_g07_neighbour_mix(spark, sf):
+    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
+    y = graph.neighbour_mix(_nation_values(spark, sf), g)
+    return y.select(to_ntz("t").alias("t"), "node", round_to("y", 4).alias("y"))
+
+
+@query
+def q_g08_node_index(spark, sf):
+    return tables.graph_nodes(spark, sf)
+
+
+# --------------------------------------------------------------------------- spatial
+
+
+def _sensors(spark, sf):
+    return spatial.sensor_table(tables.sensor_index(spark, sf))
+
+
+def _mapping(spark, sf):
+    s, e = _sensors(spark, sf), tables.road_edges(spark, sf)
+    return s, e, spatial.map_sensors(s, e)
+
+
+def _r9(c):
+    return round_to(c, 9)
+
+
+@query
+def q_p08_sensor_table(spark, sf):
+    return _sensors(spark, sf).select("sensor_id", _r9("latitude").alias("latitude"),
+                                      _r9("longitude").alias("longitude"), "highway", "direction")
+
+
+@query
+def q_j04_candidates(spark, sf):
+    _, _, m = _mapping(spark, sf)
+    return m["candidates"].select("sensor_id", "edge_id", _r9("dist").alias("dist"))
+
+
+@query
+def q_j06_mapping(spark, sf):
+    _, _, m = _mapping(spark, sf)
+    return m["mapping"].select("sensor_id", "edge_id", _r9("dist").alias("dist"))
+
+
+@query
+def q_j07_unmapped(spark, sf):
+    return _mapping(spark, sf)[2]["unmapped"]
+
+
+@query
+def q_p20_status(spark, sf):
+    return _mapping(spark, sf)[2]["status"]
+
+
+@query
+def q_j08_uncovered(spark, sf):
+    return _mapping(spark, sf)[2]["uncovered"]
+
+
+@query
+def q_a12_edge_sensors(spark, sf):
+    return spatial.edge_sensors(_mapping(spark, sf)[2]["mapping"])
+
+
+def _idw(spark, sf):
+    s, e, m = _mapping(spark, sf)
+    targets = spatial.edge_geometry(e).join(m["uncovered"], "edge_id", "left_semi")
+    return s, e, m, spatial.knn_idw(s, targets.select("edge_id", "cx", "cy"))
+
+
+@query
+def q_j09_idw_weights(spark, sf):
+    w = _idw(spark, sf)[3]
+    return w.select("edge_id", "sensor_id", "rank", _r9("dist").alias("dist"), _r9("weight").alias("weight"))
+
+
+@query
+def q_j10_interp_summary(spark, sf):
+    s = spatial.interpolation_summary(_idw(spark, sf)[3])
+    return s.select("edge_id", "n_sensors", _r9("avg_distance_km").alias("avg_distance_km"))
+
+
+@query
+def q_j11_idw_speed(spark, sf):
+    w = _idw(spark, sf)[3]
+    ev = tables.readings(spark, sf, edge="user")
+    speeds = align.dedup_mean(ev.withColumn("edge_id", F.expr("cast(substr(edge_id, 2) AS BIGINT)")))
+    speeds = speeds.select(F.col("edge_id").alias("sensor_id"), "timestamp", "speed")
+    out = spatial.idw_speed(w, speeds)
+    return out.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("speed").alias("speed"),
+                      "n_sensors")
+
+
+def _qa(spark, sf):
+    s, e, m, w = _idw(spark, sf)
+    interp = spatial.interpolation_summary(w)
+    return s, e, m, interp, spatial.qa_errors(s, m, interp)
+
+
+@query
+def q_j15_qa_errors(spark, sf):
+    return spatial.first_errors(_qa(spark, sf)[4])
+
+
+@query
+def q_a11_mapping_stats(spark, sf):
+    s, e, m, interp, errs = _qa(spark, sf)
+    st = spatial.mapping_stats(s, e, m, interp, errs)
+    return st.select(*[_r9(c).alias(c) if c.endswith(("percent", "_km")) else F.col(c) for c in st.columns])
+
+
+@query
+def q_j16_mapping_detail(spark, sf):
+    s, _, m = _mapping(spark, sf)
+    d = spatial.mapping_detail(m["mapping"], s)
+    return d.select("sensor_id", "edge_id", _r9("sensor_lat").alias("sensor_lat"),
+                    _r9("sensor_lon").alias("sensor_lon"), "highway", "direction")
+
+
+@query
+def q_j14_split_candidates(spark, sf):
+    s, e = _sensors(spark, sf), tables.road_edges(spark, sf)
+    c = spatial.split_candidates(s, e)
+    return c.select("sensor_id", "edge_id", _r9("dist").alias("dist"), _r9("length").alias("length"))
+
+
+@query
+def q_p11_major_roads(spark, sf):
+    return spatial.major_roads(tables.road_edges(spark, sf)).select("edge_id", "highway")
+
+
+@query
+def q_p12_bbox(spark, sf):
+    return spatial.in_bbox(_sensors(spark, sf)).select("sensor_id")
+
+
+@query
+def q_c06_geo_knn(spark, sf):
+    a = spatial.geo_knn_adjacency(_sensors(spark, sf))
+    return a.select("src", "dst", _r9("dist_km").alias("dist_km"))

@@ -394,3 +394,196 @@ def _q_o03_first_windows():
     return (f"WITH {windows_ctes(60)}, fs AS (SELECT DISTINCT label_start FROM win ORDER BY 1 LIMIT 5) "
             "SELECT label_start, edge_id, round(x[-1], 6) AS x_last, round(y[1], 6) AS y_first "
             "FROM win SEMI JOIN fs USING (label_start)")
+
+
+# --------------------------------------------------------------------------- graph
+GRAPH_RAW = ("ge AS (SELECT s_nationkey AS src, c_nationkey AS dst, sum(l_quantity) AS w FROM lineitem "
+             "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
+             "JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)")
+GRAPH_CLEAN = ("gc AS (SELECT src, dst, greatest(0.0::DOUBLE, max(w)) AS w FROM ge "
+               "WHERE src >= 0 AND src < 25 AND dst >= 0 AND dst < 25 GROUP BY 1, 2 "
+               "HAVING greatest(0.0::DOUBLE, max(w)) > 0)")
+GRAPH_LOOPS = ("gl AS (SELECT src, dst, w FROM gc WHERE src <> dst UNION ALL "
+               "SELECT i::INTEGER AS src, i::INTEGER AS dst, 1.0::DOUBLE AS w FROM range(25) t(i))")
+GRAPH = f"{GRAPH_RAW}, {GRAPH_CLEAN}, {GRAPH_LOOPS}"
+
+
+def _q_g01_clean_edges():
+    return f"WITH {GRAPH_RAW}, {GRAPH_CLEAN} SELECT src, dst, round(w, 6) AS w FROM gc"
+
+
+def _q_g03_self_loops():
+    return f"WITH {GRAPH} SELECT src, dst, round(w, 6) AS w FROM gl"
+
+
+def _q_g05_row_normalize():
+    return (f"WITH {GRAPH}, rs AS (SELECT src, sum(w) AS s FROM gl GROUP BY 1) SELECT src, dst, "
+            "round(CASE WHEN s > 0 THEN w / s ELSE 0.0 END, 9) AS w FROM gl JOIN rs USING (src)")
+
+
+def _q_g06_graph_stats():
+    return (f"WITH {GRAPH} SELECT 25 AS num_nodes, count(*) AS num_edges, "
+            "round(count(*) / 25.0, 9) AS avg_degree, round(count(*) / 625.0, 9) AS density FROM gl WHERE w > 0")
+
+
+def _q_g07_neighbour_mix():
+    return (f"WITH {GRAPH}, v AS (SELECT date_trunc('month', l_shipdate) AS t, s_nationkey AS node, "
+            "sum(l_quantity) AS x FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2), "
+            "m AS (SELECT src, dst, ln(1.0 + exp(0.0)) + CASE WHEN src = dst THEN 1.0 ELSE 0.0 END AS c "
+            "FROM gl WHERE w > 0) "
+            "SELECT t, dst AS node, round(sum(x * c), 4) AS y FROM v JOIN m ON v.node = m.src GROUP BY 1, 2")
+
+
+def _q_g08_node_index():
+    return "SELECT n_nationkey AS idx, n_name AS sensor_id FROM nation"
+
+
+# --------------------------------------------------------------------------- spatial
+from velograph.functions.geometry import seg_dist_sql, seg_len_sql  # noqa: E402
+
+D = "::DOUBLE"
+SENSORS = ("sn AS (SELECT s_suppkey AS sensor_id, 37.4::DOUBLE + (s_suppkey % 50)::DOUBLE * 0.01::DOUBLE AS latitude, "
+           "-122.2::DOUBLE + (s_suppkey // 50)::DOUBLE * 0.01::DOUBLE AS longitude, "
+           "'Highway-' || CAST(s_suppkey // 10 AS VARCHAR) AS highway, "
+           "CASE WHEN s_suppkey % 2 = 0 THEN 'North' ELSE 'South' END AS direction FROM supplier)")
+EDGES = (f"ce0 AS (SELECT c_custkey AS edge_id, c_custkey % 4 AS d, "
+         f"37.4{D} + (c_custkey % 61){D} * 0.01{D} + ((c_custkey % 7) - 3){D} * 0.0004{D} AS lat0, "
+         f"-122.2{D} + ((c_custkey // 61) % 23){D} * 0.01{D} + ((c_custkey % 5) - 2){D} * 0.0003{D} AS lon0, "
+         f"0.0005{D} + (c_custkey % 9){D} * 0.0005{D} AS len, c_custkey % 3 = 0 AS three, "
+         f"(1 + c_custkey % 89){D} AS mag, "
+         "['motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'residential'][c_custkey % 6 + 1] AS highway "
+         "FROM customer), "
+         f"ce1 AS (SELECT *, CASE WHEN d = 0 THEN len WHEN d = 1 THEN -len ELSE 0.0{D} END AS dlat, "
+         f"CASE WHEN d = 2 THEN len WHEN d = 3 THEN -len ELSE 0.0{D} END AS dlon FROM ce0), "
+         "ce AS (SELECT edge_id, highway, CASE WHEN d = 0 OR d = 2 THEN mag ELSE -mag END AS bearing, "
+         "lon0 AS p0x, lat0 AS p0y, lon0 + dlon AS p1x, lat0 + dlat AS p1y, "
+         f"CASE WHEN three THEN lon0 + dlon + 0.001{D} END AS p2x, "
+         f"CASE WHEN three THEN lat0 + dlat + 0.001{D} END AS p2y FROM ce1)")
+SEG1 = seg_len_sql("p0x", "p0y", "p1x", "p1y")
+SEG2 = seg_len_sql("p1x", "p1y", "p2x", "p2y")
+EGEO = (f"eg AS (SELECT *, {SEG1} AS l1, CASE WHEN p2x IS NOT NULL THEN {SEG2} END AS l2 FROM ce), "
+        f"eg2 AS (SELECT *, 0.0{D} + l1 + coalesce(l2, 0.0{D}) AS length, "
+        f"(0.0{D} + l1 * ((p0x + p1x) / 2.0{D}) + coalesce(l2 * ((p1x + p2x) / 2.0{D}), 0.0{D})) "
+        f"/ (0.0{D} + l1 + coalesce(l2, 0.0{D})) AS cx, "
+        f"(0.0{D} + l1 * ((p0y + p1y) / 2.0{D}) + coalesce(l2 * ((p1y + p2y) / 2.0{D}), 0.0{D})) "
+        f"/ (0.0{D} + l1 + coalesce(l2, 0.0{D})) AS cy FROM eg)")
+DIST = ("least(" + seg_dist_sql("s.longitude", "s.latitude", "e.p0x", "e.p0y", "e.p1x", "e.p1y", "duckdb") +
+        ", CASE WHEN e.p2x IS NOT NULL THEN " +
+        seg_dist_sql("s.longitude", "s.latitude", "e.p1x", "e.p1y", "e.p2x", "e.p2y", "duckdb") + " END)")
+MAP = (f"{SENSORS}, {EDGES}, {EGEO}, "
+       f"cand AS (SELECT * FROM (SELECT s.sensor_id, e.edge_id, e.bearing, s.direction, {DIST} AS dist "
+       "FROM sn s CROSS JOIN ce e) WHERE dist < 0.001), "
+       "okc AS (SELECT * FROM cand WHERE CASE WHEN direction IN ('North', 'East') THEN bearing > 0 "
+       "WHEN direction IN ('South', 'West') THEN bearing < 0 ELSE true END), "
+       "mp AS (SELECT sensor_id, arg_min(edge_id, (dist, edge_id)) AS edge_id, min(dist) AS dist FROM okc GROUP BY 1), "
+       "um AS (SELECT sensor_id FROM sn WHERE sensor_id NOT IN (SELECT sensor_id FROM cand)), "
+       "st AS (SELECT sensor_id, CASE WHEN sensor_id IN (SELECT sensor_id FROM mp) THEN 'mapped' "
+       "WHEN sensor_id IN (SELECT sensor_id FROM um) THEN 'unmapped' ELSE 'unknown' END AS status FROM sn), "
+       "unc AS (SELECT edge_id FROM ce WHERE edge_id NOT IN (SELECT edge_id FROM mp))")
+KDIST = seg_len_sql("s.longitude", "s.latitude", "e.cx", "e.cy")
+IDW = (f"{MAP}, kc AS (SELECT * FROM (SELECT e.edge_id, s.sensor_id, {KDIST} AS dist FROM eg2 e "
+       "JOIN unc USING (edge_id) CROSS JOIN sn s) WHERE dist < 0.02), "
+       "kr AS (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY dist, sensor_id) AS rank FROM kc), "
+       "k5 AS (SELECT * FROM kr WHERE rank <= 5), "
+       "kp AS (SELECT edge_id, sum(CASE WHEN dist > 0 THEN 1.0 / (dist * dist) END) AS inv, "
+       "count(*) FILTER (WHERE dist = 0) AS zero FROM k5 GROUP BY 1), "
+       "wt AS (SELECT k5.edge_id, sensor_id, rank, dist, CASE WHEN zero > 0 THEN "
+       "CASE WHEN dist = 0 THEN 1.0 / zero ELSE 0.0 END ELSE (1.0 / (dist * dist)) / inv END AS weight "
+       "FROM k5 JOIN kp USING (edge_id)), "
+       "isum AS (SELECT edge_id, count(*) AS n_sensors, avg(dist) * 111.0 AS avg_distance_km FROM wt GROUP BY 1), "
+       "qa AS (SELECT 1 AS rule, CAST(sensor_id AS VARCHAR) AS key, 'Sensor ' || CAST(sensor_id AS VARCHAR) "
+       "|| ' has no mapping' AS message FROM st WHERE status = 'unknown' UNION ALL "
+       "SELECT 3, CAST(edge_id AS VARCHAR), 'Edge ' || CAST(edge_id AS VARCHAR) || ' has interpolation distance > 3km' "
+       "FROM isum WHERE avg_distance_km > 3.0)")
+
+
+def _q_p08_sensor_table():
+    return (f"WITH {SENSORS} SELECT sensor_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, "
+            "highway, direction FROM sn")
+
+
+def _q_j04_candidates():
+    return f"WITH {MAP} SELECT sensor_id, edge_id, round(dist, 9) AS dist FROM cand"
+
+
+def _q_j06_mapping():
+    return f"WITH {MAP} SELECT sensor_id, edge_id, round(dist, 9) AS dist FROM mp"
+
+
+def _q_j07_unmapped():
+    return f"WITH {MAP} SELECT sensor_id FROM um"
+
+
+def _q_p20_status():
+    return f"WITH {MAP} SELECT sensor_id, status FROM st"
+
+
+def _q_j08_uncovered():
+    return f"WITH {MAP} SELECT edge_id FROM unc"
+
+
+def _q_a12_edge_sensors():
+    return (f"WITH {MAP} SELECT edge_id, count(*) AS n_sensors, min(sensor_id) AS first_sensor, "
+            "max(sensor_id) AS last_sensor FROM mp GROUP BY 1")
+
+
+def _q_j09_idw_weights():
+    return (f"WITH {IDW} SELECT edge_id, sensor_id, rank::INTEGER AS rank, round(dist, 9) AS dist, "
+            "round(weight, 9) AS weight FROM wt")
+
+
+def _q_j10_interp_summary():
+    return f"WITH {IDW} SELECT edge_id, n_sensors, round(avg_distance_km, 9) AS avg_distance_km FROM isum"
+
+
+def _q_j11_idw_speed():
+    return (f"WITH {IDW}, sp AS (SELECT user_id AS sensor_id, date_trunc('hour', ts) AS timestamp, "
+            "avg(value) AS speed FROM events WHERE NOT isnan(value) GROUP BY 1, 2) "
+            "SELECT edge_id, timestamp, round(sum(weight * speed) / sum(weight), 6) AS speed, count(*) AS n_sensors "
+            "FROM wt JOIN sp USING (sensor_id) GROUP BY 1, 2")
+
+
+def _q_j15_qa_errors():
+    return f"WITH {IDW} SELECT rule, key, message FROM qa ORDER BY rule, key LIMIT 10"
+
+
+def _q_a11_mapping_stats():
+    return (f"WITH {IDW} SELECT (SELECT count(*) FROM sn) AS total_sensors, (SELECT count(*) FROM mp) AS mapped_sensors, "
+            "(SELECT count(*) FROM um) AS unmapped_sensors, "
+            "round((SELECT count(*) FROM mp) / (SELECT count(*) FROM sn) * 100, 9) AS coverage_percent, "
+            "(SELECT count(*) FROM ce) AS total_edges, (SELECT count(DISTINCT edge_id) FROM mp) AS edges_with_sensors, "
+            "(SELECT count(*) FROM isum) AS edges_with_interpolation, "
+            "round(((SELECT count(DISTINCT edge_id) FROM mp) + (SELECT count(*) FROM isum)) / (SELECT count(*) FROM ce) * 100, 9) "
+            "AS edge_coverage_percent, round(coalesce((SELECT avg(avg_distance_km) FROM isum), 0.0), 9) "
+            "AS avg_interpolation_distance_km, (SELECT count(*) FROM qa) AS validation_errors")
+
+
+def _q_j16_mapping_detail():
+    return (f"WITH {MAP} SELECT sensor_id, edge_id, round(latitude, 9) AS sensor_lat, round(longitude, 9) AS sensor_lon, "
+            "highway, direction FROM mp JOIN sn USING (sensor_id)")
+
+
+def _q_j14_split_candidates():
+    return (f"WITH {SENSORS}, {EDGES}, {EGEO}, "
+            f"nd AS (SELECT s.sensor_id, e.edge_id, {DIST} AS dist, e.length FROM sn s CROSS JOIN eg2 e), "
+            "nn AS (SELECT sensor_id, arg_min(edge_id, (dist, edge_id)) AS edge_id, min(dist) AS dist, "
+            "arg_min(length, (dist, edge_id)) AS length FROM nd GROUP BY 1) "
+            "SELECT sensor_id, edge_id, round(dist, 9) AS dist, round(length, 9) AS length FROM nn WHERE length > 0.001")
+
+
+def _q_p11_major_roads():
+    return (f"WITH {EDGES} SELECT edge_id, highway FROM ce "
+            "WHERE highway IN ('motorway', 'trunk', 'primary', 'secondary', 'motorway_link')")
+
+
+def _q_p12_bbox():
+    return (f"WITH {SENSORS} SELECT sensor_id FROM sn WHERE latitude BETWEEN 37.2 AND 38.0 "
+            "AND longitude BETWEEN -122.5 AND -121.7")
+
+
+def _q_c06_geo_knn():
+    r = repr(2.0 / 111.0)
+    return (f"WITH {SENSORS}, kc AS (SELECT * FROM (SELECT t.sensor_id AS src, s.sensor_id AS dst, "
+            f"{seg_len_sql('s.longitude', 's.latitude', 't.longitude', 't.latitude')} AS dist FROM sn t CROSS JOIN sn s) "
+            f"WHERE dist < {r}), kr AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rk FROM kc) "
+            "SELECT src, dst, round(dist * 111.0, 9) AS dist_km FROM kr WHERE rk <= 11 AND src <> dst")
