@@ -310,13 +310,13 @@ def with_halo(grid: DataFrame, freq_minutes: int, before_rows: int,
     return grid.withColumn("pday", F.explode(opts))
 
 
-def history_fill(grid: DataFrame, freq_minutes: int, t_in: int = 12) -> DataFrame:
-    """W9 + W17: rolling last-``t_in`` instants per sensor, emitted once full.
+def history_arrays(grid: DataFrame, freq_minutes: int, t_in: int = 12) -> DataFrame:
+    """W9 + W17: rolling last-``t_in`` instants per sensor as ``(edge_id, timestamp, x)``,
+    emitted only once full.
 
     Inside the window each slot is forward filled from earlier slots; a window
-    with no value at all becomes zeros; a leading gap stays missing. Output
-    ``(edge_id, timestamp, slot, value)`` with slot 1 = oldest. Partitions are
-    sensor-days plus a (t_in − 1)-row halo, never a whole sensor history.
+    with no value at all becomes zeros; a leading gap stays missing. Partitions
+    are sensor-days plus a (t_in − 1)-row halo, never a whole sensor history.
     """
     g = with_halo(grid, freq_minutes, before_rows=t_in - 1)
     w = Window.partitionBy("edge_id", "pday").orderBy("timestamp")
@@ -328,8 +328,13 @@ def history_fill(grid: DataFrame, freq_minutes: int, t_in: int = 12) -> DataFram
         v = F.last("speed", True).over(w.rowsBetween(-(t_in - 1), -back))
         slots.append(F.when(any_v.isNull(), F.lit(0.0)).otherwise(v))
     g = g.select("edge_id", "day", "pday", "timestamp",
-                 F.count("*").over(frame).alias("_n"), F.array(*slots).alias("_hist"))
-    g = g.where((F.col("day") == F.col("pday")) & (F.col("_n") == t_in))
-    return g.select("edge_id", "timestamp",
-                    F.posexplode("_hist").alias("slot", "value")).withColumn(
+                 F.count("*").over(frame).alias("_n"), F.array(*slots).alias("x"))
+    return (g.where((F.col("day") == F.col("pday")) & (F.col("_n") == t_in))
+            .select("edge_id", "timestamp", "x"))
+
+
+def history_fill(grid: DataFrame, freq_minutes: int, t_in: int = 12) -> DataFrame:
+    """``history_arrays`` exploded to ``(edge_id, timestamp, slot, value)``, slot 1 = oldest."""
+    h = history_arrays(grid, freq_minutes, t_in)
+    return h.select("edge_id", "timestamp", F.posexplode("x").alias("slot", "value")).withColumn(
         "slot", F.col("slot") + 1)

@@ -528,3 +528,111 @@ def q_p12_bbox(spark, sf):
 def q_c06_geo_knn(spark, sf):
     a = spatial.geo_knn_adjacency(_sensors(spark, sf))
     return a.select("src", "dst", _r9("dist_km").alias("dist_km"))
+
+
+# --------------------------------------------------------------------------- serving state
+from velograph.operators import serve  # noqa: E402
+
+NOW_EPOCH = 1706659200.0            # 2024-01-31T00:00:00Z, the evaluation "now" parameter
+PREDICTION_TS = "2024-01-31 00:00:00"
+
+
+@query
+def q_t03_latest_state(spark, sf):
+    s = serve.latest_state(_user_readings(spark, sf))
+    return s.select("edge_id", _r6("speed").alias("speed"), to_ntz("ts").alias("ts"))
+
+
+@query
+def q_w15_ema_state(spark, sf):
+    g = align.regular_grid(tables.readings(spark, sf, edge="user"), 60)
+    s = serve.ema_state(g)
+    return s.select("edge_id", _r6("ema").alias("ema"), to_ntz("ts").alias("ts"), "n")
+
+
+def _pred_state(spark, sf):
+    r = tables.readings(spark, sf)
+    lo, hi = align.grid_bounds(r)
+    g = align.regular_grid(r, 60, bounds=(lo, hi))
+    h = align.history_arrays(g, 60, 12).where(F.col("timestamp") == F.timestamp_micros(F.lit(hi)))
+    h = h.withColumnRenamed("timestamp", "ts")
+    return serve.prediction_state(h, 60, 12, serve.ema_forecaster("x", 12, windows.EVAL_EMA_ALPHA))
+
+
+@query
+def q_t06_pred_state(spark, sf):
+    p = _pred_state(spark, sf)
+    return p.select("edge_id", "horizon", _r6("value").alias("value"), to_ntz("ts").alias("ts"))
+
+
+def _requests(spark, sf):
+    edges = tables.readings(spark, sf).select("edge_id").distinct()
+    edges = edges.unionByName(spark.range(1).select(F.lit("unknown").alias("edge_id")))
+    ids = edges.agg(F.array_sort(F.collect_list("edge_id")).alias("edge_ids"))
+    hz = F.array(*[F.struct(F.lit(i).alias("request_id"), F.lit(h).alias("horizon"))
+                   for i, h in ((1, 15), (2, 20), (3, 60), (4, 90))])
+    return ids.select("edge_ids", F.explode(hz).alias("_r")).select(
+        F.col("_r.request_id").alias("request_id"), "edge_ids", F.col("_r.horizon").alias("horizon"))
+
+
+@query
+def q_j02_lookup(spark, sf):
+    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    out = serve.stamp(serve.lookup(_requests(spark, sf), _pred_state(spark, sf), latest), 1, PREDICTION_TS)
+    return out.select("request_id", "edge_id", "horizon", _r6("value").alias("value"), "source",
+                      "model_generation", to_ntz("prediction_timestamp").alias("prediction_timestamp"))
+
+
+@query
+def q_p18_validate_requests(spark, sf):
+    v = serve.validate_requests(_requests(spark, sf))
+    return v.select("request_id", "horizon", "valid", "reason")
+
+
+@query
+def q_a15_freshness(spark, sf):
+    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    f = serve.freshness(latest, NOW_EPOCH)
+    return f.select(to_ntz("last_ts").alias("last_ts"), _r6("age_s").alias("age_s"), "healthy")
+
+
+@query
+def q_a16_pred_count(spark, sf):
+    return serve.prediction_count(_pred_state(spark, sf))
+
+
+@query
+def q_p21_metrics_text(spark, sf):
+    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    return serve.metrics_text(serve.freshness(latest, NOW_EPOCH),
+                              serve.prediction_count(_pred_state(spark, sf)), 1)
+
+
+@query
+def q_p14_parse_instants(spark, sf):
+    ev = tables.table(spark, sf, "events")
+    t = F.col("ts").cast("timestamp")
+    kinds = F.array(
+        F.struct(F.lit("epoch").alias("kind"), F.unix_seconds(t).cast("string").alias("s")),
+        F.struct(F.lit("iso").alias("kind"), F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("s")),
+        F.struct(F.lit("bad").alias("kind"), F.col("props").alias("s")))
+    x = ev.select("event_id", F.explode(kinds).alias("_k")).select("event_id", "_k.kind", "_k.s")
+    return serve.parse_instants(x, "s").select("event_id", "kind", "epoch_s")
+
+
+@query
+def q_o05_capped_log(spark, sf):
+    ev = tables.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    return serve.capped_log(ev).select(to_ntz("ts").alias("ts"))
+
+
+@query
+def q_s11_align_stats(spark, sf):
+    users = tables.readings(spark, sf, edge="user")
+    sensors = users.select("edge_id").distinct()
+    ev = tables.table(spark, sf, "events").where(F.col("event_type") == "click")
+    clicks = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("edge_id"),
+                       F.col("value").alias("speed"))
+    st = features.sensor_stats(clicks)
+    a = serve.align_stats(sensors, st)
+    return a.select("edge_id", _r6("mu").alias("mu"), _r6("sigma").alias("sigma"))

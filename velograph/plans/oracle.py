@@ -587,3 +587,97 @@ def _q_c06_geo_knn():
             f"{seg_len_sql('s.longitude', 's.latitude', 't.longitude', 't.latitude')} AS dist FROM sn t CROSS JOIN sn s) "
             f"WHERE dist < {r}), kr AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rk FROM kc) "
             "SELECT src, dst, round(dist * 111.0, 9) AS dist_km FROM kr WHERE rk <= 11 AND src <> dst")
+
+
+# --------------------------------------------------------------------------- serving state
+def _q_t03_latest_state():
+    return (f"WITH {USER_DEDUP} SELECT edge_id, round(arg_max(speed, timestamp), 6) AS speed, "
+            "max(timestamp) AS ts FROM ud GROUP BY 1")
+
+
+def _q_w15_ema_state():
+    return (f"WITH {USER_DEDUP} SELECT edge_id, round({ema_sql('list(speed ORDER BY timestamp)', 0.2)}, 6) AS ema, "
+            "max(timestamp) AS ts, count(*) AS n FROM ud GROUP BY 1")
+
+
+def _pred_sql():
+    frame = "PARTITION BY edge_id ORDER BY timestamp"
+    slots = ", ".join(
+        f"last_value(speed IGNORE NULLS) OVER ({frame} ROWS BETWEEN 11 PRECEDING AND {11 - j} PRECEDING) AS s{j + 1}"
+        if 11 - j > 0 else
+        f"last_value(speed IGNORE NULLS) OVER ({frame} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS s{j + 1}"
+        for j in range(12))
+    lst = ", ".join(f"CASE WHEN s12 IS NULL THEN 0.0 ELSE s{j + 1} END" for j in range(12))
+    return (f"{grid_ctes(60)}, h AS (SELECT edge_id, timestamp, row_number() OVER ({frame}) AS rn, {slots} FROM g), "
+            f"hx AS (SELECT edge_id, timestamp AS ts, [{lst}] AS x FROM h WHERE rn >= 12 AND timestamp = (SELECT hi FROM b)), "
+            f"pr AS (SELECT edge_id, hz.horizon, {clip_sql(ema_sql('x', 0.3))} AS value, ts FROM hx "
+            "CROSS JOIN (VALUES (15), (30), (45), (60)) AS hz(horizon))")
+
+
+def _q_t06_pred_state():
+    return f"WITH {_pred_sql()} SELECT edge_id, horizon, round(value, 6) AS value, ts FROM pr"
+
+
+LATEST = (f"lt AS (SELECT edge_id, arg_max(speed, timestamp) AS speed, max(timestamp) AS ts FROM "
+          f"(SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) WHERE speed IS NOT NULL "
+          "GROUP BY 1, 2) GROUP BY 1)")
+REQS = (f"eds AS (SELECT DISTINCT edge_id FROM ({readings_sql()}) UNION SELECT 'unknown'), "
+        "rq AS (SELECT request_id, horizon FROM (VALUES (1, 15), (2, 20), (3, 60), (4, 90)) AS t(request_id, horizon))")
+
+
+def _q_j02_lookup():
+    return (f"WITH {_pred_sql()}, {LATEST}, {REQS}, "
+            "x AS (SELECT rq.request_id, eds.edge_id, rq.horizon FROM rq CROSS JOIN eds WHERE rq.horizon BETWEEN 15 AND 60) "
+            "SELECT x.request_id, x.edge_id, x.horizon, round(coalesce(pr.value, lt.speed), 6) AS value, "
+            "CASE WHEN pr.value IS NOT NULL THEN 'pred' WHEN lt.speed IS NOT NULL THEN 'speed' ELSE 'none' END AS source, "
+            "1 AS model_generation, TIMESTAMP '2024-01-31 00:00:00' AS prediction_timestamp "
+            "FROM x LEFT JOIN pr ON pr.edge_id = x.edge_id AND pr.horizon = x.horizon LEFT JOIN lt ON lt.edge_id = x.edge_id")
+
+
+def _q_p18_validate_requests():
+    return (f"WITH {REQS} SELECT request_id, horizon, horizon BETWEEN 15 AND 60 AS valid, "
+            "CASE WHEN horizon BETWEEN 15 AND 60 THEN NULL ELSE 'horizon must be within 15..60' END AS reason FROM rq")
+
+
+FRESH = ("fr AS (SELECT max(ts) AS last_ts, greatest(0.0, 1706659200.0 - epoch_us(max(ts)) / 1e6) AS age_s FROM lt)")
+
+
+def _q_a15_freshness():
+    return (f"WITH {LATEST}, {FRESH} SELECT last_ts, round(age_s, 6) AS age_s, "
+            "coalesce(age_s <= 5.0, false) AS healthy FROM fr")
+
+
+def _q_a16_pred_count():
+    return f"WITH {_pred_sql()} SELECT count(*) AS keys_pred_count FROM pr"
+
+
+def _q_p21_metrics_text():
+    lines = ["'# HELP api_up Always 1 if the API process is running'", "'# TYPE api_up gauge'", "'api_up 1'",
+             "'# HELP model_generation Current model generation number'", "'# TYPE model_generation gauge'",
+             "'model_generation 1'", "'# HELP prediction_age_seconds Seconds since last replay tick'",
+             "'# TYPE prediction_age_seconds gauge'",
+             "'prediction_age_seconds ' || coalesce(CAST(age_s AS VARCHAR), 'NaN')",
+             "'# HELP keys_pred_count Count of cached prediction keys'", "'# TYPE keys_pred_count gauge'",
+             "'keys_pred_count ' || CAST((SELECT count(*) FROM pr) AS VARCHAR)"]
+    return (f"WITH {_pred_sql()}, {LATEST}, {FRESH} SELECT (unnest(range(0, 12)))::INTEGER AS line_no, "
+            f"unnest([{', '.join(lines)}]) AS line FROM fr")
+
+
+def _q_p14_parse_instants():
+    return ("WITH x AS (SELECT event_id, unnest(['epoch', 'iso', 'bad']) AS kind, "
+            "unnest([CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR), strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), props]) AS s "
+            "FROM events) SELECT event_id, kind, coalesce(TRY_CAST(s AS DOUBLE), "
+            "epoch_us(TRY_CAST(regexp_replace(trim(s), 'Z$', '+00:00') AS TIMESTAMPTZ)) / 1e6) AS epoch_s FROM x")
+
+
+def _q_o05_capped_log():
+    return "SELECT ts FROM events ORDER BY ts DESC LIMIT 10000"
+
+
+def _q_s11_align_stats():
+    return (f"WITH s AS (SELECT DISTINCT edge_id FROM ({readings_sql('hour', 'user')})), "
+            "c AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS edge_id, avg(value) AS mu, stddev_samp(value) AS sd "
+            "FROM events WHERE event_type = 'click' AND value IS NOT NULL GROUP BY 1) "
+            "SELECT s.edge_id, round(coalesce(mu, 0.0), 6) AS mu, round(CASE WHEN coalesce(CASE WHEN coalesce(sd, 1.0) = 0 "
+            "THEN 1.0 ELSE coalesce(sd, 1.0) END, 1.0) = 0 THEN 1.0 ELSE coalesce(CASE WHEN coalesce(sd, 1.0) = 0 THEN 1.0 "
+            "ELSE coalesce(sd, 1.0) END, 1.0) END, 6) AS sigma FROM s LEFT JOIN c USING (edge_id)")
