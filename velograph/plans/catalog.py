@@ -636,3 +636,22 @@ def q_s11_align_stats(spark, sf):
     st = features.sensor_stats(clicks)
     a = serve.align_stats(sensors, st)
     return a.select("edge_id", _r6("mu").alias("mu"), _r6("sigma").alias("sigma"))
+
+
+# --------------------------------------------------------------------------- sources
+from velograph.sources import io as vio  # noqa: E402
+
+
+@query
+def q_s07_matrix_readings(spark, sf):
+    r = vio.matrix_to_readings(tables.speed_matrix(spark, sf), 5)
+    return r.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
+
+
+@query
+def q_s05_normalize_wide(spark, sf):
+    """Wide export of the hourly readings read back through normalisation."""
+    r = align.dedup_mean(tables.readings(spark, sf)).drop("n_obs")
+    wide = vio.to_wide(r, ["click", "error", "purchase", "signup", "view"])
+    back = vio.normalize_readings(wide.withColumnRenamed("timestamp", "ts"))
+    return back.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))

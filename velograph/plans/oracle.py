@@ -681,3 +681,22 @@ def _q_s11_align_stats():
             "SELECT s.edge_id, round(coalesce(mu, 0.0), 6) AS mu, round(CASE WHEN coalesce(CASE WHEN coalesce(sd, 1.0) = 0 "
             "THEN 1.0 ELSE coalesce(sd, 1.0) END, 1.0) = 0 THEN 1.0 ELSE coalesce(CASE WHEN coalesce(sd, 1.0) = 0 THEN 1.0 "
             "ELSE coalesce(sd, 1.0) END, 1.0) END, 6) AS sigma FROM s LEFT JOIN c USING (edge_id)")
+
+
+# --------------------------------------------------------------------------- sources
+def _q_s07_matrix_readings():
+    return ("WITH m AS (SELECT vec_id AS row_idx, embedding AS vals FROM embeddings), "
+            "sh AS (SELECT count(*) < max(len(vals)) AS t FROM m), "
+            "c AS (SELECT row_idx, unnest(range(0, len(vals))) AS pos, unnest(vals)::DOUBLE AS v FROM m) "
+            "SELECT make_timestamp(epoch_us(TIMESTAMP '2017-01-01 00:00:00') + "
+            "(CASE WHEN sh.t THEN pos ELSE row_idx END) * 300000000) AS timestamp, "
+            "'s' || CAST(CASE WHEN sh.t THEN row_idx ELSE pos END AS VARCHAR) AS edge_id, "
+            "round(CASE WHEN isnan(v) THEN NULL ELSE v END, 6) AS speed FROM c, sh")
+
+
+def _q_s05_normalize_wide():
+    return (f"WITH d AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) "
+            "WHERE speed IS NOT NULL GROUP BY 1, 2), ts AS (SELECT DISTINCT timestamp FROM d), "
+            "e AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS edge_id) "
+            "SELECT ts.timestamp, e.edge_id, round(d.speed, 6) AS speed FROM ts CROSS JOIN e "
+            "LEFT JOIN d ON d.timestamp = ts.timestamp AND d.edge_id = e.edge_id")
