@@ -103,8 +103,9 @@ def freshness(state: DataFrame, now_epoch: float, threshold_s: float = MAX_PREDI
               ts_col: str = "ts") -> DataFrame:
     """Last processed instant, age = max(0, now − last), healthy if age ≤ threshold."""
     last = state.agg(F.max(ts_col).alias("last_ts"))
-    age = F.greatest(F.lit(0.0), F.lit(float(now_epoch)) -
-                     F.unix_micros(F.col("last_ts").cast("timestamp")) / F.lit(1e6))
+    # greatest() skips NULLs, so an unknown last instant must stay NULL explicitly
+    age = F.when(F.col("last_ts").isNotNull(), F.greatest(
+        F.lit(0.0), F.lit(float(now_epoch)) - F.unix_micros(F.col("last_ts").cast("timestamp")) / F.lit(1e6)))
     return last.select("last_ts", age.alias("age_s"),
                        F.coalesce(age <= F.lit(threshold_s), F.lit(False)).alias("healthy"))
 

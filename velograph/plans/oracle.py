@@ -639,7 +639,7 @@ def _q_p18_validate_requests():
             "CASE WHEN horizon BETWEEN 15 AND 60 THEN NULL ELSE 'horizon must be within 15..60' END AS reason FROM rq")
 
 
-FRESH = ("fr AS (SELECT max(ts) AS last_ts, greatest(0.0, 1706659200.0 - epoch_us(max(ts)) / 1e6) AS age_s FROM lt)")
+FRESH = ("fr AS (SELECT max(ts) AS last_ts, CASE WHEN max(ts) IS NOT NULL THEN greatest(0.0, 1706659200.0 - epoch_us(max(ts)) / 1e6) END AS age_s FROM lt)")
 
 
 def _q_a15_freshness():
