@@ -153,7 +153,7 @@ def forecast_stream(long: DataFrame, freq_minutes: int, t_in: int = 12, t_out: i
         if rows:
             df = pd.DataFrame(rows, columns=["edge_id", "horizon", "value", "ts"])
             # only the latest forecast per horizon matters for the upsert
-            yield df.groupby(["edge_id", "horizon"], as_index=False).last()
+            yield df.drop_duplicates(["edge_id", "horizon"], keep="last")
 
     return long.select("edge_id", "timestamp", "speed").groupBy("edge_id").applyInPandasWithState(
         update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
