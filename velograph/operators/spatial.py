@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.functions import geometry as geo
+from velograph.session import spread
 
 # Fixed values that must equal the reference's.
 MAP_RADIUS_DEG = 0.001        # sensor → edge candidate radius (~100 m)
@@ -71,7 +72,7 @@ def in_bbox(df: DataFrame, lat: str = "latitude", lon: str = "longitude", box=BA
 def edge_geometry(edges: DataFrame) -> DataFrame:
     """Bounding box, length and centroid columns for road edges."""
     cx, cy = geo.line_centroid("geom")
-    return edges.select("*", *[c.alias(n) for n, c in geo.bbox("geom").items()],
+    return spread(edges).select("*", *[c.alias(n) for n, c in geo.bbox("geom").items()],
                         geo.line_length("geom").alias("length"), cx.alias("cx"), cy.alias("cy"))
 
 
@@ -84,8 +85,12 @@ def _cell(c: Column, size: float) -> Column:
 
 def candidates(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_DEG,
                cell: float | None = None) -> DataFrame:
-    """Every (sensor, edge) with point–polyline distance < radius."""
-    c = cell or radius
+    """Every (sensor, edge) with point–polyline distance < radius.
+
+    ``cell`` (default 4×radius) trades exploded edge-cell rows against
+    candidate pairs per cell; any cell size ≥ radius gives the exact answer.
+    """
+    c = max(cell or 4 * radius, radius)
     s = sensors.select("sensor_id", "latitude", "longitude",
                        _cell(F.col("longitude"), c).alias("gx"), _cell(F.col("latitude"), c).alias("gy"))
     e = edge_geometry(edges).select(
@@ -171,10 +176,11 @@ def knn_idw(sensors: DataFrame, targets: DataFrame, k: int = IDW_K,
     d = geo.point_distance("longitude", "latitude", "cx", "cy")
     c = j.select("edge_id", "sensor_id", d.alias("dist")).where(F.col("dist") < F.lit(radius))
     ranked = top_k(c, "edge_id", [F.col("dist"), F.col("sensor_id")], k, "sensor_id")
-    per = ranked.groupBy("edge_id").agg(
-        F.sum(F.when(F.col("dist") > 0, F.lit(1.0) / (F.col("dist") * F.col("dist")))).alias("_inv"),
-        F.count_if(F.col("dist") == 0).alias("_zero"))
-    out = ranked.join(per, "edge_id").withColumn(
+    # ≤ k rows per edge and already partitioned by edge: window sums, no join back
+    per_edge = Window.partitionBy("edge_id")
+    inv = F.sum(F.when(F.col("dist") > 0, F.lit(1.0) / (F.col("dist") * F.col("dist")))).over(per_edge)
+    zero = F.sum(F.when(F.col("dist") == 0, F.lit(1)).otherwise(F.lit(0))).over(per_edge)
+    out = ranked.withColumn("_inv", inv).withColumn("_zero", zero).withColumn(
         "weight",
         F.when(F.col("_zero") > 0, F.when(F.col("dist") == 0, F.lit(1.0) / F.col("_zero")).otherwise(F.lit(0.0)))
         .otherwise((F.lit(1.0) / (F.col("dist") * F.col("dist"))) / F.col("_inv")))

@@ -59,3 +59,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def spread(df):
+    """Round-robin a DataFrame whose input has fewer splits than the cluster
+    has cores, before CPU-heavy per-row work (geometry, explosions).
+
+    A large table already arrives in many splits and is returned unchanged;
+    only small-but-expensive inputs pay one (small) shuffle.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
