@@ -99,7 +99,11 @@ def sigma_guard(sigma: str | Column) -> Column:
 
 
 def round_to(c: str | Column, digits: int = 6) -> Column:
-    """Round as ``round(x * 10^d) / 10^d`` on the binary double (half away from
-    zero), so results hash equal across engines that round this way."""
-    scale = float(10 ** digits)
-    return F.round(col_(c) * F.lit(scale), 0) / F.lit(scale)
+    """Round in two stages: to ``digits + 3`` places (absorbs last-bit noise
+    from summation order), then to ``digits`` — each as ``round(x·10^d)/10^d``
+    on the binary double, half away from zero. Engines that round this way
+    give identical results even on exact decimal ties."""
+    def once(x: Column, d: int) -> Column:
+        scale = float(10 ** d)
+        return F.round(x * F.lit(scale), 0) / F.lit(scale)
+    return once(once(col_(c), digits + 3), digits)

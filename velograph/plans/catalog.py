@@ -655,3 +655,118 @@ def q_s05_normalize_wide(spark, sf):
     wide = vio.to_wide(r, ["click", "error", "purchase", "signup", "view"])
     back = vio.normalize_readings(wide.withColumnRenamed("timestamp", "ts"))
     return back.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
+
+
+# --------------------------------------------------------------------------- quality & remaining
+from velograph.operators import quality  # noqa: E402
+
+
+@query
+def q_c03_range_flags(spark, sf):
+    f = quality.range_flags(_user_readings(spark, sf))
+    return f.groupBy("edge_id").agg(F.count_if("out_of_range").alias("n_out_of_range"),
+                                    F.count("*").alias("n"))
+
+
+@query
+def q_c04_coverage(spark, sf):
+    g = align.regular_grid(tables.readings(spark, sf, edge="user"), 60)
+    c = quality.coverage_report(g)
+    return c.select("edge_id", "ticks", "observed", _r6("coverage").alias("coverage"),
+                    _r6("missing").alias("missing"), "passed")
+
+
+@query
+def q_c08_congestion_factor(spark, sf):
+    r = _user_readings(spark, sf)
+    ff = features.sensor_stats(r).select("edge_id", F.col("p90").alias("free_flow"))
+    w = quality.congestion_factor_weights(r, ff)
+    return w.select("edge_id", to_ntz("timestamp").alias("timestamp"), "weight")
+
+
+@query
+def q_c09_bias_correction(spark, sf):
+    model = forecast.fit_residual(_train_windows(spark, sf))
+    p = forecast.residual_forecast(_train_windows(spark, sf), model).where(F.col("step") == 1)
+    res = p.select("edge_id", F.date_trunc("DAY", "label_start").alias("day"),
+                   F.col("label_start").alias("timestamp"), (F.col("y") - F.col("pred")).alias("speed"))
+    b = quality.bias_correction(res)
+    return b.select("edge_id", _r6("bias").alias("bias"), to_ntz("ts").alias("ts"), "n")
+
+
+@query
+def q_c01_zero_fill(spark, sf):
+    return _grid_out(_grid(spark, sf, "zero", edge="user"))
+
+
+@query
+def q_p03_zscore_unguarded(spark, sf):
+    r = _user_readings(spark, sf)
+    st = features.sensor_stats(r).withColumn("sigma", F.stddev_samp("mu").over(
+        __import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy("edge_id")))
+    z = features.normalize(r, features.norm_params(st, "z_score"), guard=False)
+    return z.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("value").alias("z"))
+
+
+@query
+def q_s21_norm_params(spark, sf):
+    st = features.sensor_stats(_user_readings(spark, sf))
+    p = features.norm_params(st, "z_score").unionByName(features.norm_params(st, "min_max"))
+    return p.select("edge_id", "method", _r6("a").alias("a"), _r6("b").alias("b"))
+
+
+@query
+def q_a06_split_counts(spark, sf):
+    s = _split_grid(spark, sf)
+    return s.groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query
+def q_a19_dataset_summary(spark, sf):
+    s = _split_grid(spark, sf)
+    counts = {k: s.where(F.col("split") == k).agg(F.count("*").alias("n")).select("n").scalar()
+              for k in ("train", "val", "test")}
+    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
+    gs = graph.graph_stats(g, N_NATIONS)
+    sensors = s.agg(F.countDistinct("edge_id").alias("n")).select("n").scalar()
+    return gs.select(sensors.alias("num_sensors"), counts["train"].alias("train_samples"),
+                     counts["val"].alias("val_samples"), counts["test"].alias("test_samples"),
+                     "num_nodes", "num_edges")
+
+
+@query
+def q_c02_nearest_interp(spark, sf):
+    s, e, m = _mapping(spark, sf)
+    targets = spatial.edge_geometry(e).join(m["uncovered"], "edge_id", "left_semi")
+    w = spatial.knn_idw(s, targets.select("edge_id", "cx", "cy"), k=1)
+    return w.select("edge_id", "sensor_id", _r9("dist").alias("dist"), _r9("weight").alias("weight"))
+
+
+@query
+def q_o06_batches(spark, sf):
+    """O6 (rows-only check): seeded shuffle of training windows into batches of 512."""
+    b = windows.shuffled_batches(_train_windows(spark, sf), 512, seed=0)
+    return b.groupBy("batch").agg(F.count("*").alias("rows"))
+
+
+@query
+def q_m02_score_with_callable(spark, sf):
+    """M2 (rows-only check): user forecaster through mapInPandas — here the last value."""
+    import numpy as np
+
+    def predict(x):
+        return np.repeat(x[:, -1:], 12, axis=1)
+
+    w = _heldout(spark, sf)
+    g = forecast.global_stats(w).first()
+    scored = forecast.score_with(w, predict, 12, 12, g["mean"], g["std"])
+    return forecast.window_metrics(scored, 12).select(
+        to_ntz("label_start").alias("label_start"), "horizon", _r6("mae").alias("mae"))
+
+
+@query
+def q_p22_input_jitter(spark, sf):
+    """P22 (rows-only check): Gaussian input jitter x + N(0,1)·std, seeded."""
+    w = _heldout(spark, sf)
+    return w.select(to_ntz("label_start").alias("label_start"), "edge_id",
+                    F.transform("x", lambda v: v + F.randn(7) * F.lit(0.01)).alias("x"))

@@ -125,11 +125,39 @@ SELECT horizon, steps, count(*) AS n_windows, round(avg(ema_mae), 6) AS ema_mae,
 FROM pw GROUP BY 1, 2"""
 
 
+def two_stage_round(sql: str) -> str:
+    """Rewrite every ``round(E, d)`` as ``round(round(E, d + 3), d)`` (see ``round_to``)."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k, comma = 1, j + len(key), -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner, digits = sql[j + len(key):comma], sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"round(round({two_stage_round(inner)}, {int(digits) + 3}), {digits})")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, fn in globals().items():
         if name.startswith("_q_") and callable(fn):
-            out[name[3:]] = fn()
+            out[name[3:]] = two_stage_round(fn())
     return out
 
 
@@ -700,3 +728,64 @@ def _q_s05_normalize_wide():
             "e AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS edge_id) "
             "SELECT ts.timestamp, e.edge_id, round(d.speed, 6) AS speed FROM ts CROSS JOIN e "
             "LEFT JOIN d ON d.timestamp = ts.timestamp AND d.edge_id = e.edge_id")
+
+
+# --------------------------------------------------------------------------- quality & remaining
+def _q_c03_range_flags():
+    return (f"WITH {USER_DEDUP} SELECT edge_id, count(*) FILTER (WHERE coalesce(speed < 0.0 OR speed > 80.0, false)) "
+            "AS n_out_of_range, count(*) AS n FROM ud GROUP BY 1")
+
+
+def _q_c04_coverage():
+    return (f"WITH {grid_ctes(60, edge='user')}, p AS (SELECT edge_id, count(*) AS ticks, count(speed) AS observed "
+            "FROM g GROUP BY 1) SELECT edge_id, ticks, observed, round(observed / ticks, 6) AS coverage, "
+            "round(1.0 - observed / ticks, 6) AS missing, (observed / ticks >= 0.8 AND 1.0 - observed / ticks <= 0.2) "
+            "AS passed FROM p")
+
+
+def _q_c08_congestion_factor():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, CASE WHEN speed < 0.4 * p90 "
+            "THEN 4.0 ELSE 1.0 END AS weight FROM ud LEFT JOIN st USING (edge_id)")
+
+
+def _q_c09_bias_correction():
+    return (f"WITH {_train_model_sql()}, "
+            "o AS (SELECT trs.label_start, trs.edge_id, trs.y, "
+            f"{clip_sql('ref + coalesce(a, 0.0) + coalesce(b, 0.0) * gap')} AS pred "
+            "FROM trs LEFT JOIN model ON model.edge_id = trs.edge_id AND model.step = trs.step WHERE trs.step = 1) "
+            f"SELECT edge_id, round({ema_sql('list(y - pred ORDER BY label_start)', 0.05)}, 6) AS bias, "
+            "max(label_start) AS ts, count(*) AS n FROM o WHERE y - pred IS NOT NULL GROUP BY 1")
+
+
+def _q_c01_zero_fill():
+    return (f"WITH {grid_ctes(60, edge='user')} SELECT edge_id, timestamp, round(coalesce(speed, 0.0), 6) AS speed FROM g")
+
+
+def _q_p03_zscore_unguarded():
+    return (f"WITH {USER_DEDUP}, {USER_STATS}, st2 AS (SELECT edge_id, mu, NULL::DOUBLE AS sigma FROM st) "
+            "SELECT edge_id, timestamp, round((speed - mu) / CASE WHEN sigma <> 0 THEN coalesce(sigma, 1.0) END, 6) AS z "
+            "FROM ud LEFT JOIN st2 USING (edge_id)")
+
+
+def _q_s21_norm_params():
+    return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, 'z_score' AS method, round(mu, 6) AS a, "
+            "round(sigma, 6) AS b FROM st UNION ALL SELECT edge_id, 'min_max', round(min, 6), round(max, 6) FROM st")
+
+
+def _q_a06_split_counts():
+    return f"WITH {grid_ctes(60)}, {SPLIT_CTE} SELECT split, count(*) AS n FROM g JOIN sp USING (timestamp) GROUP BY 1"
+
+
+def _q_a19_dataset_summary():
+    return (f"WITH {grid_ctes(60)}, {SPLIT_CTE}, {GRAPH}, gs AS (SELECT split, count(*) AS n FROM g JOIN sp USING (timestamp) "
+            "GROUP BY 1) SELECT (SELECT count(DISTINCT edge_id) FROM g) AS num_sensors, "
+            "(SELECT n FROM gs WHERE split = 'train') AS train_samples, (SELECT n FROM gs WHERE split = 'val') AS val_samples, "
+            "(SELECT n FROM gs WHERE split = 'test') AS test_samples, 25 AS num_nodes, "
+            "(SELECT count(*) FROM gl WHERE w > 0) AS num_edges")
+
+
+def _q_c02_nearest_interp():
+    return (IDW_K1 + " SELECT edge_id, sensor_id, round(dist, 9) AS dist, round(weight, 9) AS weight FROM wt")
+
+
+IDW_K1 = "WITH " + IDW.replace("WHERE rank <= 5", "WHERE rank <= 1")
