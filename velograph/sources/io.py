@@ -143,13 +143,12 @@ def write_sidecar(stats: DataFrame, path: str, freq_minutes: int) -> None:
 
 def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
     """Sidecar back to a stats table ``(edge_id, mu, sigma)`` plus ``freq_minutes``."""
-    m = spark.read.json(path)
-    e = m.select("freq_minutes", F.explode("columns").alias("edge_id"),
-                 F.to_json("mu").alias("_mu"), F.to_json("sigma").alias("_sg"))
-    return e.select("edge_id",
-                    F.get_json_object("_mu", F.concat(F.lit("$."), F.col("edge_id"))).cast("double").alias("mu"),
-                    F.get_json_object("_sg", F.concat(F.lit("$."), F.col("edge_id"))).cast("double").alias("sigma"),
-                    "freq_minutes")
+    schema = ("n_sensors long, columns array<string>, mu map<string,double>, "
+              "sigma map<string,double>, freq_minutes int")
+    m = spark.read.schema(schema).json(path)
+    e = m.select("freq_minutes", "mu", "sigma", F.explode("columns").alias("edge_id"))
+    return e.select("edge_id", F.element_at("mu", F.col("edge_id")).alias("mu"),
+                    F.element_at("sigma", F.col("edge_id")).alias("sigma"), "freq_minutes")
 
 
 def write_windows(windows: DataFrame, path: str, freq_minutes: int, horizon_minutes: int, t_in: int) -> str:
