@@ -105,7 +105,8 @@ def _tick_range(day: Column, lo_us: Column, hi_us: Column, step_us: int) -> tupl
 
 def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
                  day_from_us: int | None = None, day_to_us: int | None = None,
-                 bounds: tuple[int, int] | None = None) -> DataFrame:
+                 bounds: tuple[int, int] | None = None, carry: bool = False,
+                 prior: DataFrame | None = None, posterior: DataFrame | None = None) -> DataFrame:
     """W4 (+W1/W3): every sensor on a regular grid from min to max instant.
 
     ``align='exact'`` keeps only readings that sit exactly on a tick (others
@@ -113,6 +114,16 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
     before averaging. Duplicates average. Output ``(edge_id, day, timestamp,
     speed, n_obs)``; ``speed`` is NULL on gaps. ``day_from_us``/``day_to_us``
     restrict the grid (and the scanned readings) to a day range.
+
+    ``carry=True`` also attaches ``_cprev``/``_cnext``: the nearest observation
+    before/after each sensor-day (from ``prior``/``posterior`` outside the
+    range), so ``fill`` needs no second pass over the grid.
+
+    Plan: readings → partial-aggregating mean per (sensor, day, tick) → one
+    observation map per sensor-day (≤ ticks/day entries) → sensor-day rows
+    (from a generator, no cartesian join) → optional carries (a window over
+    days per sensor) → hash partition by (sensor, day) → ticks exploded last.
+    The grid itself is never shuffled and its windows reuse this partitioning.
     """
     if align not in ("exact", "bucket"):
         raise ValueError(f"unknown align: {align}")
@@ -139,18 +150,42 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
             F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
     r = r.withColumn("day", day_of("timestamp"))
 
-    # Grid rows come from a generator over (sensor, day): no join, no cartesian
-    # product; each (sensor, day) row expands to at most one day of ticks.
+    obs = (r.groupBy("edge_id", "day", "timestamp")
+           .agg(F.avg("speed").alias("speed"), F.count("speed").alias("n_obs"))
+           .groupBy("edge_id", "day")
+           .agg(F.map_from_entries(F.collect_list(F.struct(
+               "timestamp", F.struct("speed", "n_obs")))).alias("_obs")))
     days = edges.select("edge_id", F.explode(
         F.sequence(_ts(first_day), _ts(last_day), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    sd = days.join(obs, ["edge_id", "day"], "left")
+    if carry:
+        sd = _day_carries(sd, prior, posterior)
+    sd = sd.repartition("edge_id", "day")
     first_k, last_k = _tick_range(F.col("day"), F.lit(lo_us), F.lit(hi_us), step_us)
-    ticks = (days.select("edge_id", "day", F.explode(F.sequence(first_k, last_k)).alias("k"))
-             .select("edge_id", "day",
-                     F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("timestamp"),
-                     F.lit(None).cast("double").alias("speed")))
-    both = r.select("edge_id", "day", "timestamp", "speed").unionByName(ticks)
-    return (both.groupBy("edge_id", "day", "timestamp")
-            .agg(F.avg("speed").alias("speed"), F.count("speed").alias("n_obs")))
+    extra = [c for c in ("_cprev", "_cnext") if c in sd.columns]
+    g = sd.select("edge_id", "day", "_obs", *extra, F.explode(F.sequence(first_k, last_k)).alias("k"))
+    g = g.select("edge_id", "day", F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us))
+                 .alias("timestamp"), "_obs", *extra)
+    hit = F.element_at("_obs", F.col("timestamp"))
+    return g.select("edge_id", "day", "timestamp", hit["speed"].alias("speed"),
+                    F.coalesce(hit["n_obs"], F.lit(0)).cast("long").alias("n_obs"), *extra)
+
+
+def _day_carries(sd: DataFrame, prior: DataFrame | None, posterior: DataFrame | None) -> DataFrame:
+    """Per sensor-day: nearest observation on an earlier / later day (or outside the range)."""
+    pts = F.transform(F.filter(F.map_entries("_obs"), lambda e: e["value"]["speed"].isNotNull()),
+                      lambda e: F.struct(e["key"].alias("ts"), e["value"]["speed"].alias("v")))
+    sd = sd.withColumn("_last", F.array_max(pts)).withColumn("_first", F.array_min(pts))
+    we = Window.partitionBy("edge_id").orderBy("day")
+    sd = sd.withColumn("_cprev", F.last("_last", True).over(we.rowsBetween(Window.unboundedPreceding, -1)))
+    sd = sd.withColumn("_cnext", F.first("_first", True).over(we.rowsBetween(1, Window.unboundedFollowing)))
+    if prior is not None:
+        p = prior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
+        sd = sd.join(p, "edge_id", "left").withColumn("_cprev", F.coalesce("_cprev", "_pin")).drop("_pin")
+    if posterior is not None:
+        q = posterior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
+        sd = sd.join(q, "edge_id", "left").withColumn("_cnext", F.coalesce("_cnext", "_nin")).drop("_nin")
+    return sd.drop("_last", "_first")
 
 
 def grid_day_ticks(readings: DataFrame, freq_minutes: int,
@@ -235,6 +270,20 @@ def _prev_next(grid: DataFrame, prior: DataFrame | None,
     return g
 
 
+def _local_prev_next(grid: DataFrame, need_next: bool) -> DataFrame:
+    """Prev/next observation inside the sensor-day window, else the attached carry."""
+    obs = F.when(F.col("speed").isNotNull(), F.struct(F.col("timestamp").alias("ts"),
+                                                      F.col("speed").alias("v")))
+    wd = Window.partitionBy("edge_id", "day").orderBy("timestamp")
+    g = grid.withColumn("_obs", obs)
+    g = g.withColumn("_prev", F.coalesce(F.last("_obs", True).over(
+        wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_cprev")))
+    if need_next:
+        g = g.withColumn("_next", F.coalesce(F.first("_obs", True).over(
+            wd.rowsBetween(Window.currentRow, Window.unboundedFollowing)), F.col("_cnext")))
+    return g
+
+
 def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
          posterior: DataFrame | None = None) -> DataFrame:
     """W5 ffill / W6 interpolate (both ends extended) / W7 none / W8 ffill+bfill / C1 zero."""
@@ -245,7 +294,10 @@ def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
     if method == "zero":
         return grid.withColumn("speed", F.coalesce("speed", F.lit(0.0)))
     need_next = method in ("interpolate", "ffill_bfill")
-    g = _prev_next(grid, prior, posterior, need_next)
+    if "_cprev" in grid.columns:
+        g = _local_prev_next(grid, need_next)
+    else:
+        g = _prev_next(grid, prior, posterior, need_next)
     pv, nv = F.col("_prev.v"), F.col("_next.v") if need_next else None
     if method == "ffill":
         filled = F.coalesce(F.col("speed"), pv)
@@ -287,7 +339,7 @@ def edge_boundary(readings: DataFrame, freq_minutes: int, lo_us: int, day_us: in
 def to_regular(readings: DataFrame, freq_minutes: int, fill_method: str = "ffill",
                align: str = "exact") -> DataFrame:
     """W1–W7 + P1 in one call: grid, fill, clip to [0, 150]."""
-    g = fill(regular_grid(readings, freq_minutes, align=align), fill_method)
+    g = fill(regular_grid(readings, freq_minutes, align=align, carry=True), fill_method)
     return g.withColumn("speed", clip("speed"))
 
 

@@ -145,7 +145,7 @@ from velograph.operators import forecast, windows  # noqa: E402
 
 def _grid(spark, sf, method="ffill", edge="event_type"):
     r = tables.readings(spark, sf, edge=edge)
-    g = align.fill(align.regular_grid(r, 60), method)
+    g = align.fill(align.regular_grid(r, 60, carry=True), method)
     return g
 
 
@@ -298,7 +298,7 @@ def q_a04_global_stats(spark, sf):
 
 
 def _train_windows(spark, sf):
-    grid = align.fill(align.regular_grid(tables.readings(spark, sf), 60), "ffill")
+    grid = align.fill(align.regular_grid(tables.readings(spark, sf), 60, carry=True), "ffill")
     return windows.sliding_windows(grid.withColumn("speed", clip("speed")), 60, 12, 12)
 
 
