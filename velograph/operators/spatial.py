@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.functions import geometry as geo
-from velograph.session import spread
+from velograph.session import checkpoint_dir, spread
 
 # Fixed values that must equal the reference's.
 MAP_RADIUS_DEG = 0.001        # sensor → edge candidate radius (~100 m)
@@ -209,13 +209,16 @@ def nearest_edge_unbounded(sensors: DataFrame, edges: DataFrame, start_radius: f
     resolved exactly (every edge within r was considered); the rest retry with
     r·growth. Each round is a cell equi-join; the loop only checks emptiness.
     """
+    checkpoint_dir(sensors.sparkSession)
     todo = sensors.select("sensor_id", "latitude", "longitude")
     found = None
     r = start_radius
     for _ in range(max_rounds):
-        best = nearest(candidates(todo, edges, r))
+        # reliable checkpoint: each round starts from stored rows, so lineage
+        # stays one round deep and a lost executor recomputes one round only
+        best = nearest(candidates(todo, edges, r)).checkpoint()
         found = best if found is None else found.unionByName(best)
-        todo = todo.join(best.select("sensor_id"), "sensor_id", "left_anti")
+        todo = todo.join(best.select("sensor_id"), "sensor_id", "left_anti").checkpoint()
         if todo.limit(1).count() == 0:
             break
         r *= growth
