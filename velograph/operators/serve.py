@@ -32,28 +32,31 @@ def latest_state(readings: DataFrame) -> DataFrame:
 
 def ema_state(grid: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
     """W15 / T4 batch twin: per-sensor EMA over all non-missing values in time order,
-    seeded by the first value: ``e_n = x_1·b^(n−1) + Σ_{p≥2} a·b^(n−p)·x_p`` (b = 1 − a).
+    seeded by the first value: ``e_n = x_1·b^n + Σ_p a·b^(n−p)·x_p`` (b = 1 − a).
 
-    Positions come from a row number inside each sensor-day plus a running
-    count over the small per-(sensor, day) table, and the final sum is a
-    partial-aggregating ``groupBy`` — no task ever holds a whole sensor history.
+    Each sensor-day folds into an affine pair — ``B_d = Σ_j a·b^(m_d−j)·x_j``
+    and its count ``m_d`` — using windows on the grid's (sensor, day)
+    partitioning; days then combine per sensor on the small day table as
+    ``e = x_1·b^N + Σ_d B_d·b^(later observations)``. No task holds a whole
+    sensor history and the grid is read once.
     """
     a, b = float(alpha), float(1.0 - alpha)
     r = grid.where(F.col("speed").isNotNull()).select("edge_id", "day", "timestamp", "speed")
-    wd = Window.partitionBy("edge_id", "day").orderBy("timestamp")
-    r = r.withColumn("_r", F.row_number().over(wd))
-    days = r.groupBy("edge_id", "day").agg(F.count("*").alias("_m"))
+    part = Window.partitionBy("edge_id", "day")
+    r = r.withColumn("_j", F.row_number().over(part.orderBy("timestamp"))) \
+         .withColumn("_m", F.count("*").over(part))
+    days = r.groupBy("edge_id", "day").agg(
+        F.sum(F.lit(a) * F.col("speed") * F.pow(F.lit(b), F.col("_m") - F.col("_j"))).alias("_B"),
+        F.max("_m").alias("_m"), F.min_by("speed", "timestamp").alias("_x0"),
+        F.max("timestamp").alias("_ts"))
     we = Window.partitionBy("edge_id").orderBy("day")
-    days = days.withColumn("_before", F.coalesce(F.sum("_m").over(
-        we.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    days = days.withColumn("_n", F.sum("_m").over(we.rowsBetween(Window.unboundedPreceding,
-                                                                   Window.unboundedFollowing)))
-    r = r.join(days.select("edge_id", "day", "_before", "_n"), ["edge_id", "day"])
-    pos = F.col("_before") + F.col("_r")
-    term = F.when(pos == 1, F.col("speed") * F.pow(F.lit(b), F.col("_n") - 1)) \
-        .otherwise(F.lit(a) * F.col("speed") * F.pow(F.lit(b), F.col("_n") - pos))
-    return r.groupBy("edge_id").agg(F.sum(term).alias("ema"), F.max("timestamp").alias("ts"),
-                                    F.count("*").alias("n"))
+    days = days.withColumn("_after", F.coalesce(F.sum("_m").over(
+        we.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+    per = days.groupBy("edge_id").agg(
+        F.sum(F.col("_B") * F.pow(F.lit(b), F.col("_after"))).alias("_S"),
+        F.min_by("_x0", "day").alias("_x1"), F.sum("_m").alias("n"), F.max("_ts").alias("ts"))
+    return per.select("edge_id", (F.col("_x1") * F.pow(F.lit(b), F.col("n")) + F.col("_S")).alias("ema"),
+                      "ts", "n")
 
 
 def prediction_state(history: DataFrame, freq_minutes: int, t_out: int,

@@ -55,14 +55,32 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
         keep = keep & (F.col("day") == label_day)
     out = out.where(keep).select("label_start", "edge_id", "x", "y")
     if drop_missing:
-        complete = (F.size(F.filter("x", lambda v: v.isNull())) == 0) & \
-                   (F.size(F.filter("y", lambda v: v.isNull())) == 0)
-        ok = (out.groupBy("label_start").agg(F.bool_and(complete).alias("ok"))
-              .where("ok").select("label_start"))
-        out = out.join(ok, "label_start", "left_semi")
+        out = out.join(spoiled_starts(grid, freq_minutes, t_in, t_out, label_day),
+                       "label_start", "left_anti")
     return out
 
 
+def spoiled_starts(grid: DataFrame, freq_minutes: int, t_in: int, t_out: int,
+                   label_day: Column | None = None) -> DataFrame:
+    """Label starts whose inputs or labels hit a missing value of *any* sensor.
+
+    A tick with a missing value (found by a partial-aggregating ``groupBy``
+    over ticks) spoils the starts in ``[tick − (t_out−1)·step, tick + t_in·step]``;
+    they are generated per bad tick, so the windows themselves are never
+    regrouped or recomputed for the check.
+    """
+    step = F.expr(f"INTERVAL {int(freq_minutes)} MINUTES")
+    g = grid
+    if label_day is not None:
+        g = g.where((F.col("day") >= label_day - F.expr("INTERVAL 1 DAY")) &
+                    (F.col("day") <= label_day + F.expr("INTERVAL 1 DAY")))
+    bad = (g.groupBy("timestamp").agg(F.bool_or(F.col("speed").isNull()).alias("_bad"))
+           .where("_bad").select("timestamp"))
+    lo = F.col("timestamp") - F.expr(f"INTERVAL {int(freq_minutes) * (t_out - 1)} MINUTES")
+    hi = F.col("timestamp") + F.expr(f"INTERVAL {int(freq_minutes) * t_in} MINUTES")
+    return bad.select(F.explode(F.sequence(lo, hi, step)).alias("label_start")).distinct()
+
+
 def windows_long(windows: DataFrame) -> DataFrame:
     """Explode ``x``/``y`` to ``(label_start, edge_id, role, step, value)``."""
     xs = windows.select("label_start", "edge_id", F.lit("x").alias("role"),
