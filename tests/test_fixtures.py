@@ -268,3 +268,8 @@ def test_top_k_salted(spark):
     df = spark.createDataFrame(rows, "edge_id long, sensor_id long, dist double")
     top = spatial.top_k(df, "edge_id", [F.col("dist"), F.col("sensor_id")], 5, "sensor_id", 8)
     assert sorted(r.sensor_id for r in top.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_identity_graph(spark):
+    g = graph.identity_graph(spark, 3)
+    assert {(r.src, r.dst, r.w) for r in g.collect()} == {(0, 0, 1.0), (1, 1, 1.0), (2, 2, 1.0)}

@@ -69,3 +69,34 @@ def test_stream_forecast_and_freshness(spark):
     replay.run_available(src, f"{root}/ck5", "append", log)
     t = replay.StateTable(spark, f"{root}/log", ["timestamp"], "timestamp").read()
     assert t.count() == 100
+
+
+def test_wide_to_long_and_stream_static_lookup(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="vg-stream2-")
+    t0 = dt.datetime(2024, 1, 1)
+    wide = spark.createDataFrame([(t0, 1.0, None), (t0 + dt.timedelta(minutes=5), 2.0, 3.0)],
+                                 "timestamp timestamp, s0 double, s1 double")
+    wide.write.parquet(f"{root}/wide")
+    src = replay.replay_source(spark, f"{root}/wide", "timestamp timestamp, s0 double, s1 double")
+    long = replay.wide_to_long(src, ["s0", "s1"])
+    got = {}
+
+    def sink(df, _):
+        got.update({(r.edge_id, r.timestamp): r.speed for r in df.collect()})
+
+    replay.run_available(long, f"{root}/ck", "append", sink)
+    assert len(got) == 4 and got[("s1", t0)] is None
+
+    req = spark.createDataFrame([(1, ["s0", "s9"], 15)], "request_id int, edge_ids array<string>, horizon int")
+    req.write.json(f"{root}/req")
+    req_stream = spark.readStream.schema("request_id int, edge_ids array<string>, horizon int").json(f"{root}/req")
+    pred = spark.createDataFrame([("s0", 15, 42.0, t0)], "edge_id string, horizon int, value double, ts timestamp")
+    latest = spark.createDataFrame([("s9", 7.0, t0)], "edge_id string, speed double, ts timestamp")
+    out = {}
+
+    def sink2(df, _):
+        out.update({r.edge_id: (r.value, r.source) for r in df.collect()})
+
+    replay.run_available(replay.lookup_stream(req_stream, pred, latest), f"{root}/ck2", "append", sink2)
+    assert out == {"s0": (42.0, "pred"), "s9": (7.0, "speed")}

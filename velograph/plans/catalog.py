@@ -770,3 +770,26 @@ def q_p22_input_jitter(spark, sf):
     w = _heldout(spark, sf)
     return w.select(to_ntz("label_start").alias("label_start"), "edge_id",
                     F.transform("x", lambda v: v + F.randn(7) * F.lit(0.01)).alias("x"))
+
+
+@query
+def q_p05_global_zscore(spark, sf):
+    """P5: window inputs z-scored with the global X∪Y statistics (tiny std → 1)."""
+    w = _heldout(spark, sf)
+    g = forecast.global_stats(w)
+    mean, std = g.select("mean").scalar(), g.select("std").scalar()
+    z = w.select("label_start", "edge_id", F.posexplode("x").alias("slot", "v"))
+    return z.select(to_ntz("label_start").alias("label_start"), "edge_id", (F.col("slot") + 1).alias("slot"),
+                    _r6(forecast.zscore_global("v", mean, std, forecast.GLOBAL_STD_EPS)).alias("z"))
+
+
+@query
+def q_j01_node_positions(spark, sf):
+    """Per-sensor error at the last step joined to node positions."""
+    m = forecast.step_node_mae(forecast.ema_forecast(_user_heldout(spark, sf))).where(F.col("step") == 12)
+    users = tables.table(spark, sf, "events").select("user_id").distinct()
+    pos = spatial.sensor_table(users.select(F.col("user_id").alias("sensor_id"), F.col("user_id").alias("idx")))
+    nodes = pos.select(F.concat(F.lit("u"), F.col("sensor_id").cast("string")).alias("node"),
+                       F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    j = forecast.join_positions(m, nodes)
+    return j.select("edge_id", _r9("lat").alias("lat"), _r9("lon").alias("lon"), _r6("mae").alias("mae"))

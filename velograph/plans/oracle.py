@@ -789,3 +789,21 @@ def _q_c02_nearest_interp():
 
 
 IDW_K1 = "WITH " + IDW.replace("WHERE rank <= 5", "WHERE rank <= 1")
+
+
+def _q_p05_global_zscore():
+    return (f"WITH {windows_ctes(60)}, v AS (SELECT unnest(list_concat(x, y)) AS v FROM win), "
+            "gs AS (SELECT avg(v) AS mean, CASE WHEN stddev_pop(v) = 0 OR stddev_pop(v) IS NULL THEN 1.0 "
+            "ELSE stddev_pop(v) END AS std FROM v), "
+            "xs AS (SELECT label_start, edge_id, unnest(range(1, 13))::INTEGER AS slot, unnest(x) AS v FROM win) "
+            "SELECT label_start, edge_id, slot, round((v - mean) / CASE WHEN std <= 1e-6 THEN 1.0 ELSE std END, 6) AS z "
+            "FROM xs, gs")
+
+
+def _q_j01_node_positions():
+    return (f"WITH {windows_ctes(60, edge='user', fill='ffill_bfill')}, {STEPS}, "
+            "m AS (SELECT edge_id, avg(abs(pred - y)) AS mae FROM s WHERE step = 12 GROUP BY 1), "
+            "u AS (SELECT DISTINCT user_id FROM events), "
+            "pos AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS node, 37.4::DOUBLE + (user_id % 50)::DOUBLE * 0.01::DOUBLE AS lat, "
+            "-122.2::DOUBLE + (user_id // 50)::DOUBLE * 0.01::DOUBLE AS lon FROM u) "
+            "SELECT edge_id, round(lat, 9) AS lat, round(lon, 9) AS lon, round(mae, 6) AS mae FROM m JOIN pos ON m.edge_id = pos.node")
