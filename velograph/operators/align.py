@@ -106,7 +106,8 @@ def _tick_range(day: Column, lo_us: Column, hi_us: Column, step_us: int) -> tupl
 def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
                  day_from_us: int | None = None, day_to_us: int | None = None,
                  bounds: tuple[int, int] | None = None, carry: bool = False,
-                 prior: DataFrame | None = None, posterior: DataFrame | None = None) -> DataFrame:
+                 prior: DataFrame | None = None, posterior: DataFrame | None = None,
+                 edges: DataFrame | None = None) -> DataFrame:
     """W4 (+W1/W3): every sensor on a regular grid from min to max instant.
 
     ``align='exact'`` keeps only readings that sit exactly on a tick (others
@@ -134,7 +135,8 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
 
     r = readings.where(F.col("speed").isNotNull())
     # Every sensor with any reading gets grid rows, also inside a day range.
-    edges = r.select("edge_id").distinct()
+    if edges is None:
+        edges = r.select("edge_id").distinct()
     first_day, last_day = _day_floor(lo_us), _day_floor(hi_us)
     if day_from_us is not None:
         first_day = max(first_day, day_from_us)
@@ -180,10 +182,10 @@ def _day_carries(sd: DataFrame, prior: DataFrame | None, posterior: DataFrame |
     sd = sd.withColumn("_cprev", F.last("_last", True).over(we.rowsBetween(Window.unboundedPreceding, -1)))
     sd = sd.withColumn("_cnext", F.first("_first", True).over(we.rowsBetween(1, Window.unboundedFollowing)))
     if prior is not None:
-        p = prior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
+        p = prior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
         sd = sd.join(p, "edge_id", "left").withColumn("_cprev", F.coalesce("_cprev", "_pin")).drop("_pin")
     if posterior is not None:
-        q = posterior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
+        q = posterior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
         sd = sd.join(q, "edge_id", "left").withColumn("_cnext", F.coalesce("_cnext", "_nin")).drop("_nin")
     return sd.drop("_last", "_first")
 
@@ -255,11 +257,11 @@ def _prev_next(grid: DataFrame, prior: DataFrame | None,
         summ = summ.withColumn("_cnext", F.first("_first", True).over(
             we.rowsBetween(1, Window.unboundedFollowing)))
     if prior is not None:
-        p = prior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
+        p = prior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
         summ = summ.join(p, "edge_id", "left").withColumn(
             "_cprev", F.coalesce("_cprev", "_pin")).drop("_pin")
     if need_next and posterior is not None:
-        q = posterior.select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
+        q = posterior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
         summ = summ.join(q, "edge_id", "left").withColumn(
             "_cnext", F.coalesce("_cnext", "_nin")).drop("_nin")
     cols = ["edge_id", "day", "_cprev"] + (["_cnext"] if need_next else [])
@@ -315,25 +317,35 @@ def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
 
 def edge_boundary(readings: DataFrame, freq_minutes: int, lo_us: int, day_us: int,
                   side: str = "before", align: str = "exact") -> DataFrame:
-    """Carry-in/out per sensor: last on-grid reading before ``day`` (``side='before'``)
-    or first on-grid reading after the end of ``day`` (``'after'``) → ``(edge_id, ts, v)``.
+    """Carry-in/out per sensor → ``(edge_id, ts, v)`` for *every* sensor with a reading:
+    the last on-grid instant before ``day`` (``side='before'``) or the first after
+    the end of ``day`` (``'after'``), with the mean reading there (NULL if none).
+
+    One partial-aggregating ``groupBy(edge_id)`` finds the instant; the mean
+    comes from joining the readings at exactly that (sensor, instant) — the
+    history is scanned, never shuffled per instant. The sensor list doubles as
+    the grid's sensor set.
     """
     step_us = int(freq_minutes) * US_PER_MIN
     r = readings.where(F.col("speed").isNotNull())
-    if side == "before":
-        r = r.where(F.col("timestamp") < _ts(day_us))
-    else:
-        r = r.where(F.col("timestamp") >= _ts(day_us + US_PER_DAY))
     off = _us("timestamp") - F.lit(lo_us)
     if align == "exact":
-        r = r.where(off % F.lit(step_us) == 0)
+        on_grid = off % F.lit(step_us) == 0
+        tick = F.col("timestamp")
     else:
-        r = r.withColumn("timestamp", F.timestamp_micros(
-            F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
-    per_ts = r.groupBy("edge_id", "timestamp").agg(F.avg("speed").alias("v"))
-    pick = F.max_by if side == "before" else F.min_by
-    edge_ts = F.max("timestamp") if side == "before" else F.min("timestamp")
-    return per_ts.groupBy("edge_id").agg(edge_ts.alias("ts"), pick("v", "timestamp").alias("v"))
+        on_grid = F.lit(True)
+        tick = F.timestamp_micros(F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us))
+    r = r.withColumn("_t", F.when(on_grid, tick))
+    if side == "before":
+        sel = F.max(F.when(F.col("_t") < _ts(day_us), F.col("_t")))
+    else:
+        sel = F.min(F.when(F.col("_t") >= _ts(day_us + US_PER_DAY), F.col("_t")))
+    at = r.groupBy("edge_id").agg(sel.alias("ts"))
+    key = at.where(F.col("ts").isNotNull()).select(F.col("edge_id").alias("_e"), F.col("ts").alias("_at"))
+    vals = (r.select("edge_id", "_t", "speed").join(key, (F.col("edge_id") == F.col("_e")) &
+                                                    (F.col("_t") == F.col("_at")))
+            .groupBy(F.col("_e").alias("edge_id")).agg(F.avg("speed").alias("v")))
+    return at.join(vals, "edge_id", "left").select("edge_id", "ts", "v")
 
 
 def to_regular(readings: DataFrame, freq_minutes: int, fill_method: str = "ffill",

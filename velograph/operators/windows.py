@@ -30,7 +30,9 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
       must stay inside it (W12). ``None`` → every day (training windows).
     * ``all_within_day``: the inputs must also lie in the same day (W13).
     * ``drop_missing``: drop a label start for *all* sensors when any sensor
-      has a missing value in x or y (cross-sensor completeness, J13).
+      has a missing value in x or y (cross-sensor completeness, J13): a window
+      over each tick flags ticks any sensor misses, and a sliding max over the
+      window's own span spots them — one pass, no regrouping of windows.
 
     Partitions are sensor-days with a halo of ``t_in`` rows before and
     ``t_out − 1`` after, so no partition grows with the history length.
@@ -38,47 +40,30 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
     g = grid
     if label_day is not None:
         g = g.where((F.col("day") >= label_day - F.expr("INTERVAL 1 DAY")) & (F.col("day") <= label_day))
-    g = with_halo(g.select("edge_id", "day", "timestamp", "speed"), freq_minutes,
-                  before_rows=t_in, after_rows=max(t_out - 1, 0))
+    g = g.select("edge_id", "day", "timestamp", "speed")
+    if drop_missing:
+        # a tick is bad when any sensor misses it; every sensor row learns it here
+        g = g.withColumn("_bad", F.max(F.col("speed").isNull().cast("int")).over(
+            Window.partitionBy("timestamp")))
+    g = with_halo(g, freq_minutes, before_rows=t_in, after_rows=max(t_out - 1, 0))
     w = Window.partitionBy("edge_id", "pday").orderBy("timestamp")
     x = F.array(*[F.lag("speed", k).over(w) for k in range(t_in, 0, -1)])
     y = F.array(F.col("speed"), *[F.lead("speed", k).over(w) for k in range(1, t_out)])
     first_ts = F.lag("timestamp", t_in).over(w)
     last_ts = F.lead("timestamp", t_out - 1).over(w) if t_out > 1 else F.col("timestamp")
+    spoiled = (F.max("_bad").over(w.rowsBetween(-t_in, max(t_out - 1, 0))) if drop_missing
+               else F.lit(0))
     out = g.select("edge_id", "day", "pday", F.col("timestamp").alias("label_start"),
-                   x.alias("x"), y.alias("y"), first_ts.alias("_t0"), last_ts.alias("_t1"))
+                   x.alias("x"), y.alias("y"), first_ts.alias("_t0"), last_ts.alias("_t1"),
+                   spoiled.alias("_spoiled"))
     keep = (F.col("day") == F.col("pday")) & F.col("_t0").isNotNull() & F.col("_t1").isNotNull()
+    keep = keep & (F.col("_spoiled") == 0)
     keep = keep & (F.date_trunc("DAY", F.col("_t1")) == F.col("day"))
     if all_within_day:
         keep = keep & (F.date_trunc("DAY", F.col("_t0")) == F.col("day"))
     if label_day is not None:
         keep = keep & (F.col("day") == label_day)
-    out = out.where(keep).select("label_start", "edge_id", "x", "y")
-    if drop_missing:
-        out = out.join(spoiled_starts(grid, freq_minutes, t_in, t_out, label_day),
-                       "label_start", "left_anti")
-    return out
-
-
-def spoiled_starts(grid: DataFrame, freq_minutes: int, t_in: int, t_out: int,
-                   label_day: Column | None = None) -> DataFrame:
-    """Label starts whose inputs or labels hit a missing value of *any* sensor.
-
-    A tick with a missing value (found by a partial-aggregating ``groupBy``
-    over ticks) spoils the starts in ``[tick − (t_out−1)·step, tick + t_in·step]``;
-    they are generated per bad tick, so the windows themselves are never
-    regrouped or recomputed for the check.
-    """
-    step = F.expr(f"INTERVAL {int(freq_minutes)} MINUTES")
-    g = grid
-    if label_day is not None:
-        g = g.where((F.col("day") >= label_day - F.expr("INTERVAL 1 DAY")) &
-                    (F.col("day") <= label_day + F.expr("INTERVAL 1 DAY")))
-    bad = (g.groupBy("timestamp").agg(F.bool_or(F.col("speed").isNull()).alias("_bad"))
-           .where("_bad").select("timestamp"))
-    lo = F.col("timestamp") - F.expr(f"INTERVAL {int(freq_minutes) * (t_out - 1)} MINUTES")
-    hi = F.col("timestamp") + F.expr(f"INTERVAL {int(freq_minutes) * t_in} MINUTES")
-    return bad.select(F.explode(F.sequence(lo, hi, step)).alias("label_start")).distinct()
+    return out.where(keep).select("label_start", "edge_id", "x", "y")
 
 
 def windows_long(windows: DataFrame) -> DataFrame:

@@ -22,16 +22,17 @@ def heldout_grid(readings: DataFrame, freq_minutes: int, fill_method: str = "ffi
     lo_us, hi_us = align.grid_bounds(readings)
     day_us = align.last_full_day_us(lo_us, hi_us, freq_minutes)
     day_from = day_us - align.US_PER_DAY
-    prior = posterior = None
-    if fill_method in ("ffill", "interpolate", "ffill_bfill"):
-        prior = align.edge_boundary(readings, freq_minutes, lo_us, day_from, "before", align_mode)
+    # one per-sensor aggregate gives the sensor set and the carry-in instant
+    prior = align.edge_boundary(readings, freq_minutes, lo_us, day_from, "before", align_mode)
+    posterior = None
     if fill_method in ("interpolate", "ffill_bfill"):
         posterior = align.edge_boundary(readings, freq_minutes, lo_us, day_us, "after", align_mode)
     grid = align.regular_grid(readings, freq_minutes, align=align_mode, day_from_us=day_from,
                               day_to_us=day_us, bounds=(lo_us, hi_us), carry=True,
-                              prior=prior, posterior=posterior)
-    filled = align.fill(grid, fill_method)
-    return filled.withColumn("speed", clip("speed")), F.timestamp_micros(F.lit(day_us))
+                              prior=prior if fill_method in ("ffill", "interpolate", "ffill_bfill") else None,
+                              posterior=posterior, edges=prior.select("edge_id"))
+    filled = align.fill(grid, fill_method).withColumn("speed", clip("speed"))
+    return filled, F.timestamp_micros(F.lit(day_us))
 
 
 def heldout_windows(readings: DataFrame, freq_minutes: int, t_in: int = 12, t_out: int = 12,

@@ -73,3 +73,4 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
