@@ -273,3 +273,15 @@ def test_top_k_salted(spark):
 def test_identity_graph(spark):
     g = graph.identity_graph(spark, 3)
     assert {(r.src, r.dst, r.w) for r in g.collect()} == {(0, 0, 1.0), (1, 1, 1.0), (2, 2, 1.0)}
+
+
+def test_exact_percentile_hot_key(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    hot = rng.normal(50, 10, 20000).round(2)
+    rows = [("hot", float(v)) for v in hot] + [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 4.0), ("a", 10.0),
+                                               ("b", 5.0)]
+    df = spark.createDataFrame(rows, "edge_id string, speed double").repartition(8)
+    got = {r.edge_id: r.p for r in features.exact_percentile(df, "edge_id", "speed", 0.9).collect()}
+    assert math.isclose(got["hot"], float(np.percentile(hot, 90)), rel_tol=1e-12)
+    assert math.isclose(got["a"], 7.6) and got["b"] == 5.0

@@ -15,25 +15,62 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.functions.columns import calendar_features, linear_weight, sigma_guard, step_weight
+from velograph.session import materialize
 
 # Fixed values that must equal the reference's.
 SPLIT_RATIOS = (0.7, 0.15, 0.15)   # train / val / test
 FREE_FLOW_PERCENTILE = 0.9
 
 
-def sensor_stats(readings: DataFrame, exact_percentile: bool = True) -> DataFrame:
+def exact_percentile(df: DataFrame, key: str, value: str, q: float,
+                     alias: str = "p") -> DataFrame:
+    """Exact linear-interpolation percentile per key, safe for hot keys.
+
+    A range-partitioned sort on (key, value) spreads one huge key over many
+    partitions. Each row's rank inside its key is its position in the sorted
+    partition plus the rows of the same key in earlier partitions (a tiny
+    per-(key, partition) count table); only the two bracketing ranks per key
+    survive to the final aggregate. No group is ever buffered in one task.
+    The sorted, tagged values are written once (``session.materialize``).
+    """
+    v = df.where(F.col(value).isNotNull()).select(key, value)
+    # partition ids from a sampled range partitioning are only stable within
+    # one evaluation: store the tagged sort once and read it for both uses
+    srt = materialize(v.orderBy(key, value)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_id", F.monotonically_increasing_id()), "percentile-ranks")
+    part = srt.groupBy(key, "_pid").agg(F.count("*").alias("_c"), F.min("_id").alias("_m0"))
+    wk = Window.partitionBy(key).orderBy("_pid")
+    part = (part.withColumn("_off", F.coalesce(F.sum("_c").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
+            .withColumn("_n", F.sum("_c").over(wk.rowsBetween(Window.unboundedPreceding,
+                                                              Window.unboundedFollowing))))
+    pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
+    part = part.withColumn("_lo", F.floor(pos).cast("long")).withColumn("_hi", F.ceil(pos).cast("long")) \
+        .withColumn("_fr", pos - F.floor(pos))
+    ranked = srt.join(part, [key, "_pid"]).withColumn("_r", F.col("_off") + F.col("_id") - F.col("_m0"))
+    picks = ranked.where((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
+    agg = picks.groupBy(key).agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col(value))).alias("_vl"),
+                                 F.max(F.when(F.col("_r") == F.col("_hi"), F.col(value))).alias("_vh"),
+                                 F.max("_fr").alias("_fr"))
+    return agg.select(key, (F.col("_vl") + F.col("_fr") * (F.col("_vh") - F.col("_vl"))).alias(alias))
+
+
+def sensor_stats(readings: DataFrame, exact_percentile_: bool = True) -> DataFrame:
     """A1–A3: count, mean, sample std (0 → 1), min, max, 90th percentile per sensor.
 
-    ``exact_percentile=False`` switches to ``percentile_approx`` (bounded
-    memory per group for very hot sensors).
+    Moments are one partial-aggregating ``groupBy``; the exact percentile is
+    the skew-safe sort-based ``exact_percentile`` (``exact_percentile_=False``
+    switches to ``percentile_approx``, a bounded sketch per group).
     """
     v = F.col("speed")
-    p90 = (F.percentile(v, F.lit(FREE_FLOW_PERCENTILE)) if exact_percentile
-           else F.percentile_approx(v, FREE_FLOW_PERCENTILE, 10000))
-    return (readings.where(v.isNotNull()).groupBy("edge_id")
-            .agg(F.count(v).alias("n"), F.avg(v).alias("mu"),
-                 sigma_guard(F.stddev_samp(v)).alias("sigma"),
-                 F.min(v).alias("min"), F.max(v).alias("max"), p90.alias("p90")))
+    r = readings.where(v.isNotNull())
+    moments = [F.count(v).alias("n"), F.avg(v).alias("mu"), sigma_guard(F.stddev_samp(v)).alias("sigma"),
+               F.min(v).alias("min"), F.max(v).alias("max")]
+    if not exact_percentile_:
+        return r.groupBy("edge_id").agg(*moments, F.percentile_approx(v, FREE_FLOW_PERCENTILE, 10000).alias("p90"))
+    stats = r.groupBy("edge_id").agg(*moments)
+    return stats.join(exact_percentile(r, "edge_id", "speed", FREE_FLOW_PERCENTILE, "p90"), "edge_id")
 
 
 def norm_params(stats: DataFrame, method: str = "z_score") -> DataFrame:

@@ -74,3 +74,14 @@ def spread(df):
         return df.repartition(target)
     return df
 
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
+    back. Use where a plan must read the *same* rows twice (e.g. values tagged
+    with non-deterministic partition ids): cuts lineage, survives executor loss,
+    and computes the data a single time."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
