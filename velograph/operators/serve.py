@@ -24,10 +24,16 @@ STREAM_LOG_CAP = 10_000
 
 
 def latest_state(readings: DataFrame) -> DataFrame:
-    """T3 batch twin: last non-missing reading per sensor (ties → larger value)."""
-    r = readings.where(F.col("speed").isNotNull())
-    best = r.groupBy("edge_id").agg(F.max(F.struct(F.col("timestamp"), F.col("speed"))).alias("_b"))
-    return best.select("edge_id", F.col("_b.speed").alias("speed"), F.col("_b.timestamp").alias("ts"))
+    """T3 batch twin: latest non-missing reading per sensor (mean of duplicates there).
+
+    One partial-aggregating ``groupBy(edge_id)`` finds each sensor's last
+    instant; only the readings at exactly that instant are joined back and
+    averaged, so the history is scanned but never shuffled per instant.
+    """
+    r = readings.where(F.col("speed").isNotNull()).select("edge_id", "timestamp", "speed")
+    last = r.groupBy("edge_id").agg(F.max("timestamp").alias("_ts")).withColumnRenamed("edge_id", "_e")
+    at = r.join(last, (F.col("edge_id") == F.col("_e")) & (F.col("timestamp") == F.col("_ts")))
+    return at.groupBy("edge_id").agg(F.avg("speed").alias("speed"), F.max("timestamp").alias("ts"))
 
 
 def ema_state(grid: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:

@@ -553,7 +553,8 @@ def q_w15_ema_state(spark, sf):
 def _pred_state(spark, sf):
     r = tables.readings(spark, sf)
     lo, hi = align.grid_bounds(r)
-    g = align.regular_grid(r, 60, bounds=(lo, hi))
+    # the newest 12-tick history needs at most the last two days of grid
+    g = align.regular_grid(r, 60, bounds=(lo, hi), day_from_us=(hi // align.US_PER_DAY - 1) * align.US_PER_DAY)
     h = align.history_arrays(g, 60, 12).where(F.col("timestamp") == F.timestamp_micros(F.lit(hi)))
     h = h.withColumnRenamed("timestamp", "ts")
     return serve.prediction_state(h, 60, 12, serve.ema_forecaster("x", 12, windows.EVAL_EMA_ALPHA))
@@ -577,7 +578,7 @@ def _requests(spark, sf):
 
 @query
 def q_j02_lookup(spark, sf):
-    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    latest = serve.latest_state(tables.readings(spark, sf))
     out = serve.stamp(serve.lookup(_requests(spark, sf), _pred_state(spark, sf), latest), 1, PREDICTION_TS)
     return out.select("request_id", "edge_id", "horizon", _r6("value").alias("value"), "source",
                       "model_generation", to_ntz("prediction_timestamp").alias("prediction_timestamp"))
@@ -591,7 +592,7 @@ def q_p18_validate_requests(spark, sf):
 
 @query
 def q_a15_freshness(spark, sf):
-    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    latest = serve.latest_state(tables.readings(spark, sf))
     f = serve.freshness(latest, NOW_EPOCH)
     return f.select(to_ntz("last_ts").alias("last_ts"), _r6("age_s").alias("age_s"), "healthy")
 
@@ -603,7 +604,7 @@ def q_a16_pred_count(spark, sf):
 
 @query
 def q_p21_metrics_text(spark, sf):
-    latest = serve.latest_state(align.dedup_mean(tables.readings(spark, sf)))
+    latest = serve.latest_state(tables.readings(spark, sf))
     return serve.metrics_text(serve.freshness(latest, NOW_EPOCH),
                               serve.prediction_count(_pred_state(spark, sf)), 1)
 
