@@ -91,7 +91,8 @@ def candidates(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_
     candidate pairs per cell; any cell size ≥ radius gives the exact answer.
     """
     c = max(cell or 4 * radius, radius)
-    s = sensors.select("sensor_id", "latitude", "longitude",
+    keep = [x for x in ("direction",) if x in sensors.columns]
+    s = sensors.select("sensor_id", "latitude", "longitude", *keep,
                        _cell(F.col("longitude"), c).alias("gx"), _cell(F.col("latitude"), c).alias("gy"))
     e = edge_geometry(edges).select(
         "edge_id", "bearing", "geom",
@@ -101,7 +102,7 @@ def candidates(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_
         _cell(F.col("min_lat") - radius, c), _cell(F.col("max_lat") + radius, c))).alias("gy"))
     j = s.join(e, ["gx", "gy"])
     d = geo.point_line_distance("longitude", "latitude", "geom")
-    return (j.select("sensor_id", "edge_id", "bearing", d.alias("dist"))
+    return (j.select("sensor_id", "edge_id", "bearing", *keep, d.alias("dist"))
             .where(F.col("dist") < F.lit(radius)))
 
 
@@ -120,8 +121,7 @@ def nearest(cands: DataFrame, key: str = "sensor_id", other: str = "edge_id") ->
 def map_sensors(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_DEG) -> dict[str, DataFrame]:
     """J4–J8 + P20: mapping, unmapped sensors, sensor status, covered/uncovered edges."""
     cand = candidates(sensors, edges, radius)
-    dirs = sensors.select("sensor_id", "direction")
-    ok = cand.join(dirs, "sensor_id").where(direction_ok(F.col("direction"), F.col("bearing")))
+    ok = cand.where(direction_ok(F.col("direction"), F.col("bearing")))
     mapping = nearest(ok)
     unmapped = sensors.select("sensor_id").join(cand.select("sensor_id"), "sensor_id", "left_anti")
     status = (sensors.select("sensor_id")

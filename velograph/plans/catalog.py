@@ -454,7 +454,7 @@ def q_a12_edge_sensors(spark, sf):
 
 def _idw(spark, sf):
     s, e, m = _mapping(spark, sf)
-    targets = spatial.edge_geometry(e).join(m["uncovered"], "edge_id", "left_semi")
+    targets = spatial.edge_geometry(e).join(m["covered"], "edge_id", "left_anti")
     return s, e, m, spatial.knn_idw(s, targets.select("edge_id", "cx", "cy"))
 
 
@@ -738,7 +738,7 @@ def q_a19_dataset_summary(spark, sf):
 @query
 def q_c02_nearest_interp(spark, sf):
     s, e, m = _mapping(spark, sf)
-    targets = spatial.edge_geometry(e).join(m["uncovered"], "edge_id", "left_semi")
+    targets = spatial.edge_geometry(e).join(m["covered"], "edge_id", "left_anti")
     w = spatial.knn_idw(s, targets.select("edge_id", "cx", "cy"), k=1)
     return w.select("edge_id", "sensor_id", _r9("dist").alias("dist"), _r9("weight").alias("weight"))
 
