@@ -118,9 +118,11 @@ def nearest(cands: DataFrame, key: str = "sensor_id", other: str = "edge_id") ->
     return best.select(key, F.col(f"_b.{other}").alias(other), F.col("_b.dist").alias("dist"))
 
 
-def map_sensors(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_DEG) -> dict[str, DataFrame]:
-    """J4–J8 + P20: mapping, unmapped sensors, sensor status, covered/uncovered edges."""
-    cand = candidates(sensors, edges, radius)
+def map_sensors(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_DEG,
+                cand: DataFrame | None = None) -> dict[str, DataFrame]:
+    """J4–J8 + P20: mapping, unmapped sensors, sensor status, covered/uncovered edges
+    (``cand`` may be a precomputed/stored ``candidates`` table)."""
+    cand = cand if cand is not None else candidates(sensors, edges, radius)
     ok = cand.where(direction_ok(F.col("direction"), F.col("bearing")))
     mapping = nearest(ok)
     unmapped = sensors.select("sensor_id").join(cand.select("sensor_id"), "sensor_id", "left_anti")
@@ -254,15 +256,29 @@ def first_errors(errors: DataFrame, n: int = QA_MAX_ERRORS) -> DataFrame:
 def mapping_stats(sensors: DataFrame, edges: DataFrame, parts: dict[str, DataFrame],
                   interp: DataFrame, errors: DataFrame) -> DataFrame:
     """Coverage statistics, one row (averages default to 0 when empty)."""
-    def cnt(df: DataFrame) -> Column:
-        return df.agg(F.count("*").alias("n")).select("n").scalar()
-
-    avg_km = interp.agg(F.coalesce(F.avg("avg_distance_km"), F.lit(0.0)).alias("a")).select("a").scalar()
-    one = sensors.sparkSession.range(1).select(
-        cnt(sensors).alias("total_sensors"), cnt(parts["mapping"]).alias("mapped_sensors"),
-        cnt(parts["unmapped"]).alias("unmapped_sensors"), cnt(edges).alias("total_edges"),
-        cnt(parts["covered"]).alias("edges_with_sensors"), cnt(interp).alias("edges_with_interpolation"),
-        avg_km.alias("avg_interpolation_distance_km"), cnt(errors).alias("validation_errors"))
+    # one union of per-sensor, per-edge and per-error fact rows, one aggregate
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    sensor_rows = parts["status"].select(F.lit("s").alias("kind"), F.col("status"),
+                                         F.lit(False).alias("covered"), F.lit(False).alias("interp"),
+                                         null_d.alias("km"))
+    edge_rows = (edges.select("edge_id")
+                 .join(parts["covered"].select("edge_id", F.lit(True).alias("_c")), "edge_id", "left")
+                 .join(interp.select("edge_id", F.lit(True).alias("_i"), "avg_distance_km"), "edge_id", "left")
+                 .select(F.lit("e").alias("kind"), null_s.alias("status"),
+                         F.coalesce("_c", F.lit(False)).alias("covered"),
+                         F.coalesce("_i", F.lit(False)).alias("interp"), F.col("avg_distance_km").alias("km")))
+    error_rows = errors.select(F.lit("x").alias("kind"), null_s.alias("status"), F.lit(False).alias("covered"),
+                               F.lit(False).alias("interp"), null_d.alias("km"))
+    k = F.col("kind")
+    one = sensor_rows.unionByName(edge_rows).unionByName(error_rows).agg(
+        F.count_if(k == "s").alias("total_sensors"),
+        F.count_if((k == "s") & (F.col("status") == "mapped")).alias("mapped_sensors"),
+        F.count_if((k == "s") & (F.col("status") == "unmapped")).alias("unmapped_sensors"),
+        F.count_if(k == "e").alias("total_edges"),
+        F.count_if((k == "e") & F.col("covered")).alias("edges_with_sensors"),
+        F.count_if((k == "e") & F.col("interp")).alias("edges_with_interpolation"),
+        F.coalesce(F.avg(F.when(k == "e", F.col("km"))), F.lit(0.0)).alias("avg_interpolation_distance_km"),
+        F.count_if(k == "x").alias("validation_errors"))
     return one.select(
         "total_sensors", "mapped_sensors", "unmapped_sensors",
         (F.col("mapped_sensors") / F.col("total_sensors") * 100).alias("coverage_percent"),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velograph.plans import evaluation
+from velograph.plans import evaluation, mapping
 from velograph.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -482,9 +482,9 @@ def q_j11_idw_speed(spark, sf):
 
 
 def _qa(spark, sf):
-    s, e, m, w = _idw(spark, sf)
-    interp = spatial.interpolation_summary(w)
-    return s, e, m, interp, spatial.qa_errors(s, m, interp)
+    s, e = _sensors(spark, sf), tables.road_edges(spark, sf)
+    m = mapping.mapping_pipeline(s, e)
+    return s, e, m, m["interp"], m["errors"]
 
 
 @query
@@ -494,8 +494,7 @@ def q_j15_qa_errors(spark, sf):
 
 @query
 def q_a11_mapping_stats(spark, sf):
-    s, e, m, interp, errs = _qa(spark, sf)
-    st = spatial.mapping_stats(s, e, m, interp, errs)
+    st = _qa(spark, sf)[2]["stats"]
     return st.select(*[_r9(c).alias(c) if c.endswith(("percent", "_km")) else F.col(c) for c in st.columns])
 
 
