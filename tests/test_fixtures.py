@@ -285,3 +285,9 @@ def test_exact_percentile_hot_key(spark):
     got = {r.edge_id: r.p for r in features.exact_percentile(df, "edge_id", "speed", 0.9).collect()}
     assert math.isclose(got["hot"], float(np.percentile(hot, 90)), rel_tol=1e-12)
     assert math.isclose(got["a"], 7.6) and got["b"] == 5.0
+
+
+def test_halo_longer_than_a_day_is_refused(spark):
+    r = readings(spark, [1.0, 2.0])
+    with pytest.raises(ValueError):
+        align.with_halo(align.regular_grid(r, 60).select("edge_id", "day", "timestamp", "speed"), 60, 30)

@@ -366,6 +366,8 @@ def with_halo(grid: DataFrame, freq_minutes: int, before_rows: int,
     Keep the result rows with ``day == pday``.
     """
     step_us = int(freq_minutes) * US_PER_MIN
+    if max(before_rows, after_rows) * step_us > US_PER_DAY:
+        raise ValueError("halo longer than one day: look-back/look-ahead must fit in a day of ticks")
     t, d = _us("timestamp"), _us("day")
     nxt = F.when(t >= d + F.lit(US_PER_DAY - before_rows * step_us),
                  F.col("day") + F.expr("INTERVAL 1 DAY"))
