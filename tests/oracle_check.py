@@ -22,6 +22,10 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -52,6 +56,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
             df = qs[name](spark, sf_dir)
             srows = [tuple(r) for r in df.collect()]
             scols = df.columns
+            stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
         except Exception as e:  # noqa: BLE001
             results[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             print(name, results[name]) if verbose else None
@@ -64,13 +69,17 @@ def compare(spark, sf_dir, names=None, verbose=True):
         try:
             cur = con.execute(sqls[name])
             dcols = [d[0] for d in cur.description]
+            dtypes = {d[0]: str(d[1]) for d in cur.description}
             drows = cur.fetchall()
         except Exception as e:  # noqa: BLE001
             results[name] = f"DUCKDB ERROR {type(e).__name__}: {str(e)[:300]}"
             print(name, results[name]) if verbose else None
             continue
+        tdiff = {c: (stypes[c], dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
         if sorted(scols) != sorted(dcols):
             results[name] = f"COLUMNS spark={scols} duck={dcols}"
+        elif tdiff:
+            results[name] = f"TYPES {tdiff}"
         elif len(srows) != len(drows):
             results[name] = f"ROWCOUNT spark={len(srows)} duck={len(drows)}"
         else:

@@ -192,10 +192,11 @@ def _q_p06_denormalize():
 
 def _q_p07_calendar():
     return (f"WITH i AS (SELECT DISTINCT timestamp FROM ({readings_sql()})) "
-            "SELECT timestamp, hour(timestamp) AS hour, minute(timestamp) AS minute, "
+            "SELECT timestamp, hour(timestamp)::INTEGER AS hour, minute(timestamp)::INTEGER AS minute, "
             "(hour(timestamp) * 60 + minute(timestamp))::DOUBLE / 1440.0::DOUBLE AS time_of_day, "
-            "isodow(timestamp) - 1 AS day_of_week, CASE WHEN isodow(timestamp) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend, "
-            "month(timestamp) AS month FROM i")
+            "(isodow(timestamp) - 1)::INTEGER AS day_of_week, "
+            "CASE WHEN isodow(timestamp) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+            "month(timestamp)::INTEGER AS month FROM i")
 
 
 def _q_p09_step_weight():
@@ -237,7 +238,7 @@ def _q_a20_split_summary():
 
 def _q_a05_hourly_avg():
     return (f"WITH d AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) "
-            "WHERE speed IS NOT NULL GROUP BY 1, 2) SELECT edge_id, hour(timestamp) AS hour, "
+            "WHERE speed IS NOT NULL GROUP BY 1, 2) SELECT edge_id, hour(timestamp)::INTEGER AS hour, "
             "round(avg(speed), 6) AS avg_speed, count(*) AS sample_count FROM d GROUP BY 1, 2")
 
 
@@ -745,7 +746,7 @@ def _q_c04_coverage():
 
 def _q_c08_congestion_factor():
     return (f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, timestamp, CASE WHEN speed < 0.4 * p90 "
-            "THEN 4.0 ELSE 1.0 END AS weight FROM ud LEFT JOIN st USING (edge_id)")
+            "THEN 4.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM ud LEFT JOIN st USING (edge_id)")
 
 
 def _q_c09_bias_correction():
