@@ -100,3 +100,16 @@ def test_wide_to_long_and_stream_static_lookup(spark):
 
     replay.run_available(replay.lookup_stream(req_stream, pred, latest), f"{root}/ck2", "append", sink2)
     assert out == {"s0": (42.0, "pred"), "s9": (7.0, "speed")}
+
+
+def test_run_replay_then_lookup(spark):
+    r, root = _stage(spark)
+    st = replay.run_replay(spark, f"{root}/days", f"{root}/state", 60)
+    latest, pred = st["latest"].read(), st["pred"].read()
+    assert latest.count() == r.select("edge_id").distinct().count()
+    assert pred.select("horizon").distinct().count() == 4
+    fresh = st["fresh"].read().collect()[0].last_ts
+    assert fresh == r.agg(F.max("timestamp")).collect()[0][0]
+    req = spark.createDataFrame([(1, ["click", "nope"], 15)], "request_id int, edge_ids array<string>, horizon int")
+    out = {x.edge_id: x.source for x in serve.lookup(req, pred, latest).collect()}
+    assert out["nope"] == "none" and out["click"] in ("pred", "speed")
