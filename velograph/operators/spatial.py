@@ -46,8 +46,11 @@ def sensor_table(ids: DataFrame) -> DataFrame:
     """``(sensor_id, idx)`` → sensor metadata; known coordinates win,
     everything else gets the index-derived fallback position."""
     spark = ids.sparkSession
-    known = spark.createDataFrame(KNOWN_SENSORS, "sensor_id long, k_lat double, k_lon double, "
-                                                 "k_highway string, k_direction string")
+    # a JVM-side literal table (no Python-backed RDD, no Python workers)
+    known = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(sid).cast("long").alias("sensor_id"), F.lit(lat).alias("k_lat"),
+                 F.lit(lon).alias("k_lon"), F.lit(hw).alias("k_highway"), F.lit(dr).alias("k_direction"))
+        for sid, lat, lon, hw, dr in KNOWN_SENSORS])))
     i = F.col("idx")
     j = ids.join(F.broadcast(known), "sensor_id", "left")  # fixed 6-row table
     return j.select(
