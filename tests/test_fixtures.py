@@ -291,3 +291,15 @@ def test_halo_longer_than_a_day_is_refused(spark):
     r = readings(spark, [1.0, 2.0])
     with pytest.raises(ValueError):
         align.with_halo(align.regular_grid(r, 60).select("edge_id", "day", "timestamp", "speed"), 60, 30)
+
+
+def test_ordered_split_irregular(spark):
+    # 10 distinct irregular instants, two sensors each → 7 / 1 / 2 instants
+    times = [T0 + dt.timedelta(minutes=m) for m in (0, 3, 4, 10, 11, 30, 31, 50, 90, 91)]
+    rows = [(t, e, 1.0) for t in times for e in ("a", "b")]
+    df = spark.createDataFrame(rows, "timestamp timestamp, edge_id string, speed double")
+    out = features.ordered_split(df)
+    per = {r.split: r["count"] for r in out.select("timestamp", "split").distinct().groupBy("split").count().collect()}
+    assert per == {"train": 7, "val": 1, "test": 2}
+    first_test = min(r.timestamp for r in out.where("split = 'test'").collect())
+    assert first_test == times[8]
