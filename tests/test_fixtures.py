@@ -303,3 +303,14 @@ def test_ordered_split_irregular(spark):
     assert per == {"train": 7, "val": 1, "test": 2}
     first_test = min(r.timestamp for r in out.where("split = 'test'").collect())
     assert first_test == times[8]
+
+
+def test_shuffled_batches(spark):
+    starts = [T0 + dt.timedelta(hours=i) for i in range(13)]
+    w = spark.createDataFrame([(t, e, [1.0], [2.0]) for t in starts for e in ("a", "b")],
+                              "label_start timestamp, edge_id string, x array<double>, y array<double>")
+    b1 = windows.shuffled_batches(w, 5, seed=1)
+    sizes = sorted(r["count"] for r in b1.select("label_start", "batch").distinct().groupBy("batch").count().collect())
+    assert sizes == [3, 5, 5]
+    again = {r.label_start: r.batch for r in windows.shuffled_batches(w, 5, seed=1).collect()}
+    assert again == {r.label_start: r.batch for r in b1.collect()}
