@@ -45,25 +45,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, which all executors see.
 
-    On a cluster the setting must point at shared storage and is only read.
-    When it is unset (local tests) a scratch folder is created and registered.
+    The setting is only read where it is present. A local-mode session without
+    it (tests, the bench) gets a scratch folder of its own; any other master
+    without it is an error, since executors would write to their own disks.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    try:
-        configured = configured or spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001
-        pass
+    configured = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.checkpoint.dir", None))
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
     path = tempfile.mkdtemp(prefix="velograph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
-    try:  # remember it for later calls; some deployments reject core confs at run time
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001
-        pass
+    spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
