@@ -32,4 +32,16 @@ j AS (SELECT doc_id, i, line, r.key IS NOT NULL AND doc_id < keeper AS gone FROM
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id""",
+    "op4_substring_dedup": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w FROM documents),
+win AS (SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+low AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS i FROM win JOIN low USING (h) WHERE doc_id > low),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept, count(*) AS n
+      FROM x ANTI JOIN gone ON x.doc_id = gone.doc_id AND x.i = gone.i GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
 }

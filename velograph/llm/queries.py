@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import line_dedup, oracle, wu_manber
+from velograph.llm import line_dedup, oracle, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = oracle.SQL
@@ -36,3 +36,10 @@ def op10_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op4_substring_dedup(spark, sf_dir):
+    """Words covered by a 50-word window that a smaller doc_id has too are removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.decide(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
