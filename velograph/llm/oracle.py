@@ -44,4 +44,15 @@ k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept, count(*) AS n
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)""",
+    "op1_ngram_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{SPACED}') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g
+      FROM (SELECT doc_id, w, least(3, len(w)) AS k, unnest(generate_series(1, len(w) - least(3, len(w)) + 1)) AS i
+            FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+r AS (SELECT doc_id, doc_id AS m FROM n UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, coalesce(min(r.m), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id""",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import line_dedup, oracle, substring_dedup, wu_manber
+from velograph.llm import line_dedup, ngram_join, oracle, substring_dedup, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = oracle.SQL
@@ -43,3 +43,10 @@ def op4_substring_dedup(spark, sf_dir):
     """Words covered by a 50-word window that a smaller doc_id has too are removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.decide(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op1_ngram_join(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.near_duplicates(docs, k=3, percent=90).select("doc_id", "n_shingles", "component_id")
