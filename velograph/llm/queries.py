@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import line_dedup, ngram_join, oracle, substring_dedup, wu_manber
+from velograph.llm import huffman, line_dedup, ngram_join, oracle, substring_dedup, wu_manber
+
+from velograph.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = oracle.SQL
@@ -50,3 +53,12 @@ def op1_ngram_join(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
     docs = table(spark, sf_dir, "documents")
     return ngram_join.near_duplicates(docs, k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_huffman(spark, sf_dir):
+    """Token ids of whole documents, written as Huffman blocks in document order and read back."""
+    scratch = Scratch(spark, "huffman")
+    huffman.write_ids(table(spark, sf_dir, "documents"), scratch.root, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    scratch.drop("ids")
+    return huffman.read_ids(spark, scratch.root, digest=True)
