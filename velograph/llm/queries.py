@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import huffman, line_dedup, ngram_join, oracle, substring_dedup, wu_manber
+from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, substring_dedup, wu_manber
 
 from velograph.llm.scratch import Scratch
 
@@ -62,3 +62,11 @@ def op7_huffman(spark, sf_dir):
     huffman.write_ids(table(spark, sf_dir, "documents"), scratch.root, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     scratch.drop("ids")
     return huffman.read_ids(spark, scratch.root, digest=True)
+
+
+@query
+def op3_nb_svm(spark, sf_dir):
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nb_svm.fit(docs, table(spark, sf_dir, "labels"))
+    return nb_svm.score(docs.withColumn("held_out", nb_svm.held_out(F.col("doc_id"))), model).select("doc_id", "held_out", "score", "predicted")
