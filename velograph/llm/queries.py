@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, substring_dedup, wu_manber
+from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, style_tree, substring_dedup, wu_manber
 
 from velograph.llm.scratch import Scratch
 
@@ -70,3 +70,9 @@ def op3_nb_svm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = nb_svm.fit(docs, table(spark, sf_dir, "labels"))
     return nb_svm.score(docs.withColumn("held_out", nb_svm.held_out(F.col("doc_id"))), model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op6_style_tree(spark, sf_dir):
+    """Main text of every page."""
+    return style_tree.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
