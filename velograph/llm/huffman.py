@@ -35,11 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from velograph.llm import textcodes as tc
+from velograph.llm.idcache import IdCache
 
 MAX_BITS = 16
 BLOCK_TOKENS = 1 << 16
 LANE = 64
-CACHE_WORDS = 1 << 20
 GROUP_WORDS = 500
 IDS_FIELDS = "doc_id long, n_tokens long, crc long, ids binary, counts binary"
 BLOCK_FIELDS = ("file int, block int, first_token long, n_tokens long, doc_ids array<long>, "
@@ -54,7 +54,7 @@ KIND[0x27] = KIND[0x3C] = 0  # apostrophes start endings; < starts special strin
 
 
 class WordEncoder:
-    """Ids of words, kept for the words met before (at most ``CACHE_WORDS``)."""
+    """Ids of words, kept for the words met before."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,14 +64,7 @@ class WordEncoder:
         self.size = max(vocabulary.values()) + 1
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self._clear()
-
-    def _clear(self):
-        self.known = np.zeros(0, tc.U64)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-        self.store = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.cache = IdCache()
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -108,30 +101,8 @@ class WordEncoder:
 
     def encode(self, w: tc.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a block, and the ids' document pointer."""
-        codes, first, word = np.unique(tc.word_hashes(w), return_index=True, return_inverse=True)
-        if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(len(w.ptr), np.int64)
-        if len(self.known) + len(codes) > CACHE_WORDS:
-            self._clear()
-        at = np.searchsorted(self.known, codes)
-        fresh = np.ones(len(codes), bool)
-        inside = at < len(self.known)
-        fresh[inside] = self.known[at[inside]] != codes[inside]
-        if fresh.any():
-            ids, length = self._new_words(w, first[fresh])
-            while self.used + len(ids) > len(self.store):
-                self.store = np.concatenate([self.store, np.zeros(len(self.store), np.int32)])
-            self.store[self.used:self.used + len(ids)] = ids
-            start = self.used + np.cumsum(length) - length
-            self.used += len(ids)
-            self.known = np.insert(self.known, at[fresh], codes[fresh])
-            self.start = np.insert(self.start, at[fresh], start)
-            self.length = np.insert(self.length, at[fresh], length)
-            at = np.searchsorted(self.known, codes)
-        start, length = self.start[at][word], self.length[at][word]
-        total = np.concatenate([[0], np.cumsum(length)])
-        ids = self.store[np.arange(total[-1]) + np.repeat(start - total[:-1], length)]
-        return ids, total[w.ptr]
+        ids, bounds = self.cache.ids(tc.word_hashes(w), lambda which: self._new_words(w, which))
+        return ids, bounds[w.ptr]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, style_tree, substring_dedup, wu_manber
+from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, pieces, style_tree, substring_dedup, wu_manber
 
 from velograph.llm.scratch import Scratch
 
@@ -76,3 +76,15 @@ def op3_nb_svm(spark, sf_dir):
 def op6_style_tree(spark, sf_dir):
     """Main text of every page."""
     return style_tree.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op5_pieces(spark, sf_dir):
+    """Ids of every document under merge-dropout (their number and crc32 as text), decoded back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.decode(pieces.encode(docs, path), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                      F.crc32(F.concat_ws(",", "ids").cast("binary")).alias("ids_crc32"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"),
+                      (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
