@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import huffman, line_dedup, nb_svm, ngram_join, oracle, pieces, style_tree, substring_dedup, wu_manber
+from velograph.llm import huffman, lattice, line_dedup, nb_svm, ngram_join, oracle, pieces, style_tree, substring_dedup, wu_manber
 
 from velograph.llm.scratch import Scratch
 
@@ -88,3 +88,9 @@ def op5_pieces(spark, sf_dir):
                       F.crc32(F.concat_ws(",", "ids").cast("binary")).alias("ids_crc32"),
                       F.sha2("decoded", 256).alias("decoded_sha256"),
                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+@query
+def op2_lattice(spark, sf_dir):
+    """Components of vectors of one label with a cosine of 0.98 or more."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
