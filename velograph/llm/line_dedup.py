@@ -205,14 +205,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     found = dropped_lines(docs, key, text, **options)
     left = docs.select(*names)
-    joined = left.join(found.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash", "dropped": "_dropped"}),
-                       (F.col(key).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left")
+    joined = left.join(found.withColumnsRenamed({"doc_id": "__llm_doc", "text_hash": "__llm_hash", "dropped": "__llm_dropped"}),
+                       (F.col(key).cast("long") == F.col("__llm_doc")) & (F.xxhash64(text) == F.col("__llm_hash")), "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields)
 
     def run(batches):
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
-            for old, packed in zip(batch.column(text).to_pylist(), batch.column("_dropped").to_pylist(), strict=True):
+            for old, packed in zip(batch.column(text).to_pylist(), batch.column("__llm_dropped").to_pylist(), strict=True):
                 if packed is None:
                     texts.append(old)
                     n_lines.append((old or "").count("\n") + 1)
@@ -227,4 +227,4 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                                              names=[*names, "n_lines", "n_dropped"])
 
-    return joined.select(*names, "_dropped").mapInArrow(run, f"{fields}, n_lines long, n_dropped long")
+    return joined.select(*names, "__llm_dropped").mapInArrow(run, f"{fields}, n_lines long, n_dropped long")

@@ -195,11 +195,11 @@ def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         sample: int = SAMPLE, bits: int = BITS) -> Model:
     """Learn from the labelled documents that are not held out."""
-    known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(key))).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("quality"))
+    known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(key))).select(F.col(key).alias("__llm_key"), F.col(label).cast("int").alias("quality"))
     share = sample / max(1, known.count())
-    known = known.withColumn("sampled", F.pmod(F.xxhash64("_key", F.lit("sample")), F.lit(1 << 30)) < int(min(share, 1) * (1 << 30)))
-    rows = (docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(known, "_key")
-            .select(F.col("_key").cast("long").alias("doc_id"), "quality", "sampled", "text"))
+    known = known.withColumn("sampled", F.pmod(F.xxhash64("__llm_key", F.lit("sample")), F.lit(1 << 30)) < int(min(share, 1) * (1 << 30)))
+    rows = (docs.select(F.col(key).alias("__llm_key"), F.col(text).alias("text")).join(known, "__llm_key")
+            .select(F.col("__llm_key").cast("long").alias("doc_id"), "quality", "sampled", "text"))
     scratch = Scratch(docs.sparkSession, "nb-svm")
     counted = scratch.write(rows.mapInArrow(_count(bits), "doc_id long, quality int, found binary, counts binary"), "counted")
     totals = counted.where("counts IS NOT NULL").select("counts")

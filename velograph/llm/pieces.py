@@ -188,13 +188,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches):
         pieces = model(path, dropout, seed)
         for batch in batches:
-            owners = batch.column("_owner").to_numpy()
+            owners = batch.column("__llm_owner").to_numpy()
             for lo, hi, data, off in tc.blocks(batch.column(text)):
                 ids, ptr = pieces.encode(data, off, owners[lo:hi], dropout, seed)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c)[lo:hi] for c in names),
                                                   pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(ids))], names=[*names, "ids"])
 
-    return docs.withColumn("_owner", F.coalesce(F.col(key).cast("long"), F.lit(-1))).mapInArrow(run, f"{fields}, ids array<int>")
+    return docs.withColumn("__llm_owner", F.coalesce(F.col(key).cast("long"), F.lit(-1))).mapInArrow(run, f"{fields}, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:

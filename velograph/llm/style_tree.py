@@ -262,7 +262,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", small: int =
     low = Scratch(spark, "style-tree-cut").write(low_branches(pages, url, page), "low")
     names = [c for c in pages.columns if c not in ("text", "n_chars", page)]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*names).schema.fields)
-    source = pages.select(*names, F.col(page).alias("_html"), F.col(url).alias("_url"))
+    source = pages.select(*names, F.col(page).alias("__llm_html"), F.col(url).alias("__llm_url"))
     shared = None
     if low.count() <= small:
         rows: dict[int, set[int]] = {}
@@ -271,17 +271,17 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", small: int =
         shared = spark.sparkContext.broadcast(rows)
     else:
         hosts = F.udf(lambda u: _hash(host(u)), "long")
-        lists = low.groupBy("host").agg(F.collect_set("node").alias("_cut"))
-        source = source.withColumn("_host", hosts("_url")).join(lists, F.col("_host") == lists["host"], "left").select(*source.columns, "_cut")
+        lists = low.groupBy("host").agg(F.collect_set("node").alias("__llm_cut"))
+        source = source.withColumn("__llm_host", hosts("__llm_url")).join(lists, F.col("__llm_host") == lists["host"], "left").select(*source.columns, "__llm_cut")
 
     def run(batches):
         nothing: frozenset = frozenset()
         for batch in batches:
             if shared is not None:
-                cuts = [shared.value.get(_hash(host(u)), nothing) for u in batch.column("_url").to_pylist()]
+                cuts = [shared.value.get(_hash(host(u)), nothing) for u in batch.column("__llm_url").to_pylist()]
             else:
-                cuts = [set(c or ()) for c in batch.column("_cut").to_pylist()]
-            texts = [main_text(p, c) for p, c in zip(batch.column("_html").to_pylist(), cuts, strict=True)]
+                cuts = [set(c or ()) for c in batch.column("__llm_cut").to_pylist()]
+            texts = [main_text(p, c) for p, c in zip(batch.column("__llm_html").to_pylist(), cuts, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string()),
                                               pa.array(np.array([len(t) for t in texts], np.int64))], names=[*names, "text", "n_chars"])
 

@@ -203,8 +203,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     """``docs`` with the repeated words taken out; a text that loses none is unchanged,
     one that loses some is its kept words joined by one space."""
     done = decide(docs, key, text, size).where("n_removed > 0").dropDuplicates(KEYS)
-    done = done.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "n_removed", F.coalesce("kept", F.lit("")).alias("_kept"))
+    done = done.select(F.col("doc_id").alias("__llm_doc"), F.col("text_hash").alias("__llm_hash"), "n_removed", F.coalesce("kept", F.lit("")).alias("__llm_kept"))
     return (docs.drop("n_removed")
-            .join(done, (F.col(key).cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left")
-            .withColumn(text, F.coalesce("_kept", text)).withColumn("n_removed", F.coalesce("n_removed", F.lit(0)))
-            .drop("_doc", "_hash", "_kept"))
+            .join(done, (F.col(key).cast("long") == F.col("__llm_doc")) & (F.xxhash64(text) == F.col("__llm_hash")), "left")
+            .withColumn(text, F.coalesce("__llm_kept", text)).withColumn("n_removed", F.coalesce("n_removed", F.lit(0)))
+            .drop("__llm_doc", "__llm_hash", "__llm_kept"))
