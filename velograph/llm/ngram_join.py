@@ -15,7 +15,7 @@ one n-gram if it has fewer). Two documents link when
    member with a few hubs (the members with the least keyed hash); once those
    links are known, only members of different components are paired, so a group
    of k near copies costs about k pairs. Pairs pass the length, positional and
-   suffix filters (the last: counts of a set's n-grams in 32 hash ranges bound
+   suffix filters (the last: counts of a set's n-grams in 64 hash ranges bound
    the difference of two sets), then the sets are compared, once per pair.
 4. Components of the links give each document the smallest id it reaches. A link
    whose ends are known to be connected need not be found; all others are.
@@ -40,8 +40,9 @@ from velograph.llm.scratch import Scratch
 
 SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 16
-HUBS = 4
-RANGES = 32
+HUBS = 2
+LOOKS = 200
+RANGES = 64
 SEEN_LIMIT = 1 << 20
 ROW_NAMES = ["doc_id", "n_shingles", "fp", "fp2", "block", "counts"]
 ROW_FIELDS = "doc_id long, n_shingles long, fp long, fp2 long, block int, counts binary"
@@ -75,14 +76,24 @@ def _measure(k: int, bits: int):
     """First pass: a row per document, and at the end of a task its counters."""
     def run(batches):
         counts = np.zeros(1 << bits, np.int32)
+        held: list[np.ndarray] = []
+
+        def add():
+            if held:
+                np.add(counts, np.bincount(np.concatenate(held), minlength=1 << bits), out=counts, casting="unsafe")
+                held.clear()
+
         for batch in batches:
             for lo, hi, data, off in tc.blocks(batch.column("text")):
                 sets, ptr = shingle_sets(data, off, k)
-                np.add.at(counts, (sets >> tc.U64(64 - bits)).astype(np.int64), 1)
+                held.append((sets >> tc.U64(64 - bits)).astype(np.int32))
+                if sum(map(len, held)) > 1 << bits:
+                    add()
                 n = hi - lo
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[lo:hi], pa.array(np.diff(ptr)), *map(pa.array, _set_hashes(sets, ptr)),
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=ROW_NAMES)
+        add()
         for i in range(0, len(counts), SKETCH_BLOCK):
             part = counts[i:i + SKETCH_BLOCK]
             if part.any():
@@ -100,28 +111,17 @@ def _add_up(batches):
             part = np.frombuffer(zlib.decompress(packed), np.int32)
             total[block] = total.get(block, 0) + part.astype(np.int64)
     if total:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()),
-             pa.array([np.minimum(x, np.iinfo(np.int32).max).astype(np.int32).tobytes() for x in total.values()], pa.binary())],
-            names=["block", "counts"])
-
-
-def _compressed(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.compress(x, 1) for x in batch.column(1).to_pylist()], pa.binary())],
-                                         names=["block", "counts"])
+        packed = [zlib.compress(np.minimum(x, 65535).astype(np.uint16).tobytes(), 1) for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
 
 def _sketch(rows: DataFrame, bits: int) -> np.ndarray:
     """Counts of all documents' n-grams by the leading bits of their hash."""
-    parts = rows.where("block IS NOT NULL").select("block", "counts")
-    fields = "block int, counts binary"
-    parts = (parts.repartition("block", F.pmod(F.xxhash64("counts"), F.lit(64))).mapInArrow(_add_up, fields)
-             .mapInArrow(_compressed, fields).repartition("block").mapInArrow(_add_up, fields))
+    parts = rows.where("block IS NOT NULL").select("block", "counts").repartition("block")
     out = np.zeros(1 << bits, np.uint16)
-    for r in parts.toLocalIterator():
-        counts = np.frombuffer(r.counts, np.int32)
-        out[r.block * SKETCH_BLOCK:][:len(counts)] = np.minimum(counts, 65535)
+    for r in parts.mapInArrow(_add_up, "block int, counts binary").collect():  # one row for each block of the table
+        counts = np.frombuffer(zlib.decompress(r.counts), np.uint16)
+        out[r.block * SKETCH_BLOCK:][:len(counts)] = counts
     return out
 
 
@@ -157,15 +157,21 @@ def _prefixes(k: int, percent: int, bits: int, sketch):
 
 
 def _fetch_sets(k: int):
-    """Sets of the wanted classes, with the counts of their n-grams in each hash range."""
+    """Sets of the wanted classes, with the counts of their n-grams in each hash range
+    (rows are sorted by id, so rows repeating one stand together; the first is used)."""
     def run(batches):
+        last = None
         for batch in batches:
             for lo, hi, data, off in tc.blocks(batch.column("text")):
                 sets, ptr = shingle_sets(data, off, k)
                 fp, _ = _set_hashes(sets, ptr)
-                ok = np.flatnonzero(fp == batch.column("fp")[lo:hi].to_numpy())
+                fresh = np.ones(hi - lo, bool)
+                fresh[1:] = fp[1:] != fp[:-1]
+                fresh[0] = fp[0] != last
+                last = fp[-1]
+                ok = np.flatnonzero(fresh & (fp == batch.column("fp")[lo:hi].to_numpy()))
                 owner = np.repeat(np.arange(hi - lo), np.diff(ptr))
-                ranges = np.bincount(owner * RANGES + (sets >> tc.U64(59)).astype(np.int64), minlength=(hi - lo) * RANGES)
+                ranges = np.bincount(owner * RANGES + (sets >> tc.U64(58)).astype(np.int64), minlength=(hi - lo) * RANGES)
                 ranges = ranges.reshape(-1, RANGES).astype(np.int32)
                 at = ptr.tolist()
                 yield pa.RecordBatch.from_arrays(
@@ -216,21 +222,25 @@ class Join:
         return ((low * 100 >= high * p) & (((nx <= ny) & (rx < index(nx))) | ((ny <= nx) & (ry < index(ny))))
                 & (1 + F.least(nx - rx, ny - ry) - 1 >= need))
 
+    def _alike(self, a: str, b: str, n: Column, other: Column) -> Column:
+        """Suffix filter: sets that differ in more n-grams than a link allows do so by range."""
+        total = n.cast("long") + other
+        apart = F.aggregate(F.zip_with(a, b, lambda u, v: F.abs(u - v)), F.lit(0), lambda s, u: s + u)
+        return apart <= total - 2 * F.ceil(self.percent * total / (100 + self.percent))
+
     def _pairs(self, x: DataFrame, y: DataFrame) -> DataFrame:
+        """Distinct pairs of classes of different parts that share an n-gram and pass all
+        filters; both sides have the classes' ranges."""
         found = x.alias("x").join(y.alias("y"), F.col("x.gram") == F.col("y.gram"))
-        found = found.where((F.col("x.fp") != F.col("y.fp")) & (F.col("x.part") != F.col("y.part")) & self._matches())
+        found = found.where((F.col("x.part") != F.col("y.part")) & self._matches()
+                            & self._alike("x.ranges", "y.ranges", F.col("x.n"), F.col("y.n")))
         return found.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """The pairs that passed the suffix filter, and of these the links."""
-        p = self.percent
-        side = lambda x: sets.select(F.col("fp").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "ranges")))
-        total = F.col("n_a").cast("long") + F.col("n_b")
-        apart = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda u, v: F.abs(u - v)), F.lit(0), lambda s, u: s + u)
-        pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= total - 2 * F.ceil(p * total / (100 + p)))
-        pairs = self.scratch.write(pairs.select("a", "b"), f"{name}-pairs")
+        """The pairs as a written table, and those of them that link."""
+        pairs = self.scratch.write(pairs, f"{name}-pairs")
         grams = lambda x: sets.select(F.col("fp").alias(x), F.col("grams").alias(f"grams_{x}"))
-        links = pairs.join(grams("b"), "b").join(grams("a"), "a").mapInArrow(_compare(p), "a long, b long")
+        links = pairs.join(grams("b"), "b").join(grams("a"), "a").mapInArrow(_compare(self.percent), "a long, b long")
         return pairs, self.scratch.write(links, f"{name}-links")
 
     def links(self) -> DataFrame:
@@ -244,40 +254,44 @@ class Join:
                    .withColumn("before", F.lag("fp").over(group)).where("before IS NULL OR before <> fp").drop("before")
                    .withColumn("less", F.lag("n").over(group)).withColumn("more", F.lead("n").over(group))
                    .where(f"100 * less >= {p} * n OR 100 * n >= {p} * more").drop("less", "more"))
+        members = self.scratch.write(members, "near-in-length")
+        other = members.alias("y")
+        members = members.alias("x").join(other, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.fp") != F.col("y.fp")) & self._matches(), "left_semi")
         members = self.scratch.write(members, "members")
         wanted = members.select("fp").distinct().join(self.classes, "fp").select("fp", F.col("first_id").alias("doc_id"))
         sets = self.docs.join(wanted, "doc_id").mapInArrow(_fetch_sets(self.k), "fp long, n int, grams binary, ranges array<int>")
-        sets = self.scratch.write(sets.dropDuplicates(["fp"]), "sets")
+        sets = self.scratch.write(sets, "sets")
 
+        ranges = sets.select("fp", "ranges")
         parted = members.withColumn("part", F.col("fp"))
+        rows = members.count()
         tested = links = None
-        turn = 0
+        turn, cost = 0, None
         while True:
             turn += 1
             hubs = parted.groupBy("gram").agg(*(
                 F.min_by(F.struct("fp", "n", "rank", "part"), F.xxhash64("fp", F.lit(turn * HUBS + i))).alias(f"h{i}") for i in range(HUBS)),
-                F.count_distinct("part").alias("parts")).where("parts > 1")
+                F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
             hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("h")).select("gram", "h.*")
-            pairs = self._pairs(hubs, parted)
+            pairs = self._pairs(hubs.join(ranges, "fp"), parted.join(ranges, "fp"))
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             done, found = self._verified(pairs, sets, f"hubs-{turn}")
-            progress = not found.isEmpty()
             tested = done if tested is None else tested.union(done)
             links = found if links is None else links.union(found)
-            if progress:
-                nodes = components(links, self.scratch, f"turn-{turn}").select(F.col("node").alias("fp"), "component")
-                parted = members.join(nodes, "fp", "left").withColumn("part", F.coalesce("component", "fp")).drop("component")
-                parted = self.scratch.write(parted, f"parted-{turn}")
+            nodes = components(links, self.scratch, f"turn-{turn}").select(F.col("node").alias("fp"), "component")
+            parted = members.join(nodes, "fp", "left").withColumn("part", F.coalesce("component", "fp")).drop("component")
+            parted = self.scratch.write(parted, f"parted-{turn}")
             sizes = parted.groupBy("gram", "part").agg(F.count("*").alias("size"))
             groups = sizes.groupBy("gram").agg(F.sum("size").alias("size"), F.max_by("part", "size").alias("main"),
                                                F.max("size").alias("main_size")).where("size > main_size")
             groups = self.scratch.write(groups, f"open-{turn}")
-            cost = groups.agg(F.sum(F.col("size") * (F.col("size") - F.col("main_size")))).first()[0] or 0
-            if not progress or cost <= 4 * members.count():
+            before, cost = cost, groups.agg(F.sum(F.col("size") * (F.col("size") - F.col("main_size")))).first()[0] or 0
+            # more hubs while they help: the rest looks at ``cost`` combinations of rows
+            if cost <= LOOKS * rows or (before is not None and 2 * cost > before):
                 break
         # all that is left: members outside the largest component of their group, with all others
-        open_rows = parted.join(groups.select("gram", "main"), "gram")
+        open_rows = parted.join(groups.select("gram", "main"), "gram").join(ranges, "fp")
         pairs = self._pairs(open_rows.where("part <> main"), open_rows).join(tested, ["a", "b"], "left_anti")
         _, found = self._verified(pairs, sets, "rest")
         return links.union(found)

@@ -185,9 +185,17 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    out = np.sort(values)
+    keep = np.ones(len(out), bool)
+    keep[1:] = out[1:] != out[:-1]
+    return out[keep]
+
+
 def distinct_per_doc(codes: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct codes of each document, with their pointer."""
-    parts = [np.unique(codes[a:b]) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
+    parts = [distinct(codes[a:b]) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
     out = np.zeros(len(ptr), np.int64)
     np.cumsum([len(p) for p in parts], out=out[1:])
     return (np.concatenate(parts) if parts else np.zeros(0, codes.dtype)), out
