@@ -120,11 +120,11 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
     before/after each sensor-day (from ``prior``/``posterior`` outside the
     range), so ``fill`` needs no second pass over the grid.
 
-    Plan: readings → partial-aggregating mean per (sensor, day, tick) → one
-    observation map per sensor-day (≤ ticks/day entries) → sensor-day rows
-    (from a generator, no cartesian join) → optional carries (a window over
-    days per sensor) → hash partition by (sensor, day) → ticks exploded last.
-    The grid itself is never shuffled and its windows reuse this partitioning.
+    Plan: readings → partial-aggregating mean per (sensor, day, tick) → one sorted
+    list per sensor-day (≤ ticks/day entries) → sensor-day rows (from a generator,
+    no cartesian join) → optional carries (a window over days per sensor on the
+    days' first and last reading alone) → hash partition by (sensor, day) → ticks
+    exploded last, each list read once. Windows by sensor-day reuse this partitioning.
     """
     if align not in ("exact", "bucket"):
         raise ValueError(f"unknown align: {align}")
@@ -152,42 +152,53 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
             F.lit(lo_us) + F.floor(off / F.lit(step_us)).cast("long") * F.lit(step_us)))
     r = r.withColumn("day", day_of("timestamp"))
 
-    obs = (r.groupBy("edge_id", "day", "timestamp")
-           .agg(F.avg("speed").alias("speed"), F.count("speed").alias("n_obs"))
-           .groupBy("edge_id", "day")
-           .agg(F.map_from_entries(F.collect_list(F.struct(
-               "timestamp", F.struct("speed", "n_obs")))).alias("_obs")))
+    ticks = (r.withColumn("k", F.floor((_us("timestamp") - F.lit(lo_us)) / F.lit(step_us)).cast("long"))
+             .groupBy("edge_id", "day", "k").agg(F.avg("speed").alias("speed"), F.count("speed").alias("n_obs")))
+    obs = ticks.groupBy("edge_id", "day").agg(  # at most the ticks of one day
+        F.array_sort(F.collect_list(F.struct("k", "speed", "n_obs"))).alias("_obs"))
     days = edges.select("edge_id", F.explode(
         F.sequence(_ts(first_day), _ts(last_day), F.expr("INTERVAL 1 DAY"))).alias("day"))
-    sd = days.join(obs, ["edge_id", "day"], "left")
     if carry:
-        sd = _day_carries(sd, prior, posterior)
+        days = _day_carries(days, ticks, lo_us, step_us, prior, posterior)
+    sd = days.join(obs, ["edge_id", "day"], "left")
     sd = sd.repartition("edge_id", "day")
     first_k, last_k = _tick_range(F.col("day"), F.lit(lo_us), F.lit(hi_us), step_us)
     extra = [c for c in ("_cprev", "_cnext") if c in sd.columns]
-    g = sd.select("edge_id", "day", "_obs", *extra, F.explode(F.sequence(first_k, last_k)).alias("k"))
-    g = g.select("edge_id", "day", F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us))
-                 .alias("timestamp"), "_obs", *extra)
-    hit = F.element_at("_obs", F.col("timestamp"))
-    return g.select("edge_id", "day", "timestamp", hit["speed"].alias("speed"),
-                    F.coalesce(hit["n_obs"], F.lit(0)).cast("long").alias("n_obs"), *extra)
-
-
-def _day_carries(sd: DataFrame, prior: DataFrame | None, posterior: DataFrame | None) -> DataFrame:
-    """Per sensor-day: nearest observation on an earlier / later day (or outside the range)."""
-    pts = F.transform(F.filter(F.map_entries("_obs"), lambda e: e["value"]["speed"].isNotNull()),
-                      lambda e: F.struct(e["key"].alias("ts"), e["value"]["speed"].alias("v")))
-    sd = sd.withColumn("_last", F.array_max(pts)).withColumn("_first", F.array_min(pts))
+    # a reading's tick opens a run of ticks up to the next reading's; the day's first tick opens one too
+    none = F.expr("cast(array() as array<struct<k:bigint,speed:double,n_obs:bigint>>)")
+    lead_in = F.array(F.struct(F.col("_k0").alias("k"), F.lit(None).cast("double").alias("speed"), F.lit(0).cast("long").alias("n_obs")))
+    sd = sd.withColumn("_k0", first_k).withColumn("_k1", last_k).where("_k0 <= _k1").withColumn("_obs", F.coalesce("_obs", none))
+    runs = F.when(F.get("_obs", F.lit(0))["k"] == F.col("_k0"), F.col("_obs")).otherwise(F.concat(lead_in, "_obs"))
+    sd = sd.withColumn("_runs", runs)
+    spans = F.transform("_runs", lambda o, i: F.struct(
+        o.alias("o"), (F.coalesce(F.get("_runs", i + 1)["k"], F.col("_k1") + 1) - 1).alias("to")))
+    g = sd.select("edge_id", "day", *extra, F.explode(spans).alias("_s"))
+    g = g.select("edge_id", "day", *extra, F.col("_s.o").alias("_o"), F.explode(F.sequence(F.col("_s.o.k"), F.col("_s.to"))).alias("k"))
+    opens = F.col("k") == F.col("_o.k")
+    return g.select("edge_id", "day", F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("timestamp"),
+                    F.when(opens, F.col("_o.speed")).alias("speed"),
+                    F.when(opens, F.col("_o.n_obs")).otherwise(F.lit(0)).cast("long").alias("n_obs"), *extra)
+
+
+def _day_carries(days: DataFrame, ticks: DataFrame, lo_us: int, step_us: int,
+                 prior: DataFrame | None, posterior: DataFrame | None) -> DataFrame:
+    """Per sensor-day: nearest observation on an earlier / later day (or outside the
+    range). Only the first and last reading of each sensor-day take part: the window
+    over a sensor's days holds two small structs a day, never its readings."""
+    point = F.struct(F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("ts"), F.col("speed").alias("v"))
+    ends = ticks.groupBy("edge_id", "day").agg(F.max_by(point, "k").alias("_last"), F.min_by(point, "k").alias("_first"))
+    days = days.join(ends, ["edge_id", "day"], "left")
     we = Window.partitionBy("edge_id").orderBy("day")
-    sd = sd.withColumn("_cprev", F.last("_last", True).over(we.rowsBetween(Window.unboundedPreceding, -1)))
-    sd = sd.withColumn("_cnext", F.first("_first", True).over(we.rowsBetween(1, Window.unboundedFollowing)))
+    back = Window.partitionBy("edge_id").orderBy(F.desc("day"))
+    days = days.withColumn("_cprev", F.last("_last", True).over(we.rowsBetween(Window.unboundedPreceding, -1)))
+    days = days.withColumn("_cnext", F.last("_first", True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
     if prior is not None:
         p = prior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
-        sd = sd.join(p, "edge_id", "left").withColumn("_cprev", F.coalesce("_cprev", "_pin")).drop("_pin")
+        days = days.join(p, "edge_id", "left").withColumn("_cprev", F.coalesce("_cprev", "_pin")).drop("_pin")
     if posterior is not None:
         q = posterior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_nin"))
-        sd = sd.join(q, "edge_id", "left").withColumn("_cnext", F.coalesce("_cnext", "_nin")).drop("_nin")
-    return sd.drop("_last", "_first")
+        days = days.join(q, "edge_id", "left").withColumn("_cnext", F.coalesce("_cnext", "_nin")).drop("_nin")
+    return days.drop("_last", "_first")
 
 
 def grid_day_ticks(readings: DataFrame, freq_minutes: int,
@@ -229,6 +240,12 @@ def ticks_per_day(grid: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- fills
 
 
+def _backwards():
+    """A sensor-day from its end up to the row: a running frame, read once."""
+    return (Window.partitionBy("edge_id", "day").orderBy(F.desc("timestamp"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
 def _prev_next(grid: DataFrame, prior: DataFrame | None,
                posterior: DataFrame | None, need_next: bool) -> DataFrame:
     """Attach nearest non-missing (ts, value) before/after each row.
@@ -244,8 +261,7 @@ def _prev_next(grid: DataFrame, prior: DataFrame | None,
     g = g.withColumn("_prev", F.last("_obs", True).over(
         wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if need_next:
-        g = g.withColumn("_next", F.first("_obs", True).over(
-            wd.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+        g = g.withColumn("_next", F.last("_obs", True).over(_backwards()))
 
     summ = grid.groupBy("edge_id", "day").agg(
         F.max_by(obs, F.when(F.col("speed").isNotNull(), F.col("timestamp"))).alias("_last"),
@@ -254,8 +270,9 @@ def _prev_next(grid: DataFrame, prior: DataFrame | None,
     summ = summ.withColumn("_cprev", F.last("_last", True).over(
         we.rowsBetween(Window.unboundedPreceding, -1)))
     if need_next:
-        summ = summ.withColumn("_cnext", F.first("_first", True).over(
-            we.rowsBetween(1, Window.unboundedFollowing)))
+        back = Window.partitionBy("edge_id").orderBy(F.desc("day"))
+        summ = summ.withColumn("_cnext", F.last("_first", True).over(
+            back.rowsBetween(Window.unboundedPreceding, -1)))
     if prior is not None:
         p = prior.where(F.col("ts").isNotNull()).select("edge_id", F.struct(F.col("ts"), F.col("v")).alias("_pin"))
         summ = summ.join(p, "edge_id", "left").withColumn(
@@ -281,8 +298,7 @@ def _local_prev_next(grid: DataFrame, need_next: bool) -> DataFrame:
     g = g.withColumn("_prev", F.coalesce(F.last("_obs", True).over(
         wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_cprev")))
     if need_next:
-        g = g.withColumn("_next", F.coalesce(F.first("_obs", True).over(
-            wd.rowsBetween(Window.currentRow, Window.unboundedFollowing)), F.col("_cnext")))
+        g = g.withColumn("_next", F.coalesce(F.last("_obs", True).over(_backwards()), F.col("_cnext")))
     return g
 
 

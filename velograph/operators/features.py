@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.functions.columns import calendar_features, linear_weight, sigma_guard, step_weight
+from velograph.operators.windows import numbered
 from velograph.session import materialize
 
 # Fixed values that must equal the reference's.
@@ -56,20 +57,18 @@ def exact_percentile(df: DataFrame, key: str, value: str, q: float,
     return agg.select(key, (F.col("_vl") + F.col("_fr") * (F.col("_vh") - F.col("_vl"))).alias(alias))
 
 
-def sensor_stats(readings: DataFrame, exact_percentile_: bool = True) -> DataFrame:
-    """A1–A3: count, mean, sample std (0 → 1), min, max, 90th percentile per sensor.
-
-    Moments are one partial-aggregating ``groupBy``; the exact percentile is
-    the skew-safe sort-based ``exact_percentile`` (``exact_percentile_=False``
-    switches to ``percentile_approx``, a bounded sketch per group).
-    """
+def sensor_stats(readings: DataFrame, percentile: bool = False) -> DataFrame:
+    """A1, A2: count, mean, sample std (plain as ``sample_std``, guarded 0 → 1 as
+    ``sigma``), min and max per sensor, one lazy partial-aggregating ``groupBy``; with ``percentile`` also A3, the exact 90th
+    percentile (``exact_percentile``, which sorts and stores the values)."""
     v = F.col("speed")
     r = readings.where(v.isNotNull())
-    moments = [F.count(v).alias("n"), F.avg(v).alias("mu"), sigma_guard(F.stddev_samp(v)).alias("sigma"),
-               F.min(v).alias("min"), F.max(v).alias("max")]
-    if not exact_percentile_:
-        return r.groupBy("edge_id").agg(*moments, F.percentile_approx(v, FREE_FLOW_PERCENTILE, 10000).alias("p90"))
-    stats = r.groupBy("edge_id").agg(*moments)
+    stats = r.groupBy("edge_id").agg(
+        F.count(v).alias("n"), F.avg(v).alias("mu"), F.stddev_samp(v).alias("sample_std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    stats = stats.withColumn("sigma", sigma_guard("sample_std"))
+    if not percentile:
+        return stats
     return stats.join(exact_percentile(r, "edge_id", "speed", FREE_FLOW_PERCENTILE, "p90"), "edge_id")
 
 
@@ -117,7 +116,7 @@ def with_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def congestion_step_weights(readings: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Weight 2.0 where speed / max(p90, 1) < 0.4 else 1.0, per reading."""
-    st = stats if stats is not None else sensor_stats(readings)
+    st = stats if stats is not None else sensor_stats(readings, percentile=True)
     j = readings.join(st.select("edge_id", "p90"), "edge_id", "left")
     return j.withColumn("weight", step_weight("speed", "p90")).drop("p90")
 
@@ -152,16 +151,16 @@ def ordered_split_grid(df: DataFrame, lo_us: int, hi_us: int, freq_minutes: int,
 
 
 def ordered_split(df: DataFrame, ratios: Sequence[float] = SPLIT_RATIOS) -> DataFrame:
-    """O4 on an irregular index: rank the *distinct instants* (a range-partitioned
-    sort numbered by ``zipWithIndex``), cut by ``int(n*ratio)``, join back."""
-    spark = df.sparkSession
-    inst = df.select("timestamp").distinct().orderBy("timestamp")
-    idx = inst.rdd.zipWithIndex().map(lambda r: (r[0][0], int(r[1])))
-    ranked = spark.createDataFrame(idx, "timestamp timestamp, _i long")
-    n = ranked.count()
-    a, b = split_bounds(n, ratios)
-    lab = ranked.select("timestamp", F.when(F.col("_i") < a, "train")
-                        .when(F.col("_i") < b, "val").otherwise("test").alias("split"))
+    """O4 on an irregular index: number the *distinct instants* (``windows.numbered``),
+    cut at ``int(n*ratio)``, join back. The cut positions follow from ``n`` in SQL."""
+    if abs(sum(ratios) - 1.0) > 1e-3:
+        raise ValueError("split ratios must sum to 1")
+    ranked = numbered(df.select("timestamp").distinct(), ["timestamp"])
+    n = ranked.agg(F.count("*").alias("n")).select("n").scalar()
+    first = F.floor(n * ratios[0])
+    second = first + F.floor(n * ratios[1])
+    lab = ranked.select("timestamp", F.when(F.col("position") <= first, "train")
+                        .when(F.col("position") <= second, "val").otherwise("test").alias("split"))
     return df.join(lab, "timestamp")
 
 
@@ -187,3 +186,15 @@ def profile(readings: DataFrame) -> DataFrame:
                         F.countDistinct("timestamp").alias("n_instants"),
                         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
                         F.count_if(F.col("speed").isNull()).alias("n_missing"))
+
+
+def with_dimensions(readings: DataFrame, holidays: DataFrame, sensors: DataFrame,
+                    default_limit: float = 65.0, default_road: str = "unknown") -> DataFrame:
+    """``is_holiday`` (by ``holidays(date)``), ``speed_limit`` and ``road_type`` (by
+    ``sensors(edge_id, speed_limit, road_type)``) per reading, with defaults."""
+    h = holidays.select(F.col("date").alias("_date")).distinct().withColumn("_holiday", F.lit(1))
+    d = sensors.select("edge_id", F.col("speed_limit").alias("_limit"), F.col("road_type").alias("_road"))
+    j = readings.join(h, F.to_date("timestamp") == F.col("_date"), "left").join(d, "edge_id", "left")
+    return (j.withColumn("is_holiday", F.coalesce("_holiday", F.lit(0)))
+            .withColumn("speed_limit", F.coalesce("_limit", F.lit(float(default_limit))))
+            .withColumn("road_type", F.coalesce("_road", F.lit(default_road))).drop("_date", "_holiday", "_limit", "_road"))

@@ -220,3 +220,20 @@ def score_with(windows: DataFrame, predict: Callable, t_in: int, t_out: int,
 
     schema = "label_start timestamp, edge_id string, y array<double>, pred array<double>"
     return windows.select("label_start", "edge_id", "x", "y").mapInPandas(run, schema)
+
+
+def jitter(windows: DataFrame, std: float, seed: int = 0) -> DataFrame:
+    """``x + N(0, 1) * std`` on every input value. The normal deviate comes from two
+    MD5-derived uniforms of (seed, label start, sensor, slot) (Box–Muller), so a rerun or
+    another partitioning gives the same noise. ``std`` 0 leaves the windows alone."""
+    if std <= 0:
+        return windows
+
+    def uniform(part: str, slot: Column) -> Column:
+        text = F.concat_ws(":", F.lit(f"{seed}{part}"), F.unix_micros("label_start").cast("string"), F.col("edge_id"), slot.cast("string"))
+        return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") + 1) / F.lit(4294967297.0)
+
+    def noisy(v: Column, i: Column) -> Column:
+        return v + F.lit(float(std)) * F.sqrt(-2 * F.ln(uniform("a", i))) * F.cos(2 * F.pi() * uniform("b", i))
+
+    return windows.withColumn("x", F.transform("x", noisy))

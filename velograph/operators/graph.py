@@ -6,8 +6,6 @@ huge degree is combined map-side; AQE splits a skewed join partition).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +20,15 @@ def parse_edge_list(df: DataFrame) -> DataFrame:
 
 def clean_edges(edges: DataFrame, n_nodes: int) -> DataFrame:
     """G1 + G2: keep ids in [0, N); duplicates → max(0, w…); zero weights vanish."""
-    e = edges.where((F.col("src") >= 0) & (F.col("src") < n_nodes) &
-                    (F.col("dst") >= 0) & (F.col("dst") < n_nodes))
-    return (e.groupBy("src", "dst").agg(F.greatest(F.lit(0.0), F.max("w")).alias("w"))
+    return (crop(edges, n_nodes).groupBy("src", "dst").agg(F.greatest(F.lit(0.0), F.max("w")).alias("w"))
             .where(F.col("w") > 0))
 
 
+def crop(edges: DataFrame, n_nodes: int) -> DataFrame:
+    """The subgraph of the first ``n_nodes`` nodes."""
+    return edges.where((F.col("src") >= 0) & (F.col("src") < n_nodes) & (F.col("dst") >= 0) & (F.col("dst") < n_nodes))
+
+
 def identity_graph(spark: SparkSession, n_nodes: int) -> DataFrame:
     """Self-loops only (no graph available)."""
     return spark.range(n_nodes).select(F.col("id").cast("int").alias("src"),
@@ -73,7 +74,3 @@ def neighbour_mix(values: DataFrame, edges: DataFrame, w_param: DataFrame | None
     m = mask.select("src", "dst", coef.alias("c"))
     j = values.join(m, values.node == m.src)
     return j.groupBy("t", F.col("dst").alias("node")).agg(F.sum(F.col("x") * F.col("c")).alias("y"))
-
-
-def softplus_zero() -> float:
-    return math.log(2.0)

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.window import Window
+
+from velograph.functions.columns import clip
 from velograph.operators.serve import ema_state
 
 # Fixed values that must equal the reference's configuration.
@@ -52,3 +55,36 @@ def bias_correction(residual_grid: DataFrame, decay: float = BIAS_DECAY) -> Data
     ``speed = y − ŷ`` in time order; add it to the next forecast."""
     b = ema_state(residual_grid, alpha=1.0 - decay)
     return b.select("edge_id", F.col("ema").alias("bias"), "ts", "n")
+
+
+def bias_corrected(forecasts: DataFrame, decay: float = BIAS_DECAY) -> DataFrame:
+    """C9 applied: ``corrected = clip(pred + bias)``, where ``bias`` is the EMA of the
+    sensor's residuals ``y - pred`` before the row (0 at its first).
+
+    ``forecasts(edge_id, day, timestamp, y, pred)``. A sensor-day folds to the EMA part of
+    its own residuals and their count; the biases at the starts of days follow from a
+    fold over the days of a sensor (one small struct a day), and inside a day the bias
+    is a running sum of residuals scaled by powers of the decay."""
+    a, b = 1.0 - decay, decay
+    day = Window.partitionBy("edge_id", "day").orderBy("timestamp")
+    r = forecasts.withColumn("_r", F.col("y") - F.col("pred")).withColumn("_j", F.count("_r").over(day.rowsBetween(Window.unboundedPreceding, -1)))
+    # sum over earlier rows i of a * r_i * b^(j - 1 - i), i counting known residuals of the day from 0
+    part = F.sum(F.lit(a) * F.col("_r") * F.pow(F.lit(b), -F.col("_j").cast("double"))).over(day.rowsBetween(Window.unboundedPreceding, -1))
+    r = r.withColumn("_own", F.coalesce(part, F.lit(0.0)) * F.pow(F.lit(b), F.col("_j").cast("double") - 1))
+    known = r.where(F.col("_r").isNotNull())
+    last = F.struct("_own", "_r")
+    days = known.groupBy("edge_id", "day").agg(F.count("*").alias("m"), F.max_by(last, "timestamp").alias("_l"),
+                                               F.min_by("_r", "timestamp").alias("first"))
+    days = days.select("edge_id", F.struct("day", "m", (F.col("_l._own") * F.lit(b) + F.lit(a) * F.col("_l._r")).alias("own"), "first").alias("d"))
+    # the EMA starts at the first residual: e_0 = r_0, so before it the state is r_0 itself
+    per = days.groupBy("edge_id").agg(F.array_sort(F.collect_list("d")).alias("ds"))  # one entry a day
+    start = F.struct(F.element_at("ds", 1)["first"].alias("e"), F.expr("cast(array() as array<struct<day:timestamp,e:double>>)").alias("at"))
+    folded = F.aggregate("ds", start, lambda s, d: F.struct(
+        (s["e"] * F.pow(F.lit(b), d["m"].cast("double")) + d["own"]).alias("e"),
+        F.concat(s["at"], F.array(F.struct(d["day"].alias("day"), s["e"].alias("e")))).alias("at")))
+    starts = per.select("edge_id", F.inline(folded["at"])).withColumnRenamed("e", "_e")
+    first = known.groupBy("edge_id").agg(F.min("timestamp").alias("_t0"))
+    j = r.join(starts, ["edge_id", "day"], "left").join(first, "edge_id", "left")
+    bias = F.when(F.col("timestamp") > F.col("_t0"), F.col("_e") * F.pow(F.lit(b), F.col("_j").cast("double")) + F.col("_own")).otherwise(F.lit(0.0))
+    return (j.withColumn("bias", F.coalesce(bias, F.lit(0.0))).withColumn("corrected", clip(F.col("pred") + F.col("bias")))
+            .drop("_r", "_j", "_own", "_e", "_t0"))

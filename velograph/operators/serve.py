@@ -24,16 +24,11 @@ STREAM_LOG_CAP = 10_000
 
 
 def latest_state(readings: DataFrame) -> DataFrame:
-    """T3 batch twin: latest non-missing reading per sensor (mean of duplicates there).
-
-    One partial-aggregating ``groupBy(edge_id)`` finds each sensor's last
-    instant; only the readings at exactly that instant are joined back and
-    averaged, so the history is scanned but never shuffled per instant.
-    """
-    r = readings.where(F.col("speed").isNotNull()).select("edge_id", "timestamp", "speed")
-    last = r.groupBy("edge_id").agg(F.max("timestamp").alias("_ts")).withColumnRenamed("edge_id", "_e")
-    at = r.join(last, (F.col("edge_id") == F.col("_e")) & (F.col("timestamp") == F.col("_ts")))
-    return at.groupBy("edge_id").agg(F.avg("speed").alias("speed"), F.max("timestamp").alias("ts"))
+    """T3 batch twin: latest non-missing reading per sensor, of several at the last
+    instant the largest. One partial-aggregating ``groupBy``."""
+    r = readings.where(F.col("speed").isNotNull() & ~F.isnan("speed"))
+    best = r.groupBy("edge_id").agg(F.max(F.struct("timestamp", "speed")).alias("_b"))
+    return best.select("edge_id", F.col("_b.speed").alias("speed"), F.col("_b.timestamp").alias("ts"))
 
 
 def ema_state(grid: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
@@ -92,7 +87,7 @@ def lookup(requests: DataFrame, pred: DataFrame, latest: DataFrame) -> DataFrame
     (``pred`` / ``speed`` / ``none``).
     """
     req = (validate_requests(requests).where("valid")
-           .select("request_id", "horizon", F.explode("edge_ids").alias("edge_id")).distinct())
+           .select("request_id", "horizon", F.explode(F.array_distinct("edge_ids")).alias("edge_id")))  # no state on a stream
     p = pred.select("edge_id", "horizon", F.col("value").alias("_pv"))
     s = latest.select("edge_id", F.col("speed").alias("_sv"))
     j = req.join(p, ["edge_id", "horizon"], "left").join(s, "edge_id", "left")
@@ -153,6 +148,12 @@ def capped_log(log: DataFrame, cap: int = STREAM_LOG_CAP, ts_col: str = "ts") ->
     return log.orderBy(F.col(ts_col).desc()).limit(cap)
 
 
+def trend_forecaster(x: str, t_out: int, alpha: float, per_step: float = 1.0) -> Column:
+    """A forecast that differs by step: the EMA of the history plus ``per_step`` a step, clipped."""
+    from velograph.operators.windows import ema
+    return F.transform(F.sequence(F.lit(1), F.lit(t_out)), lambda i: clip(ema(x, alpha) + i * F.lit(float(per_step))))
+
+
 def align_stats(sensors: DataFrame, stats: DataFrame) -> DataFrame:
     """Stats per listed sensor with defaults mu 0, sigma 1 (0 → 1)."""
     j = sensors.select("edge_id").join(stats.select("edge_id", "mu", "sigma"), "edge_id", "left")

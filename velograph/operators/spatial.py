@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.functions import geometry as geo
-from velograph.session import checkpoint_dir, spread
+from velograph.operators.windows import numbered
+from velograph.session import materialize
 
 # Fixed values that must equal the reference's.
 MAP_RADIUS_DEG = 0.001        # sensor → edge candidate radius (~100 m)
@@ -73,9 +74,11 @@ def in_bbox(df: DataFrame, lat: str = "latitude", lon: str = "longitude", box=BA
 
 
 def edge_geometry(edges: DataFrame) -> DataFrame:
-    """Bounding box, length and centroid columns for road edges."""
+    """Bounding box, length and centroid columns for road edges. Geometry is costly per
+    row, so the rows are dealt over all shuffle partitions, whatever files they come from."""
     cx, cy = geo.line_centroid("geom")
-    return spread(edges).select("*", *[c.alias(n) for n, c in geo.bbox("geom").items()],
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return edges.repartition(n, "edge_id").select("*", *[c.alias(n) for n, c in geo.bbox("geom").items()],
                         geo.line_length("geom").alias("length"), cx.alias("cx"), cy.alias("cy"))
 
 
@@ -141,13 +144,13 @@ def map_sensors(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS
 
 
 def edge_sensors(mapping: DataFrame) -> DataFrame:
-    """Edge → its sensors. The grouping itself stays long (the mapping
-    rows); per edge we aggregate count and id range — partial aggregation, so
-    an edge that attracts a third of all sensors is still combined map-side
-    and no list is ever collected into one task."""
-    return mapping.groupBy("edge_id").agg(F.count("*").alias("n_sensors"),
-                                          F.min("sensor_id").alias("first_sensor"),
-                                          F.max("sensor_id").alias("last_sensor"))
+    """The sensors of every edge in order, in long form ``(edge_id, ordinal, sensor_id)``.
+
+    All rows are numbered in (edge, sensor) order and an edge's numbers start at its
+    first row's, so an edge with a third of all sensors is no group of one task."""
+    rows = numbered(mapping.select("edge_id", "sensor_id"), ["edge_id", "sensor_id"])
+    first = rows.groupBy("edge_id").agg(F.min("position").alias("_first"))
+    return rows.join(first, "edge_id").select("edge_id", (F.col("position") - F.col("_first") + 1).alias("ordinal"), "sensor_id")
 
 
 def top_k(df: DataFrame, key: str, order: list[Column], k: int, salt_col: str,
@@ -162,9 +165,9 @@ def top_k(df: DataFrame, key: str, order: list[Column], k: int, salt_col: str,
 
 
 def knn_idw(sensors: DataFrame, targets: DataFrame, k: int = IDW_K,
-            radius: float = IDW_RADIUS_DEG) -> DataFrame:
+            radius: float = IDW_RADIUS_DEG, power: int = 2) -> DataFrame:
     """J9 + J10: up to k sensors within ``radius`` of each target centroid and
-    their inverse-distance-squared weights. A coincident sensor (d = 0) takes
+    their weights 1 / d^``power`` (2: inverse distance squared; 1: C2 ``linear``). A coincident sensor (d = 0) takes
     all the weight (shared if several), settled before ranking.
 
     ``targets(edge_id, cx, cy)``; output ``(edge_id, sensor_id, rank, dist, weight)``.
@@ -183,12 +186,13 @@ def knn_idw(sensors: DataFrame, targets: DataFrame, k: int = IDW_K,
     ranked = top_k(c, "edge_id", [F.col("dist"), F.col("sensor_id")], k, "sensor_id")
     # ≤ k rows per edge and already partitioned by edge: window sums, no join back
     per_edge = Window.partitionBy("edge_id")
-    inv = F.sum(F.when(F.col("dist") > 0, F.lit(1.0) / (F.col("dist") * F.col("dist")))).over(per_edge)
+    weight = F.lit(1.0) / (F.col("dist") if power == 1 else F.pow("dist", F.lit(float(power))) if power != 2 else F.col("dist") * F.col("dist"))
+    inv = F.sum(F.when(F.col("dist") > 0, weight)).over(per_edge)
     zero = F.sum(F.when(F.col("dist") == 0, F.lit(1)).otherwise(F.lit(0))).over(per_edge)
     out = ranked.withColumn("_inv", inv).withColumn("_zero", zero).withColumn(
         "weight",
         F.when(F.col("_zero") > 0, F.when(F.col("dist") == 0, F.lit(1.0) / F.col("_zero")).otherwise(F.lit(0.0)))
-        .otherwise((F.lit(1.0) / (F.col("dist") * F.col("dist"))) / F.col("_inv")))
+        .otherwise(weight / F.col("_inv")))
     return out.select("edge_id", "sensor_id", "rank", "dist", "weight")
 
 
@@ -206,33 +210,74 @@ def idw_speed(weights: DataFrame, sensor_speeds: DataFrame) -> DataFrame:
                  F.count("*").alias("n_sensors")))
 
 
-def nearest_edge_unbounded(sensors: DataFrame, edges: DataFrame, start_radius: float = MAP_RADIUS_DEG,
-                           growth: float = 4.0, max_rounds: int = 16) -> DataFrame:
-    """J14 helper: nearest edge per sensor with no radius limit.
-
-    Expanding rings: a sensor whose nearest candidate lies within radius r is
-    resolved exactly (every edge within r was considered); the rest retry with
-    r·growth. Each round is a cell equi-join; the loop only checks emptiness.
-    """
-    checkpoint_dir(sensors.sparkSession)
-    todo = sensors.select("sensor_id", "latitude", "longitude")
-    found = None
-    r = start_radius
-    for _ in range(max_rounds):
-        # reliable checkpoint: each round starts from stored rows, so lineage
-        # stays one round deep and a lost executor recomputes one round only
-        best = nearest(candidates(todo, edges, r)).checkpoint()
-        found = best if found is None else found.unionByName(best)
-        todo = todo.join(best.select("sensor_id"), "sensor_id", "left_anti").checkpoint()
-        if todo.limit(1).count() == 0:
-            break
-        r *= growth
-    return found
+PYRAMID_STEP = 8      # a cell of one level has 8 x 8 cells of the next
+
+
+def _pyramid(edges: DataFrame, size: float) -> tuple[list[DataFrame], DataFrame]:
+    """Occupied cells per level, finest first: (gx, gy, px, py), where (px, py) is a
+    vertex of an edge of the cell; and the edges by finest cell. A level has as many
+    rows as occupied cells, however many edges there are; the top one has a few."""
+    e = edge_geometry(edges)
+    box = e.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat")).first()
+    if box[0] is None:
+        return [], e.select("edge_id", "geom", F.lit(0).cast("long").alias("gx"), F.lit(0).cast("long").alias("gy")).where("false")
+    cells = e.select("edge_id", "geom", "min_lat", "max_lat", F.explode(F.sequence(
+        _cell(F.col("min_lon"), size), _cell(F.col("max_lon"), size))).alias("gx"))
+    cells = cells.select("edge_id", "geom", "gx", F.explode(F.sequence(
+        _cell(F.col("min_lat"), size), _cell(F.col("max_lat"), size))).alias("gy"))
+    vertex = F.element_at("geom", 1)
+    level = cells.groupBy("gx", "gy").agg(F.min(F.struct(vertex["lon"].alias("px"), vertex["lat"].alias("py"))).alias("p"))
+    level = materialize(level.select("gx", "gy", "p.px", "p.py"), "pyramid")
+    levels, span = [level], max(box[2] - box[0], box[3] - box[1])
+    while size * PYRAMID_STEP ** (len(levels) - 1) < span:
+        up = lambda c: F.floor(F.col(c) / PYRAMID_STEP).cast("long").alias(c)
+        level = level.groupBy(up("gx"), up("gy")).agg(F.min(F.struct("px", "py")).alias("p")).select("gx", "gy", "p.px", "p.py")
+        levels.append(level)
+    return levels, cells
+
+
+def nearest_edge_unbounded(sensors: DataFrame, edges: DataFrame, size: float = 4 * MAP_RADIUS_DEG) -> DataFrame:
+    """J14 helper: nearest edge per sensor with no radius limit, ``(sensor_id, edge_id,
+    dist)``; a sensor without a position, or without any edge to map to, has NULLs.
+
+    A pyramid of occupied cells is searched from the top: at each level a sensor keeps
+    the cells that can hold a nearer edge than the nearest known vertex, and goes on to
+    their occupied sub-cells; only edges of the finest cells left are measured. Every
+    step is an equi-join on the cell."""
+    levels, by_cell = _pyramid(edges, size)
+    todo = sensors.where("latitude IS NOT NULL AND longitude IS NOT NULL").select("sensor_id", "latitude", "longitude")
+    if levels:
+        top = levels[-1].collect()  # at most 2 x 2 cells, or 3 x 3 by rounding
+        cells = F.array(*[F.struct(F.lit(r.gx).alias("gx"), F.lit(r.gy).alias("gy"), F.lit(r.px).alias("px"), F.lit(r.py).alias("py")) for r in top])
+        found = todo.select("*", F.inline(cells))
+        for depth in range(len(levels) - 1, -1, -1):
+            width = size * PYRAMID_STEP ** depth
+            if depth < len(levels) - 1:
+                below = levels[depth].select("*", F.floor(F.col("gx") / PYRAMID_STEP).cast("long").alias("ux"),
+                                             F.floor(F.col("gy") / PYRAMID_STEP).cast("long").alias("uy"))
+                found = found.select("sensor_id", "latitude", "longitude", F.col("gx").alias("ux"), F.col("gy").alias("uy")).join(below, ["ux", "uy"])
+            found = _can_be_nearest(found, width)
+        found = found.select("sensor_id", "latitude", "longitude", "gx", "gy").join(by_cell, ["gx", "gy"])
+        best = nearest(found.select("sensor_id", "edge_id", geo.point_line_distance("longitude", "latitude", "geom").alias("dist")))
+    else:
+        best = by_cell.select(F.lit(None).cast(sensors.schema["sensor_id"].dataType).alias("sensor_id"), "edge_id", F.lit(0.0).alias("dist"))
+    return sensors.select("sensor_id").join(best, "sensor_id", "left")
+
+
+def _can_be_nearest(found: DataFrame, width: float) -> DataFrame:
+    """Rows (sensor, cell, vertex) whose cell is no farther than the sensor's nearest vertex."""
+    def gap(at: str, cell: str) -> Column:
+        low = F.col(cell) * F.lit(width)
+        return F.greatest(low - F.col(at), F.col(at) - (low + F.lit(width)), F.lit(0.0))
+
+    reach = F.min(F.hypot(F.col("px") - F.col("longitude"), F.col("py") - F.col("latitude"))).over(Window.partitionBy("sensor_id"))
+    near = F.hypot(gap("longitude", "gx"), gap("latitude", "gy"))
+    return found.withColumn("_reach", reach).where(near <= F.col("_reach") * F.lit(1 + 1e-9) + F.lit(1e-9)).drop("_reach")
 
 
 def split_candidates(sensors: DataFrame, edges: DataFrame) -> DataFrame:
     """Nearest edge of each sensor whose length exceeds 0.001°."""
-    near = nearest_edge_unbounded(sensors, edges)
+    near = nearest_edge_unbounded(sensors, edges).where("edge_id IS NOT NULL")
     lens = edges.select("edge_id", geo.line_length("geom").alias("length"))
     return near.join(lens, "edge_id").where(F.col("length") > F.lit(SPLIT_MIN_LENGTH_DEG))
 
@@ -251,6 +296,14 @@ def qa_errors(sensors: DataFrame, parts: dict[str, DataFrame], interp: DataFrame
     return r1.unionByName(r3)
 
 
+def qa_report(errors: DataFrame, n: int = QA_MAX_ERRORS) -> DataFrame:
+    """One row ``(validation_passed, validation_errors, errors)`` with the first n messages."""
+    total = errors.agg(F.count("*").alias("validation_errors"))
+    first = first_errors(errors, n).agg(F.array_sort(F.collect_list(F.struct("rule", "key", "message"))).alias("_f"))  # n rows
+    return total.join(first).select((F.col("validation_errors") == 0).alias("validation_passed"), "validation_errors",
+                                    F.transform("_f", lambda e: e["message"]).alias("errors"))
+
+
 def first_errors(errors: DataFrame, n: int = QA_MAX_ERRORS) -> DataFrame:
     """J15 report: the first n errors (the report keeps ten)."""
     return errors.orderBy("rule", "key").limit(n)

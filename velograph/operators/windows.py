@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velograph.operators.align import with_halo
+from velograph.session import materialize
 
 # Fixed values that must equal the reference's.
 HORIZONS_MIN = (15, 30, 45, 60)   # evaluation / serving horizons (minutes)
@@ -27,12 +28,13 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
     """``(label_start, edge_id, x, y)``.
 
     * ``label_day``: only label starts on that day, and the whole label span
-      must stay inside it (W12). ``None`` → every day (training windows).
+      must stay inside it (W12). ``None`` → every start, also windows over midnight
+      (training windows).
     * ``all_within_day``: the inputs must also lie in the same day (W13).
     * ``drop_missing``: drop a label start for *all* sensors when any sensor
-      has a missing value in x or y (cross-sensor completeness, J13): a window
-      over each tick flags ticks any sensor misses, and a sliding max over the
-      window's own span spots them — one pass, no regrouping of windows.
+      has a missing value in x or y (cross-sensor completeness, J13): the ticks
+      that any sensor misses are one small aggregate, joined to the grid, and a
+      sliding max over the window's own span spots them.
 
     Partitions are sensor-days with a halo of ``t_in`` rows before and
     ``t_out − 1`` after, so no partition grows with the history length.
@@ -42,9 +44,9 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
         g = g.where((F.col("day") >= label_day - F.expr("INTERVAL 1 DAY")) & (F.col("day") <= label_day))
     g = g.select("edge_id", "day", "timestamp", "speed")
     if drop_missing:
-        # a tick is bad when any sensor misses it; every sensor row learns it here
-        g = g.withColumn("_bad", F.max(F.col("speed").isNull().cast("int")).over(
-            Window.partitionBy("timestamp")))
+        # a tick is bad when any sensor misses it: few rows, combined before they are shuffled
+        bad = g.where(F.col("speed").isNull()).groupBy(F.col("timestamp").alias("_tick")).agg(F.lit(1).alias("_bad"))
+        g = g.join(bad, F.col("timestamp") == F.col("_tick"), "left").withColumn("_bad", F.coalesce("_bad", F.lit(0))).drop("_tick")
     g = with_halo(g, freq_minutes, before_rows=t_in, after_rows=max(t_out - 1, 0))
     w = Window.partitionBy("edge_id", "pday").orderBy("timestamp")
     x = F.array(*[F.lag("speed", k).over(w) for k in range(t_in, 0, -1)])
@@ -58,11 +60,10 @@ def sliding_windows(grid: DataFrame, freq_minutes: int, t_in: int = T_IN, t_out:
                    spoiled.alias("_spoiled"))
     keep = (F.col("day") == F.col("pday")) & F.col("_t0").isNotNull() & F.col("_t1").isNotNull()
     keep = keep & (F.col("_spoiled") == 0)
-    keep = keep & (F.date_trunc("DAY", F.col("_t1")) == F.col("day"))
     if all_within_day:
         keep = keep & (F.date_trunc("DAY", F.col("_t0")) == F.col("day"))
     if label_day is not None:
-        keep = keep & (F.col("day") == label_day)
+        keep = keep & (F.col("day") == label_day) & (F.date_trunc("DAY", F.col("_t1")) == F.col("day"))
     return out.where(keep).select("label_start", "edge_id", "x", "y")
 
 
@@ -114,13 +115,23 @@ def first_n_windows(windows: DataFrame, n: int) -> DataFrame:
 def shuffled_batches(windows: DataFrame, batch_size: int = 512, seed: int = 0) -> DataFrame:
     """Seeded shuffle of label starts into fixed-size batches (last one kept).
 
-    Label starts are sorted by a seeded hash (range-partitioned sort) and
-    numbered with ``zipWithIndex``, which only ships per-partition counts.
+    Label starts are ordered by an MD5 of seed and instant and numbered by
+    ``numbered`` (per-partition counts), then joined back.
     """
-    spark = windows.sparkSession
     starts = (windows.select("label_start").distinct()
-              .withColumn("_h", F.xxhash64(F.lit(seed), F.col("label_start")))
-              .orderBy("_h", "label_start").select("label_start"))
-    indexed = starts.rdd.zipWithIndex().map(lambda r: (r[0][0], int(r[1] // batch_size)))
-    batches = spark.createDataFrame(indexed, "label_start timestamp, batch int")
+              .withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.unix_micros("label_start").cast("string")))))
+    batches = numbered(starts, ["_h", "label_start"]).select(
+        "label_start", F.floor((F.col("position") - 1) / batch_size).cast("int").alias("batch"))
     return windows.join(batches, "label_start")
+
+
+def numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` with ``position`` 1..n in the given order: a range-partitioned sort, written
+    once, whose partitions are numbered inside and shifted by the rows before them."""
+    rank = Window.partitionBy("_part").orderBy(*order)
+    sorted_ = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    sizes = sorted_.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (sorted_.withColumn("_in", F.row_number().over(rank)).join(sizes, "_part")
+            .withColumn("position", F.col("_in") + F.col("_before")).drop("_part", "_in", "_before"))

@@ -50,7 +50,7 @@ def _r6(c):
 
 @query
 def q_a01_sensor_stats(spark, sf):
-    st = features.sensor_stats(_user_readings(spark, sf))
+    st = features.sensor_stats(_user_readings(spark, sf), percentile=True)
     return st.select("edge_id", "n", *[_r6(c).alias(c) for c in ("mu", "sigma", "min", "max", "p90")])
 
 
@@ -355,7 +355,11 @@ def _clean_graph(spark, sf):
 
 @query
 def q_g01_clean_edges(spark, sf):
-    return _clean_graph(spark, sf).select("src", "dst", _r6("w").alias("w"))
+    """G1/G2 on raw edges with ids out of range, repeats and weights below zero."""
+    raw = tables.graph_edges(spark, sf)
+    dirty = raw.unionByName(raw.select("src", "dst", (F.lit(2000.0) - F.col("w")).alias("w"))).select(
+        (F.col("src") - 2).alias("src"), F.col("dst"), (F.col("w") - 1500.0).alias("w"))
+    return graph.clean_edges(dirty, 20).select("src", "dst", _r6("w").alias("w"))
 
 
 @query
@@ -389,7 +393,8 @@ def _nation_values(spark, sf):
 @query
 def q_g07_neighbour_mix(spark, sf):
     g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
-    y = graph.neighbour_mix(_nation_values(spark, sf), g)
+    w = tables.graph_edges(spark, sf).where("src <> 3").select("src", "dst", ((F.col("src") - F.col("dst")) / 10.0).alias("W"))
+    y = graph.neighbour_mix(_nation_values(spark, sf), g, w)
     return y.select(to_ntz("t").alias("t"), "node", round_to("y", 4).alias("y"))
 
 
@@ -449,7 +454,7 @@ def q_j08_uncovered(spark, sf):
 
 @query
 def q_a12_edge_sensors(spark, sf):
-    return spatial.edge_sensors(_mapping(spark, sf)[2]["mapping"])
+    return spatial.edge_sensors(_mapping(spark, sf)[2]["mapping"])  # (edge_id, ordinal, sensor_id)
 
 
 def _idw(spark, sf):
@@ -556,7 +561,7 @@ def _pred_state(spark, sf):
     g = align.regular_grid(r, 60, bounds=(lo, hi), day_from_us=(hi // align.US_PER_DAY - 1) * align.US_PER_DAY)
     h = align.history_arrays(g, 60, 12).where(F.col("timestamp") == F.timestamp_micros(F.lit(hi)))
     h = h.withColumnRenamed("timestamp", "ts")
-    return serve.prediction_state(h, 60, 12, serve.ema_forecaster("x", 12, windows.EVAL_EMA_ALPHA))
+    return serve.prediction_state(h, 60, 12, serve.trend_forecaster("x", 12, windows.EVAL_EMA_ALPHA))
 
 
 @query
@@ -566,12 +571,12 @@ def q_t06_pred_state(spark, sf):
 
 
 def _requests(spark, sf):
+    """A request per sensor (and one for a sensor nobody knows) and horizon."""
     edges = tables.readings(spark, sf).select("edge_id").distinct()
     edges = edges.unionByName(spark.range(1).select(F.lit("unknown").alias("edge_id")))
-    ids = edges.agg(F.array_sort(F.collect_list("edge_id")).alias("edge_ids"))
     hz = F.array(*[F.struct(F.lit(i).alias("request_id"), F.lit(h).alias("horizon"))
                    for i, h in ((1, 15), (2, 20), (3, 60), (4, 90))])
-    return ids.select("edge_ids", F.explode(hz).alias("_r")).select(
+    return edges.select(F.array("edge_id", "edge_id").alias("edge_ids"), F.explode(hz).alias("_r")).select(
         F.col("_r.request_id").alias("request_id"), "edge_ids", F.col("_r.horizon").alias("horizon"))
 
 
@@ -586,7 +591,7 @@ def q_j02_lookup(spark, sf):
 @query
 def q_p18_validate_requests(spark, sf):
     v = serve.validate_requests(_requests(spark, sf))
-    return v.select("request_id", "horizon", "valid", "reason")
+    return v.groupBy("request_id", "horizon", "valid", "reason").agg(F.count("*").alias("n"))
 
 
 @query
@@ -623,18 +628,16 @@ def q_p14_parse_instants(spark, sf):
 @query
 def q_o05_capped_log(spark, sf):
     ev = tables.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    return serve.capped_log(ev).select(to_ntz("ts").alias("ts"))
+    return serve.capped_log(ev, cap=500).select(to_ntz("ts").alias("ts"))
 
 
 @query
 def q_s11_align_stats(spark, sf):
-    users = tables.readings(spark, sf, edge="user")
-    sensors = users.select("edge_id").distinct()
-    ev = tables.table(spark, sf, "events").where(F.col("event_type") == "click")
-    clicks = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("edge_id"),
-                       F.col("value").alias("speed"))
-    st = features.sensor_stats(clicks)
-    a = serve.align_stats(sensors, st)
+    """Statistics of all readings aligned to a sensor list that also has sensors without any."""
+    r = tables.readings(spark, sf, edge="user")
+    extra = tables.table(spark, sf, "supplier").select(F.concat(F.lit("u"), F.col("s_suppkey").cast("string"), F.lit("-new")).alias("edge_id"))
+    sensors = r.select("edge_id").distinct().unionByName(extra)
+    a = serve.align_stats(sensors, features.sensor_stats(r))
     return a.select("edge_id", _r6("mu").alias("mu"), _r6("sigma").alias("sigma"))
 
 
@@ -652,7 +655,8 @@ def q_s07_matrix_readings(spark, sf):
 def q_s05_normalize_wide(spark, sf):
     """Wide export of the hourly readings read back through normalisation."""
     r = align.dedup_mean(tables.readings(spark, sf)).drop("n_obs")
-    wide = vio.to_wide(r, ["click", "error", "purchase", "signup", "view"])
+    sensors = sorted(x.edge_id for x in r.select("edge_id").distinct().collect())  # the columns of the wide table
+    wide = vio.to_wide(r, sensors)
     back = vio.normalize_readings(wide.withColumnRenamed("timestamp", "ts"))
     return back.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
 
@@ -679,7 +683,7 @@ def q_c04_coverage(spark, sf):
 @query
 def q_c08_congestion_factor(spark, sf):
     r = _user_readings(spark, sf)
-    ff = features.sensor_stats(r).select("edge_id", F.col("p90").alias("free_flow"))
+    ff = features.sensor_stats(r, percentile=True).select("edge_id", F.col("p90").alias("free_flow"))
     w = quality.congestion_factor_weights(r, ff)
     return w.select("edge_id", to_ntz("timestamp").alias("timestamp"), "weight")
 
@@ -701,9 +705,9 @@ def q_c01_zero_fill(spark, sf):
 
 @query
 def q_p03_zscore_unguarded(spark, sf):
+    """Z-scores by the plain sample deviation; without spread (or with one reading) NULL."""
     r = _user_readings(spark, sf)
-    st = features.sensor_stats(r).withColumn("sigma", F.stddev_samp("mu").over(
-        __import__("pyspark.sql.window", fromlist=["Window"]).Window.partitionBy("edge_id")))
+    st = features.sensor_stats(r).withColumn("sigma", F.col("sample_std"))
     z = features.normalize(r, features.norm_params(st, "z_score"), guard=False)
     return z.select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("value").alias("z"))
 
@@ -724,14 +728,15 @@ def q_a06_split_counts(spark, sf):
 @query
 def q_a19_dataset_summary(spark, sf):
     s = _split_grid(spark, sf)
-    counts = {k: s.where(F.col("split") == k).agg(F.count("*").alias("n")).select("n").scalar()
-              for k in ("train", "val", "test")}
-    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
-    gs = graph.graph_stats(g, N_NATIONS)
-    sensors = s.agg(F.countDistinct("edge_id").alias("n")).select("n").scalar()
-    return gs.select(sensors.alias("num_sensors"), counts["train"].alias("train_samples"),
-                     counts["val"].alias("val_samples"), counts["test"].alias("test_samples"),
-                     "num_nodes", "num_edges")
+    counts = s.groupBy().agg(F.countDistinct("edge_id").alias("num_sensors"), *(
+        F.count_if(F.col("split") == k).alias(f"{k}_samples") for k in ("train", "val", "test")))
+    params = features.norm_params(features.sensor_stats(align.dedup_mean(tables.readings(spark, sf))), "z_score")
+    norm = params.agg(F.min("method").alias("norm_method"), F.count("*").alias("norm_sensors"),
+                      _r6(F.sum("a")).alias("norm_mean_sum"), _r6(F.sum("b")).alias("norm_std_sum"))
+    gs = graph.graph_stats(graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS), N_NATIONS)
+    one = [c.select(F.struct(*c.columns).alias("r")).scalar() for c in (counts, norm)]  # one-row tables
+    return gs.select(*(one[0][c].alias(c) for c in counts.columns), *(one[1][c].alias(c) for c in norm.columns), "num_nodes", "num_edges",
+                     round_to("avg_degree", 9).alias("avg_degree"), round_to("density", 9).alias("density"))
 
 
 @query
@@ -744,14 +749,14 @@ def q_c02_nearest_interp(spark, sf):
 
 @query
 def q_o06_batches(spark, sf):
-    """O6 (rows-only check): seeded shuffle of training windows into batches of 512."""
+    """Seeded shuffle of training windows into batches of 512 label starts."""
     b = windows.shuffled_batches(_train_windows(spark, sf), 512, seed=0)
-    return b.groupBy("batch").agg(F.count("*").alias("rows"))
+    return b.groupBy(to_ntz("label_start").alias("label_start"), "batch").agg(F.count("*").alias("rows"))
 
 
 @query
 def q_m02_score_with_callable(spark, sf):
-    """M2 (rows-only check): user forecaster through mapInPandas — here the last value."""
+    """M2: user forecaster through mapInPandas — here the last value."""
     import numpy as np
 
     def predict(x):
@@ -766,10 +771,10 @@ def q_m02_score_with_callable(spark, sf):
 
 @query
 def q_p22_input_jitter(spark, sf):
-    """P22 (rows-only check): Gaussian input jitter x + N(0,1)·std, seeded."""
-    w = _heldout(spark, sf)
-    return w.select(to_ntz("label_start").alias("label_start"), "edge_id",
-                    F.transform("x", lambda v: v + F.randn(7) * F.lit(0.01)).alias("x"))
+    """Gaussian input noise on window inputs, the same for a seed in any run."""
+    j = forecast.jitter(_heldout(spark, sf), std=0.01, seed=7)
+    x = j.select("label_start", "edge_id", F.posexplode("x").alias("slot", "v"))
+    return x.select(to_ntz("label_start").alias("label_start"), "edge_id", (F.col("slot") + 1).alias("slot"), _r6("v").alias("v"))
 
 
 @query
@@ -793,3 +798,175 @@ def q_j01_node_positions(spark, sf):
                        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
     j = forecast.join_positions(m, nodes)
     return j.select("edge_id", _r9("lat").alias("lat"), _r9("lon").alias("lon"), _r6("mae").alias("mae"))
+
+
+# --------------------------------------------------------------------------- files
+import uuid  # noqa: E402
+
+from velograph.session import checkpoint_dir  # noqa: E402
+from velograph.streaming import replay  # noqa: E402
+
+
+def _folder(spark, name):
+    """A new shared folder for a query that writes files and reads them back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _tall(r):
+    return r.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
+
+
+@query
+def q_s02_read_dir(spark, sf):
+    """Readings written half as CSV and half as Parquet, read from the folder and normalised."""
+    r, root = tables.readings(spark, sf, grain="minute"), _folder(spark, "s02")
+    odd = F.minute("timestamp") % 2 == 1
+    r.where(odd).write.option("header", True).csv(f"{root}/a")
+    r.where(~odd).write.parquet(f"{root}/b/c")
+    return _tall(vio.normalize_readings(vio.read_dir(spark, root)))
+
+
+@query
+def q_s08_partitioned(spark, sf):
+    """Parquet by date and hour; a pruned read in time order."""
+    root = _folder(spark, "s08")
+    vio.write_partitioned(tables.readings(spark, sf, grain="minute"), root, by_hour=True)
+    day = vio.read_partitioned(spark, root, view="readings_by_hour").where("hour < 6")
+    return day.groupBy("date", "hour").agg(F.count("*").alias("n"), F.count("speed").alias("n_speed"), _r6(F.avg("speed")).alias("mean")) \
+        .withColumn("date", F.col("date").cast("string")).orderBy("date", "hour")
+
+
+@query
+def q_s10_sidecar(spark, sf):
+    """Statistics written beside the data and read back."""
+    root = _folder(spark, "s10")
+    vio.write_sidecar(features.sensor_stats(_user_readings(spark, sf)), root, 60)
+    return vio.read_sidecar(spark, root).select("edge_id", _r6("mu").alias("mu"), _r6("sigma").alias("sigma"), "freq_minutes")
+
+
+@query
+def q_s12_window_files(spark, sf):
+    """The held-out windows as a dataset with its parameters."""
+    name = vio.write_windows(_heldout(spark, sf), _folder(spark, "s12"), 60, 60, 12)
+    w = spark.read.parquet(name)
+    return w.select(to_ntz("label_start").alias("label_start"), "edge_id", _r6(F.element_at("x", 1)).alias("x_first"),
+                    _r6(F.element_at("y", 12)).alias("y_last"), "freq_minutes", "horizon_minutes", "t_in")
+
+
+@query
+def q_s14_edge_list(spark, sf):
+    """An edge list as CSV, some weights left empty."""
+    root, e = _folder(spark, "s14"), tables.graph_edges(spark, sf)
+    e.select("src", "dst", F.when(F.col("src") % 3 > 0, F.col("w")).alias("w")).write.option("header", True).csv(root)
+    return vio.read_edge_list(spark, root).select("src", "dst", _r6("w").alias("w"))
+
+
+@query
+def q_g02_crop(spark, sf):
+    return graph.crop(_clean_graph(spark, sf), 10).select("src", "dst", _r6("w").alias("w"))
+
+
+@query
+def q_g04_identity(spark, sf):
+    """A graph without edges has self-loops only; one node per row of the node table."""
+    n = tables.graph_nodes(spark, sf).count()
+    return graph.identity_graph(spark, n)
+
+
+@query
+def q_c02_linear_interp(spark, sf):
+    s, e, m = _mapping(spark, sf)
+    targets = spatial.edge_geometry(e).join(m["covered"], "edge_id", "left_anti")
+    w = spatial.knn_idw(s, targets.select("edge_id", "cx", "cy"), power=1)
+    return w.select("edge_id", "sensor_id", "rank", _r9("dist").alias("dist"), _r9("weight").alias("weight"))
+
+
+@query
+def q_c05_dimensions(spark, sf):
+    """Sundays with an order count as holidays; limits and road types for known suppliers' sensors."""
+    days = tables.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d"))
+    events = tables.table(spark, sf, "events").select(F.to_date("ts").alias("date")).where(F.dayofweek("date") == 1)
+    holidays = events.unionByName(days.select(F.col("d").alias("date")).where(F.dayofweek("date") == 1))
+    k = F.col("s_suppkey")
+    dims = tables.table(spark, sf, "supplier").select(
+        F.concat(F.lit("u"), k.cast("string")).alias("edge_id"), (F.lit(25.0) + (k % 5) * 10.0).alias("speed_limit"),
+        F.element_at(F.array(*[F.lit(c) for c in tables.ROAD_CLASSES]), (k % 6 + 1).cast("int")).alias("road_type"))
+    d = features.with_dimensions(_user_readings(spark, sf), holidays, dims)
+    return d.select("edge_id", to_ntz("timestamp").alias("timestamp"), "is_holiday", "speed_limit", "road_type")
+
+
+@query
+def q_c09_bias_applied(spark, sf):
+    """One-step forecasts with the running residual bias added."""
+    model = forecast.fit_residual(_train_windows(spark, sf))
+    p = forecast.residual_forecast(_train_windows(spark, sf), model).where(F.col("step") == 1)
+    p = p.select("edge_id", F.date_trunc("DAY", "label_start").alias("day"), F.col("label_start").alias("timestamp"), "y", "pred")
+    c = quality.bias_corrected(p)
+    return c.select("edge_id", to_ntz("timestamp").alias("timestamp"), round_to("bias", 5).alias("bias"), round_to("corrected", 5).alias("corrected"))
+
+
+@query
+def q_j15_qa_report(spark, sf):
+    """Pass flag, number of errors and the first ten messages."""
+    r = spatial.qa_report(_qa(spark, sf)[4])
+    return r.select("validation_passed", "validation_errors", F.array_join("errors", "; ").alias("errors"))
+
+
+# --------------------------------------------------------------------------- drained streams
+
+
+def _drained(spark, sf, name, job, mode, sink_of):
+    """Stage the hourly grid as files of eight days and drain ``job`` over them."""
+    root = _folder(spark, name)
+    grid = align.regular_grid(tables.readings(spark, sf), 60).select("edge_id", "timestamp", "speed")
+    replay.stage_days(grid, f"{root}/days", days_per_folder=8)
+    source = replay.replay_source(spark, f"{root}/days", replay.LONG_SCHEMA, files_per_trigger=8)
+    replay.run_available(job(source), f"{root}/checkpoint", mode, sink_of(f"{root}/state"))
+    return f"{root}/state"
+
+
+def _upsert(spark, keys, order="ts"):
+    return lambda path: replay.StateTable(spark, path, keys, order).upsert
+
+
+@query
+def q_t03_stream_latest(spark, sf):
+    path = _drained(spark, sf, "t03", replay.latest_stream, "update", _upsert(spark, ["edge_id"]))
+    s = replay.StateTable(spark, path, ["edge_id"]).read()
+    return s.select("edge_id", _r6("speed").alias("speed"), to_ntz("ts").alias("ts"))
+
+
+@query
+def q_t04_stream_ema(spark, sf):
+    path = _drained(spark, sf, "t04", replay.ema_stream, "update", _upsert(spark, ["edge_id"]))
+    s = replay.StateTable(spark, path, ["edge_id"]).read()
+    return s.select("edge_id", _r6("ema").alias("ema"))
+
+
+@query
+def q_t05_stream_forecast(spark, sf):
+    path = _drained(spark, sf, "t05", lambda src: replay.forecast_stream(src, 60), "update", _upsert(spark, ["edge_id", "horizon"]))
+    s = replay.StateTable(spark, path, ["edge_id", "horizon"]).read()
+    return s.select("edge_id", "horizon", _r6("value").alias("value"), to_ntz("ts").alias("ts"))
+
+
+@query
+def q_t07_stream_freshness(spark, sf):
+    path = _drained(spark, sf, "t07", lambda src: replay.freshness_stream(src).withColumn("kind", F.lit("last_ts")), "complete",
+                    _upsert(spark, ["kind"], "last_ts"))
+    return replay.StateTable(spark, path, ["kind"], "last_ts").read().select("kind", to_ntz("last_ts").alias("last_ts"))
+
+
+@query
+def q_t08_stream_log(spark, sf):
+    path = _drained(spark, sf, "t08", lambda src: src, "append", lambda path: replay.capped_log_sink(spark, path, cap=100))
+    return replay.StateTable(spark, path, ["timestamp"], "timestamp").read().select(to_ntz("timestamp").alias("ts"))
+
+
+@query
+def q_t10_stream_average(spark, sf):
+    """Watermarked tumbling averages of six hours; windows that the watermark has passed."""
+    path = _drained(spark, sf, "t10", lambda src: replay.average_stream(src, 360, 60).withColumnRenamed("timestamp", "ts"), "append",
+                    _upsert(spark, ["edge_id", "ts"], "n"))
+    s = replay.StateTable(spark, path, ["edge_id", "ts"], "n").read()
+    return s.select("edge_id", to_ntz("ts").alias("ts"), _r6("speed").alias("speed"), "n")

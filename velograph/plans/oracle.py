@@ -79,8 +79,9 @@ def windows_ctes(freq: int, t_in: int = 12, t_out: int = 12, grain: str = "hour"
     """... f (filled+clipped grid), w (candidate windows), win (kept windows)."""
     xs = ", ".join(f"lag(v, {k}) OVER ww" for k in range(t_in, 0, -1))
     ys = ", ".join(["v"] + [f"lead(v, {k}) OVER ww" for k in range(1, t_out)])
-    conds = ["t0 IS NOT NULL", "t1 IS NOT NULL", "date_trunc('day', t1) = date_trunc('day', label_start)"]
+    conds = ["t0 IS NOT NULL", "t1 IS NOT NULL"]
     if heldout:
+        conds.append("date_trunc('day', t1) = date_trunc('day', label_start)")
         conds.append("date_trunc('day', label_start) = (SELECT day FROM full_day)")
     if within_day:
         conds.append("date_trunc('day', t0) = date_trunc('day', label_start)")
@@ -104,10 +105,12 @@ def ema_sql(x: str, alpha: float) -> str:
     return f"list_reduce({x}, lambda e, v: {a!r}::DOUBLE * v + {b!r}::DOUBLE * e)"
 
 
-def horizons_values(t_out: int, horizons=(15, 30, 45, 60)) -> str:
-    from velograph.operators.windows import prefix_steps
-    rows = ", ".join(f"({h}, {prefix_steps(t_out, h)})" for h in horizons)
-    return f"(VALUES {rows}) AS hz(horizon, steps)"
+#: Label steps scored per horizon, by T_out (60 / T_out minutes a step): stated here, not taken from the code under test.
+PREFIX_STEPS = {12: "(15, 3), (30, 6), (45, 9), (60, 12)"}
+
+
+def horizons_values(t_out: int) -> str:
+    return f"(VALUES {PREFIX_STEPS[t_out]}) AS hz(horizon, steps)"
 
 
 def _q_e2_heldout_eval() -> str:
@@ -438,7 +441,8 @@ GRAPH = f"{GRAPH_RAW}, {GRAPH_CLEAN}, {GRAPH_LOOPS}"
 
 
 def _q_g01_clean_edges():
-    return f"WITH {GRAPH_RAW}, {GRAPH_CLEAN} SELECT src, dst, round(w, 6) AS w FROM gc"
+    return (f"WITH {GRAPH_RAW}, d AS (SELECT src - 2 AS src, dst, w - 1500.0 AS w FROM ge UNION ALL SELECT src - 2, dst, 2000.0 - w - 1500.0 FROM ge) "
+            "SELECT src, dst, round(max(w), 6) AS w FROM d WHERE src BETWEEN 0 AND 19 AND dst BETWEEN 0 AND 19 GROUP BY 1, 2 HAVING max(w) > 0")
 
 
 def _q_g03_self_loops():
@@ -458,8 +462,9 @@ def _q_g06_graph_stats():
 def _q_g07_neighbour_mix():
     return (f"WITH {GRAPH}, v AS (SELECT date_trunc('month', l_shipdate) AS t, s_nationkey AS node, "
             "sum(l_quantity) AS x FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2), "
-            "m AS (SELECT src, dst, ln(1.0 + exp(0.0)) + CASE WHEN src = dst THEN 1.0 ELSE 0.0 END AS c "
-            "FROM gl WHERE w > 0) "
+            "m AS (SELECT gl.src, gl.dst, ln(1.0 + exp(coalesce(CASE WHEN ge.src <> 3 THEN (ge.src - ge.dst) / 10.0 END, 0.0))) "
+            "+ CASE WHEN gl.src = gl.dst THEN 1.0 ELSE 0.0 END AS c "
+            "FROM gl LEFT JOIN ge ON ge.src = gl.src AND ge.dst = gl.dst WHERE gl.w > 0) "
             "SELECT t, dst AS node, round(sum(x * c), 4) AS y FROM v JOIN m ON v.node = m.src GROUP BY 1, 2")
 
 
@@ -552,8 +557,7 @@ def _q_j08_uncovered():
 
 
 def _q_a12_edge_sensors():
-    return (f"WITH {MAP} SELECT edge_id, count(*) AS n_sensors, min(sensor_id) AS first_sensor, "
-            "max(sensor_id) AS last_sensor FROM mp GROUP BY 1")
+    return f"WITH {MAP} SELECT edge_id, row_number() OVER (PARTITION BY edge_id ORDER BY sensor_id) AS ordinal, sensor_id FROM mp"
 
 
 def _q_j09_idw_weights():
@@ -639,17 +643,16 @@ def _pred_sql():
     lst = ", ".join(f"CASE WHEN s12 IS NULL THEN 0.0 ELSE s{j + 1} END" for j in range(12))
     return (f"{grid_ctes(60)}, h AS (SELECT edge_id, timestamp, row_number() OVER ({frame}) AS rn, {slots} FROM g), "
             f"hx AS (SELECT edge_id, timestamp AS ts, [{lst}] AS x FROM h WHERE rn >= 12 AND timestamp = (SELECT hi FROM b)), "
-            f"pr AS (SELECT edge_id, hz.horizon, {clip_sql(ema_sql('x', 0.3))} AS value, ts FROM hx "
-            "CROSS JOIN (VALUES (15), (30), (45), (60)) AS hz(horizon))")
+            f"pr AS (SELECT edge_id, hz.horizon, {clip_sql(ema_sql('x', 0.3) + ' + hz.i')} AS value, ts FROM hx "
+            "CROSS JOIN (VALUES (15, 1), (30, 2), (45, 3), (60, 4)) AS hz(horizon, i))")
 
 
 def _q_t06_pred_state():
     return f"WITH {_pred_sql()} SELECT edge_id, horizon, round(value, 6) AS value, ts FROM pr"
 
 
-LATEST = (f"lt AS (SELECT edge_id, arg_max(speed, timestamp) AS speed, max(timestamp) AS ts FROM "
-          f"(SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) WHERE speed IS NOT NULL "
-          "GROUP BY 1, 2) GROUP BY 1)")
+LATEST = (f"lr AS (SELECT * FROM ({readings_sql()}) WHERE speed IS NOT NULL), lt AS (SELECT edge_id, max(speed) AS speed, "
+          "any_value(timestamp) AS ts FROM lr JOIN (SELECT edge_id, max(timestamp) AS timestamp FROM lr GROUP BY 1) USING (edge_id, timestamp) GROUP BY 1)")
 REQS = (f"eds AS (SELECT DISTINCT edge_id FROM ({readings_sql()}) UNION SELECT 'unknown'), "
         "rq AS (SELECT request_id, horizon FROM (VALUES (1, 15), (2, 20), (3, 60), (4, 90)) AS t(request_id, horizon))")
 
@@ -665,7 +668,7 @@ def _q_j02_lookup():
 
 def _q_p18_validate_requests():
     return (f"WITH {REQS} SELECT request_id, horizon, horizon BETWEEN 15 AND 60 AS valid, "
-            "CASE WHEN horizon BETWEEN 15 AND 60 THEN NULL ELSE 'horizon must be within 15..60' END AS reason FROM rq")
+            "CASE WHEN horizon BETWEEN 15 AND 60 THEN NULL ELSE 'horizon must be within 15..60' END AS reason, count(*) AS n FROM rq, eds GROUP BY ALL")
 
 
 FRESH = ("fr AS (SELECT max(ts) AS last_ts, CASE WHEN max(ts) IS NOT NULL THEN greatest(0.0, 1706659200.0 - epoch_us(max(ts)) / 1e6) END AS age_s FROM lt)")
@@ -700,16 +703,14 @@ def _q_p14_parse_instants():
 
 
 def _q_o05_capped_log():
-    return "SELECT ts FROM events ORDER BY ts DESC LIMIT 10000"
+    return "SELECT ts FROM events ORDER BY ts DESC LIMIT 500"
 
 
 def _q_s11_align_stats():
-    return (f"WITH s AS (SELECT DISTINCT edge_id FROM ({readings_sql('hour', 'user')})), "
-            "c AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS edge_id, avg(value) AS mu, stddev_samp(value) AS sd "
-            "FROM events WHERE event_type = 'click' AND value IS NOT NULL GROUP BY 1) "
-            "SELECT s.edge_id, round(coalesce(mu, 0.0), 6) AS mu, round(CASE WHEN coalesce(CASE WHEN coalesce(sd, 1.0) = 0 "
-            "THEN 1.0 ELSE coalesce(sd, 1.0) END, 1.0) = 0 THEN 1.0 ELSE coalesce(CASE WHEN coalesce(sd, 1.0) = 0 THEN 1.0 "
-            "ELSE coalesce(sd, 1.0) END, 1.0) END, 6) AS sigma FROM s LEFT JOIN c USING (edge_id)")
+    return (f"WITH r AS ({readings_sql('hour', 'user')}), s AS (SELECT DISTINCT edge_id FROM r UNION ALL "
+            "SELECT 'u' || CAST(s_suppkey AS VARCHAR) || '-new' FROM supplier), "
+            "c AS (SELECT edge_id, avg(speed) AS mu, stddev_samp(speed) AS sd FROM r GROUP BY 1) "
+            "SELECT s.edge_id, round(coalesce(mu, 0.0), 6) AS mu, round(coalesce(nullif(sd, 0.0), 1.0), 6) AS sigma FROM s LEFT JOIN c USING (edge_id)")
 
 
 # --------------------------------------------------------------------------- sources
@@ -726,7 +727,7 @@ def _q_s07_matrix_readings():
 def _q_s05_normalize_wide():
     return (f"WITH d AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM ({readings_sql()}) "
             "WHERE speed IS NOT NULL GROUP BY 1, 2), ts AS (SELECT DISTINCT timestamp FROM d), "
-            "e AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS edge_id) "
+            "e AS (SELECT DISTINCT edge_id FROM d) "
             "SELECT ts.timestamp, e.edge_id, round(d.speed, 6) AS speed FROM ts CROSS JOIN e "
             "LEFT JOIN d ON d.timestamp = ts.timestamp AND d.edge_id = e.edge_id")
 
@@ -763,9 +764,27 @@ def _q_c01_zero_fill():
 
 
 def _q_p03_zscore_unguarded():
-    return (f"WITH {USER_DEDUP}, {USER_STATS}, st2 AS (SELECT edge_id, mu, NULL::DOUBLE AS sigma FROM st) "
-            "SELECT edge_id, timestamp, round((speed - mu) / CASE WHEN sigma <> 0 THEN coalesce(sigma, 1.0) END, 6) AS z "
-            "FROM ud LEFT JOIN st2 USING (edge_id)")
+    return (f"WITH {USER_DEDUP}, st AS (SELECT edge_id, avg(speed) AS mu, stddev_samp(speed) AS sd FROM ud GROUP BY 1) "
+            "SELECT edge_id, timestamp, round((speed - mu) / nullif(sd, 0.0), 6) AS z FROM ud JOIN st USING (edge_id)")
+
+
+def _q_o06_batches():
+    return (f"WITH {windows_ctes(60, heldout=False)}, n AS (SELECT label_start, count(*) AS rows FROM win GROUP BY 1), "
+            "o AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || CAST(epoch_us(label_start) AS VARCHAR)), label_start) AS rn FROM n) "
+            "SELECT label_start, CAST((rn - 1) // 512 AS INTEGER) AS batch, rows FROM o")
+
+
+def _q_m02_score_with_callable():
+    return (f"WITH {windows_ctes(60)}, p AS (SELECT label_start, edge_id, {clip_sql('x[-1]')} AS pred, unnest(y) AS y, "
+            f"unnest(range(1, 13)) AS step FROM win) SELECT label_start, horizon, round(avg(abs(pred - y)), 6) AS mae "
+            f"FROM p JOIN {horizons_values(12)} ON p.step <= hz.steps GROUP BY 1, 2")
+
+
+def _q_p22_input_jitter():
+    u = ("(CAST(CAST('0x' || substr(md5('7{0}:' || CAST(epoch_us(label_start) AS VARCHAR) || ':' || edge_id || ':' || "
+         "CAST(slot - 1 AS VARCHAR)), 1, 8) AS UBIGINT) AS DOUBLE) + 1) / 4294967297.0")
+    return (f"WITH {windows_ctes(60)}, xs AS (SELECT label_start, edge_id, unnest(range(1, 13))::INTEGER AS slot, unnest(x) AS v FROM win) "
+            f"SELECT label_start, edge_id, slot, round(v + 0.01 * sqrt(-2 * ln({u.format('a')})) * cos(2 * pi() * ({u.format('b')})), 6) AS v FROM xs")
 
 
 def _q_s21_norm_params():
@@ -779,10 +798,14 @@ def _q_a06_split_counts():
 
 def _q_a19_dataset_summary():
     return (f"WITH {grid_ctes(60)}, {SPLIT_CTE}, {GRAPH}, gs AS (SELECT split, count(*) AS n FROM g JOIN sp USING (timestamp) "
-            "GROUP BY 1) SELECT (SELECT count(DISTINCT edge_id) FROM g) AS num_sensors, "
+            "GROUP BY 1), dm AS (SELECT edge_id, timestamp, avg(speed) AS speed FROM r WHERE speed IS NOT NULL GROUP BY 1, 2), "
+            "st AS (SELECT edge_id, avg(speed) AS mu, coalesce(nullif(stddev_samp(speed), 0.0), 1.0) AS sd FROM dm GROUP BY 1) "
+            "SELECT (SELECT count(DISTINCT edge_id) FROM g) AS num_sensors, "
             "(SELECT n FROM gs WHERE split = 'train') AS train_samples, (SELECT n FROM gs WHERE split = 'val') AS val_samples, "
-            "(SELECT n FROM gs WHERE split = 'test') AS test_samples, 25 AS num_nodes, "
-            "(SELECT count(*) FROM gl WHERE w > 0) AS num_edges")
+            "(SELECT n FROM gs WHERE split = 'test') AS test_samples, 'z_score' AS norm_method, (SELECT count(*) FROM st) AS norm_sensors, "
+            "round((SELECT sum(mu) FROM st), 6) AS norm_mean_sum, round((SELECT sum(sd) FROM st), 6) AS norm_std_sum, 25 AS num_nodes, "
+            "(SELECT count(*) FROM gl WHERE w > 0) AS num_edges, round((SELECT count(*) FROM gl WHERE w > 0) / 25.0, 9) AS avg_degree, "
+            "round((SELECT count(*) FROM gl WHERE w > 0) / 625.0, 9) AS density")
 
 
 def _q_c02_nearest_interp():
@@ -808,3 +831,93 @@ def _q_j01_node_positions():
             "pos AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS node, 37.4::DOUBLE + (user_id % 50)::DOUBLE * 0.01::DOUBLE AS lat, "
             "-122.2::DOUBLE + (user_id // 50)::DOUBLE * 0.01::DOUBLE AS lon FROM u) "
             "SELECT edge_id, round(lat, 9) AS lat, round(lon, 9) AS lon, round(mae, 6) AS mae FROM m JOIN pos ON m.edge_id = pos.node")
+
+
+# --------------------------------------------------------------------------- files and drained streams
+def _q_s02_read_dir():
+    return f"SELECT timestamp, edge_id, round(speed, 6) AS speed FROM ({readings_sql('minute')})"
+
+
+def _q_s08_partitioned():
+    return (f"SELECT strftime(timestamp, '%Y-%m-%d') AS date, CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS n, count(speed) AS n_speed, "
+            f"round(avg(speed), 6) AS mean FROM ({readings_sql('minute')}) WHERE hour(timestamp) < 6 GROUP BY 1, 2")
+
+
+def _q_s10_sidecar():
+    return f"WITH {USER_DEDUP}, {USER_STATS} SELECT edge_id, round(mu, 6) AS mu, round(sigma, 6) AS sigma, 60 AS freq_minutes FROM st"
+
+
+def _q_s12_window_files():
+    return (f"WITH {windows_ctes(60)} SELECT label_start, edge_id, round(x[1], 6) AS x_first, round(y[12], 6) AS y_last, "
+            "60 AS freq_minutes, 60 AS horizon_minutes, 12 AS t_in FROM win")
+
+
+def _q_s14_edge_list():
+    return f"WITH {GRAPH_RAW} SELECT src, dst, round(CASE WHEN src % 3 > 0 THEN w ELSE 1.0 END, 6) AS w FROM ge"
+
+
+def _q_g02_crop():
+    return f"WITH {GRAPH_RAW}, {GRAPH_CLEAN} SELECT src, dst, round(w, 6) AS w FROM gc WHERE src < 10 AND dst < 10"
+
+
+def _q_g04_identity():
+    return "SELECT CAST(n AS INTEGER) AS src, CAST(n AS INTEGER) AS dst, 1.0::DOUBLE AS w FROM (SELECT row_number() OVER () - 1 AS n FROM nation)"
+
+
+def _q_c02_linear_interp():
+    return ("WITH " + IDW.replace("dist * dist", "dist") + " SELECT edge_id, sensor_id, rank::INTEGER AS rank, round(dist, 9) AS dist, "
+            "round(weight, 9) AS weight FROM wt")
+
+
+def _q_c05_dimensions():
+    return (f"WITH {USER_DEDUP}, h AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE dayofweek(ts) = 0 UNION "
+            "SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders WHERE dayofweek(o_orderdate) = 0), "
+            "s AS (SELECT 'u' || CAST(s_suppkey AS VARCHAR) AS edge_id, 25.0::DOUBLE + (s_suppkey % 5) * 10.0::DOUBLE AS l, "
+            "['motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'residential'][s_suppkey % 6 + 1] AS rt FROM supplier) "
+            "SELECT ud.edge_id, timestamp, CAST(h.d IS NOT NULL AS INTEGER) AS is_holiday, coalesce(l, 65.0::DOUBLE) AS speed_limit, "
+            "coalesce(rt, 'unknown') AS road_type FROM ud LEFT JOIN h ON h.d = CAST(timestamp AS DATE) LEFT JOIN s ON s.edge_id = ud.edge_id")
+
+
+def _q_c09_bias_applied():
+    return (f"WITH {_train_model_sql()}, "
+            "o AS (SELECT trs.label_start, trs.edge_id, trs.y, "
+            f"{clip_sql('ref + coalesce(a, 0.0) + coalesce(b, 0.0) * gap')} AS pred "
+            "FROM trs LEFT JOIN model ON model.edge_id = trs.edge_id AND model.step = trs.step WHERE trs.step = 1), "
+            "l AS (SELECT edge_id, label_start, pred, list(y - pred) OVER (PARTITION BY edge_id ORDER BY label_start "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rs FROM o), "
+            f"e AS (SELECT *, CASE WHEN coalesce(len(rs), 0) = 0 THEN 0.0 ELSE {ema_sql('rs', 0.05)} END AS bias FROM l) "
+            f"SELECT edge_id, label_start AS timestamp, round(bias, 5) AS bias, round({clip_sql('pred + bias')}, 5) AS corrected FROM e")
+
+
+def _q_j15_qa_report():
+    return (f"WITH {IDW}, f AS (SELECT message, rule, key FROM qa ORDER BY rule, key LIMIT 10) SELECT (SELECT count(*) = 0 FROM qa) AS validation_passed, "
+            "(SELECT count(*) FROM qa) AS validation_errors, (SELECT coalesce(string_agg(message, '; ' ORDER BY rule, key), '') FROM f) AS errors")
+
+
+GRID_ONLY = f"WITH {grid_ctes(60)}"
+
+
+def _q_t03_stream_latest():
+    return GRID_ONLY + (" SELECT edge_id, round(arg_max(speed, timestamp), 6) AS speed, max(timestamp) AS ts FROM g WHERE speed IS NOT NULL GROUP BY 1")
+
+
+def _q_t04_stream_ema():
+    return GRID_ONLY + f", o AS (SELECT * FROM g WHERE speed IS NOT NULL) SELECT edge_id, round({ema_sql('list(speed ORDER BY timestamp)', 0.2)}, 6) AS ema FROM o GROUP BY 1"
+
+
+def _q_t05_stream_forecast():
+    return f"WITH {_pred_sql().replace(' + hz.i', '')} SELECT edge_id, horizon, round(value, 6) AS value, ts FROM pr"
+
+
+def _q_t07_stream_freshness():
+    return GRID_ONLY + " SELECT 'last_ts' AS kind, max(timestamp) AS last_ts FROM g"
+
+
+def _q_t08_stream_log():
+    return GRID_ONLY + " SELECT timestamp AS ts FROM ticks ORDER BY ts DESC LIMIT 100"
+
+
+def _q_t10_stream_average():
+    return GRID_ONLY + (", w AS (SELECT edge_id, time_bucket(INTERVAL 6 HOUR, timestamp, TIMESTAMP '1970-01-01') AS ts, avg(speed) AS speed, count(*) AS n "
+                        "FROM g WHERE speed IS NOT NULL GROUP BY 1, 2) SELECT edge_id, ts, round(speed, 6) AS speed, n FROM w "
+                        "WHERE ts + INTERVAL 6 HOUR <= (SELECT max(timestamp) FROM g WHERE speed IS NOT NULL) - INTERVAL 1 HOUR")

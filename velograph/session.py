@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,27 +66,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def spread(df):
-    """Round-robin a DataFrame whose input has fewer splits than the cluster
-    has cores, before CPU-heavy per-row work (geometry, explosions).
-
-    A large table already arrives in many splits and is returned unchanged;
-    only small-but-expensive inputs pay one (small) shuffle.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it
     back. Use where a plan must read the *same* rows twice (e.g. values tagged
-    with non-deterministic partition ids): cuts lineage, survives executor loss,
-    and computes the data a single time."""
-    import uuid
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    with partition ids): cuts lineage, survives executor loss, and computes the
+    data a single time. The table goes when the driver's Python ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.parquet(path)
+
+
+def _remove(spark, path: str) -> None:
+    sc = spark.sparkContext
+    if sc._jsc is not None and not sc._jsc.sc().isStopped():
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

@@ -26,21 +26,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"Unsupported file type: {path}")
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Data files below ``path`` (any Hadoop file system); hidden ones are left out."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    root, found, walk = fs.makeQualified(target).toString(), [], fs.listFiles(target, True)
+    while walk.hasNext():
+        name = walk.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in name[len(root):].split("/")):
+            found.append(name)
+    return found
+
+
 def read_dir(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet and CSV file below ``path`` (recursively), unioned by name."""
+    """Every Parquet and CSV file below ``path`` (recursively), unioned by name.
+
+    The listing says which kinds there are; a file that cannot be read is an error.
+    """
     configure(spark)
+    names = files_below(spark, path)
     frames = []
-    for glob in ("*.parquet", "*.pq"):
-        try:
-            frames.append(spark.read.option("recursiveFileLookup", True)
-                          .option("pathGlobFilter", glob).parquet(path))
-        except Exception:  # noqa: BLE001 - no file of that kind
-            pass
-    try:
-        frames.append(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-                      .option("header", True).csv(path))
-    except Exception:  # noqa: BLE001
-        pass
+    for suffix in (".parquet", ".pq", ".csv"):
+        if any(n.lower().endswith(suffix) for n in names):
+            part = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+            frames.append(part.option("header", True).csv(path) if suffix == ".csv" else part.parquet(path))
     if not frames:
         raise FileNotFoundError(f"No CSV/Parquet files found under {path}")
     out = frames[0]
@@ -93,14 +104,9 @@ def matrix_to_readings(matrix: DataFrame, freq_minutes: int = 5, start: str = MA
         nan_to_null("v").alias("speed"))
 
 
-def to_wide(readings: DataFrame, sensors: list[str] | None = None, max_columns: int = 5000) -> DataFrame:
-    """W1 export form: one column per sensor (mean on duplicates). An explicit
-    sensor list avoids a discovery pass; wider than ``max_columns`` is refused."""
-    if sensors is None:
-        sensors = [r[0] for r in readings.select("edge_id").distinct().orderBy("edge_id")
-                   .limit(max_columns + 1).collect()]
-    if len(sensors) > max_columns:
-        raise ValueError(f"wide export refused: more than {max_columns} sensors")
+def to_wide(readings: DataFrame, sensors: list[str]) -> DataFrame:
+    """W1 export form: one column for each of ``sensors`` (mean on duplicates). A wide
+    table has its sensors in the schema, so the caller names them."""
     return readings.groupBy("timestamp").pivot("edge_id", sensors).agg(F.avg("speed"))
 
 
@@ -131,24 +137,15 @@ def read_partitioned(spark: SparkSession, path: str, view: str | None = None) ->
 
 
 def write_sidecar(stats: DataFrame, path: str, freq_minutes: int) -> None:
-    """One-row metadata JSON (n_sensors, columns, freq, mu and sigma maps)."""
-    meta = stats.agg(
-        F.count("*").alias("n_sensors"),
-        F.array_sort(F.collect_list("edge_id")).alias("columns"),
-        F.map_from_entries(F.collect_list(F.struct("edge_id", "mu"))).alias("mu"),
-        F.map_from_entries(F.collect_list(F.struct("edge_id", "sigma"))).alias("sigma"),
-    ).withColumn("freq_minutes", F.lit(int(freq_minutes)))
-    meta.coalesce(1).write.mode("overwrite").json(path)
+    """Metadata JSON, one line per sensor (edge_id, mu, sigma, freq_minutes), so
+    neither the writer nor a reader holds all sensors at once."""
+    (stats.select("edge_id", "mu", "sigma", F.lit(int(freq_minutes)).alias("freq_minutes"))
+     .write.mode("overwrite").json(path))
 
 
 def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
-    """Sidecar back to a stats table ``(edge_id, mu, sigma)`` plus ``freq_minutes``."""
-    schema = ("n_sensors long, columns array<string>, mu map<string,double>, "
-              "sigma map<string,double>, freq_minutes int")
-    m = spark.read.schema(schema).json(path)
-    e = m.select("freq_minutes", "mu", "sigma", F.explode("columns").alias("edge_id"))
-    return e.select("edge_id", F.element_at("mu", F.col("edge_id")).alias("mu"),
-                    F.element_at("sigma", F.col("edge_id")).alias("sigma"), "freq_minutes")
+    """Sidecar back to a stats table ``(edge_id, mu, sigma, freq_minutes)``."""
+    return spark.read.schema("edge_id string, mu double, sigma double, freq_minutes int").json(path)
 
 
 def write_windows(windows: DataFrame, path: str, freq_minutes: int, horizon_minutes: int, t_in: int) -> str:
@@ -167,8 +164,8 @@ def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Report tables as CSV (header) or JSON or Parquet."""
-    w = df.coalesce(1).write.mode("overwrite") if fmt in ("csv", "json") else df.write.mode("overwrite")
+    """Report tables as CSV (header) or JSON or Parquet (a folder of part files)."""
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     elif fmt == "json":

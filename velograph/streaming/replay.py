@@ -3,28 +3,31 @@
 * T1  ordered file source: daily Parquet files staged in day order, read with
       ``maxFilesPerTrigger`` (the trigger interval replaces wall-clock pacing).
 * T2  wide tick → long rows (``unpivot``; missing values stay as NULL rows).
-* T3  latest speed per sensor: streaming aggregate, update mode.
+* T3  latest speed per sensor: streaming aggregate, update mode; and a watermarked
+      tumbling average, append mode.
 * T4  per-sensor EMA: ``applyInPandasWithState`` (state survives restarts in
       the checkpoint); the recursion is vectorised per micro-batch.
 * T5/T6 rolling last-12 history per sensor → EMA forecast → per-horizon rows.
 * T7  freshness marker: max instant processed.
 * T8  capped tick log: ``foreachBatch`` compaction to the newest 10 000.
-* T9  request stream ⋈ static state tables (stream–static join).
+* T9  request stream ⋈ static state tables: ``serve.lookup`` takes a stream (stateless).
 
 Sinks are ``foreachBatch`` writers into versioned state tables: each batch
-writes ``<table>/batch_id=<id>`` (idempotent if a batch is replayed) and
-readers take the newest complete version.
+writes ``<table>/batch_id=<id>`` from the newest complete version before it (so a
+replayed batch gives the same) and readers take the newest complete version.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from velograph.operators.serve import STREAM_LOG_CAP, lookup
+from velograph.operators.serve import STREAM_LOG_CAP
 from velograph.operators.windows import EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, point_index
 
 LONG_SCHEMA = "edge_id string, timestamp timestamp, speed double"
@@ -33,14 +36,16 @@ LONG_SCHEMA = "edge_id string, timestamp timestamp, speed double"
 # --------------------------------------------------------------------------- T1 / T2
 
 
-def stage_days(readings: DataFrame, path: str) -> list[str]:
-    """Write one Parquet folder per day, oldest first, so the file source
-    (which orders by modification time) replays days in order."""
+def stage_days(readings: DataFrame, path: str, days_per_folder: int = 1) -> list[str]:
+    """Write the readings as one Parquet folder per day (or per ``days_per_folder`` days),
+    oldest first, rows in time order: the file source, which orders by modification
+    time, then replays them in order. The loop is over folders, not rows."""
     days = [r[0] for r in readings.select(F.date_format("timestamp", "yyyy-MM-dd").alias("d"))
             .distinct().orderBy("d").collect()]
-    for d in days:  # one small job per day; the loop is over days, not rows
-        (readings.where(F.date_format("timestamp", "yyyy-MM-dd") == d)
-         .coalesce(1).write.mode("overwrite").parquet(f"{path}/date={d}"))
+    for i in range(0, len(days), days_per_folder):
+        part = days[i:i + days_per_folder]
+        (readings.where(F.date_format("timestamp", "yyyy-MM-dd").between(part[0], part[-1]))
+         .repartitionByRange("timestamp").sortWithinPartitions("timestamp").write.mode("overwrite").parquet(f"{path}/date={part[0]}"))
     return days
 
 
@@ -59,12 +64,21 @@ def wide_to_long(stream: DataFrame, sensors: list[str]) -> DataFrame:
 
 
 def latest_stream(long: DataFrame) -> DataFrame:
-    """Latest non-missing speed per sensor (update mode)."""
+    """Latest non-missing speed per sensor (update mode); of several readings at the
+    last instant the largest, as in ``serve.latest_state``."""
     r = long.where(F.col("speed").isNotNull() & ~F.isnan("speed"))
     best = r.groupBy("edge_id").agg(F.max(F.struct("timestamp", "speed")).alias("_b"))
     return best.select("edge_id", F.col("_b.speed").alias("speed"), F.col("_b.timestamp").alias("ts"))
 
 
+def average_stream(long: DataFrame, minutes: int = 5, delay_minutes: int = 10) -> DataFrame:
+    """Tumbling average per sensor with a watermark (append mode): a window's row comes
+    once readings later than its end plus the delay were seen; later ones are dropped."""
+    r = long.where(F.col("speed").isNotNull() & ~F.isnan("speed")).withWatermark("timestamp", f"{delay_minutes} minutes")
+    per = r.groupBy("edge_id", F.window("timestamp", f"{minutes} minutes").alias("_w")).agg(F.avg("speed").alias("speed"), F.count("*").alias("n"))
+    return per.select("edge_id", F.col("_w.start").alias("timestamp"), "speed", "n")
+
+
 def freshness_stream(long: DataFrame) -> DataFrame:
     """The last instant processed (complete mode, one row)."""
     return long.agg(F.max("timestamp").alias("last_ts"))
@@ -88,6 +102,15 @@ def _ema_fold(e0: float | None, x: np.ndarray, alpha: float) -> float | None:
     return float(e0 * b ** n + np.dot(w, x))
 
 
+def _in_order(pdfs) -> tuple[np.ndarray, np.ndarray]:
+    """Instants (ns) and speeds (NaN: missing) of one sensor's rows in a micro-batch, in
+    time order over all Arrow batches. The source's files per trigger bound their number."""
+    parts = [(p["timestamp"].to_numpy(dtype="datetime64[ns]"), p["speed"].to_numpy(dtype="float64", na_value=np.nan)) for p in pdfs]
+    times, speeds = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(times, kind="stable")
+    return times[order], speeds[order]
+
+
 def ema_stream(long: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
     """T4: per-sensor EMA state ``(ema, ts)``; emits the new EMA of every touched sensor."""
     out_schema = "edge_id string, ema double, ts timestamp"
@@ -95,11 +118,10 @@ def ema_stream(long: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
 
     def update(key, pdfs, state):
         ema, last = (state.get if state.exists else (None, None))
-        for pdf in pdfs:
-            pdf = pdf.sort_values("timestamp", kind="stable")
-            ema = _ema_fold(ema, pdf["speed"].to_numpy(dtype="float64", na_value=np.nan), alpha)
-            t = pdf["timestamp"].max()
-            last = t if last is None or t > last else last
+        times, speeds = _in_order(pdfs)
+        ema = _ema_fold(ema, speeds, alpha)
+        newest = pd.Timestamp(times[-1])
+        last = newest if last is None or newest > last else last
         if ema is None:
             return
         state.update((ema, last))
@@ -112,48 +134,48 @@ def ema_stream(long: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
 # --------------------------------------------------------------------------- T5 / T6
 
 
-def _history_fill(h: np.ndarray) -> np.ndarray:
-    """W9 on one sensor's window: forward fill, all-missing → 0, leading gap stays."""
-    out = h.copy()
-    last = np.nan
-    seen = False
-    for i in range(out.size):
-        if np.isnan(out[i]):
-            if seen:
-                out[i] = last
-        else:
-            last, seen = out[i], True
-    if not seen:
-        out[:] = 0.0
-    return out
+def filled_history(h: np.ndarray) -> np.ndarray:
+    """W9 on one window: each missing slot takes the nearest earlier value, a leading gap
+    stays missing, and a window without any value is all zeros."""
+    known = ~np.isnan(h)
+    if not known.any():
+        return np.zeros_like(h)
+    source = np.maximum.accumulate(np.where(known, np.arange(h.size), -1))
+    return np.where(source >= 0, h[source], np.nan)
 
 
 def forecast_stream(long: DataFrame, freq_minutes: int, t_in: int = 12, t_out: int = 12,
-                    alpha: float = EVAL_EMA_ALPHA, horizons=HORIZONS_MIN) -> DataFrame:
-    """T5 + T6: keep the last ``t_in`` ticks per sensor; once full, forecast with
-    the clipped EMA baseline and emit ``(edge_id, horizon, value, ts)`` rows."""
+                    alpha: float = EVAL_EMA_ALPHA, horizons=HORIZONS_MIN,
+                    predict: Callable[[np.ndarray], np.ndarray] | None = None,
+                    stats: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+    """T5 + T6: keep the last ``t_in`` ticks per sensor; once full, forecast from the
+    filled history and emit ``(edge_id, horizon, value, ts)`` rows, once a micro-batch.
+
+    Without ``predict`` the forecast is the clipped EMA baseline. ``predict`` maps
+    normalised histories (1, t_in) to (1, t_out); ``stats`` = (mean, std) normalise its
+    input and turn its output back into speeds."""
     pairs = point_index(freq_minutes, t_out, horizons)
     out_schema = "edge_id string, horizon int, value double, ts timestamp"
     state_schema = "hist array<double>, ts timestamp"
+    mean, std = stats[0], stats[1] or 1.0
+
+    def forecast(x: np.ndarray) -> list[float | None]:
+        if predict is not None:
+            y = np.asarray(predict((x[None, :] - mean) / std), dtype="float64")[0] * std + mean
+        else:
+            y = np.full(t_out, np.nan if np.isnan(x[0]) else np.clip(_ema_fold(None, x, alpha), 0.0, 150.0))
+        return [None if np.isnan(v) else float(v) for v in y]
 
     def update(key, pdfs, state):
-        hist, last = (list(state.get[0]), state.get[1]) if state.exists else ([], None)
-        rows = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values("timestamp", kind="stable")
-            for t, v in zip(pdf["timestamp"], pdf["speed"].to_numpy(dtype="float64", na_value=np.nan)):
-                hist = (hist + [float(v)])[-t_in:]
-                last = t
-                if len(hist) == t_in:
-                    x = _history_fill(np.asarray(hist, dtype="float64"))
-                    e = _ema_fold(None, x, alpha) if not np.isnan(x[0]) else np.nan
-                    e = float(np.clip(e, 0.0, 150.0)) if e is not None and not np.isnan(e) else None
-                    rows.extend((key[0], h, e, t) for h, _ in pairs)
-        state.update(([None if np.isnan(v) else v for v in hist], last))
-        if rows:
-            df = pd.DataFrame(rows, columns=["edge_id", "horizon", "value", "ts"])
-            # only the latest forecast per horizon matters for the upsert
-            yield df.drop_duplicates(["edge_id", "horizon"], keep="last")
+        held = np.array([np.nan if v is None else v for v in state.get[0]], dtype="float64") if state.exists else np.zeros(0)
+        times, speeds = _in_order(pdfs)
+        hist = np.concatenate([held, speeds])[-t_in:]
+        last = pd.Timestamp(times[-1])
+        state.update(([None if np.isnan(v) else float(v) for v in hist], last))
+        if hist.size == t_in:
+            y = forecast(filled_history(hist))
+            rows = [(key[0], h, y[i - 1], last) for h, i in pairs]
+            yield pd.DataFrame(rows, columns=["edge_id", "horizon", "value", "ts"])
 
     return long.select("edge_id", "timestamp", "speed").groupBy("edge_id").applyInPandasWithState(
         update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
@@ -163,26 +185,45 @@ def forecast_stream(long: DataFrame, freq_minutes: int, t_in: int = 12, t_out: i
 
 
 class StateTable:
-    """A keyed table upserted by ``foreachBatch``; versions live in ``batch_id=<n>``."""
+    """A keyed table upserted by ``foreachBatch``; versions live in ``batch_id=<n>``.
+
+    A version counts once its writer has committed (``_SUCCESS``). A batch builds on the
+    newest version before it, so a replayed batch never reads what it overwrites; the
+    two newest versions are kept."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], order: str = "ts"):
         self.spark, self.path, self.keys, self.order = spark, path.rstrip("/"), keys, order
 
-    def read(self) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return None
-        newest = df.agg(F.max("batch_id").alias("b")).select("b").scalar()
-        return df.where(F.col("batch_id") == newest).drop("batch_id")
+    def versions(self) -> list[int]:
+        """Numbers of the complete versions, ascending; a listing that fails is an error."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            return []
+        found = []
+        for status in fs.listStatus(target):
+            name = status.getPath().getName()
+            if name.startswith("batch_id=") and fs.exists(status.getPath().suffix("/_SUCCESS")):
+                found.append(int(name.split("=")[1]))
+        return sorted(found)
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The newest complete version (older than ``before``); None if there is none yet."""
+        known = [v for v in self.versions() if before is None or v < before]
+        return self.spark.read.parquet(f"{self.path}/batch_id={known[-1]}") if known else None
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        for old in [v for v in self.versions() if v < batch_id][:-1]:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id={old}")
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        cur = self.read()
+        cur = self.read(before=batch_id)
         merged = batch if cur is None else cur.unionByName(batch)
         best = merged.groupBy(*self.keys).agg(F.max(F.struct(self.order, *[
             c for c in merged.columns if c not in self.keys and c != self.order])).alias("_b"))
-        out = best.select(*self.keys, "_b.*")
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self.write(best.select(*self.keys, "_b.*"), batch_id)
 
 
 def capped_log_sink(spark: SparkSession, path: str, cap: int = STREAM_LOG_CAP):
@@ -190,20 +231,14 @@ def capped_log_sink(spark: SparkSession, path: str, cap: int = STREAM_LOG_CAP):
     table = StateTable(spark, path, keys=["timestamp"], order="timestamp")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cur = table.read()
+        cur = table.read(before=batch_id)
         ticks = batch.select("timestamp").distinct()
         merged = ticks if cur is None else cur.select("timestamp").unionByName(ticks).distinct()
-        merged.orderBy(F.col("timestamp").desc()).limit(cap).write.mode("overwrite").parquet(
-            f"{path.rstrip('/')}/batch_id={batch_id}")
+        table.write(merged.orderBy(F.col("timestamp").desc()).limit(cap), batch_id)
 
     return write
 
 
-def lookup_stream(requests: DataFrame, pred: DataFrame, latest: DataFrame) -> DataFrame:
-    """Micro-batched lookups — request stream joined with static state tables."""
-    return lookup(requests, pred, latest)
-
-
 def run_available(query_df: DataFrame, checkpoint: str, mode: str, sink) -> None:
     """Drain a streaming query with ``availableNow`` into a foreachBatch sink."""
     q = (query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
