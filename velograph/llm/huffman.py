@@ -62,6 +62,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
+        self.mark = vocabulary["0</w>"]
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.cache = IdCache()
@@ -70,34 +71,56 @@ class WordEncoder:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new_words(self, w: tc.Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (concatenated) and their number for words of a block."""
+        """Ids (concatenated) and their number for words of a block.
+
+        Words go to the tokenizer many at a time. Plain ones stand on lines: each
+        part of a word ends in a closing id, and the parts are known. The others
+        stand between lines of a "0", whose id no word without one has; words with
+        a "0" or "<" and a sign beyond ASCII or an apostrophe go alone."""
         raw = w.data.tobytes()
         kinds = KIND[w.data]
         edge = np.ones(len(kinds), bool)
         edge[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
         edge[w.starts] = True
-        runs = np.concatenate([[0], np.cumsum(edge)])
-        odd = np.concatenate([[0], np.cumsum(kinds == 0)])
         s, e = w.starts[which], w.ends[which]
-        plain = np.flatnonzero(odd[e] == odd[s])
-        rest = np.flatnonzero(odd[e] != odd[s])
-        parts = (runs[e] - runs[s])
-        out: list[np.ndarray | None] = [None] * len(which)
-        for lo in range(0, len(plain), GROUP_WORDS):  # plain words go together: each part of one ends in a closing id
-            group = plain[lo:lo + GROUP_WORDS]
-            ids = self._encode(["\n".join(raw[a:b].decode() for a, b in zip(s[group].tolist(), e[group].tolist(), strict=True))])[0]
+
+        def count(flags):
+            run = np.concatenate([[0], np.cumsum(flags)])
+            return run[e] - run[s]
+
+        parts, odd, alone = count(edge), count(kinds == 0), count((w.data == 0x30) | (w.data == 0x3C))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, ids, numbers of ids
+
+        def words(at):
+            return [raw[a:b] for a, b in zip(s[at].tolist(), e[at].tolist(), strict=True)]
+
+        def groups(at, between):
+            cut = [at[i:i + GROUP_WORDS] for i in range(0, len(at), GROUP_WORDS)]
+            return zip(cut, self._encode([between.join(words(g)).decode() for g in cut]), strict=True)
+
+        single = np.flatnonzero((odd > 0) & (alone > 0))
+        for group, ids in groups(np.flatnonzero(odd == 0), b"\n"):
             ends = np.flatnonzero(self.closes[ids]) + 1
             last = np.cumsum(parts[group])
-            if len(ends) != last[-1]:
-                rest = np.concatenate([rest, group])
-                continue
-            for i, piece in zip(group.tolist(), np.split(ids, ends[last - 1][:-1]), strict=True):
-                out[i] = piece
-        for lo in range(0, len(rest), 4096):
-            group = rest[lo:lo + 4096].tolist()
-            for i, ids in zip(group, self._encode([raw[s[i]:e[i]].decode() for i in group]), strict=True):
-                out[i] = ids
-        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+            if len(ends) == last[-1]:
+                done.append((group, ids, np.diff(ends[last - 1], prepend=0)))
+            else:
+                single = np.concatenate([single, group])
+        for group, ids in groups(np.flatnonzero((odd > 0) & (alone == 0)), b"\n0\n"):
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(group) - 1:
+                done.append((group, ids[ids != self.mark], np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1))
+            else:
+                single = np.concatenate([single, group])
+        if len(single):
+            ids = self._encode([x.decode() for x in words(single)])
+            done.append((single, np.concatenate(ids), np.array([len(x) for x in ids], np.int64)))
+        word, ids, length = (np.concatenate(x) for x in zip(*done, strict=True))
+        start = np.cumsum(length) - length
+        order = np.argsort(word)
+        start, length = start[order], length[order]
+        total = np.cumsum(length) - length
+        return ids[np.arange(len(ids)) + np.repeat(start - total, length)], length
 
     def encode(self, w: tc.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a block, and the ids' document pointer."""
