@@ -83,26 +83,20 @@ def indicators(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.
     folded = tc.word_hashes(w._replace(data=tc.LOWER[w.data]))
     runs = [(folded, w.ptr, WORD), (*tc.ngram_hashes(folded, w.ptr, 2), PAIR)]
     runs += [(*tc.ngram_hashes(tc.mix(form), w.ptr, k), SHAPE) for k in (1, 2, 3)]
-    doc = np.repeat(np.arange(n_docs), w.counts)
     # shares: of every shape, and of distinct words, in a document
-    for values in (form, folded):
-        order = np.lexsort((values, doc))
-        v, d = values[order], doc[order]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
-        at = np.flatnonzero(new)
-        if values is form:
-            size = np.diff(np.append(at, len(v)))
-            share = np.floor(-np.log2(size / w.counts[d[at]]) * 2).astype(np.int64)
-            marks, owner = tc.mix(v[at] * tc.U64(64) + np.minimum(share, 20).astype(tc.U64)), d[at]
-        else:
-            distinct = np.bincount(d[at], minlength=n_docs)
-            level = np.where(w.counts > 0, np.floor(-np.log2(np.maximum(distinct, 1) / np.maximum(w.counts, 1)) * 4), 63)
-            marks, owner = tc.mix(np.minimum(level, 63).astype(tc.U64) + tc.U64(1 << 40)), np.arange(n_docs)
-        runs.append((marks, np.searchsorted(owner, np.arange(n_docs + 1)), SHARE))
+    doc = np.repeat(np.arange(n_docs).astype(tc.U64) << tc.U64(40), w.counts)
+    shaped = np.sort(doc | tc.mix(form) >> tc.U64(24))
+    at = np.flatnonzero(np.concatenate([[True], shaped[1:] != shaped[:-1]])[:len(shaped)])
+    owner = (shaped[at] >> tc.U64(40)).astype(np.int64)
+    share = np.floor(-np.log2(np.diff(np.append(at, len(shaped))) / w.counts[owner]) * 2)
+    runs.append((tc.mix((shaped[at] << tc.U64(24)) + np.minimum(share, 20).astype(tc.U64)), np.searchsorted(owner, np.arange(n_docs + 1)), SHARE))
+    different = tc.distinct(doc | tc.mix(folded) >> tc.U64(24)) >> tc.U64(40)
+    n_different = np.bincount(different.astype(np.int64), minlength=n_docs)
+    level = np.where(w.counts > 0, np.floor(-np.log2(np.maximum(n_different, 1) / np.maximum(w.counts, 1)) * 4), 63)
+    runs.append((tc.mix(np.minimum(level, 63).astype(tc.U64) + tc.U64(1 << 40)), np.arange(n_docs + 1), SHARE))
     owners = np.concatenate([np.repeat(np.arange(n_docs), np.diff(ptr)) for _, ptr, _ in runs])
     found = np.concatenate([tc.mix(v ^ salt) >> tc.U64(64 - bits) for v, _, salt in runs])
-    found = np.unique((owners.astype(np.int64) << bits) | found.astype(np.int64))
+    found = tc.distinct((owners.astype(np.int64) << bits) | found.astype(np.int64))
     return found & ((1 << bits) - 1), np.searchsorted(found >> bits, np.arange(n_docs + 1))
 
 
@@ -198,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(key))).select(F.col(key).alias("__llm_key"), F.col(label).cast("int").alias("quality"))
     share = sample / max(1, known.count())
     known = known.withColumn("sampled", F.pmod(F.xxhash64("__llm_key", F.lit("sample")), F.lit(1 << 30)) < int(min(share, 1) * (1 << 30)))
-    rows = (docs.select(F.col(key).alias("__llm_key"), F.col(text).alias("text")).join(known, "__llm_key")
+    rows = (docs.select(F.col(key).alias("__llm_key"), F.col(text).alias("text")).join(known.hint("shuffle_merge"), "__llm_key")  # labels grow with the documents
             .select(F.col("__llm_key").cast("long").alias("doc_id"), "quality", "sampled", "text"))
     scratch = Scratch(docs.sparkSession, "nb-svm")
     counted = scratch.write(rows.mapInArrow(_count(bits), "doc_id long, quality int, found binary, counts binary"), "counted")
