@@ -100,5 +100,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     res = compare(spark, sf, set(sys.argv[2:]) or None)
-    bad = [k for k, v in res.items() if not (v.startswith("OK") or v.startswith("rows-only"))]
-    print(f"{len(res) - len(bad)}/{len(res)} ok; bad: {bad}")
+    equal = [k for k, v in res.items() if v.startswith("OK")]
+    bare = [k for k, v in res.items() if v.startswith("rows-only")]
+    bad = [k for k in res if k not in equal and k not in bare]
+    print(f"{len(equal)} equal to their SQL, {len(bare)} without SQL: {bare}; bad: {bad}")

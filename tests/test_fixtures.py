@@ -90,7 +90,7 @@ def test_non_numeric_wide_cell(spark):
 
 def test_percentile(spark):
     df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, 4.0, 10.0, None)], "edge_id string, speed double")
-    st = features.sensor_stats(df).collect()[0]
+    st = features.sensor_stats(df, percentile=True).collect()[0]
     assert math.isclose(st.p90, 7.6)
 
 

@@ -95,10 +95,19 @@ def test_windows_and_edge_list_and_reports(spark, tmp):
     assert spark.read.json(f"{tmp}/rep_json").count() == 1
 
 
-def test_to_wide_cap(spark):
-    df = _tall(spark)
-    wide = io.to_wide(df, ["s0", "s1", "s2"])
+def test_to_wide_takes_the_named_sensors(spark):
+    wide = io.to_wide(_tall(spark), ["s0", "s1", "s2"])
     assert wide.count() == 48 and set(wide.columns) == {"timestamp", "s0", "s1", "s2"}
-    with pytest.raises(ValueError):
-        io.to_wide(df, max_columns=2)
-    assert F is not None
+
+
+def test_read_dir_reads_all_kinds_and_raises_on_a_bad_file(spark, tmp):
+    df = _tall(spark)
+    df.where("edge_id = 's0'").write.parquet(f"{tmp}/d/a")
+    df.where("edge_id <> 's0'").write.option("header", True).csv(f"{tmp}/d/b")
+    assert io.normalize_readings(io.read_dir(spark, f"{tmp}/d")).count() == df.count()
+    with open(f"{tmp}/d/a/broken.parquet", "wb") as f:
+        f.write(b"PAR1 not a file PAR1")
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic|corrupt|cannot read"):
+        io.read_dir(spark, f"{tmp}/d").count()
+    with pytest.raises(FileNotFoundError):
+        io.read_dir(spark, f"{tmp}/nothing-here")

@@ -98,7 +98,7 @@ def test_wide_to_long_and_stream_static_lookup(spark):
     def sink2(df, _):
         out.update({r.edge_id: (r.value, r.source) for r in df.collect()})
 
-    replay.run_available(replay.lookup_stream(req_stream, pred, latest), f"{root}/ck2", "append", sink2)
+    replay.run_available(serve.lookup(req_stream, pred, latest), f"{root}/ck2", "append", sink2)
     assert out == {"s0": (42.0, "pred"), "s9": (7.0, "speed")}
 
 
@@ -113,3 +113,86 @@ def test_run_replay_then_lookup(spark):
     req = spark.createDataFrame([(1, ["click", "nope"], 15)], "request_id int, edge_ids array<string>, horizon int")
     out = {x.edge_id: x.source for x in serve.lookup(req, pred, latest).collect()}
     assert out["nope"] == "none" and out["click"] in ("pred", "speed")
+
+
+def _ticks(spark, rows):
+    return spark.createDataFrame(rows, replay.LONG_SCHEMA)
+
+
+def _hour(i):
+    import datetime as dt
+    return dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)
+
+
+def _drain(spark, parts, job, keys):
+    """Write ``parts`` as files one after the other and drain ``job``, a file a batch."""
+    root = tempfile.mkdtemp(prefix="vg-stream3-")
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{root}/days/date={i}")
+    table = replay.StateTable(spark, f"{root}/state", keys)
+    replay.run_available(job(replay.replay_source(spark, f"{root}/days", replay.LONG_SCHEMA)), f"{root}/ck", "update", table.upsert)
+    return table
+
+
+def test_forecast_over_gaps_in_small_batches(spark):
+    values = [None, 2.0, None, None, 5.0, 6.0, None, 8.0, None, 10.0, 11.0, None, 13.0, None, 15.0, None]
+    parts = [_ticks(spark, [("a", _hour(i), values[i]) for i in range(k, k + 4)]) for k in range(0, 16, 4)]
+    got = {r.horizon: (r.value, r.ts) for r in _drain(spark, parts, lambda s: replay.forecast_stream(s, 60), ["edge_id", "horizon"]).read().collect()}
+    history, last = [], math.nan
+    for v in values[4:]:
+        last = last if v is None else v
+        history.append(last)
+    e = history[0]
+    for v in history[1:]:
+        e = 0.3 * v + 0.7 * e
+    assert got.keys() == {15, 30, 45, 60}
+    assert all(math.isclose(v, e, rel_tol=1e-12) and t == _hour(15) for v, t in got.values())
+
+
+def test_ema_orders_ticks_over_arrow_batches(spark):
+    import datetime as dt
+    import random
+    rows = [("a", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), 40.0 + i % 37) for i in range(25_000)]
+    want = rows[0][2]
+    for _, _, v in rows[1:]:
+        want = 0.2 * v + 0.8 * want
+    random.Random(4).shuffle(rows)
+    got = _drain(spark, [_ticks(spark, rows)], replay.ema_stream, ["edge_id"]).read().collect()
+    assert math.isclose(got[0].ema, want, rel_tol=1e-9) and got[0].ts == dt.datetime(2024, 1, 1) + dt.timedelta(minutes=24_999)
+
+
+def test_latest_breaks_ties_like_its_batch_twin(spark):
+    rows = [("a", _hour(1), 2.0), ("a", _hour(1), 4.0), ("a", _hour(0), 9.0), ("b", _hour(2), None), ("b", _hour(1), 3.0)]
+    got = _drain(spark, [_ticks(spark, rows)], replay.latest_stream, ["edge_id"]).read()
+    assert {tuple(r) for r in got.collect()} == {("a", _hour(1), 4.0), ("b", _hour(1), 3.0)}
+    assert {(r.edge_id, r.ts, r.speed) for r in serve.latest_state(_ticks(spark, rows)).collect()} == {("a", _hour(1), 4.0), ("b", _hour(1), 3.0)}
+
+
+def test_model_forecast_is_normalised_and_turned_back(spark):
+    rows = [("a", _hour(i), 30.0 + i) for i in range(12)]
+    job = lambda s: replay.forecast_stream(s, 60, predict=lambda x: x[:, -1:] + [[0.0, 0.1, 0.2, 0.3] + [9.0] * 8], stats=(30.0, 10.0))
+    got = {r.horizon: r.value for r in _drain(spark, [_ticks(spark, rows)], job, ["edge_id", "horizon"]).read().collect()}
+    assert all(math.isclose(got[h], v) for h, v in {15: 41.0, 30: 42.0, 45: 43.0, 60: 44.0}.items())
+
+
+def test_state_table_survives_a_failed_and_a_replayed_batch(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="vg-state-")
+    table = replay.StateTable(spark, f"{root}/t", ["edge_id"])
+    make = lambda *r: spark.createDataFrame(list(r), "edge_id string, ts timestamp, speed double")
+    assert table.read() is None
+    table.upsert(make(("a", _hour(0), 1.0)), 0)
+    table.upsert(make(("b", _hour(1), 2.0)), 1)
+    make(("half", _hour(9), 9.0)).write.parquet(f"{root}/t/batch_id=7")
+    import os
+    os.remove(f"{root}/t/batch_id=7/_SUCCESS")  # a writer that never committed
+    table.upsert(make(("b", _hour(1), 2.0)), 1)  # the batch again
+    assert sorted(r.edge_id for r in table.read().collect()) == ["a", "b"]
+    table.upsert(make(("c", _hour(2), 3.0)), 2)
+    assert sorted(r.edge_id for r in table.read().collect()) == ["a", "b", "c"] and len(table.versions()) == 2
+    newest = next(f for f in os.listdir(f"{root}/t/batch_id=2") if f.endswith(".parquet"))
+    with open(f"{root}/t/batch_id=2/{newest}", "wb") as f:
+        f.write(b"broken")
+    with pytest.raises(Exception):
+        table.upsert(make(("d", _hour(3), 4.0)), 3)
+    assert table.versions()[-1] == 2  # a failed read writes nothing

@@ -89,6 +89,22 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
+DENSE_CELL = 4096     # sensors of one cell that one task joins
+
+
+def _join_cells(sensors: DataFrame, others: DataFrame, limit: int = DENSE_CELL) -> DataFrame:
+    """Equi-join on the cell ``(gx, gy)``. The sensors of a cell with more than ``limit``
+    are dealt over so many parts, and the cell's other rows go to each of them, so a
+    dense cell is no single task. Only dense cells are listed for this."""
+    dense = (sensors.groupBy("gx", "gy").agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+             .select("gx", "gy", F.ceil(F.col("_n") / limit).cast("int").alias("_parts")))
+    left = sensors.join(dense, ["gx", "gy"], "left").withColumn(
+        "_part", F.pmod(F.xxhash64("sensor_id"), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    right = others.join(dense, ["gx", "gy"], "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, ["gx", "gy", "_part"]).drop("_part")
+
+
 def candidates(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_DEG,
                cell: float | None = None) -> DataFrame:
     """Every (sensor, edge) with point–polyline distance < radius.
@@ -106,7 +122,7 @@ def candidates(sensors: DataFrame, edges: DataFrame, radius: float = MAP_RADIUS_
         "min_lat", "max_lat")
     e = e.select("edge_id", "bearing", "geom", "gx", F.explode(F.sequence(
         _cell(F.col("min_lat") - radius, c), _cell(F.col("max_lat") + radius, c))).alias("gy"))
-    j = s.join(e, ["gx", "gy"])
+    j = _join_cells(s, e)
     d = geo.point_line_distance("longitude", "latitude", "geom")
     return (j.select("sensor_id", "edge_id", "bearing", *keep, d.alias("dist"))
             .where(F.col("dist") < F.lit(radius)))
@@ -180,7 +196,7 @@ def knn_idw(sensors: DataFrame, targets: DataFrame, k: int = IDW_K,
         .select("edge_id", "cx", "cy", "ox", F.explode(off).alias("oy")) \
         .select("edge_id", "cx", "cy", (_cell(F.col("cx"), radius) + F.col("ox")).alias("gx"),
                 (_cell(F.col("cy"), radius) + F.col("oy")).alias("gy"))
-    j = t.join(s, ["gx", "gy"])
+    j = _join_cells(s, t)
     d = geo.point_distance("longitude", "latitude", "cx", "cy")
     c = j.select("edge_id", "sensor_id", d.alias("dist")).where(F.col("dist") < F.lit(radius))
     ranked = top_k(c, "edge_id", [F.col("dist"), F.col("sensor_id")], k, "sensor_id")

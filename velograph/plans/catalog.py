@@ -25,7 +25,11 @@ def query(fn):
 @query
 def q_e2_heldout_eval(spark, sf):
     """Flagship (E2): EMA-baseline vs last-value MAE/RMSE per horizon, last full day."""
-    return evaluation.heldout_evaluation(tables.readings(spark, sf), freq_minutes=60)
+    return evaluation.heldout_evaluation(tables.readings(spark, sf), freq_minutes=60, recent=_recent(spark, sf))
+
+
+def _recent(spark, sf, edge="event_type"):
+    return lambda low, high: tables.readings(spark, sf, edge=edge, between=(low, high))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -234,7 +238,7 @@ def q_w10_sampling_step(spark, sf):
 
 
 def _heldout(spark, sf):
-    return evaluation.heldout_windows(tables.readings(spark, sf), 60)
+    return evaluation.heldout_windows(tables.readings(spark, sf), 60, recent=_recent(spark, sf))
 
 
 @query
@@ -246,7 +250,7 @@ def q_w12_windows(spark, sf):
 
 @query
 def q_w13_windows_in_day(spark, sf):
-    grid, day = evaluation.heldout_grid(tables.readings(spark, sf), 60)
+    grid, day = evaluation.heldout_grid(tables.readings(spark, sf), 60, recent=_recent(spark, sf))
     w = windows.sliding_windows(grid, 60, 6, 6, label_day=day, all_within_day=True,
                                 drop_missing=False)
     wl = windows.windows_long(w)
@@ -281,7 +285,7 @@ def q_a10_step_node_mae(spark, sf):
 
 def _user_heldout(spark, sf):
     return evaluation.heldout_windows(tables.readings(spark, sf, edge="user"), 60,
-                                      fill_method="ffill_bfill")
+                                      fill_method="ffill_bfill", recent=_recent(spark, sf, "user"))
 
 
 @query

@@ -19,7 +19,7 @@ from velograph.sources import io
 def prepare(readings: DataFrame, out_dir: str, freq_minutes: int = 5) -> dict[str, str]:
     """E1 on canonical readings (e.g. ``io.matrix_to_readings``)."""
     out = out_dir.rstrip("/")
-    stats = features.sensor_stats(readings)
+    stats = features.sensor_stats(readings, percentile=True)
     weights = features.congestion_step_weights(readings, stats)          # before normalising
     norm = features.normalize(readings, features.norm_params(stats, "z_score"))
     norm = norm.select("timestamp", "edge_id", F.col("value").alias("speed"))
