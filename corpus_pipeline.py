@@ -87,6 +87,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for (name, stage), before in zip(STAGES[:-1], [None, *(n for n, _ in STAGES)], strict=False):
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
