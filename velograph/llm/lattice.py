@@ -137,7 +137,7 @@ def _keys(tables: int, width: float, probes: int):
             for at, x in _by_size(batch.column("vector")):
                 for lo in range(0, len(at), 1000):
                     part = at[lo:lo + 1000]
-                    home, visits = cells(x[lo:lo + 1000], labels[part] + len(x[0]) * 1_000_003, tables, width, probes)
+                    home, visits = cells(x[lo:lo + 1000], labels[part] ^ len(x[0]), tables, width, probes)
                     n = len(part)
                     cell = np.concatenate([home.reshape(-1), visits.reshape(-1)])
                     owner = np.concatenate([np.repeat(ids[part], home.shape[1]), np.repeat(ids[part], visits.shape[1] * visits.shape[2])])
@@ -153,7 +153,7 @@ def _homes(tables: int, width: float, probes: int):
             labels = batch.column("label").to_numpy()
             out: list = [None] * batch.num_rows
             for at, x in _by_size(batch.column("vector")):
-                home, _ = cells(x, labels[at] + len(x[0]) * 1_000_003, tables, width, probes)
+                home, _ = cells(x, labels[at] ^ len(x[0]), tables, width, probes)
                 for i, h in zip(at.tolist(), tc.signed(home).tolist(), strict=True):
                     out[i] = h
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("size"), batch.column("vector"), pa.array(out, pa.list_(pa.int64()))],
@@ -230,8 +230,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """vec_id, n_links (other vectors linked directly), component_id (smallest id
     reached), kept; one row per input row."""
     scratch = Scratch(vectors.sparkSession, "lattice")
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("vector"))
-    known = rows.where("id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(label).cast("string")).alias("label"), F.col(label).alias("given"), F.col(vector).alias("vector"))
+    known = rows.where("id IS NOT NULL AND given IS NOT NULL AND vector IS NOT NULL").drop("given")
     usable = scratch.write(known.mapInArrow(_usable, "id long, label long, hash binary, vector binary"), "usable")
     classes = usable.groupBy("label", "hash").agg(F.min("id").alias("id"), F.count_distinct("id").alias("size"), F.first("vector").alias("vector"))
     classes = scratch.write(classes.select("id", "label", "hash", "size", "vector"), "classes")
