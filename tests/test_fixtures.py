@@ -314,3 +314,18 @@ def test_shuffled_batches(spark):
     assert sizes == [3, 5, 5]
     again = {r.label_start: r.batch for r in windows.shuffled_batches(w, 5, seed=1).collect()}
     assert again == {r.label_start: r.batch for r in b1.collect()}
+
+
+def test_percentile_of_a_hot_key_is_exact(spark):
+    import random
+    pick = random.Random(9)
+    values = [round(pick.gauss(50, 20), pick.choice([0, 1, 6])) for _ in range(30_000)]
+    few = [3.0, 1.0]
+    df = spark.createDataFrame([("hot", v) for v in values] + [("few", v) for v in few] + [("same", 5.0)] * 9000, "k string, v double").repartition(6)
+    for q in (0.9, 0.5, 0.0, 1.0, 0.123):
+        got = {r.k: r.p for r in features.exact_percentile(df, "k", "v", q).collect()}
+        for k, x in (("hot", sorted(values)), ("few", sorted(few)), ("same", [5.0] * 9000)):
+            pos = q * (len(x) - 1)
+            low = int(pos)
+            want = x[low] + (pos - low) * (x[min(low + 1, len(x) - 1)] - x[low])
+            assert math.isclose(got[k], want, rel_tol=1e-12), (k, q)
