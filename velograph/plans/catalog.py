@@ -808,17 +808,10 @@ def q_j01_node_positions(spark, sf):
 
 
 # --------------------------------------------------------------------------- files
-import uuid  # noqa: E402
-
-from velograph.session import checkpoint_dir  # noqa: E402
+from velograph.session import scratch_folder as _folder  # noqa: E402
 from velograph.streaming import replay  # noqa: E402
 
 
-def _folder(spark, name):
-    """A new shared folder for a query that writes files and reads them back."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _tall(r):
     return r.select(to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
 

@@ -66,16 +66,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
-    back. Use where a plan must read the *same* rows twice (e.g. values tagged
-    with partition ids): cuts lineage, survives executor loss, and computes the
-    data a single time. The table goes when the driver's Python ends."""
-    spark = df.sparkSession
+def scratch_folder(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder, removed when the driver's Python ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet in a ``scratch_folder`` and read it back. Use where a
+    plan must read the *same* rows twice (e.g. values tagged with partition ids): cuts
+    lineage, survives executor loss, and computes the data a single time."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _remove(spark, path: str) -> None:
