@@ -2,7 +2,8 @@
 
 All pages of a host are merged into one tree: a node is an element's path of
 labels (tag, class, id) from the root, a presentation of it is the sequence of
-its children's labels. Over the ``m`` pages that have a node,
+its children's labels. Over the ``m`` pages that have a node (a page that shows it in
+several ways counts once for each),
 
 * its presentation importance is the entropy, to base m, of the presentations;
 * the content importance of a text below it is 1 - H, where H is the entropy of
