@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from velograph.llm import textcodes as tc
 from velograph.llm.idcache import IdCache
+from velograph.llm.scratch import small_batches
 
 DROPOUT = 0.1
 SEED = 17
@@ -39,6 +40,20 @@ LOW_BITS = (1 << 32) - 1
 MASK = (1 << 64) - 1
 
 
+WIDTHS = (4, 8, 12, 16, 24)  # units of up to so many characters are segmented together
+
+
+def _keyed(key: int, a: int, b: int, c: int) -> int:
+    """32 bits for the candidate that joins characters a..b and b..c of a unit."""
+    x = (key ^ (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D)) * 0xBF58476D1CE4E5B9 & MASK
+    return ((x ^ x >> 31) * 0x94D049BB133111EB & MASK) >> 32
+
+
+def _keyed_many(key: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    x = (key ^ (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D).astype(tc.U64)) * tc.U64(0xBF58476D1CE4E5B9)
+    return ((x ^ x >> tc.U64(31)) * tc.U64(0x94D049BB133111EB)) >> tc.U64(32)
+
+
 class Pieces:
     """Merge table of a SentencePiece BPE model."""
 
@@ -77,6 +92,11 @@ class Pieces:
         space = self.symbol.pop(SPACE, None)  # in a text the character itself has no piece: a space has
         if space is not None:
             self.symbol[" "] = space
+        self.pair_keys = np.array(sorted(self.merges), np.int64)
+        self.pair_merges = np.array([self.merges[k] for k in sorted(self.merges)], np.int64)
+        self.by_point = np.full(0x110000, -1, np.int64)
+        for c, i in self.symbol.items():
+            self.by_point[ord(c)] = i
         # bytes that follow each other inside a piece; between others no merge is possible
         self.together = np.zeros((256, 256), bool)
         self.together[:, 0x80:0xC0] = True
@@ -90,35 +110,28 @@ class Pieces:
         self.cache = IdCache()
 
     def segment(self, unit: str, key: int, limit: int) -> list[int]:
-        """Ids of one unit; a merge is skipped where its keyed hash is below ``limit`` (of 2^32)."""
+        """Ids of one unit; a merge is skipped where its keyed hash is below ``limit`` (of 2^32).
+
+        A skipped candidate never comes back: its symbols can only grow, and then it is
+        another candidate with another hash."""
         look, get = self.merges, self.symbol.get
         s = [get(c, -1) for c in unit]  # -1 is in no merge
         at = list(range(len(s) + 1))  # first character of each symbol, and the end
         agenda = [look.get(a << 32 | b, NEVER) for a, b in zip(s, s[1:], strict=False)]
-        skipped: set[tuple[int, int, int]] = set()
         while agenda:
             best = min(agenda)
             if best == NEVER:
                 break
             i = agenda.index(best)
-            if limit:
-                x = (key ^ (at[i] * 0x9E3779B1 + at[i + 1] * 0x85EBCA77 + at[i + 2] * 0xC2B2AE3D)) * 0xBF58476D1CE4E5B9 & MASK
-                if ((x ^ x >> 31) * 0x94D049BB133111EB & MASK) >> 32 < limit:
-                    agenda[i] = NEVER
-                    skipped.add((at[i], at[i + 1], at[i + 2]))
-                    continue
+            if limit and _keyed(key, at[i], at[i + 1], at[i + 2]) < limit:
+                agenda[i] = NEVER
+                continue
             s[i:i + 2] = [best & LOW_BITS]
             del at[i + 1], agenda[i]
             if i:
                 agenda[i - 1] = look.get(s[i - 1] << 32 | s[i], NEVER)
             if i < len(agenda):
                 agenda[i] = look.get(s[i] << 32 | s[i + 1], NEVER)
-            if skipped:
-                for j in (i - 1, i):
-                    if 0 <= j < len(agenda) and (at[j], at[j + 1], at[j + 2]) in skipped:
-                        agenda[j] = NEVER
-        if -1 not in s and (not self.extra or max(s) < self.n_pieces):
-            return s
         out: list[int] = []
         for i, x in enumerate(s):
             if 0 <= x < self.n_pieces:
@@ -127,6 +140,91 @@ class Pieces:
                 out += [self.byte_ids[b] for b in unit[at[i]:at[i + 1]].encode()]
         return out
 
+    def _look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == pair, self.pair_merges[at], NEVER)
+
+    def segment_many(self, symbols: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`segment` for many short units at once: rows of symbols, padded with -1 on
+        the right. All agendas take a step together. Returns the rows' ids, likewise
+        padded (a symbol of the row that is no piece stays as it is), and their number."""
+        n, width = symbols.shape
+        out = symbols.copy()
+        rows = np.arange(n)  # those whose agenda is not empty yet
+        s = np.concatenate([symbols, np.full((n, 1), -1)], axis=1)
+        at = np.tile(np.arange(width + 2), (n, 1))
+        agenda = self._look(s[:, :-1], s[:, 1:])
+        column = np.arange(width + 2)
+        while len(rows):
+            i = agenda.argmin(axis=1)
+            each = np.arange(len(rows))
+            best = agenda[each, i]
+            ended = best == NEVER
+            if ended.any():
+                out[rows[ended]] = s[ended, :width]
+                stay = ~ended
+                rows, s, at, agenda, keys, i, best = (x[stay] for x in (rows, s, at, agenda, keys, i, best))
+                each = np.arange(len(rows))
+                if not len(rows):
+                    break
+            if limit:
+                skip = _keyed_many(keys, at[each, i], at[each, i + 1], at[each, i + 2]) < limit
+                agenda[each[skip], i[skip]] = NEVER
+                each, i, best = each[~skip], i[~skip], best[~skip]
+            moved = column[None, :] + (column[None, :] > i[:, None])
+            some = s[each]
+            some[np.arange(len(each)), i] = best & LOW_BITS
+            some = np.take_along_axis(some, np.minimum(moved[:, :width + 1], width), axis=1)
+            some[:, width] = -1
+            s[each] = some
+            at[each] = np.take_along_axis(at[each], np.minimum(moved, width + 1), axis=1)
+            gone = column[None, :width] + (column[None, :width] >= i[:, None])
+            pairs = np.take_along_axis(agenda[each], np.minimum(gone, width - 1), axis=1)
+            pairs[:, width - 1] = NEVER
+            k = np.arange(len(each))
+            left = i > 0
+            pairs[k[left], i[left] - 1] = self._look(some[k[left], i[left] - 1], some[k[left], i[left]])
+            pairs[k, i] = self._look(some[k, i], some[k, i + 1])
+            agenda[each] = pairs
+        return out, (out >= 0).sum(axis=1)
+
+    def _segments(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (concatenated) of units given as byte spans, and how many each has."""
+        size = ends - starts
+        step = np.ones(int(size.sum()), np.int64)
+        total = np.cumsum(size)
+        step[0] = starts[0]
+        step[total[:-1]] = starts[1:] - ends[:-1] + 1
+        text = raw[np.cumsum(step)]
+        points = np.frombuffer(text.tobytes().decode().encode("utf-32-le"), np.uint32)
+        head = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
+        first, last = head[total - size], head[total]
+        symbols = self.by_point[points]
+        known = np.concatenate([[0], np.cumsum((symbols < 0) | (symbols >= self.n_pieces))])
+        length = last - first
+        easy = (known[last] == known[first]) & (length <= WIDTHS[-1])
+        counts = np.zeros(len(size), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray]] = []  # units and their ids
+        lower = 0
+        for width in WIDTHS:
+            part = np.flatnonzero(easy & (length > lower) & (length <= width))
+            lower = width
+            if len(part):
+                place = first[part][:, None] + np.arange(width)[None, :]
+                inside = place < last[part][:, None]
+                table = np.where(inside, symbols[np.minimum(place, len(symbols) - 1)], -1)
+                ids, number = self.segment_many(table, keys[part], limit)
+                counts[part] = number
+                done.append((np.repeat(part, number), ids[ids >= 0]))
+        for u in np.flatnonzero(~easy).tolist():
+            ids = self.segment(bytes(raw[starts[u]:ends[u]]).decode(), int(keys[u]), limit)
+            counts[u] = len(ids)
+            done.append((np.full(len(ids), u), np.array(ids, np.int64)))
+        unit = np.concatenate([x for x, _ in done])
+        ids = np.concatenate([x for _, x in done])
+        return ids[np.argsort(unit, kind="stable")].astype(np.int32), counts
+
     def encode(self, data: np.ndarray, off: np.ndarray, docs: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of texts, and their document pointer."""
         filled = off[:-1][np.diff(off) > 0]
@@ -148,13 +246,9 @@ class Pieces:
             owner = np.repeat(docs.astype(np.int64).view(tc.U64), w.counts)
             variant = tc.mix(tc.mix(owner + tc.U64(seed)) + place.astype(tc.U64)) % tc.U64(VARIANTS)
             codes = tc.mix(codes ^ tc.mix(variant + tc.U64((seed << 8) & (1 << 64) - 1) + tc.U64(1)))
-        raw = data.tobytes()
 
         def make(which):
-            parts = [self.segment(raw[a:b].decode(), key, limit)
-                     for a, b, key in zip(starts[which].tolist(), ends[which].tolist(), codes[which].tolist(), strict=True)]
-            sizes = np.array([len(p) for p in parts], np.int64)
-            return np.fromiter((x for p in parts for x in p), np.int32, int(sizes.sum())), sizes
+            return self._segments(data, starts[which], ends[which], codes[which], limit)
 
         ids, bounds = self.cache.ids(codes, make)
         return ids, bounds[w.ptr]
@@ -181,6 +275,7 @@ def model(path: str, *variant) -> Pieces:
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``docs`` with ``ids``."""
+    small_batches(docs.sparkSession)
     docs = docs.select(*[c for c in docs.columns if c != "ids"])
     names = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
@@ -193,6 +288,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 ids, ptr = pieces.encode(data, off, owners[lo:hi], dropout, seed)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c)[lo:hi] for c in names),
                                                   pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(ids))], names=[*names, "ids"])
+        pieces.cache = IdCache()  # the worker process may go on to other work
 
     return docs.withColumn("__llm_owner", F.coalesce(F.col(key).cast("long"), F.lit(-1))).mapInArrow(run, f"{fields}, ids array<int>")
 
