@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from velograph.llm import textcodes as tc
 from velograph.llm.idcache import IdCache
+from velograph.llm.scratch import small_batches
 
 MAX_BITS = 16
 BLOCK_TOKENS = 1 << 16
@@ -294,6 +295,7 @@ def _encode_blocks(lengths):
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Tokenize ``docs`` and write the files under ``path`` (any folder Spark can write)."""
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     source.mapInArrow(_tokenize(tokenizer, end_id), IDS_FIELDS).write.option("compression", "zstd").parquet(f"{path}/ids")
     ids = spark.read.parquet(f"{path}/ids")

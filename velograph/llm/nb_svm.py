@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from velograph.llm import textcodes as tc
-from velograph.llm.scratch import Scratch
+from velograph.llm.scratch import Scratch, small_batches
 
 BITS = 18
 SAMPLE = 8000
@@ -210,19 +210,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ratio = np.log(counts[1] / (n[1] + 2 * SMOOTH)) - np.log(counts[0] / (n[0] + 2 * SMOOTH))
     sets = [np.frombuffer(zlib.decompress(f), np.int32) for _, _, f in taken]
     rest = np.array([zlib.crc32(str(d).encode()) // FOLDS % 4 == 0 for d, _, _ in taken])
+    del taken
+    ptr = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    found = np.concatenate(sets)
+    del sets
     if len(set(y[rest].tolist())) < 2 or len(set(y[~rest].tolist())) < 2:
         rest[:] = False
+    scaled = ratio[found].astype(np.float32)
+    length = np.sqrt(np.add.reduceat(np.append(scaled, 0).astype(np.float64) ** 2, ptr[:-1]))
+    scaled /= np.repeat(np.maximum(length, 1e-12), np.diff(ptr)).astype(np.float32)
     train = np.flatnonzero(~rest)
-    rows = [(sets[i], ratio[sets[i]] / max(np.linalg.norm(ratio[sets[i]]), 1e-12)) for i in train]
+    rows = [(found[ptr[i]:ptr[i + 1]], scaled[ptr[i]:ptr[i + 1]]) for i in train]
     part = y[train].mean()
     cost = COST * np.where(y[train] == 1, 0.5 / part, 0.5 / (1 - part))  # both classes weigh the same
     weight, bias = descend(rows, np.where(y[train] == 1, 1.0, -1.0), size, cost)
     model = Model(weight * ratio, ratio * ratio, bias, 1.0, 0.0)
-    check = np.flatnonzero(rest) if rest.any() else train
-    lengths = [len(sets[i]) for i in check]
-    raw = model.scores(np.concatenate([sets[i] for i in check]), np.concatenate([[0], np.cumsum(lengths)]))
+    raw = model.scores(found, ptr)
     margin = np.log(np.clip(raw, 1e-12, 1)) - np.log(np.clip(1 - raw, 1e-12, 1))
-    model.slope, model.offset = logistic(margin, y[check])
+    check = np.flatnonzero(rest) if rest.any() else train
+    model.slope, model.offset = logistic(margin[check], y[check])
     return model
 
 
@@ -231,6 +237,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     docs = docs.select(*names)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

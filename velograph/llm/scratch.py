@@ -14,10 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from velograph.session import checkpoint_dir
 
 
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows here are whole texts or pages: Arrow batches of the default 10,000 rows would
+    be held several times over in the JVM and in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Scratch:
     """Folder of one operator call under ``spark.checkpoint.dir``."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self._remove, self.root)

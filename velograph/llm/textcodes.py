@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse mod 2^64
 INVERSE = pow(MULT, -1, 1 << 64)
-BLOCK_BYTES = 2 << 20  # text bytes worked on at once (a longer text is a block of its own)
+BLOCK_BYTES = 1 << 20  # text bytes worked on at once (a longer text is a block of its own)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from velograph.llm import textcodes as tc
-from velograph.llm.scratch import Scratch
+from velograph.llm.scratch import Scratch, small_batches
 
 WINDOW = 13
 PART_BYTES = 4 << 20
@@ -149,6 +149,7 @@ def occurrences(docs: DataFrame, items: DataFrame, text: str = "text", item: str
     """``docs`` with its word count, the merged spans of hit words (first and last
     word number) and the sorted ids of the items that occur."""
     spark = docs.sparkSession
+    small_batches(spark)
     names = [c for c in docs.columns if c not in ("n_words", "hit_spans", "item_ids")]
     out = docs.select(*names)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
