@@ -15,8 +15,9 @@ one n-gram if it has fewer). Two documents link when
    member with a few hubs (the members with the least keyed hash); once those
    links are known, only members of different components are paired, so a group
    of k near copies costs about k pairs. Pairs pass the length, positional and
-   suffix filters (the last: counts of a set's n-grams in 64 hash ranges bound
-   the difference of two sets), then the sets are compared, once per pair.
+   suffix filters (the last: a set's n-grams fall into 1,024 hash ranges, and ranges
+   that hold an odd number in one set and an even one in the other each cost a
+   difference of the sets), then the sets are compared, once per pair.
 4. Components of the links give each document the smallest id it reaches. A link
    whose ends are known to be connected need not be found; all others are.
 
@@ -42,7 +43,7 @@ SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 16
 HUBS = 2
 LOOKS = 200
-RANGES = 64
+RANGES = 1024
 SEEN_LIMIT = 1 << 20
 ROW_NAMES = ["doc_id", "n_shingles", "fp", "fp2", "block", "counts"]
 ROW_FIELDS = "doc_id long, n_shingles long, fp long, fp2 long, block int, counts binary"
@@ -157,7 +158,7 @@ def _prefixes(k: int, percent: int, bits: int, sketch):
 
 
 def _fetch_sets(k: int):
-    """Sets of the wanted classes, with the counts of their n-grams in each hash range
+    """Sets of the wanted classes, with a bit for each hash range that holds an odd number
     (rows are sorted by id, so rows repeating one stand together; the first is used)."""
     def run(batches):
         last = None
@@ -171,13 +172,13 @@ def _fetch_sets(k: int):
                 last = fp[-1]
                 ok = np.flatnonzero(fresh & (fp == batch.column("fp")[lo:hi].to_numpy()))
                 owner = np.repeat(np.arange(hi - lo), np.diff(ptr))
-                ranges = np.bincount(owner * RANGES + (sets >> tc.U64(58)).astype(np.int64), minlength=(hi - lo) * RANGES)
-                ranges = ranges.reshape(-1, RANGES).astype(np.int32)
+                odd = np.bincount(owner * RANGES + (sets >> tc.U64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=(hi - lo) * RANGES) & 1
+                odd = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, RANGES // 64)
                 at = ptr.tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fp[ok]), pa.array(np.diff(ptr)[ok].astype(np.int32)),
                      pa.array([_packed(sets[at[i]:at[i + 1]]) for i in ok.tolist()], pa.binary()),
-                     pa.array(ranges[ok].tolist(), pa.list_(pa.int32()))], names=["fp", "n", "grams", "ranges"])
+                     pa.array(odd[ok].tolist(), pa.list_(pa.int64()))], names=["fp", "n", "grams", "odd"])
     return run
 
 
@@ -235,17 +236,17 @@ class Join:
                 & (1 + F.least(nx - rx, ny - ry) - 1 >= need))
 
     def _alike(self, a: str, b: str, n: Column, other: Column) -> Column:
-        """Suffix filter: sets that differ in more n-grams than a link allows do so by range."""
+        """Suffix filter: sets that differ in more n-grams than a link allows."""
         total = n.cast("long") + other
-        apart = F.aggregate(F.zip_with(a, b, lambda u, v: F.abs(u - v)), F.lit(0), lambda s, u: s + u)
+        apart = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(RANGES // 64)), F.lit(0))
         return apart <= total - 2 * F.ceil(self.percent * total / (100 + self.percent))
 
     def _pairs(self, x: DataFrame, y: DataFrame) -> DataFrame:
         """Distinct pairs of classes of different parts that share an n-gram and pass all
-        filters; both sides have the classes' ranges."""
+        filters; both sides have the classes' ``odd``."""
         found = x.alias("x").join(y.alias("y"), F.col("x.gram") == F.col("y.gram"))
         found = found.where((F.col("x.part") != F.col("y.part")) & self._matches()
-                            & self._alike("x.ranges", "y.ranges", F.col("x.n"), F.col("y.n")))
+                            & self._alike("x.odd", "y.odd", F.col("x.n"), F.col("y.n")))
         return found.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -271,10 +272,10 @@ class Join:
         members = members.alias("x").join(other, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.fp") != F.col("y.fp")) & self._matches(), "left_semi")
         members = self.scratch.write(members, "members")
         wanted = members.select("fp").distinct().join(self.classes, "fp").select("fp", F.col("first_id").alias("doc_id"))
-        sets = self.docs.join(wanted, "doc_id").mapInArrow(_fetch_sets(self.k), "fp long, n int, grams binary, ranges array<int>")
+        sets = self.docs.join(wanted, "doc_id").mapInArrow(_fetch_sets(self.k), "fp long, n int, grams binary, odd array<long>")
         sets = self.scratch.write(sets, "sets")
 
-        ranges = sets.select("fp", "ranges")
+        odd = sets.select("fp", "odd")
         parted = members.withColumn("part", F.col("fp"))
         rows = members.count()
         tested = links = None
@@ -285,7 +286,7 @@ class Join:
                 F.min_by(F.struct("fp", "n", "rank", "part"), F.xxhash64("fp", F.lit(turn * HUBS + i))).alias(f"h{i}") for i in range(HUBS)),
                 F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
             hubs = hubs.select("gram", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HUBS))))).alias("h")).select("gram", "h.*")
-            pairs = self._pairs(hubs.join(ranges, "fp"), parted.join(ranges, "fp"))
+            pairs = self._pairs(hubs.join(odd, "fp"), parted.join(odd, "fp"))
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             done, found = self._verified(pairs, sets, f"hubs-{turn}")
@@ -303,7 +304,7 @@ class Join:
             if cost <= LOOKS * rows or (before is not None and 2 * cost > before):
                 break
         # all that is left: members outside the largest component of their group, with all others
-        open_rows = parted.join(groups.select("gram", "main"), "gram").join(ranges, "fp")
+        open_rows = parted.join(groups.select("gram", "main"), "gram").join(odd, "fp")
         pairs = self._pairs(open_rows.where("part <> main"), open_rows).join(tested, ["a", "b"], "left_anti")
         _, found = self._verified(pairs, sets, "rest")
         return links.union(found)
