@@ -121,6 +121,22 @@ def test_style_tree_keeps_an_article_that_all_pages_repeat(spark):
     assert {r.text for r in style_tree.extract(frame).collect()} == {"one and the same"}
 
 
+def test_style_tree_cuts_what_a_host_repeats_inside_its_articles(spark):
+    """Below an article or main element importance decides as elsewhere; other hosts' like blocks stay."""
+    def page(i, host, tag):
+        return (f"{host}{i}", f"https://{host}.example/{i}", f"<html><body><div class=strip><{tag}><h1>title {i}</h1><p>story {i} of its own</p>"
+                f"<div class=extra><p>Always the same words</p></div><p>its end {i}</p></{tag}></div></body></html>")
+
+    rows = [page(i, host, tag) for host, tag in (("a", "article"), ("m", "main")) for i in range(12)] + [page(1, "b", "article")]
+    rows.append(("only", "https://a.example/only", "<html><body><div class=strip><article><div class=extra><p>Always the same words</p></div></article></div></body></html>"))
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(3)
+    for small in (1000, -1):
+        got = {r.page_id: r.text for r in style_tree.extract(frame, small=small).collect()}
+        for i in range(12):
+            assert got[f"a{i}"] == got[f"m{i}"] == f"title {i}\n\nstory {i} of its own\n\nits end {i}"
+        assert "Always the same words" in got["b1"] and got["only"] == "Always the same words"
+
+
 CHATS = [
     (1, 0, "user", "hello"), (1, 1, "assistant", "hi"), (1, 2, "user", "more"), (1, 3, "assistant", "end"),
     (2, 0, "user", "hello"), (2, 1, "assistant", "hi"), (2, 2, "user", "other"), (2, 3, "assistant", "é 😀"),

@@ -13,10 +13,12 @@ several ways counts once for each),
 
 What an element is for counts first: scripts, styles, forms, menus, headers,
 footers, sidebars, adverts, notices and comment sections (by tag, role, or a word
-of class or id) have importance 0, and an article or main element 1. Branches
-below ``LOW`` are cut from each page, if at least ``MIN_PAGES`` pages have them
-and the host's pages differ as a whole; the rest is the main text. Pages that
-have an article (or else a main) element take their text from it.
+of class or id) have importance 0, and an article or main element itself 1; what
+is below it counts by its computed importance. Branches below ``LOW`` are cut from
+each page, if at least ``MIN_PAGES`` pages have them and the host's pages differ as
+a whole; the rest is the main text. Pages that have an article (or else a main)
+element take their text from it, whatever is cut above it; one that would lose
+every block to cuts keeps them.
 
 Statistics are sums over (host, path, text) keys with map-side combining, so a
 host with a third of all pages is no hot task. The cut branches are sent to all
@@ -76,17 +78,18 @@ def _hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "parts", "aside", "main", "mute", "children")
+    __slots__ = ("tag", "path", "parts", "aside", "main", "top", "mute", "children")
 
-    def __init__(self, tag, path, parts, aside, main, mute=False):
-        self.tag, self.path, self.parts, self.aside, self.main, self.mute = tag, path, parts, aside, main, mute
+    def __init__(self, tag, path, parts, aside, main, top=0, mute=False):
+        self.tag, self.path, self.parts, self.aside, self.main, self.top, self.mute = tag, path, parts, aside, main, top, mute
         self.children: list[str] = []
 
 
 def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
-    """Events of a page in order: ("text", path parts, is aside, kind of main, text)
-    for each block, and with ``nodes`` ("node", path parts, is aside, kind of main,
-    child labels) where an element ends."""
+    """Events of a page in order: ("text", path parts, is aside, kind of main, top, text)
+    for each block, and with ``nodes`` ("node", path parts, is aside, kind of main, top,
+    child labels) where an element ends. ``top`` is the number of parts down to the
+    article or main element, itself included."""
     root = Element("", "", (), False, 0)
     stack = [root]
     buffer: list[str] = []
@@ -97,13 +100,13 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
             text = " ".join(html.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                yield ("text", owner.parts, owner.aside, owner.main, text)
+                yield ("text", owner.parts, owner.aside, owner.main, owner.top, text)
 
     def close(count):
         for _ in range(count):
             done = stack.pop()
             if nodes:
-                yield ("node", done.parts, done.aside, done.main, done.children)
+                yield ("node", done.parts, done.aside, done.main, done.top, done.children)
 
     at = 0
     while True:
@@ -163,8 +166,8 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
             above.children.append(label)
         path = f"{above.path}/{label}"
         mute = above.mute or (aside and not above.aside and tag not in BLOCKS)  # inside a block that stays: no text of it
-        new = Element(tag, path, (*above.parts, _hash(path)) if aside or not inline else above.parts, aside, main, mute)
-        stack.append(new)
+        parts = (*above.parts, _hash(path)) if aside or not inline else above.parts
+        stack.append(Element(tag, path, parts, aside, main, len(parts) if main > above.main else above.top, mute))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -190,7 +193,7 @@ def _features(batches):
                 continue
             seen = set()
             h = _hash(host(url))
-            for kind, parts, _, main, what in walk(page, nodes=True):
+            for kind, parts, _, main, top, what in walk(page, nodes=True):
                 if not parts:
                     continue
                 row = (parts[-1], kind == "text", _hash(what if kind == "text" else "\n".join(what)))
@@ -201,7 +204,7 @@ def _features(batches):
                     above.append(list(parts))
                     kinds.append(kind == "text")
                     found.append(row[2])
-                    mains.append(main > 0)
+                    mains.append(main > 0 and top == len(parts))
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(above, pa.list_(pa.int64())), pa.array(kinds, pa.bool_()),
              pa.array(found, pa.int64()), pa.array(mains, pa.bool_())], names=["host", "node", "parts", "is_text", "what", "main"])
@@ -248,13 +251,15 @@ def main_text(page: str | None, cut: frozenset | set) -> str:
     """Blocks that are neither aside nor in a cut branch, joined by empty lines."""
     if not page:
         return ""
-    by_main: dict[int, list[str]] = {0: [], 1: [], 2: []}
-    for _, parts, aside, main, text in walk(page):
-        if not aside and (main or cut.isdisjoint(parts)):
-            by_main[main].append(text)
+    by_main: dict[int, list[tuple[bool, str]]] = {0: [], 1: [], 2: []}
+    for _, parts, aside, main, top, text in walk(page):
+        stays = cut.isdisjoint(parts[top:])
+        if not aside and (main or stays):
+            by_main[main].append((stays, text))
             if main == 2:
-                by_main[1].append(text)
-    return "\n\n".join(by_main[2] or by_main[1] or by_main[0])
+                by_main[1].append((stays, text))
+    blocks = by_main[2] or by_main[1] or by_main[0]
+    return "\n\n".join([text for stays, text in blocks if stays] or [text for _, text in blocks])
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", small: int = SMALL) -> DataFrame:
