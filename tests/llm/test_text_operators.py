@@ -209,6 +209,31 @@ def test_pieces_vary_and_decode_exactly(spark, docs):
     assert [r.decoded for r in odd] == ["x", ""]
 
 
+def test_pieces_skip_by_occurrence():
+    """Each occurrence has skips of its own, as if segmented alone, at the rate of the dropout."""
+    model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    n, limit = 4000, int(0.1 * (1 << 32))
+    words = [" the", " internationalization", " of", "\n", " é日ß", " " + "abcdefgh" * 5]
+    text = "".join(words)
+    data = np.frombuffer((text[1:] * n).encode(), np.uint8)
+    ids, ptr = model.encode(data, np.array([0, len(data)]), np.array([7]), 0.1, 3)
+    assert b"".join(model.raw[i] for i in ids[ptr[0]:ptr[1]]) == b" " + data.tobytes()
+    of = {}
+    for word in (" the", " of", " internationalization"):
+        copies = np.frombuffer((word * n)[1:].encode(), np.uint8)
+        ids, _ = model.encode(copies, np.array([0, len(copies)]), np.array([7]), 0.1, 3)
+        codes = tc.word_hashes(tc.Words(np.frombuffer(word.encode(), np.uint8), np.array([0]), np.array([len(word)]), np.array([0, 1])))
+        owner = tc.mix(np.array([7 + 3], tc.U64))
+        keys = tc.mix(codes ^ tc.mix(owner + np.arange(n, dtype=tc.U64)))
+        each = [tuple(model.segment(word, int(k), limit)) for k in keys]
+        assert ids.tolist() == [i for x in each for i in x]
+        of[word] = each
+    assert len(set(of[" internationalization"])) > 8
+    for word in (" the", " of"):
+        plain = tuple(model.segment(word, 0, 0))
+        assert 0.05 < sum(x != plain for x in of[word]) / n < 0.35
+
+
 def _marked(n):
     """Good and bad texts; the bad ones shout."""
     rows, labels = [], []

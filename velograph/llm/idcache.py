@@ -23,13 +23,12 @@ class IdCache:
         self.store = np.zeros(1 << 16, np.int32)
         self.used = 0
 
-    def ids(self, keys: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words of a text, and the bounds of each word's. ``make`` gives,
-        for the places of words not met before, their ids and how many each has."""
+    def spans(self, keys: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Start of each word's ids in ``store``, and how many it has. ``make`` gives,
+        for the places of words not met before, their ids and how many each has.
+        With ``keep`` the spans given before stay valid."""
         codes, first, word = np.unique(keys, return_index=True, return_inverse=True)
-        if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(1, np.int64)
-        if len(self.known) + len(codes) > self.limit:
+        if not keep and len(self.known) + len(codes) > self.limit:
             self._clear()
         at = np.searchsorted(self.known, codes)
         fresh = np.ones(len(codes), bool)
@@ -46,6 +45,12 @@ class IdCache:
             self.start = np.insert(self.start, at[fresh], start)
             self.length = np.insert(self.length, at[fresh], length)
             at = np.searchsorted(self.known, codes)
-        start, length = self.start[at][word], self.length[at][word]
+        return self.start[at][word], self.length[at][word]
+
+    def ids(self, keys: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of a text, and the bounds of each word's (``make`` as above)."""
+        if not len(keys):
+            return np.zeros(0, np.int32), np.zeros(1, np.int64)
+        start, length = self.spans(keys, make)
         total = np.concatenate([[0], np.cumsum(length)])
         return self.store[np.arange(total[-1]) + np.repeat(start - total[:-1], length)], total

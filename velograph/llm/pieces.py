@@ -4,14 +4,16 @@ A text, with one space set before it and spaces shown as U+2581, is cut by byte-
 pair merges: an agenda holds the neighbouring symbols whose concatenation is a
 piece; the best one (highest score, then leftmost) is taken and either merged or,
 with probability ``dropout``, skipped for good. The skip is decided by a keyed
-hash of (seed, variant, unit, bounds of the two symbols), so a rerun, a lost task
-or another partitioning gives the same ids. With ``dropout`` 0 the ids are those
-of the sentencepiece library.
+hash of (seed, document id, place, unit, bounds of the two symbols), so a rerun, a
+lost task or another partitioning gives the same ids. With ``dropout`` 0 the ids are
+those of the sentencepiece library.
 
 Two characters that stand side by side in no piece are never merged, so a text
-falls into units there (before spaces, mostly around signs). An occurrence of a unit uses one of ``VARIANTS``
-segmentations, by a hash of (seed, document id, place): the same text varies
-between documents and within one, and a task segments a (unit, variant) once.
+falls into units there (before spaces, mostly around signs). Every occurrence of a unit has its own
+skips. Up to the first skip all occurrences of a unit take the same merges, and up to
+the second all with the same first skip: a task keeps these traces (the candidates in
+order, and the ids if no more are skipped) and hashes an occurrence's candidates
+against them; one with two skips, or a long unit, is segmented by itself.
 
 Symbols without a piece become byte pieces, and a literal U+2581 does too, so
 ``decode`` gives back every text exactly.
@@ -33,7 +35,6 @@ from velograph.llm.scratch import small_batches
 
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 8
 SPACE = "▁"
 NEVER = 1 << 62
 LOW_BITS = (1 << 32) - 1
@@ -41,6 +42,8 @@ MASK = (1 << 64) - 1
 
 
 WIDTHS = (4, 8, 12, 16, 24)  # units of up to so many characters are segmented together
+KEPT_SKIPS = 2  # traces are kept for units with fewer skips
+WHOLE = 1 << 62  # depth of an agenda that may skip to its end
 
 
 def _keyed(key: int, a: int, b: int, c: int) -> int:
@@ -54,6 +57,11 @@ def _keyed_many(key: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) ->
     return ((x ^ x >> tc.U64(31)) * tc.U64(0x94D049BB133111EB)) >> tc.U64(32)
 
 
+def _packed(a, b, c):
+    """A candidate of a unit of up to 24 characters in 15 bits."""
+    return a << 10 | b << 5 | c
+
+
 class Pieces:
     """Merge table of a SentencePiece BPE model."""
 
@@ -109,8 +117,9 @@ class Pieces:
         self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
         self.cache = IdCache()
 
-    def segment(self, unit: str, key: int, limit: int) -> list[int]:
-        """Ids of one unit; a merge is skipped where its keyed hash is below ``limit`` (of 2^32).
+    def segment(self, unit: str, key: int, limit: int, depth: int = WHOLE, trace: list[int] | None = None) -> list[int]:
+        """Ids of one unit; a merge is skipped where its keyed hash is below ``limit`` (of 2^32)
+        and it is one of the first ``depth`` candidates; those after go to ``trace``.
 
         A skipped candidate never comes back: its symbols can only grow, and then it is
         another candidate with another hash."""
@@ -118,12 +127,17 @@ class Pieces:
         s = [get(c, -1) for c in unit]  # -1 is in no merge
         at = list(range(len(s) + 1))  # first character of each symbol, and the end
         agenda = [look.get(a << 32 | b, NEVER) for a, b in zip(s, s[1:], strict=False)]
+        step = 0
         while agenda:
             best = min(agenda)
             if best == NEVER:
                 break
             i = agenda.index(best)
-            if limit and _keyed(key, at[i], at[i + 1], at[i + 2]) < limit:
+            step += 1
+            if step > depth:
+                if trace is not None:
+                    trace.append(_packed(at[i], at[i + 1], at[i + 2]))
+            elif limit and _keyed(key, at[i], at[i + 1], at[i + 2]) < limit:
                 agenda[i] = NEVER
                 continue
             s[i:i + 2] = [best & LOW_BITS]
@@ -145,11 +159,14 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == pair, self.pair_merges[at], NEVER)
 
-    def segment_many(self, symbols: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    def segment_many(self, symbols: np.ndarray, keys: np.ndarray, limit: int, depth: np.ndarray | None = None,
+                     trace: list[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """:meth:`segment` for many short units at once: rows of symbols, padded with -1 on
         the right. All agendas take a step together. Returns the rows' ids, likewise
-        padded (a symbol of the row that is no piece stays as it is), and their number."""
+        padded (a symbol of the row that is no piece stays as it is), and their number;
+        ``trace`` gets (rows, candidates) for each step."""
         n, width = symbols.shape
+        step = 0
         out = symbols.copy()
         rows = np.arange(n)  # those whose agenda is not empty yet
         s = np.concatenate([symbols, np.full((n, 1), -1)], axis=1)
@@ -169,7 +186,13 @@ class Pieces:
                 if not len(rows):
                     break
             if limit:
-                skip = _keyed_many(keys, at[each, i], at[each, i + 1], at[each, i + 2]) < limit
+                a, b, c = at[each, i], at[each, i + 1], at[each, i + 2]
+                skip = _keyed_many(keys, a, b, c) < limit
+                if depth is not None:
+                    after = depth[rows] <= step
+                    skip &= ~after
+                    trace.append((rows[after], _packed(a, b, c)[after]))
+                step += 1
                 agenda[each[skip], i[skip]] = NEVER
                 each, i, best = each[~skip], i[~skip], best[~skip]
             moved = column[None, :] + (column[None, :] > i[:, None])
@@ -189,8 +212,10 @@ class Pieces:
             agenda[each] = pairs
         return out, (out >= 0).sum(axis=1)
 
-    def _segments(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (concatenated) of units given as byte spans, and how many each has."""
+    def _segments(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, limit: int,
+                  depth: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (concatenated) of units given as byte spans, and how many each has. With
+        ``depth`` a list starts with the number of candidates after it, and these."""
         size = ends - starts
         step = np.ones(int(size.sum()), np.int64)
         total = np.cumsum(size)
@@ -214,11 +239,23 @@ class Pieces:
                 place = first[part][:, None] + np.arange(width)[None, :]
                 inside = place < last[part][:, None]
                 table = np.where(inside, symbols[np.minimum(place, len(symbols) - 1)], -1)
-                ids, number = self.segment_many(table, keys[part], limit)
-                counts[part] = number
+                trace: list[tuple[np.ndarray, np.ndarray]] = []
+                ids, number = self.segment_many(table, keys[part], limit, None if depth is None else depth[part], trace)
+                if depth is not None:
+                    rows = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in trace)])
+                    candidates = np.bincount(rows, minlength=len(part))
+                    done += [(part, candidates), *((part[x], y) for x, y in trace)]
+                    counts[part] = 1 + candidates
+                counts[part] += number
                 done.append((np.repeat(part, number), ids[ids >= 0]))
         for u in np.flatnonzero(~easy).tolist():
-            ids = self.segment(bytes(raw[starts[u]:ends[u]]).decode(), int(keys[u]), limit)
+            unit = bytes(raw[starts[u]:ends[u]]).decode()
+            if depth is None:
+                ids = self.segment(unit, int(keys[u]), limit)
+            else:
+                after: list[int] = []
+                ids = self.segment(unit, int(keys[u]), limit, int(depth[u]), after)
+                ids = [len(after), *after, *ids]
             counts[u] = len(ids)
             done.append((np.full(len(ids), u), np.array(ids, np.int64)))
         unit = np.concatenate([x for x, _ in done])
@@ -244,15 +281,56 @@ class Pieces:
         if limit:
             place = np.arange(len(starts)) - np.repeat(w.ptr[:-1], w.counts)
             owner = np.repeat(docs.astype(np.int64).view(tc.U64), w.counts)
-            variant = tc.mix(tc.mix(owner + tc.U64(seed)) + place.astype(tc.U64)) % tc.U64(VARIANTS)
-            codes = tc.mix(codes ^ tc.mix(variant + tc.U64((seed << 8) & (1 << 64) - 1) + tc.U64(1)))
-
-        def make(which):
-            return self._segments(data, starts[which], ends[which], codes[which], limit)
-
-        ids, bounds = self.cache.ids(codes, make)
+            keys = tc.mix(codes ^ tc.mix(tc.mix(owner + tc.U64(seed & MASK)) + place.astype(tc.U64)))
+            ids, bounds = self._varied(data, starts, ends, codes, keys, limit)
+        else:
+            ids, bounds = self.cache.ids(codes, lambda which: self._segments(data, starts[which], ends[which], codes[which], 0))
         return ids, bounds[w.ptr]
 
+    def _varied(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units of a block, each occurrence with the skips of its own key, and their bounds."""
+        head = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        alone = head[ends] - head[starts] > WIDTHS[-1]
+        begin, size = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        depth = np.zeros(len(codes), np.int64)
+        state = codes.copy()  # the unit and the skips met so far
+        left = np.flatnonzero(~alone)
+        for skips in range(KEPT_SKIPS):
+            def make(which):
+                x = left[which]
+                return self._segments(data, starts[x], ends[x], keys[x], limit, depth[x])
+
+            if not len(left):
+                break
+            begin[left], size[left] = self.cache.spans(state[left], make, keep=skips > 0)
+            store = self.cache.store
+            number = store[begin[left]].astype(np.int64)
+            begin[left] += 1 + number
+            size[left] -= 1 + number
+            total = np.cumsum(number)
+            owner = np.repeat(np.arange(len(left)), number)
+            met = store[np.arange(total[-1]) + np.repeat(begin[left] - total, number)].astype(np.int64)
+            hit = np.flatnonzero(_keyed_many(keys[left][owner], met >> 10, met >> 5 & 31, met & 31) < limit)
+            hit = hit[np.diff(owner[hit], prepend=-1) > 0]  # each one's first skip
+            which = owner[hit]
+            left, step = left[which], hit - (total - number)[which]
+            depth[left] += step + 1
+            state[left] = tc.mix(state[left] ^ tc.mix(depth[left].astype(tc.U64)))
+        alone[left] = True
+        own = np.flatnonzero(alone)
+        if len(own):
+            ids, size[own] = self._segments(data, starts[own], ends[own], keys[own], limit)
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        kept = np.flatnonzero(~alone)
+        out = np.empty(bounds[-1], np.int32)
+        end = np.cumsum(size[kept])
+        inside = np.arange(end[-1] if len(end) else 0)
+        out[inside + np.repeat(bounds[kept] - end + size[kept], size[kept])] = self.cache.store[inside + np.repeat(begin[kept] - end + size[kept], size[kept])]
+        if len(own):
+            end = np.cumsum(size[own])
+            out[np.arange(end[-1]) + np.repeat(bounds[own] - end + size[own], size[own])] = ids
+        return out, bounds
+
     def decode(self, ids: np.ndarray, ptr: np.ndarray) -> list[bytes]:
         """Texts of id lists: the pieces' bytes without the space set before them."""
         size = self.raw_size[ids]
