@@ -67,6 +67,14 @@ def test_ngram_join_empty_null_and_repeated(spark):
     assert got == sorted([(None, 2, None), (4, 2, 4), (4, 2, 4), (9, 2, 4), (5, 0, 5), (6, 0, 6)], key=str)
 
 
+def test_ngram_join_links_all_texts_of_a_repeated_id(spark):
+    """An id with two texts, each the first of its class, each with a near copy."""
+    a, b = ([f"{x}{i}" for i in range(100)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(a)), (2, " ".join([*a, "z"])), (3, " ".join([*b, "z"])), (4, "other words than these here")]
+    got = sorted((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(spark.createDataFrame(rows, NO_ROWS), k=3, percent=90).collect())
+    assert got == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
 @pytest.mark.parametrize("size", [50, 20, 9])
 def test_substring_dedup(docs, size):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.decide(docs, size=size).collect()}

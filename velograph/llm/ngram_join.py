@@ -159,18 +159,23 @@ def _prefixes(k: int, percent: int, bits: int, sketch):
 
 def _fetch_sets(k: int):
     """Sets of the wanted classes, with a bit for each hash range that holds an odd number
-    (rows are sorted by id, so rows repeating one stand together; the first is used)."""
+    (rows are sorted by id, so rows repeating one stand together; of those with the set of
+    a wanted class the first is used, whatever other sets the id has)."""
     def run(batches):
-        last = None
+        last, given = None, set()  # an id, and its classes met so far
         for batch in batches:
             for lo, hi, data, off in tc.blocks(batch.column("text")):
                 sets, ptr = shingle_sets(data, off, k)
                 fp, _ = _set_hashes(sets, ptr)
-                fresh = np.ones(hi - lo, bool)
-                fresh[1:] = fp[1:] != fp[:-1]
-                fresh[0] = fp[0] != last
-                last = fp[-1]
-                ok = np.flatnonzero(fresh & (fp == batch.column("fp")[lo:hi].to_numpy()))
+                ids, ok = batch.column("doc_id")[lo:hi].to_numpy(), []
+                for i in np.flatnonzero(fp == batch.column("fp")[lo:hi].to_numpy()).tolist():
+                    if ids[i] != last:
+                        last = ids[i]
+                        given.clear()
+                    if int(fp[i]) not in given:
+                        given.add(int(fp[i]))
+                        ok.append(i)
+                ok = np.array(ok, np.int64)
                 owner = np.repeat(np.arange(hi - lo), np.diff(ptr))
                 odd = np.bincount(owner * RANGES + (sets >> tc.U64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=(hi - lo) * RANGES) & 1
                 odd = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, RANGES // 64)
