@@ -3,6 +3,11 @@
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: crc32 of the id as text, bit by bit.
+CRC = ("xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+       "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, i: xor(r >> 1, 3988292384 * (r & 1)))))")
+LEAF = "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                               for c in ("doc_id", "source", "lang", "n_chars", "TEXT")) + ")"
 
 SQL = {
     "op8_wu_manber": f"""
@@ -66,4 +71,25 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(loss)) AS BIGINT) AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
        CAST(sum(f) AS BIGINT) AS formatted_chars
 FROM x GROUP BY conv_id""",
+    "op11_merkle": f"""
+WITH RECURSIVE f AS (SELECT *, {CRC} AS crc FROM documents),
+x AS (SELECT *, {LEAF.replace('TEXT', 'text')} AS leaf, {LEAF.replace('TEXT', "replace(text, chr(10), '')")} AS changed FROM f),
+b AS (SELECT doc_id, leaf, CASE WHEN crc % 2 = 0 THEN changed ELSE leaf END AS start, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM x),
+up AS (SELECT 0 AS lv, g, idx, n, leaf AS d FROM b
+       UNION ALL SELECT lv + 1, g, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY lv, g, idx // 3, n),
+sub AS (SELECT g, d FROM up WHERE n = 1),
+top AS (SELECT 0 AS lv, g AS idx, (SELECT count(*) FROM sub) AS n, d FROM sub
+        UNION ALL SELECT lv + 1, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lv, idx // 3, n),
+steps AS (SELECT lv, g, idx, n, d FROM up UNION ALL SELECT lv, -1, idx, n, d FROM top),
+sib AS (SELECT a.lv, a.g, a.idx, coalesce(string_agg(o.d, '' ORDER BY o.idx) FILTER (o.idx < a.idx), '') AS l,
+               coalesce(string_agg(o.d, '' ORDER BY o.idx) FILTER (o.idx > a.idx), '') AS r
+        FROM steps a JOIN steps o ON a.lv = o.lv AND a.g = o.g AND a.idx // 3 = o.idx // 3 WHERE a.n > 1 GROUP BY ALL),
+w AS (SELECT 0 AS lv, doc_id, leaf, g, idx, start AS acc, '' AS proof FROM b
+      UNION ALL SELECT w.lv + 1, doc_id, leaf, w.g, w.idx // 3, sha256(l || acc || r), proof || l || r FROM w JOIN sib USING (lv, g, idx)),
+v AS (SELECT 0 AS lv, doc_id, leaf, sub.d AS subroot, -1 AS g, w.g AS idx, acc, proof
+      FROM w JOIN sub USING (g) ANTI JOIN sib ON w.lv = sib.lv AND w.g = sib.g AND w.idx = sib.idx
+      UNION ALL SELECT v.lv + 1, doc_id, leaf, subroot, -1, v.idx // 3, sha256(l || acc || r), proof || l || r FROM v JOIN sib USING (lv, g, idx))
+SELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = t.d AS verified
+FROM v ANTI JOIN sib ON v.lv = sib.lv AND v.g = sib.g AND v.idx = sib.idx JOIN top t ON t.n = 1""",
 }

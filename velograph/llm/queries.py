@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from velograph.llm import chat_tree, huffman, lattice, line_dedup, nb_svm, ngram_join, oracle, pieces, style_tree, substring_dedup, wu_manber
+from velograph.llm import (chat_tree, huffman, lattice, line_dedup, merkle, nb_svm, ngram_join, oracle, periodic_runs, pieces, style_tree,
+                           substring_dedup, wu_manber, zip_language)
 
 from velograph.llm.scratch import Scratch
 
@@ -105,3 +106,55 @@ def op9_chat_tree(spark, sf_dir):
     scratch = Scratch(spark, "chat")
     chat_tree.build(rows.union(hard), scratch.root, path)
     return chat_tree.digests(chat_tree.read(spark, scratch.root, path))
+
+
+@query
+def op11_merkle(spark, sf_dir):
+    """Merkle manifest of the documents by source, and every leaf's proof checked after tampering."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    cols = {c: F.col(c) for c in docs.columns}
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    fresh = merkle.leaf([*(cols[c] for c in ("doc_id", "source", "lang", "n_chars")), F.translate("text", "\n", "")])
+    changed = F.when(tampered & F.contains("text", F.lit("\n")), F.unhex(fresh))
+    out = merkle.manifest(docs, cols["source"], [cols["doc_id"]], list(cols.values()), {"doc_id": cols["doc_id"], "changed": changed})
+    start = F.coalesce(merkle.hexed(F.col("changed")), "leaf")
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), merkle.fold(start, F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_zip_language(spark, sf_dir):
+    """Language of every document by compression with a dictionary of each language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    out = zip_language.predict(docs.select("doc_id", "text"), zip_language.fit(docs))
+    return out.select("doc_id", zip_language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def planted(doc_id, text):
+    """Where h = crc32(decimal doc_id) ends in 0, words from a = g % n on (g = h div 10) repeat
+    the first p = 1 + (n - a) div (3 + g % 8) of them. Other texts, and those of a null id, stay."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+
+    def repeat(words):  # a lambda variable, so that the text is split once
+        g, n = F.floor(h / 10), F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    split = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    changed = F.get(F.transform(F.array(split), lambda words: F.when(F.size(words) > 0, repeat(words))), F.lit(0))
+    return F.when(h % 10 == 0, F.coalesce(changed, text)).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of words in every document, a tenth of them planted, and the text without repeated periods."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = periodic_runs.find_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    out = out.withColumn("longest", longest)
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(length * 1000 / period).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
