@@ -12,9 +12,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velograph.functions.columns import clip, round_to
+from velograph.functions.columns import clip, round_to, sigma_guard
 from velograph.operators.windows import (EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, ema,
                                          last_value, prefix_steps)
+from velograph.session import off_its_keys
 
 # Fixed values that must equal the reference's.
 SMOOTH_L1_BETA = 0.02
@@ -155,7 +156,7 @@ def residual_forecast(windows: DataFrame, model: DataFrame, reference: str = "em
                       alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
     """M3: ŷ[step] = ref + a + b·gap, clipped; one row per (window, sensor, step)."""
     rows = label_steps(residual_features(windows, reference, alpha))
-    m = model.select("edge_id", "step", "a", "b")
+    m = off_its_keys(model.select("edge_id", "step", "a", "b"))
     rows = rows.join(m, ["edge_id", "step"], "left")
     yhat = F.col("ref") + F.coalesce("a", F.lit(0.0)) + F.coalesce("b", F.lit(0.0)) * F.col("gap")
     return rows.select("label_start", "edge_id", "step", "y", clip(yhat).alias("pred"))
@@ -222,6 +223,54 @@ def score_with(windows: DataFrame, predict: Callable, t_in: int, t_out: int,
     return windows.select("label_start", "edge_id", "x", "y").mapInPandas(run, schema)
 
 
+def score_with_artifact(windows: DataFrame, artifact: str, load: Callable[[str], Callable], t_out: int,
+                        params: DataFrame | None = None) -> DataFrame:
+    """M2 with a model file: ``load(path)`` gives ``predict(ndarray[B, T_in]) -> ndarray[B, T_out]``.
+
+    ``artifact`` is a file or folder on any file system Spark reads; every executor
+    fetches it once, and every Python worker loads it once, however many batches,
+    tasks and queries it serves. ``params(edge_id, mu, sigma)`` normalise each sensor's
+    inputs and turn its forecasts back into speeds (missing: 0 and 1, a spread of 0
+    counts as 1); forecasts are clipped. Returns ``(label_start, edge_id, y, pred)``.
+    """
+    import numpy as np
+    from pyspark import SparkFiles
+
+    spark = windows.sparkSession
+    spark.sparkContext.addFile(artifact, recursive=True)
+    name = artifact.rstrip("/").rsplit("/", 1)[-1]
+    rows = windows.select("label_start", "edge_id", "x", "y")
+    if params is None:
+        rows = rows.withColumns({"mu": F.lit(0.0), "sigma": F.lit(1.0)})
+    else:
+        rows = rows.join(off_its_keys(params.select("edge_id", "mu", "sigma")), "edge_id", "left").withColumns(
+            {"mu": F.coalesce("mu", F.lit(0.0)), "sigma": sigma_guard("sigma")})
+
+    def run(batches):
+        predict = loaded(SparkFiles.get(name), load)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            mu, sigma = (pdf[c].to_numpy(dtype="float64")[:, None] for c in ("mu", "sigma"))
+            x = np.stack(pdf["x"].to_numpy()).astype("float64")
+            yhat = np.asarray(predict((x - mu) / sigma), dtype="float64").reshape(len(pdf), t_out) * sigma + mu
+            out = pdf[["label_start", "edge_id", "y"]].copy()
+            out["pred"] = list(np.clip(yhat, 0.0, 150.0))
+            yield out
+
+    return rows.mapInPandas(run, "label_start timestamp, edge_id string, y array<double>, pred array<double>")
+
+
+_LOADED: dict[str, Callable] = {}
+
+
+def loaded(path: str, load: Callable[[str], Callable]) -> Callable:
+    """The model at ``path``, loaded on first use in this process."""
+    if path not in _LOADED:
+        _LOADED[path] = load(path)
+    return _LOADED[path]
+
+
 def jitter(windows: DataFrame, std: float, seed: int = 0) -> DataFrame:
     """``x + N(0, 1) * std`` on every input value. The normal deviate comes from two
     MD5-derived uniforms of (seed, label start, sensor, slot) (Box–Muller), so a rerun or

@@ -1,7 +1,7 @@
 """Sensor-graph operators on edge lists (G1–G8). No dense matrices anywhere.
 
-Per-node sums are partial-aggregating ``groupBy`` + join (a hub node with a
-huge degree is combined map-side; AQE splits a skewed join partition).
+Per-node sums are partial-aggregating ``groupBy`` + join: a hub node with a huge
+degree is combined map-side and its edges split by AQE (``off_its_keys``).
 """
 
 from __future__ import annotations
@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velograph.session import off_its_keys
+
+
 
 def parse_edge_list(df: DataFrame) -> DataFrame:
     """``src, dst[, w]`` with empty / missing ``w`` → 1.0."""
@@ -44,7 +47,7 @@ def with_self_loops(edges: DataFrame, n_nodes: int) -> DataFrame:
 def row_normalize(edges: DataFrame) -> DataFrame:
     """Random-walk normalisation ``w / rowsum`` (0 when rowsum ≤ 0)."""
     rs = edges.groupBy("src").agg(F.sum("w").alias("_rs"))
-    return (edges.join(rs, "src")
+    return (edges.join(off_its_keys(rs), "src")
             .withColumn("w", F.when(F.col("_rs") > 0, F.col("w") / F.col("_rs")).otherwise(F.lit(0.0)))
             .drop("_rs"))
 

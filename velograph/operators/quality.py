@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from velograph.functions.columns import clip
 from velograph.operators.serve import ema_state
+from velograph.session import off_its_keys
 
 # Fixed values that must equal the reference's configuration.
 VALID_SPEED_RANGE = (0.0, 80.0)     # mph
@@ -23,6 +24,9 @@ CONGESTION_FACTOR = 4.0              # weight below 40 % of free-flow
 CONGESTION_THRESHOLD = 0.4
 BIAS_DECAY = 0.95
 
+BLOCK_STEPS = 6        # blocks of 64 days
+ALL_DAYS_STEPS = 22    # 2^22 days: all dates from year 1 to 9999
+
 
 def range_flags(readings: DataFrame, lo: float = VALID_SPEED_RANGE[0],
                 hi: float = VALID_SPEED_RANGE[1]) -> DataFrame:
@@ -44,7 +48,7 @@ def coverage_report(grid: DataFrame, min_coverage: float = MIN_COVERAGE,
 
 def congestion_factor_weights(readings: DataFrame, free_flow: DataFrame) -> DataFrame:
     """weight = 4 where speed < 40 % of the sensor's free-flow speed, else 1."""
-    j = readings.join(free_flow.select("edge_id", "free_flow"), "edge_id", "left")
+    j = readings.join(off_its_keys(free_flow.select("edge_id", "free_flow")), "edge_id", "left")
     below = F.col("speed") < F.lit(CONGESTION_THRESHOLD) * F.col("free_flow")
     return j.withColumn("weight", F.when(below, F.lit(CONGESTION_FACTOR)).otherwise(F.lit(1.0))) \
         .drop("free_flow")
@@ -57,34 +61,55 @@ def bias_correction(residual_grid: DataFrame, decay: float = BIAS_DECAY) -> Data
     return b.select("edge_id", F.col("ema").alias("bias"), "ts", "n")
 
 
+def affine_scan(rows: DataFrame, keys: list[str], order: str, steps: int) -> DataFrame:
+    """Every row's affine map ``x -> scale * x + shift`` composed with those of all rows
+    before it with equal ``keys``, in ``order``: columns ``scale`` and ``shift`` become
+    the running composition, exact for up to ``2 ** steps`` rows of one key.
+
+    In step k a row takes in the composition that ends ``2 ** k`` rows earlier. All steps
+    share one partitioning and sort; rows are streamed and spill, none are gathered."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    for k in range(steps):
+        before = {c: F.lag(c, 1 << k).over(w) for c in ("scale", "shift")}
+        rows = rows.withColumns({"_scale": before["scale"], "_shift": before["shift"]})
+        rows = rows.withColumns({"shift": F.col("scale") * F.coalesce("_shift", F.lit(0.0)) + F.col("shift"),
+                                 "scale": F.col("scale") * F.coalesce("_scale", F.lit(1.0))}).drop("_scale", "_shift")
+    return rows
+
+
 def bias_corrected(forecasts: DataFrame, decay: float = BIAS_DECAY) -> DataFrame:
     """C9 applied: ``corrected = clip(pred + bias)``, where ``bias`` is the EMA of the
     sensor's residuals ``y - pred`` before the row (0 at its first).
 
-    ``forecasts(edge_id, day, timestamp, y, pred)``. A sensor-day folds to the EMA part of
-    its own residuals and their count; the biases at the starts of days follow from a
-    fold over the days of a sensor (one small struct a day), and inside a day the bias
-    is a running sum of residuals scaled by powers of the decay."""
+    ``forecasts(edge_id, day, timestamp, y, pred)``. Inside a day the bias is a running sum
+    of residuals scaled by powers of the decay. A sensor-day is an affine map of the bias
+    it starts with; the biases at the starts of days follow from a scan of these maps
+    inside blocks of ``2 ** BLOCK_STEPS`` days and one of the blocks' maps, so a long
+    history is neither one task's nor one row's."""
     a, b = 1.0 - decay, decay
     day = Window.partitionBy("edge_id", "day").orderBy("timestamp")
     r = forecasts.withColumn("_r", F.col("y") - F.col("pred")).withColumn("_j", F.count("_r").over(day.rowsBetween(Window.unboundedPreceding, -1)))
     # sum over earlier rows i of a * r_i * b^(j - 1 - i), i counting known residuals of the day from 0
     part = F.sum(F.lit(a) * F.col("_r") * F.pow(F.lit(b), -F.col("_j").cast("double"))).over(day.rowsBetween(Window.unboundedPreceding, -1))
     r = r.withColumn("_own", F.coalesce(part, F.lit(0.0)) * F.pow(F.lit(b), F.col("_j").cast("double") - 1))
-    known = r.where(F.col("_r").isNotNull())
-    last = F.struct("_own", "_r")
-    days = known.groupBy("edge_id", "day").agg(F.count("*").alias("m"), F.max_by(last, "timestamp").alias("_l"),
-                                               F.min_by("_r", "timestamp").alias("first"))
-    days = days.select("edge_id", F.struct("day", "m", (F.col("_l._own") * F.lit(b) + F.lit(a) * F.col("_l._r")).alias("own"), "first").alias("d"))
-    # the EMA starts at the first residual: e_0 = r_0, so before it the state is r_0 itself
-    per = days.groupBy("edge_id").agg(F.array_sort(F.collect_list("d")).alias("ds"))  # one entry a day
-    start = F.struct(F.element_at("ds", 1)["first"].alias("e"), F.expr("cast(array() as array<struct<day:timestamp,e:double>>)").alias("at"))
-    folded = F.aggregate("ds", start, lambda s, d: F.struct(
-        (s["e"] * F.pow(F.lit(b), d["m"].cast("double")) + d["own"]).alias("e"),
-        F.concat(s["at"], F.array(F.struct(d["day"].alias("day"), s["e"].alias("e")))).alias("at")))
-    starts = per.select("edge_id", F.inline(folded["at"])).withColumnRenamed("e", "_e")
-    first = known.groupBy("edge_id").agg(F.min("timestamp").alias("_t0"))
-    j = r.join(starts, ["edge_id", "day"], "left").join(first, "edge_id", "left")
-    bias = F.when(F.col("timestamp") > F.col("_t0"), F.col("_e") * F.pow(F.lit(b), F.col("_j").cast("double")) + F.col("_own")).otherwise(F.lit(0.0))
+    known_at = F.when(F.col("_r").isNotNull(), F.col("timestamp"))
+    days = r.groupBy("edge_id", "day").agg(F.count("_r").alias("_m"), F.max_by(F.struct("_own", "_r"), known_at).alias("_l"),
+                                           F.min_by("_r", known_at).alias("_first"), F.min(known_at).alias("_t0"))
+    days = days.select("edge_id", "day", F.floor(F.unix_date(F.to_date("day")) / (1 << BLOCK_STEPS)).alias("_block"), "_first", "_t0",
+                       F.pow(F.lit(b), F.col("_m").cast("double")).alias("scale"),
+                       F.coalesce(F.col("_l._own") * F.lit(b) + F.lit(a) * F.col("_l._r"), F.lit(0.0)).alias("shift"))
+    days = affine_scan(days, ["edge_id", "_block"], "day", BLOCK_STEPS)
+    blocks = days.groupBy("edge_id", "_block").agg(F.max_by("scale", "day").alias("scale"), F.max_by("shift", "day").alias("shift"))
+    blocks = affine_scan(blocks, ["edge_id"], "_block", ALL_DAYS_STEPS - BLOCK_STEPS)
+    # the EMA starts at the first residual: before it the state is that residual itself
+    firsts = days.groupBy("edge_id").agg(F.min_by("_first", "_t0").alias("_r0"), F.min("_t0").alias("_t0"))
+    blocks = (blocks.join(firsts, "edge_id").withColumn("_end", F.col("scale") * F.col("_r0") + F.col("shift"))
+              .withColumn("_e0", F.coalesce(F.lag("_end").over(Window.partitionBy("edge_id").orderBy("_block")), "_r0")))
+    inside = Window.partitionBy("edge_id", "_block").orderBy("day")
+    days = days.select("edge_id", "day", "_block", F.lag("scale").over(inside).alias("_scale"), F.lag("shift").over(inside).alias("_shift"))
+    starts = days.join(blocks.select("edge_id", "_block", "_e0", F.col("_t0").alias("_first_at")), ["edge_id", "_block"]).select(
+        "edge_id", "day", "_first_at", F.coalesce(F.col("_scale") * F.col("_e0") + F.col("_shift"), "_e0").alias("_e"))
+    j = r.join(starts, ["edge_id", "day"], "left")
+    bias = F.when(F.col("timestamp") > F.col("_first_at"), F.col("_e") * F.pow(F.lit(b), F.col("_j").cast("double")) + F.col("_own")).otherwise(F.lit(0.0))
     return (j.withColumn("bias", F.coalesce(bias, F.lit(0.0))).withColumn("corrected", clip(F.col("pred") + F.col("bias")))
-            .drop("_r", "_j", "_own", "_e", "_t0"))
+            .drop("_r", "_j", "_own", "_e", "_first_at"))

@@ -735,8 +735,9 @@ def q_a06_split_counts(spark, sf):
 @query
 def q_a19_dataset_summary(spark, sf):
     s = _split_grid(spark, sf)
-    counts = s.groupBy().agg(F.countDistinct("edge_id").alias("num_sensors"), *(
-        F.count_if(F.col("split") == k).alias(f"{k}_samples") for k in ("train", "val", "test")))
+    kinds = ("train", "val", "test")
+    per = s.groupBy("edge_id").agg(*(F.count_if(F.col("split") == k).alias(k) for k in kinds))
+    counts = per.agg(F.count("edge_id").alias("num_sensors"), *(F.sum(k).alias(f"{k}_samples") for k in kinds))
     params = features.norm_params(features.sensor_stats(align.dedup_mean(tables.readings(spark, sf))), "z_score")
     norm = params.agg(F.min("method").alias("norm_method"), F.count("*").alias("norm_sensors"),
                       _r6(F.sum("a")).alias("norm_mean_sum"), _r6(F.sum("b")).alias("norm_std_sum"))
@@ -809,6 +810,8 @@ def q_j01_node_positions(spark, sf):
 
 # --------------------------------------------------------------------------- files
 from velograph.session import scratch_folder as _folder  # noqa: E402
+from velograph.session import materialize  # noqa: E402
+from velograph.sources import days  # noqa: E402
 from velograph.streaming import replay  # noqa: E402
 
 
@@ -818,21 +821,24 @@ def _tall(r):
 
 @query
 def q_s02_read_dir(spark, sf):
-    """Readings written half as CSV and half as Parquet, read from the folder and normalised."""
+    """Readings dealt over CSV and Parquet files whose columns differ in order,
+    type and number and whose suffixes differ in case, read from their folder and normalised."""
     r, root = tables.readings(spark, sf, grain="minute"), _folder(spark, "s02")
-    odd = F.minute("timestamp") % 2 == 1
-    r.where(odd).write.option("header", True).csv(f"{root}/a")
-    r.where(~odd).write.parquet(f"{root}/b/c")
+    part = F.pmod(F.minute("timestamp"), F.lit(4))
+    r.where(part == 0).write.option("header", True).csv(f"{root}/a")
+    r.where(part == 1).select("speed", F.lit("x").alias("note"), "edge_id", "timestamp").write.option("header", True).option("extension", "CSV").csv(f"{root}/a/b")
+    r.where(part == 2).write.parquet(f"{root}/c")
+    r.where(part == 3).select(F.lit(1).alias("lane"), "speed", "timestamp", "edge_id").write.parquet(f"{root}/c/d")
     return _tall(vio.normalize_readings(vio.read_dir(spark, root)))
 
 
 @query
 def q_s08_partitioned(spark, sf):
-    """Parquet by date and hour; a pruned read in time order."""
+    """Parquet by date and hour, read back whole in time order."""
     root = _folder(spark, "s08")
     vio.write_partitioned(tables.readings(spark, sf, grain="minute"), root, by_hour=True)
-    day = vio.read_partitioned(spark, root, view="readings_by_hour", ordered=True).where("hour < 6")
-    return day.groupBy("date", "hour").agg(F.count("*").alias("n"), F.count("speed").alias("n_speed"), _r6(F.avg("speed")).alias("mean")) \
+    back = vio.read_partitioned(spark, root, view="readings_by_hour", ordered=True)
+    return back.groupBy("date", "hour").agg(F.count("*").alias("n"), F.count("speed").alias("n_speed"), _r6(F.avg("speed")).alias("mean")) \
         .withColumn("date", F.col("date").cast("string")).orderBy("date", "hour")
 
 
@@ -915,16 +921,20 @@ def q_j15_qa_report(spark, sf):
 # --------------------------------------------------------------------------- drained streams
 
 
-def _drained(spark, sf, name, job, mode, sink_of):
-    """Stage the hourly grid as files of eight days and drain ``job`` over them."""
+def _drained(spark, sf, name, job, mode, sink_of, rows=None, schema=replay.LONG_SCHEMA):
+    """Write the hourly grid (or ``rows``) by date and drain ``job`` over it, eight days a batch."""
     root = _folder(spark, name)
-    grid = align.regular_grid(tables.readings(spark, sf), 60).select("edge_id", "timestamp", "speed")
-    replay.stage_days(grid, f"{root}/days", days_per_folder=8)
-    source = replay.replay_source(spark, f"{root}/days", replay.LONG_SCHEMA, files_per_trigger=8)
-    replay.run_available(job(source), f"{root}/checkpoint", mode, sink_of(f"{root}/state"))
+    rows = _hourly(spark, sf) if rows is None else rows
+    vio.write_partitioned(rows, f"{root}/days")
+    source = days.day_stream(spark, f"{root}/days", schema, days_per_batch=8)
+    replay.run_drained(job(source), f"{root}/checkpoint", mode, sink_of(f"{root}/state"))
     return f"{root}/state"
 
 
+def _hourly(spark, sf):
+    return align.regular_grid(tables.readings(spark, sf), 60).select("edge_id", "timestamp", "speed")
+
+
 def _upsert(spark, keys, order="ts"):
     return lambda path: replay.StateTable(spark, path, keys, order).upsert
 
@@ -950,6 +960,40 @@ def q_t05_stream_forecast(spark, sf):
     return s.select("edge_id", "horizon", _r6("value").alias("value"), to_ntz("ts").alias("ts"))
 
 
+@query
+def q_t06_stream_per_sensor(spark, sf):
+    """A linear model on histories normalised by each sensor's own mean and spread."""
+    import numpy as np
+    stats = materialize(features.sensor_stats(_hourly(spark, sf)).select("edge_id", "mu", "sigma"), "t06-stats")
+
+    def job(src):
+        return replay.forecast_stream(src, 60, predict=lambda x: 0.8 * x[:, -1:] + 0.1 * np.arange(1, 13), stats=stats)
+
+    path = _drained(spark, sf, "t06", job, "update", _upsert(spark, ["edge_id", "horizon"]))
+    s = replay.StateTable(spark, path, ["edge_id", "horizon"]).read()
+    return s.select("edge_id", "horizon", _r6("value").alias("value"), to_ntz("ts").alias("ts"))
+
+
+@query
+def q_t09_live_lookup(spark, sf):
+    """A request per event, for its sensor and now and then one nobody knows, answered
+    by a running stream from the state at its instant."""
+    ev = tables.table(spark, sf, "events")
+    requests = ev.select(F.col("event_id").alias("request_id"), (15 * (1 + F.col("user_id") % 5)).cast("int").alias("horizon"),
+                         F.col("ts").cast("timestamp").alias("timestamp"),
+                         F.array_compact(F.array("event_type", "event_type", F.when(F.col("user_id") % 7 == 0, "unknown"))).alias("edge_ids"))
+    rows = _hourly(spark, sf).withColumns({"request_id": F.lit(None).cast("long"), "horizon": F.lit(None).cast("int")})
+    events = rows.unionByName(replay.requested(requests))
+
+    def sink_of(path):
+        return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    path = _drained(spark, sf, "t09", lambda src: replay.live_lookup(src, 60), "append", sink_of, events,
+                    replay.LONG_SCHEMA + ", request_id long, horizon int")
+    out = spark.read.parquet(path)
+    return out.select("request_id", "edge_id", "horizon", _r6("value").alias("value"), "source", to_ntz("ts").alias("ts"))
+
+
 @query
 def q_t07_stream_freshness(spark, sf):
     path = _drained(spark, sf, "t07", lambda src: replay.freshness_stream(src).withColumn("kind", F.lit("last_ts")), "complete",

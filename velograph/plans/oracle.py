@@ -845,7 +845,7 @@ def _q_s02_read_dir():
 
 def _q_s08_partitioned():
     return (f"SELECT strftime(timestamp, '%Y-%m-%d') AS date, CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS n, count(speed) AS n_speed, "
-            f"round(avg(speed), 6) AS mean FROM ({readings_sql('minute')}) WHERE hour(timestamp) < 6 GROUP BY 1, 2")
+            f"round(avg(speed), 6) AS mean FROM ({readings_sql('minute')}) GROUP BY 1, 2")
 
 
 def _q_s10_sidecar():
@@ -914,6 +914,26 @@ def _q_t05_stream_forecast():
     return f"WITH {_pred_sql().replace(' + hz.i', '')} SELECT edge_id, horizon, round(value, 6) AS value, ts FROM pr"
 
 
+def _q_t06_stream_per_sensor():
+    return (f"WITH {_pred_sql()}, st AS (SELECT edge_id, avg(speed) AS mu, coalesce(nullif(stddev_samp(speed), 0.0), 1.0) AS sd FROM g "
+            "WHERE speed IS NOT NULL GROUP BY 1) SELECT hx.edge_id, hz.horizon, round(0.8 * (x[12] - mu) + 0.1 * hz.i * sd + mu, 6) AS value, ts "
+            "FROM hx JOIN st USING (edge_id) CROSS JOIN (VALUES (15, 1), (30, 2), (45, 3), (60, 4)) AS hz(horizon, i)")
+
+
+def _q_t09_live_lookup():
+    known = "last_value(speed IGNORE NULLS) OVER (PARTITION BY edge_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    lst = ", ".join(f"CASE WHEN s12 IS NULL THEN 0.0 ELSE s{j + 1} END" for j in range(12))
+    return (f"WITH {_pred_sql()}, s AS (SELECT *, CASE WHEN rn >= 12 AND (s1 IS NOT NULL OR s12 IS NULL) THEN [{lst}] END AS x FROM h), "
+            f"k AS (SELECT edge_id, timestamp, {known} AS last FROM g), "
+            "rq AS (SELECT event_id AS request_id, CAST(15 * (1 + user_id % 5) AS INTEGER) AS horizon, ts, event_type, user_id FROM events), "
+            "q AS (SELECT request_id, horizon, ts, event_type AS edge_id FROM rq UNION ALL SELECT request_id, horizon, ts, 'unknown' FROM rq WHERE user_id % 7 = 0), "
+            f"a AS (SELECT request_id, q.edge_id, horizon, s.timestamp AS tick, last, CASE WHEN horizon IN (15, 30, 45, 60) AND x IS NOT NULL THEN {clip_sql(ema_sql('x', 0.3))} END AS pred "
+            "FROM q LEFT JOIN s ON s.edge_id = q.edge_id AND s.timestamp = least(date_trunc('hour', q.ts), (SELECT hi FROM b)) "
+            "LEFT JOIN k ON k.edge_id = s.edge_id AND k.timestamp = s.timestamp WHERE horizon BETWEEN 15 AND 60) "
+            "SELECT request_id, edge_id, horizon, round(coalesce(pred, last), 6) AS value, "
+            "CASE WHEN pred IS NOT NULL THEN 'pred' WHEN last IS NOT NULL THEN 'speed' ELSE 'none' END AS source, tick AS ts FROM a")
+
+
 def _q_t07_stream_freshness():
     return GRID_ONLY + " SELECT 'last_ts' AS kind, max(timestamp) AS last_ts FROM g"
 

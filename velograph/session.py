@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a hot key is split even where an aggregate on it follows (one more shuffle then)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -66,6 +69,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def off_its_keys(per_key):
+    """A table with one row a key, for a join on that key. An aggregate leaves it
+    partitioned by the key, which a join would reuse, and AQE splits a hot key of the
+    other side only where both sides are shuffled for the join. Dealt out anew, it is;
+    the rows moved are one a key. (AQE still broadcasts a small one.)"""
+    return per_key.hint("rebalance")
+
+
+@contextmanager
+def setting(spark, name: str, value: str | None):
+    """A session conf for the length of a block; None leaves it alone."""
+    before = spark.conf.get(name, None)
+    if value is not None:
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def scratch_folder(spark, name: str) -> str:
     """A new folder under the shared checkpoint folder, removed when the driver's Python ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

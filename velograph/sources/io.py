@@ -4,15 +4,23 @@ the canonical long table, and partitioned Parquet / CSV / JSON writers.
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from velograph.functions.columns import nan_to_null, safe_double
-from velograph.session import configure
+from velograph.session import configure, setting
 
 CANONICAL = "timestamp timestamp, edge_id string, speed double"
 MATRIX_START = "2017-01-01 00:00:00"   # implied time axis of a raw speed matrix
 PARTITION_COLUMNS = ("date", "hour")
+SUFFIXES = (".parquet", ".pq", ".csv")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -43,21 +51,95 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
 def read_dir(spark: SparkSession, path: str) -> DataFrame:
     """Every Parquet and CSV file below ``path`` (recursively), unioned by name.
 
-    The listing says which kinds there are; a file that cannot be read is an error.
+    * Suffixes count in any case (``.parquet``, ``.pq``, ``.csv``); other files are ignored.
+    * CSV files are grouped by their header line and each group is read under its own
+      names, so columns may come in any order and differ from file to file. Spark checks
+      every file against its group's header; a file without any line adds nothing.
+    * Parquet files are read under the union of their schemas. Files whose types clash are
+      grouped by schema, and numbers widen.
+    * A column that is text in some files and something else in others is text.
+
+    A file that cannot be read is an error. Names that differ in case are one column.
     """
     configure(spark)
     names = files_below(spark, path)
-    frames = []
-    for suffix in (".parquet", ".pq", ".csv"):
-        if any(n.lower().endswith(suffix) for n in names):
-            part = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
-            frames.append(part.option("header", True).csv(path) if suffix == ".csv" else part.parquet(path))
-    if not frames:
+    if not any(n.lower().endswith(SUFFIXES) for n in names):
         raise FileNotFoundError(f"No CSV/Parquet files found under {path}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    frames = _parquet_frames(spark, path, [n for n in names if n.lower().endswith(SUFFIXES[:2])])
+    frames += _csv_frames(spark, [n for n in names if n.lower().endswith(SUFFIXES[2])])
+    if not frames:
+        raise FileNotFoundError(f"No columns in the CSV files under {path}")
+    return _union_by_name(frames)
+
+
+def _each(call, items: list) -> list:
+    """``call`` of every item; the calls wait for the file system, a few at a time."""
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(call, items))
+
+
+def _grouped(keys: list, items: list) -> dict:
+    groups: dict = {}
+    for key, item in zip(keys, items, strict=True):
+        groups.setdefault(key, []).append(item)
+    return groups
+
+
+def _parquet_frames(spark: SparkSession, path: str, files: list[str]) -> list[DataFrame]:
+    if not files:
+        return []
+    any_case = "*.{[pP][aA][rR][qQ][uU][eE][tT],[pP][qQ]}"
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", any_case).option("mergeSchema", True)
+    try:
+        return [whole.parquet(path)]
+    except (Py4JJavaError, PySparkException) as clash:
+        if "CANNOT_MERGE_SCHEMAS" not in str(clash):
+            raise
+    files = [_literal(f) for f in files]
+    groups = _grouped(_each(lambda f: spark.read.parquet(f).schema.json(), files), files)
+    return [spark.read.parquet(*group) for group in groups.values()]
+
+
+def _csv_frames(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    headers = _each(lambda f: header_line(spark, f), files)
+    groups = _grouped(headers, [_literal(f) for f in files])
+    groups.pop(None, None)
+    frames = []
+    for group in groups.values():
+        schema = spark.read.option("header", True).csv(group[0]).schema
+        # with enforceSchema off, a header of other names or order is an error, never a misplaced column
+        frames.append(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(group))
+    return frames
+
+
+def _literal(path: str) -> str:
+    """A path for readers that take glob patterns."""
+    return re.sub(r"([\\\\*?\[\]{}])", r"\\\1", path)
+
+
+def header_line(spark: SparkSession, path: str) -> str | None:
+    """First line with anything in it of a text file on any Hadoop file system, else None."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        while (line := reader.readLine()) is not None:
+            if line.strip("\ufeff \t"):
+                return line
+        return None
+    finally:
+        stream.close()
+
+
+def _union_by_name(frames: list[DataFrame]) -> DataFrame:
+    kinds: dict[str, set] = {}
+    for frame in frames:
+        for field in frame.schema.fields:
+            kinds.setdefault(field.name.lower(), set()).add(field.dataType)
+    text = {name for name, of in kinds.items() if len(of) > 1 and not all(isinstance(t, NumericType) for t in of)}
+    frames = [f.select(*(F.col(f"`{c}`").cast("string").alias(c) if c.lower() in text else F.col(f"`{c}`") for c in f.columns)) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def normalize_readings(df: DataFrame) -> DataFrame:
@@ -116,16 +198,19 @@ def with_partition_columns(df: DataFrame, hour: bool = False) -> DataFrame:
     return out.withColumn("hour", F.hour("timestamp")) if hour else out
 
 
-def write_partitioned(df: DataFrame, path: str, by_hour: bool = False, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, by_hour: bool = False, mode: str = "overwrite", file_bytes: int | None = None) -> None:
     """Parquet partitioned by date (and hour), snappy, 1 MB pages.
 
-    Rows are first clustered by the partition columns so each task writes few
-    files per partition instead of one file per task per partition.
+    Rows are first dealt out by the partition columns, so that each task writes few files
+    per partition. AQE evens the tasks out: small partitions share one, and one of more
+    than the advisory size (``file_bytes`` of shuffled data, 64 MB if not given) is split
+    over several tasks and files, so a hot day is not one task.
     """
     parts = ["date", "hour"] if by_hour else ["date"]
-    out = with_partition_columns(df, by_hour).repartition(*parts)
-    (out.write.mode(mode).partitionBy(*parts).option("compression", "snappy")
-     .option("parquet.page.size", 1 << 20).option("parquet.enable.dictionary", True).parquet(path))
+    out = with_partition_columns(df, by_hour).hint("rebalance", *parts)
+    with setting(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", None if file_bytes is None else str(int(file_bytes))):
+        (out.write.mode(mode).partitionBy(*parts).option("compression", "snappy")
+         .option("parquet.page.size", 1 << 20).option("parquet.enable.dictionary", True).parquet(path))
 
 
 def read_partitioned(spark: SparkSession, path: str, view: str | None = None, ordered: bool = False) -> DataFrame:

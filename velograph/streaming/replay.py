@@ -1,7 +1,7 @@
 """Structured Streaming replay of daily readings into serving state.
 
-* T1  ordered file source: daily Parquet files staged in day order, read with
-      ``maxFilesPerTrigger`` (the trigger interval replaces wall-clock pacing).
+* T1  ordered source: ``sources.days`` takes date folders in day order, some days a
+      micro-batch; ``replay_source`` is Spark's file source (by modification time).
 * T2  wide tick → long rows (``unpivot``; missing values stay as NULL rows).
 * T3  latest speed per sensor: streaming aggregate, update mode; and a watermarked
       tumbling average, append mode.
@@ -10,7 +10,8 @@
 * T5/T6 rolling last-12 history per sensor → EMA forecast → per-horizon rows.
 * T7  freshness marker: max instant processed.
 * T8  capped tick log: ``foreachBatch`` compaction to the newest 10 000.
-* T9  request stream ⋈ static state tables: ``serve.lookup`` takes a stream (stateless).
+* T9  requests against moving state: ``live_lookup`` keeps requests and readings in one
+      stateful stream, ``lookup_sink`` reads the newest tables for every micro-batch.
 
 Sinks are ``foreachBatch`` writers into versioned state tables: each batch
 writes ``<table>/batch_id=<id>`` from the newest complete version before it (so a
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from velograph.operators.serve import STREAM_LOG_CAP
+from velograph.functions.columns import sigma_guard
+from velograph.operators.serve import STREAM_LOG_CAP, lookup, validate_requests
 from velograph.operators.windows import EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, point_index
 
 LONG_SCHEMA = "edge_id string, timestamp timestamp, speed double"
@@ -131,54 +133,139 @@ def ema_stream(long: DataFrame, alpha: float = REPLAY_EMA_ALPHA) -> DataFrame:
         update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
 
 
-# --------------------------------------------------------------------------- T5 / T6
+# --------------------------------------------------------------------------- T5 / T6 / T9
 
 
 def filled_history(h: np.ndarray) -> np.ndarray:
-    """W9 on one window: each missing slot takes the nearest earlier value, a leading gap
-    stays missing, and a window without any value is all zeros."""
+    """W9 on windows (rows of a matrix, or one vector): each missing slot takes the nearest
+    earlier value, a leading gap stays missing, a window without any value is all zeros."""
     known = ~np.isnan(h)
-    if not known.any():
-        return np.zeros_like(h)
-    source = np.maximum.accumulate(np.where(known, np.arange(h.size), -1))
-    return np.where(source >= 0, h[source], np.nan)
+    source = np.maximum.accumulate(np.where(known, np.arange(h.shape[-1]), -1), axis=-1)
+    filled = np.where(source >= 0, np.take_along_axis(h, np.maximum(source, 0), -1), np.nan)
+    return np.where(known.any(-1, keepdims=True), filled, 0.0)
+
+
+def forecasts(histories: np.ndarray, t_out: int, alpha: float, predict: Callable[[np.ndarray], np.ndarray] | None,
+              mean: float, std: float) -> np.ndarray:
+    """Forecasts (rows, t_out) in speeds from filled histories (rows, t_in): the clipped EMA
+    baseline, or ``predict`` on histories normalised by one sensor's mean and spread."""
+    if predict is not None:
+        return np.asarray(predict((histories - mean) / std), dtype="float64") * std + mean
+    n = histories.shape[1]
+    weights = alpha * np.power(1.0 - alpha, np.arange(n - 1, -1, -1, dtype="float64"))
+    weights[0] = (1.0 - alpha) ** (n - 1)
+    return np.repeat(np.clip(histories @ weights, 0.0, 150.0)[:, None], t_out, axis=1)
+
+
+def with_params(long: DataFrame, stats: DataFrame | tuple[float, float]) -> DataFrame:
+    """A stream with each row's normalisation ``mu`` and ``sigma``: a table ``(edge_id, mu,
+    sigma)`` (missing: 0 and 1; a spread of 0 counts as 1) or one pair for all sensors."""
+    if isinstance(stats, tuple):
+        return long.withColumns({"mu": F.lit(float(stats[0])), "sigma": F.lit(float(stats[1] or 1.0))})
+    return long.join(stats.select("edge_id", "mu", "sigma"), "edge_id", "left").withColumns(
+        {"mu": F.coalesce("mu", F.lit(0.0)), "sigma": sigma_guard("sigma")})
+
+
+def _params(pdfs: list[pd.DataFrame]) -> tuple[float, float]:
+    return float(pdfs[0]["mu"].iloc[0]), float(pdfs[0]["sigma"].iloc[0])
+
+
+def _known(values) -> list[float | None]:
+    return [None if np.isnan(v) else float(v) for v in values]
+
+
+def _held(values) -> np.ndarray:
+    return np.array([np.nan if v is None else v for v in values], dtype="float64")
 
 
 def forecast_stream(long: DataFrame, freq_minutes: int, t_in: int = 12, t_out: int = 12,
                     alpha: float = EVAL_EMA_ALPHA, horizons=HORIZONS_MIN,
                     predict: Callable[[np.ndarray], np.ndarray] | None = None,
-                    stats: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+                    stats: DataFrame | tuple[float, float] = (0.0, 1.0)) -> DataFrame:
     """T5 + T6: keep the last ``t_in`` ticks per sensor; once full, forecast from the
     filled history and emit ``(edge_id, horizon, value, ts)`` rows, once a micro-batch.
 
     Without ``predict`` the forecast is the clipped EMA baseline. ``predict`` maps
-    normalised histories (1, t_in) to (1, t_out); ``stats`` = (mean, std) normalise its
-    input and turn its output back into speeds."""
+    normalised histories (rows, t_in) to (rows, t_out); ``stats`` normalise its input and
+    turn its output back into speeds, each sensor by its own mean and spread where
+    they are a table (``with_params``)."""
     pairs = point_index(freq_minutes, t_out, horizons)
     out_schema = "edge_id string, horizon int, value double, ts timestamp"
     state_schema = "hist array<double>, ts timestamp"
-    mean, std = stats[0], stats[1] or 1.0
-
-    def forecast(x: np.ndarray) -> list[float | None]:
-        if predict is not None:
-            y = np.asarray(predict((x[None, :] - mean) / std), dtype="float64")[0] * std + mean
-        else:
-            y = np.full(t_out, np.nan if np.isnan(x[0]) else np.clip(_ema_fold(None, x, alpha), 0.0, 150.0))
-        return [None if np.isnan(v) else float(v) for v in y]
 
     def update(key, pdfs, state):
-        held = np.array([np.nan if v is None else v for v in state.get[0]], dtype="float64") if state.exists else np.zeros(0)
+        held = _held(state.get[0]) if state.exists else np.zeros(0)
+        pdfs = list(pdfs)
         times, speeds = _in_order(pdfs)
         hist = np.concatenate([held, speeds])[-t_in:]
         last = pd.Timestamp(times[-1])
-        state.update(([None if np.isnan(v) else float(v) for v in hist], last))
+        state.update((_known(hist), last))
         if hist.size == t_in:
-            y = forecast(filled_history(hist))
+            y = _known(forecasts(filled_history(hist)[None, :], t_out, alpha, predict, *_params(pdfs))[0])
             rows = [(key[0], h, y[i - 1], last) for h, i in pairs]
             yield pd.DataFrame(rows, columns=["edge_id", "horizon", "value", "ts"])
 
-    return long.select("edge_id", "timestamp", "speed").groupBy("edge_id").applyInPandasWithState(
-        update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+    rows = with_params(long, stats).select("edge_id", "timestamp", "speed", "mu", "sigma")
+    return rows.groupBy("edge_id").applyInPandasWithState(update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+
+
+def requested(requests: DataFrame) -> DataFrame:
+    """Valid requests as one row per different sensor asked for, to travel with readings."""
+    valid = validate_requests(requests).where("valid")
+    return valid.select(F.explode(F.array_distinct("edge_ids")).alias("edge_id"), "timestamp", F.lit(None).cast("double").alias("speed"),
+                        F.col("request_id").cast("long").alias("request_id"), F.col("horizon").cast("int").alias("horizon"))
+
+
+def live_lookup(events: DataFrame, freq_minutes: int, t_in: int = 12, t_out: int = 12, alpha: float = EVAL_EMA_ALPHA,
+                predict: Callable[[np.ndarray], np.ndarray] | None = None,
+                stats: DataFrame | tuple[float, float] = (0.0, 1.0)) -> DataFrame:
+    """T9 against moving state: readings and requests as one stream, each sensor's state
+    held by Spark beside the requests for it, so no stored version goes stale.
+
+    ``events(edge_id, timestamp, speed, request_id, horizon)``: a row with a ``request_id``
+    is a request (see ``requested``), any other a reading. A request sees the readings
+    of earlier micro-batches and those of its own up to its instant: the forecast of its
+    horizon from the last ``t_in`` ticks (``pred``), else the last known speed (``speed``),
+    else nothing (``none``). Emits ``(request_id, edge_id, horizon, value, source, ts)``,
+    ``ts`` being the last tick seen; a horizon between two forecast steps has no forecast.
+    """
+    step_of = {h: i for h, i in point_index(freq_minutes, t_out)}
+    names = ["request_id", "edge_id", "horizon", "value", "source", "ts"]
+    out_schema = "request_id long, edge_id string, horizon int, value double, source string, ts timestamp"
+    state_schema = "hist array<double>, speed double, ts timestamp"
+
+    def update(key, pdfs, state):
+        pdfs = list(pdfs)
+        mu_sigma = _params(pdfs)
+        rows = pd.concat(pdfs) if len(pdfs) > 1 else pdfs[0]
+        asked = rows["request_id"].notna().to_numpy()
+        ticks, asks = rows[~asked].sort_values("timestamp", kind="stable"), rows[asked]
+        held, speed, ts = (_held(state.get[0]), state.get[1], state.get[2]) if state.exists else (np.zeros(0), None, None)
+        times = ticks["timestamp"].to_numpy(dtype="datetime64[ns]")
+        hist = np.concatenate([held, ticks["speed"].to_numpy(dtype="float64", na_value=np.nan)])
+        # the last known speed up to each tick, the one of the state before the first
+        level = filled_history(np.concatenate([[np.nan if speed is None else speed], hist[len(held):], [0.0]]))[:-1]
+        if len(asks):
+            seen = np.searchsorted(times, asks["timestamp"].to_numpy(dtype="datetime64[ns]"), "right")
+            upto = seen + len(held)
+            value, source = level[seen], np.where(np.isnan(level[seen]), "none", "speed").astype(object)
+            full = np.flatnonzero(upto >= t_in)
+            if len(full):
+                y = forecasts(filled_history(hist[upto[full][:, None] + np.arange(-t_in, 0)]), t_out, alpha, predict, *mu_sigma)
+                step = asks["horizon"].map(step_of).to_numpy(dtype="float64")[full]
+                found = np.where(np.isnan(step), np.nan, y[np.arange(len(full)), np.nan_to_num(step, nan=1.0).astype(int) - 1])
+                use = full[~np.isnan(found)]
+                value[use], source[use] = found[~np.isnan(found)], "pred"
+            stamps = np.concatenate([[np.datetime64("NaT") if ts is None else np.datetime64(ts, "ns")], times])[seen]
+            yield pd.DataFrame({"request_id": asks["request_id"].to_numpy(), "edge_id": key[0], "horizon": asks["horizon"].to_numpy(),
+                                "value": _known(value), "source": source, "ts": stamps})[names]
+        if len(times):
+            ts = pd.Timestamp(times[-1])
+        if ts is not None:
+            state.update((_known(hist[-t_in:]), None if np.isnan(level[-1]) else float(level[-1]), ts))
+
+    rows = with_params(events, stats).select("edge_id", "timestamp", "speed", "request_id", "horizon", "mu", "sigma")
+    return rows.groupBy("edge_id").applyInPandasWithState(update, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 # --------------------------------------------------------------------------- sinks
@@ -239,6 +326,31 @@ def capped_log_sink(spark: SparkSession, path: str, cap: int = STREAM_LOG_CAP):
     return write
 
 
+def lookup_sink(pred: StateTable, latest: StateTable, write: Callable[[DataFrame, int], None]):
+    """T9 over state tables that other jobs go on writing: a ``foreachBatch`` writer that
+    reads the newest complete versions for every micro-batch of requests."""
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        p, s = pred.read(), latest.read()
+        if p is None:
+            p = spark.createDataFrame([], "edge_id string, horizon int, value double, ts timestamp")
+        if s is None:
+            s = spark.createDataFrame([], "edge_id string, speed double, ts timestamp")
+        write(lookup(batch, p, s), batch_id)
+
+    return answer
+
+
+def run_drained(query_df: DataFrame, checkpoint: str, mode: str, sink) -> None:
+    """Run a streaming query into a foreachBatch sink until its sources have nothing new,
+    in as many micro-batches as they give, and stop it."""
+    q = query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def run_available(query_df: DataFrame, checkpoint: str, mode: str, sink) -> None:
     """Drain a streaming query with ``availableNow`` into a foreachBatch sink."""
     q = (query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
