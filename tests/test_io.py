@@ -110,3 +110,70 @@ def test_read_dir_reads_all_kinds_and_raises_on_a_bad_file(spark, tmp):
         io.read_dir(spark, f"{tmp}/d").count()
     with pytest.raises(FileNotFoundError):
         io.read_dir(spark, f"{tmp}/nothing-here")
+
+
+def _put(root, name, text):
+    path = os.path.join(root, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def _cells(df):
+    return {(r.edge_id, r.timestamp.hour): r.speed for r in io.normalize_readings(df).collect() if r.speed is not None}
+
+
+def test_read_dir_matches_csv_columns_by_name(spark, tmp):
+    """Columns in another order, other sensors, quoted names, a byte order mark, empty and
+    header-only files, upper-case suffixes and odd file names."""
+    _put(tmp, "one.csv", "timestamp,s1,s2\n2024-01-01 00:00:00,1,2\n")
+    _put(tmp, "two.csv", "timestamp,s2,s1\n2024-01-01 01:00:00,20,10\n")
+    _put(tmp, "deep/B.CSV", "﻿timestamp,s3\r\n2024-01-01 02:00:00,7\r\n")
+    _put(tmp, "deep/quoted.csv", '"timestamp","s1"\n2024-01-01 03:00:00,"5"\n')
+    _put(tmp, "deep/x y é,{1}[2].csv", "\n\nTimestamp,s1\n2024-01-01 04:00:00,9\n")
+    _put(tmp, "empty.csv", "")
+    _put(tmp, "blank.csv", "\n\n")
+    _put(tmp, "only.csv", "timestamp,s9\n")
+    _put(tmp, "notes.txt", "timestamp,s1\n2024-01-01 05:00:00,1\n")
+    _put(tmp, "_hidden.csv", "timestamp,s1\n2024-01-01 06:00:00,1\n")
+    got = io.read_dir(spark, tmp)
+    assert sorted(got.columns) == ["s1", "s2", "s3", "s9", "timestamp"]
+    assert _cells(got) == {("s1", 0): 1.0, ("s2", 0): 2.0, ("s2", 1): 20.0, ("s1", 1): 10.0, ("s3", 2): 7.0, ("s1", 3): 5.0, ("s1", 4): 9.0}
+
+
+def test_read_dir_without_any_column(spark, tmp):
+    _put(tmp, "empty.csv", "")
+    with pytest.raises(FileNotFoundError):
+        io.read_dir(spark, tmp)
+
+
+def test_read_dir_merges_parquet_columns(spark, tmp):
+    spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.parquet(f"{tmp}/p/1")
+    spark.createDataFrame([(3, 3.5)], "a int, c double").coalesce(1).write.parquet(f"{tmp}/p/2")
+    assert {(r.a, r.b, r.c) for r in io.read_dir(spark, tmp).collect()} == {(1, 2, None), (3, None, 3.5)}
+    # types that clash: numbers widen
+    spark.createDataFrame([(1 << 40, 2.5)], "a long, b double").coalesce(1).write.parquet(f"{tmp}/p/3")
+    assert {(r.a, r.b, r.c) for r in io.read_dir(spark, tmp).collect()} == {(1, 2.0, None), (3, None, 3.5), (1 << 40, 2.5, None)}
+    # text in one file and numbers in another: text, which the lenient parse takes
+    _put(tmp, "z.CSV", "A,b\nx,1.25\n")
+    assert {(r.a, r.b) for r in io.read_dir(spark, tmp).collect()} == {("1", "2"), ("3", None), (str(1 << 40), "2.5"), ("x", "1.25")}
+
+
+def test_hot_day_is_several_files(spark, tmp):
+    """AQE splits the tasks of a day that is much larger than the others; conf is restored."""
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    n = 60_000
+    rows = spark.range(n).selectExpr("timestamp_seconds(1704067200 + CASE WHEN id % 3 > 0 THEN id % 86400 ELSE (id % 20) * 86400 END) AS timestamp",
+                                     "concat('s', id % 50) AS edge_id", "rand(7) * 80 AS speed")
+    io.write_partitioned(rows, f"{tmp}/h", file_bytes=150_000)
+    files = {d: sum(f.endswith(".parquet") for f in os.listdir(f"{tmp}/h/{d}")) for d in os.listdir(f"{tmp}/h") if d.startswith("date=")}
+    assert len(files) == 20 and files["date=2024-01-01"] >= 4
+    assert sum(k == 1 for k in files.values()) >= 12  # days that share no task with the large one
+    assert spark.read.parquet(f"{tmp}/h").count() == n
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_partition_filter_prunes(spark, tmp):
+    io.write_partitioned(_tall(spark), f"{tmp}/p", by_hour=True)
+    plan = io.read_partitioned(spark, f"{tmp}/p").where("hour < 6")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hour" in plan and "< 6)" in plan.split("PartitionFilters")[1].split("]")[0]

@@ -196,3 +196,124 @@ def test_state_table_survives_a_failed_and_a_replayed_batch(spark):
     with pytest.raises(Exception):
         table.upsert(make(("d", _hour(3), 4.0)), 3)
     assert table.versions()[-1] == 2  # a failed read writes nothing
+
+
+def test_day_source_goes_by_day_whatever_the_files_times(spark):
+    """Days out of modification order, a day of several files, a column that a file lacks,
+    three days a batch; a restarted query goes on behind its checkpoint."""
+    import os
+
+    from velograph.sources import days, io
+    root = tempfile.mkdtemp(prefix="vg-days-")
+    rows = spark.range(24 * 7).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("timestamp"),
+                                      F.concat(F.lit("s"), F.col("id") % 3).alias("edge_id"), F.col("id").cast("double").alias("speed"))
+    io.write_partitioned(rows.repartition(3), f"{root}/d")
+    rows.where("timestamp < '2024-01-01 05:00:00'").drop("speed").write.mode("append").parquet(f"{root}/d/date=2024-01-04")
+    for k, day in enumerate(sorted((d for d in os.listdir(f"{root}/d") if d.startswith("date=")), reverse=True)):
+        for f in os.listdir(f"{root}/d/{day}"):
+            os.utime(f"{root}/d/{day}/{f}", (1_600_000_000 + k * 100,) * 2)  # newest day oldest
+    seen = []
+
+    def sink(df, batch_id):
+        r = df.agg(F.date_format(F.max("timestamp"), "dd"), F.count("*"), F.count("speed")).first()
+        seen.append((batch_id, *r))
+
+    source = days.day_stream(spark, f"{root}/d", replay.LONG_SCHEMA, 3)
+    replay.run_drained(source, f"{root}/ck", "append", sink)
+    assert seen == [(0, "03", 72, 72), (1, "06", 77, 72), (2, "07", 24, 24)]
+    io.write_partitioned(rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 30 DAYS")), f"{root}/d", mode="append")
+    replay.run_drained(days.day_stream(spark, f"{root}/d", replay.LONG_SCHEMA, 4), f"{root}/ck", "append", sink)
+    assert [s[1:] for s in seen[3:]] == [("03", 96, 96), ("06", 72, 72)]
+    replay.run_drained(days.day_stream(spark, f"{root}/d", replay.LONG_SCHEMA, 4), f"{root}/ck", "append", sink)
+    assert sum(s[2] for s in seen) == 2 * 24 * 7 + 5
+
+
+def test_ema_over_days_in_the_wrong_file_order(spark):
+    import os
+
+    from velograph.sources import days, io
+    root = tempfile.mkdtemp(prefix="vg-days-")
+    rows = [("a", _hour(i), float(i * i % 17)) for i in range(96)]
+    io.write_partitioned(_ticks(spark, rows), f"{root}/d")
+    for k, day in enumerate(sorted((d for d in os.listdir(f"{root}/d") if d.startswith("date=")), reverse=True)):
+        for f in os.listdir(f"{root}/d/{day}"):
+            os.utime(f"{root}/d/{day}/{f}", (1_600_000_000 + k * 100,) * 2)
+    table = replay.StateTable(spark, f"{root}/state", ["edge_id"])
+    replay.run_drained(replay.ema_stream(days.day_stream(spark, f"{root}/d", replay.LONG_SCHEMA)), f"{root}/ck", "update", table.upsert)
+    want = rows[0][2]
+    for _, _, v in rows[1:]:
+        want = 0.2 * v + 0.8 * want
+    got = table.read().first()
+    assert math.isclose(got.ema, want, rel_tol=1e-9) and got.ts == _hour(95)
+
+
+def test_forecast_is_normalised_by_each_sensor(spark):
+    rows = [(s, _hour(i), base + i) for s, base in (("a", 30.0), ("b", 60.0), ("c", 5.0)) for i in range(12)]
+    stats = spark.createDataFrame([("a", 30.0, 10.0), ("b", 50.0, 0.0)], "edge_id string, mu double, sigma double")
+    job = lambda s: replay.forecast_stream(s, 60, predict=lambda x: 0.5 * x[:, -1:] + [[0.1] * 12], stats=stats)
+    got = {(r.edge_id, r.horizon): r.value for r in _drain(spark, [_ticks(spark, rows)], job, ["edge_id", "horizon"]).read().collect()}
+    for s, last, mu, sd in (("a", 41.0, 30.0, 10.0), ("b", 71.0, 50.0, 1.0), ("c", 16.0, 0.0, 1.0)):
+        assert all(math.isclose(got[s, h], (0.5 * (last - mu) / sd + 0.1) * sd + mu) for h in (15, 30, 45, 60))
+
+
+def test_live_lookup_sees_the_state_of_its_instant(spark):
+    """State moves between and inside batches: nothing, speed, forecast; gaps, ties, a
+    horizon without a forecast, rejected and repeated requests, unknown sensors."""
+    readings = [("a", _hour(i), None if i in (0, 5, 20) else 10.0 + i) for i in range(30)]
+    asked = [(1, _hour(0), ["a", "a", "zz"], 15), (2, _hour(1), ["a"], 15), (3, _hour(5), ["a"], 30), (4, _hour(11), ["a"], 60), (5, _hour(12), ["a"], 15),
+             (6, _hour(20), ["a"], 45), (7, _hour(20), ["a"], 20), (8, _hour(20), ["a"], 90), (9, _hour(29), ["a", "b"], 15), (10, _hour(40), ["a"], 15)]
+    requests = spark.createDataFrame(asked, "request_id long, timestamp timestamp, edge_ids array<string>, horizon int")
+    more = [("b", _hour(i), None) for i in range(30)]
+    ticks = _ticks(spark, readings + more).withColumns({"request_id": F.lit(None).cast("long"), "horizon": F.lit(None).cast("int")})
+    events = ticks.unionByName(replay.requested(requests))
+    answers = {}
+    for cuts in ([0, 48], [0, 8, 12, 13, 21, 48]):
+        root, got = tempfile.mkdtemp(prefix="vg-live-"), []
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            part = events.where((F.col("timestamp") >= F.lit(_hour(lo))) & (F.col("timestamp") < F.lit(_hour(hi))))
+            part.repartition(2).write.parquet(f"{root}/d/date=2024-01-{k + 1:02d}")
+        from velograph.sources import days
+        source = days.day_stream(spark, f"{root}/d", replay.LONG_SCHEMA + ", request_id long, horizon int")
+        replay.run_drained(replay.live_lookup(source, 60), f"{root}/ck", "append", lambda df, _: got.extend(df.collect()))  # noqa: B023
+        answers[len(cuts)] = {(r.request_id, r.edge_id): (None if r.value is None else round(r.value, 9), r.source, r.ts) for r in got}
+        assert len(got) == len(answers[len(cuts)])
+
+    def forecast(upto):
+        h, last = [], math.nan
+        for v in [v for _, _, v in readings[:upto + 1]][-12:]:
+            last = last if v is None else v
+            h.append(last)
+        e = h[0]
+        for v in h[1:]:
+            e = 0.3 * v + 0.7 * e
+        return e
+
+    want = {(1, "a"): (None, "none", _hour(0)), (1, "zz"): (None, "none", None), (2, "a"): (11.0, "speed", _hour(1)), (3, "a"): (14.0, "speed", _hour(5)),
+            (4, "a"): (21.0, "speed", _hour(11)),  # twelve ticks, the first missing: no forecast yet
+            (5, "a"): (round(forecast(12), 9), "pred", _hour(12)), (6, "a"): (round(forecast(20), 9), "pred", _hour(20)), (7, "a"): (29.0, "speed", _hour(20)),
+            (9, "a"): (round(forecast(29), 9), "pred", _hour(29)), (9, "b"): (0.0, "pred", _hour(29)), (10, "a"): (round(forecast(29), 9), "pred", _hour(29))}
+    assert answers[2] == want and answers[6] == want
+
+
+def test_lookup_stream_follows_tables_that_move(spark):
+    """Three upserts beside one running lookup query: every batch reads the newest version."""
+    root = tempfile.mkdtemp(prefix="vg-move-")
+    pred = replay.StateTable(spark, f"{root}/pred", ["edge_id", "horizon"])
+    latest = replay.StateTable(spark, f"{root}/latest", ["edge_id"])
+    make = lambda i: spark.createDataFrame([(i, ["s0", "s1"], 15)], "request_id int, edge_ids array<string>, horizon int")
+    got = {}
+    make(0).coalesce(1).write.json(f"{root}/req/0")
+    stream = spark.readStream.schema("request_id int, edge_ids array<string>, horizon int").option("recursiveFileLookup", True).json(f"{root}/req")
+    sink = replay.lookup_sink(pred, latest, lambda df, _: got.update({(r.request_id, r.edge_id): (r.value, r.source) for r in df.collect()}))
+    q = stream.writeStream.option("checkpointLocation", f"{root}/ck").foreachBatch(sink).start()
+    try:
+        q.processAllAvailable()
+        for i in range(1, 5):
+            latest.upsert(spark.createDataFrame([("s1", float(i), _hour(i))], "edge_id string, speed double, ts timestamp"), i)
+            pred.upsert(spark.createDataFrame([("s0", 15, 10.0 * i, _hour(i))], "edge_id string, horizon int, value double, ts timestamp"), i)
+            make(i).coalesce(1).write.json(f"{root}/req/{i}")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    assert got == {(0, "s0"): (None, "none"), (0, "s1"): (None, "none")} | {
+        k: v for i in range(1, 5) for k, v in {(i, "s0"): (10.0 * i, "pred"), (i, "s1"): (float(i), "speed")}.items()}

@@ -24,8 +24,9 @@ CONGESTION_FACTOR = 4.0              # weight below 40 % of free-flow
 CONGESTION_THRESHOLD = 0.4
 BIAS_DECAY = 0.95
 
-BLOCK_STEPS = 6        # blocks of 64 days
-ALL_DAYS_STEPS = 22    # 2^22 days: all dates from year 1 to 9999
+FAN = 8                # rows joined in one step of a scan
+BLOCK_STEPS = 2        # blocks of 64 days
+ALL_DAYS_STEPS = 8     # 8^8 days: all dates from year 1 to 9999
 
 
 def range_flags(readings: DataFrame, lo: float = VALID_SPEED_RANGE[0],
@@ -64,16 +65,22 @@ def bias_correction(residual_grid: DataFrame, decay: float = BIAS_DECAY) -> Data
 def affine_scan(rows: DataFrame, keys: list[str], order: str, steps: int) -> DataFrame:
     """Every row's affine map ``x -> scale * x + shift`` composed with those of all rows
     before it with equal ``keys``, in ``order``: columns ``scale`` and ``shift`` become
-    the running composition, exact for up to ``2 ** steps`` rows of one key.
+    the running composition, exact for up to ``FAN ** steps`` rows of one key.
 
-    In step k a row takes in the composition that ends ``2 ** k`` rows earlier. All steps
-    share one partitioning and sort; rows are streamed and spill, none are gathered."""
+    In step k a row takes in the compositions that end ``FAN ** k``, ``2 * FAN ** k``, ..
+    rows earlier. All steps share one partitioning and sort; rows are streamed and spill,
+    none are gathered."""
     w = Window.partitionBy(*keys).orderBy(order)
+    kept = [c for c in rows.columns if c not in ("scale", "shift")]
     for k in range(steps):
-        before = {c: F.lag(c, 1 << k).over(w) for c in ("scale", "shift")}
-        rows = rows.withColumns({"_scale": before["scale"], "_shift": before["shift"]})
-        rows = rows.withColumns({"shift": F.col("scale") * F.coalesce("_shift", F.lit(0.0)) + F.col("shift"),
-                                 "scale": F.col("scale") * F.coalesce("_scale", F.lit(1.0))}).drop("_scale", "_shift")
+        lags = range(1, FAN)
+        wide = rows.select("*", *(F.lag("scale", i * FAN ** k, 1.0).over(w).alias(f"_scale{i}") for i in lags),
+                           *(F.lag("shift", i * FAN ** k, 0.0).over(w).alias(f"_shift{i}") for i in lags))
+        scale, shift = F.lit(1.0), F.lit(0.0)
+        for i in reversed(lags):  # the earliest map is applied first
+            shift = F.col(f"_scale{i}") * shift + F.col(f"_shift{i}")
+            scale = scale * F.col(f"_scale{i}")
+        rows = wide.select(*kept, (scale * F.col("scale")).alias("scale"), (F.col("scale") * shift + F.col("shift")).alias("shift"))
     return rows
 
 
@@ -84,7 +91,7 @@ def bias_corrected(forecasts: DataFrame, decay: float = BIAS_DECAY) -> DataFrame
     ``forecasts(edge_id, day, timestamp, y, pred)``. Inside a day the bias is a running sum
     of residuals scaled by powers of the decay. A sensor-day is an affine map of the bias
     it starts with; the biases at the starts of days follow from a scan of these maps
-    inside blocks of ``2 ** BLOCK_STEPS`` days and one of the blocks' maps, so a long
+    inside blocks of ``FAN ** BLOCK_STEPS`` days and one of the blocks' maps, so a long
     history is neither one task's nor one row's."""
     a, b = 1.0 - decay, decay
     day = Window.partitionBy("edge_id", "day").orderBy("timestamp")
@@ -95,7 +102,7 @@ def bias_corrected(forecasts: DataFrame, decay: float = BIAS_DECAY) -> DataFrame
     known_at = F.when(F.col("_r").isNotNull(), F.col("timestamp"))
     days = r.groupBy("edge_id", "day").agg(F.count("_r").alias("_m"), F.max_by(F.struct("_own", "_r"), known_at).alias("_l"),
                                            F.min_by("_r", known_at).alias("_first"), F.min(known_at).alias("_t0"))
-    days = days.select("edge_id", "day", F.floor(F.unix_date(F.to_date("day")) / (1 << BLOCK_STEPS)).alias("_block"), "_first", "_t0",
+    days = days.select("edge_id", "day", F.floor(F.unix_date(F.to_date("day")) / FAN ** BLOCK_STEPS).alias("_block"), "_first", "_t0",
                        F.pow(F.lit(b), F.col("_m").cast("double")).alias("scale"),
                        F.coalesce(F.col("_l._own") * F.lit(b) + F.lit(a) * F.col("_l._r"), F.lit(0.0)).alias("shift"))
     days = affine_scan(days, ["edge_id", "_block"], "day", BLOCK_STEPS)
