@@ -84,6 +84,18 @@ def test_lattice_empty_null_and_repeated(spark):
     assert got == sorted([(None, 0, None, True), (2, 1, 2, True), (2, 1, 2, True), (3, 1, 2, False)], key=str)
 
 
+def test_lattice_id_with_several_vectors(spark):
+    """Every vector of an id links; all that its vectors reach is one component."""
+    pick = np.random.default_rng(11)
+    u, v, w = pick.normal(size=(3, 64))
+    near = lambda x: (x + pick.normal(size=64) * 0.01).tolist()
+    rows = [(1, v.tolist(), 0), (1, u.tolist(), 0), (2, near(v), 0), (3, near(u), 0), (4, near(w), 0), (5, near(w), 0), (1, near(w), 1), (6, near(v), 1), (6, near(u), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(frame).collect()}
+    assert got == {1: (2, 1, True), 2: (1, 1, False), 3: (1, 1, False), 4: (1, 4, True), 5: (1, 4, False), 6: (0, 6, True)}
+    assert len(lattice.near_duplicates(frame).collect()) == len(rows)
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain &lt;b&gt;", "plain <b>"), ("a<b", "a<b"), ("<p>x<!-- open", "x"),
     ("<html><head><title>t</title><body><article><p>A <script>x</p></script> B<span class='share'>s</span> c &amp; &#233; &am"

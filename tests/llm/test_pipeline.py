@@ -57,7 +57,7 @@ def test_stages_on_awkward_rows(spark):
         if name in ("lines", "encode"):
             assert len(kept) == len(rows)
         if name == "near_duplicates":
-            assert sum(r.doc_id is None for r in kept) == 2 and sum(r.doc_id == 3 for r in kept) == 1
+            assert sum(r.doc_id is None for r in kept) == 2 and {r.text for r in kept if r.doc_id == 3} == {"\n", "third again"}
 
 
 def test_run_keeps_what_the_stages_keep(spark):
@@ -99,3 +99,14 @@ def test_llm_is_not_needed_elsewhere():
                 if f.endswith(".py"):
                     with open(os.path.join(folder, f)) as x:
                         assert "velograph.llm" not in x.read()
+
+
+def test_near_duplicates_keeps_unrelated_texts_of_one_id(spark):
+    words = [" ".join(f"{a}{i}" for i in range(30)) for a in "abcd"]
+    near = words[1].replace("b29", "other")
+    rows = [(7, words[0]), (7, words[1]), (7, words[1]), (9, near), (3, words[2]), (7, words[2]), (8, words[3] + " x"), (8, words[3]), (8, ""), (8, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, SF).collect()]
+    eights = [t for i, t in got if i == 8 and t]
+    assert len(eights) == 1 and eights[0] in (words[3], words[3] + " x")
+    assert sorted((x for x in got if x[0] != 8 or not x[1]), key=repr) == sorted([(7, words[0]), (7, words[1]), (3, words[2]), (8, ""), (8, None), (5, "")], key=repr)

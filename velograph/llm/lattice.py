@@ -19,7 +19,9 @@ forest, not the pairs. Other links, from visits, are few and leave as pairs.
 
 Defined results: null vectors, zero vectors, those with null or non-finite
 components, without a label or an id link with nothing and are kept. Rows with
-one id are one vector when links are counted. Further columns are left out.
+one id and equal vectors are one vector when links are counted; the links of an id's
+different vectors add up, and all that they reach is one component. Further
+columns are left out.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from velograph.llm import textcodes as tc
 from velograph.llm.components import components
 from velograph.llm.scratch import Scratch
+from velograph.session import off_its_keys
 
 TABLES = 8
 BLOCKS = 2
@@ -233,14 +236,15 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(label).cast("string")).alias("label"), F.col(label).alias("given"), F.col(vector).alias("vector"))
     known = rows.where("id IS NOT NULL AND given IS NOT NULL AND vector IS NOT NULL").drop("given")
     usable = scratch.write(known.mapInArrow(_usable, "id long, label long, hash binary, vector binary"), "usable")
-    classes = usable.groupBy("label", "hash").agg(F.min("id").alias("id"), F.count_distinct("id").alias("size"), F.first("vector").alias("vector"))
-    classes = scratch.write(classes.select("id", "label", "hash", "size", "vector"), "classes")
+    # a class has a number of its own: an id may have rows with several vectors
+    classes = usable.groupBy("label", "hash").agg(F.min("id").alias("least"), F.count_distinct("id").alias("size"), F.first("vector").alias("vector"))
+    classes = scratch.write(classes.select(F.xxhash64("label", "hash").alias("id"), "least", "label", "hash", "size", "vector"), "classes")
     settings = (tables, width, probes)
 
     keys = scratch.write(classes.select("id", "label", "vector").mapInArrow(_keys(*settings), "cell long, id long, home boolean").distinct(), "keys")
     sizes = (keys.groupBy("cell").agg(F.count("*").alias("rows"), F.max("home").alias("any_home"))
              .where("any_home AND rows > 1").select("cell", F.ceil(F.col("rows") / block).cast("int").alias("parts")))
-    met = keys.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    met = keys.join(off_its_keys(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = met.select("cell", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "home")
     homes = classes.mapInArrow(_homes(*settings), "id long, size long, vector binary, homes array<long>")
@@ -252,12 +256,18 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     weights = classes.select(F.col("id").alias("to"), F.col("size").alias("n"))
     both = pairs.union(pairs.select("b", "a")).join(weights, F.col("b") == F.col("to")).select(F.col("a").alias("id"), "n")
     counts = both.union(found.where("n > 0").select("a", "n")).groupBy("id").agg(F.sum("n").alias("n"))
-    nodes = components(pairs.union(found.where("n IS NULL").select("a", "b")), scratch, "parts")
+    # the classes of an id with several vectors belong together
+    holders = usable.select("id", F.xxhash64("label", "hash").alias("class")).distinct()
+    several = holders.groupBy("id").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").select("id", "first")
+    tied = holders.join(several, "id").where("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b"))
+    nodes = components(pairs.union(found.where("n IS NULL").select("a", "b")).union(tied), scratch, "parts")
     named = (classes.join(counts, "id", "left").join(nodes, F.col("id") == F.col("node"), "left")
-             .select("label", "hash", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
-    named = usable.select("id", "label", "hash").distinct().join(named, ["label", "hash"]).groupBy("id").agg(
-        F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+             .select(F.col("id").alias("class"), "least", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                     F.coalesce("component", "id").alias("component")))
+    named = scratch.write(named, "named")
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(off_its_keys(least), "component").select("class", "n_links", "component_id")
+    named = holders.join(named, "class").groupBy("id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     return (rows.select("id").join(named, "id", "left")
             .select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("component_id", "id").alias("component_id"),

@@ -140,6 +140,7 @@ class Model:
 
     def __init__(self, weight: np.ndarray, square: np.ndarray, bias: float, slope: float, offset: float):
         self.weight, self.square, self.bias, self.slope, self.offset = weight, square, bias, slope, offset
+        self.bits = len(weight).bit_length() - 1
 
     def scores(self, found: np.ndarray, ptr: np.ndarray) -> np.ndarray:
         doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
@@ -242,7 +243,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     def run(batches):
         for batch in batches:
-            parts = [shared.value.scores(*indicators(data, off)) for _, _, data, off in tc.blocks(batch.column(text))]
+            parts = [shared.value.scores(*indicators(data, off, shared.value.bits)) for _, _, data, off in tc.blocks(batch.column(text))]
             values = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values), pa.array((values >= threshold).astype(np.int32))],
                                              names=[*names, "score", "predicted"])

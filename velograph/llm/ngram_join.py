@@ -45,8 +45,8 @@ HUBS = 2
 LOOKS = 200
 RANGES = 1024
 SEEN_LIMIT = 1 << 20
-ROW_NAMES = ["doc_id", "n_shingles", "fp", "fp2", "block", "counts"]
-ROW_FIELDS = "doc_id long, n_shingles long, fp long, fp2 long, block int, counts binary"
+ROW_NAMES = ["doc_id", "text_hash", "n_shingles", "fp", "fp2", "block", "counts"]
+ROW_FIELDS = "doc_id long, text_hash long, n_shingles long, fp long, fp2 long, block int, counts binary"
 
 
 def shingle_sets(data, off, k: int, is_word=tc.SPACED) -> tuple[np.ndarray, np.ndarray]:
@@ -92,14 +92,14 @@ def _measure(k: int, bits: int):
                     add()
                 n = hi - lo
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[lo:hi], pa.array(np.diff(ptr)), *map(pa.array, _set_hashes(sets, ptr)),
+                    [batch.column("doc_id")[lo:hi], batch.column("text_hash")[lo:hi], pa.array(np.diff(ptr)), *map(pa.array, _set_hashes(sets, ptr)),
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=ROW_NAMES)
         add()
         for i in range(0, len(counts), SKETCH_BLOCK):
             part = counts[i:i + SKETCH_BLOCK]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([i // SKETCH_BLOCK], pa.int32()),
+                    [*(pa.nulls(1, pa.int64()) for _ in range(5)), pa.array([i // SKETCH_BLOCK], pa.int32()),
                      pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=ROW_NAMES)
     return run
 
@@ -223,7 +223,7 @@ class Join:
         self.scratch = Scratch(docs.sparkSession, "ngram-join")
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        rows = self.scratch.write(self.docs.mapInArrow(_measure(k, SKETCH_BITS), ROW_FIELDS), "rows")
+        rows = self.scratch.write(self.docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_measure(k, SKETCH_BITS), ROW_FIELDS), "rows")
         self.sketch = _sketch(rows, SKETCH_BITS)
         self.rows = rows.where("block IS NULL").drop("block", "counts")
         classes = (self.rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("fp", "fp2")
@@ -315,16 +315,17 @@ class Join:
         return links.union(found)
 
     def assigned(self) -> DataFrame:
-        """doc_id, n_shingles, class_id (smallest id with an equal set), component_id,
-        one row per input row."""
+        """doc_id, text_hash (xxhash64), n_shingles, class_id (smallest id with an equal set),
+        component_id and component (its number, also where an id has texts in several;
+        null without words or id), one row per input row."""
         nodes = components(self.links(), self.scratch, "all").select(F.col("node").alias("fp"), "component")
         named = self.classes.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        named = self.scratch.write(named.join(least, "component").select("fp", "fp2", "first_id", "component_id"), "named")
+        named = self.scratch.write(named.join(least, "component").select("fp", "fp2", "first_id", "component_id", "component"), "named")
+        alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
         return (self.rows.join(named, ["fp", "fp2"], "left")
-                .select("doc_id", "n_shingles",
-                        F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("class_id"),
-                        F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+                .select("doc_id", "text_hash", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("first_id")).alias("class_id"),
+                        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(~alone, F.col("component")).alias("component")))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
