@@ -46,14 +46,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every component of 5-word shingle sets of similarity 0.8 or
-    more. Rows repeating an id are one document: its least text stays. Rows without
-    an id take no part and stay."""
-    found = ngram_join.near_duplicates(docs, k=5, percent=80)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    """One text of every component of 5-word shingle sets of similarity 0.8 or more: that
+    of the smallest id, of several such the one of least hash. An id with unrelated texts
+    keeps each of them, a row that repeats id and text stays once. Texts without words
+    link with nothing; rows without an id take no part and stay."""
+    found = ngram_join.near_duplicates(docs, k=5, percent=80).where("doc_id IS NOT NULL")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept")).select("kept.*")
+    kept = first.union(found.where("component IS NULL").select("doc_id", "text_hash")).toDF("kept_id", "kept_hash").distinct()
     x = Shielded(docs)
-    rows = x.docs.join(kept, F.col(x.key).cast("long") == F.col("kept_id"), "left_semi")
-    rows = rows.withColumn("row", F.row_number().over(W.partitionBy(x.key).orderBy(x.text))).where("row = 1")
+    rows = x.docs.withColumns({"kept_id": F.col(x.key).cast("long"), "kept_hash": F.xxhash64(x.text)}).join(kept, ["kept_id", "kept_hash"], "left_semi")
+    rows = rows.withColumn("row", F.row_number().over(W.partitionBy("kept_id", "kept_hash").orderBy(x.text))).where("row = 1")
     return x.back(rows).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
