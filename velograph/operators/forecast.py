@@ -102,6 +102,13 @@ def step_node_mae(windows: DataFrame, pred: str | Column = "pred") -> DataFrame:
     return rows.groupBy("step", "edge_id").agg(F.avg(F.abs(F.col("pred") - F.col("y"))).alias("mae"))
 
 
+def in_speed_units(step_node: DataFrame, stats: DataFrame) -> DataFrame:
+    """M6: errors of forecasts in z-scores as speeds: ``mae_speed = mae * sigma`` of the
+    sensor (a sensor without statistics, or of spread 0, counts as 1)."""
+    j = step_node.join(off_its_keys(stats.select("edge_id", "sigma")), "edge_id", "left")
+    return j.withColumn("mae_speed", F.col("mae") * sigma_guard("sigma")).drop("sigma")
+
+
 def top_k_nodes(step_node: DataFrame, step: int, k: int = 20) -> DataFrame:
     """O2: the K sensors with the largest error at one step (a top-k report)."""
     if not 1 <= k:

@@ -326,8 +326,9 @@ def first_errors(errors: DataFrame, n: int = QA_MAX_ERRORS) -> DataFrame:
 
 
 def mapping_stats(sensors: DataFrame, edges: DataFrame, parts: dict[str, DataFrame],
-                  interp: DataFrame, errors: DataFrame) -> DataFrame:
-    """Coverage statistics, one row (averages default to 0 when empty)."""
+                  interp: DataFrame, errors: DataFrame, run_at: str | None = None) -> DataFrame:
+    """Coverage statistics, one row (averages default to 0 when empty), with the
+    instant of the run (a parameter, as text yyyyMMdd_HHmmss; NULL if not given)."""
     # one union of per-sensor, per-edge and per-error fact rows, one aggregate
     null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
     sensor_rows = parts["status"].select(F.lit("s").alias("kind"), F.col("status"),
@@ -357,7 +358,8 @@ def mapping_stats(sensors: DataFrame, edges: DataFrame, parts: dict[str, DataFra
         "total_edges", "edges_with_sensors", "edges_with_interpolation",
         ((F.col("edges_with_sensors") + F.col("edges_with_interpolation")) / F.col("total_edges") * 100)
         .alias("edge_coverage_percent"),
-        "avg_interpolation_distance_km", "validation_errors")
+        "avg_interpolation_distance_km", "validation_errors",
+        F.date_format(F.lit(run_at).cast("timestamp"), "yyyyMMdd_HHmmss").alias("timestamp"))
 
 
 def mapping_detail(mapping: DataFrame, sensors: DataFrame) -> DataFrame:

@@ -495,7 +495,7 @@ def q_j11_idw_speed(spark, sf):
 
 def _qa(spark, sf):
     s, e = _sensors(spark, sf), tables.road_edges(spark, sf)
-    m = mapping.mapping_pipeline(s, e)
+    m = mapping.mapping_pipeline(s, e, run_at=PREDICTION_TS)
     return s, e, m, m["interp"], m["errors"]
 
 
@@ -1024,3 +1024,111 @@ def q_s16_sensor_files(spark, sf):
     meta = spark.read.option("header", True).schema("sensor_id long, latitude double, longitude double, highway string, direction string").csv(out["metadata"])
     idx = spark.read.schema("sensor_id long, idx long").json(out["index"])
     return meta.join(idx, "sensor_id").select("sensor_id", "idx", _r9("latitude").alias("latitude"), _r9("longitude").alias("longitude"), "highway", "direction")
+
+
+# --------------------------------------------------------------------------- further forms
+
+
+@query
+def q_a03_sketch_percentile(spark, sf):
+    """A3 from mergeable daily sketches: days and readings per sensor, and whether the
+    value's true rank is within one percent (or one reading) of the 90th percentile."""
+    r = _user_readings(spark, sf)
+    p = features.sketch_percentile(features.daily_sketches(r), 0.9, "p90")
+    ranks = r.join(p, "edge_id").groupBy("edge_id", "n_days", "n").agg(
+        F.count_if(F.col("speed") < F.col("p90")).alias("below"), F.count_if(F.col("speed") <= F.col("p90")).alias("upto"))
+    slack = F.greatest(F.lit(0.01) * F.col("n"), F.lit(1.0))
+    return ranks.select("edge_id", "n_days", "n", ((F.col("below") - slack <= 0.9 * F.col("n")) & (0.9 * F.col("n") <= F.col("upto") + slack)).alias("within"))
+
+
+@query
+def q_m02_model_file(spark, sf):
+    """M2: the residual model's coefficients as a file that each worker loads once, on
+    histories normalised by each sensor's own mean and spread."""
+    import json
+
+    import numpy as np
+    w = _heldout(spark, sf)
+    train = _train_windows(spark, sf)
+    stats = features.sensor_stats(train.select("edge_id", F.element_at("x", -1).alias("speed"), F.col("label_start").alias("timestamp")))
+    path = _folder(spark, "m02") + "/model"
+    slopes = forecast.fit_residual(train).groupBy("step").agg(F.avg("a").alias("a"), F.avg("b").alias("b"))  # twelve rows
+    slopes.coalesce(1).write.json(path)
+
+    def load(folder):
+        import pathlib
+        rows = sorted((json.loads(x) for f in pathlib.Path(folder).glob("*.json") for x in f.read_text().splitlines()), key=lambda r: r["step"])
+        b = np.array([r["b"] for r in rows])
+        return lambda x: x[:, -1:] + (x[:, -1:] - x[:, -2:-1]) * b
+
+    scored = forecast.score_with_artifact(w, path, load, 12, stats)
+    return forecast.window_metrics(scored, 12).select(to_ntz("label_start").alias("label_start"), "horizon", round_to("mae", 5).alias("mae"))
+
+
+def _z_windows(spark, sf):
+    """W13 on z-scores: windows of six and six hours inside the last full day, gaps kept."""
+    r = align.dedup_mean(tables.readings(spark, sf)).drop("n_obs")
+    stats = features.sensor_stats(r)
+    z = features.normalize(r, features.norm_params(stats)).select("timestamp", "edge_id", F.col("value").alias("speed"))
+    lo, hi = align.grid_bounds(r)
+    day = align.last_full_day_us(lo, hi, 60)
+    grid = align.regular_grid(z, 60, day_from_us=day, day_to_us=day, bounds=(lo, hi))
+    return stats, windows.sliding_windows(grid, 60, 6, 6, label_day=F.timestamp_micros(F.lit(day)), all_within_day=True, drop_missing=False)
+
+
+@query
+def q_w13_windows_normalized(spark, sf):
+    wl = windows.windows_long(_z_windows(spark, sf)[1])
+    return wl.select(to_ntz("label_start").alias("label_start"), "edge_id", "role", "step", _r6("value").alias("value"))
+
+
+@query
+def q_m06_error_units(spark, sf):
+    """M6: last-value errors per step and sensor, in z-scores and in speeds."""
+    stats, w = _z_windows(spark, sf)
+    e = forecast.in_speed_units(forecast.step_node_mae(w.withColumn("pred", windows.last_value("x"))), stats)
+    return e.select("step", "edge_id", _r6("mae").alias("mae"), _r6("mae_speed").alias("mae_speed"))
+
+
+@query
+def q_s01_read_table(spark, sf):
+    """One table as CSV and as Parquet, each read by its suffix."""
+    r, root = tables.readings(spark, sf, grain="minute"), _folder(spark, "s01")
+    r.write.option("header", True).csv(f"{root}/r.CSV")
+    r.write.parquet(f"{root}/r.pq")
+    both = [vio.normalize_readings(vio.read_table(spark, f"{root}/r.{x}")).withColumn("kind", F.lit(x.lower())) for x in ("CSV", "pq")]
+    return both[0].unionByName(both[1]).select("kind", to_ntz("timestamp").alias("timestamp"), "edge_id", _r6("speed").alias("speed"))
+
+
+@query
+def q_s18_reports(spark, sf):
+    """A report as CSV, JSON and Parquet, read back."""
+    root, report = _folder(spark, "s18"), features.hourly_average(tables.readings(spark, sf, grain="minute").where("speed IS NOT NULL"))
+    schema = "edge_id string, hour int, avg_speed double, sample_count long"
+    out = []
+    for kind in ("csv", "json", "parquet"):
+        vio.write_report(report, f"{root}/{kind}", kind)
+        out.append(spark.read.format(kind).schema(schema).options(**({"header": True} if kind == "csv" else {})).load(f"{root}/{kind}").withColumn("kind", F.lit(kind)))
+    both = out[0].unionByName(out[1]).unionByName(out[2])
+    return both.select("kind", "edge_id", "hour", _r6("avg_speed").alias("avg_speed"), "sample_count")
+
+
+@query
+def q_t02_stream_long(spark, sf):
+    """Hourly wide ticks as a stream of long rows, missing values kept."""
+    sensors = [r.edge_id for r in tables.readings(spark, sf).select("edge_id").distinct().orderBy("edge_id").collect()]  # columns of a wide table
+    wide = vio.to_wide(_hourly(spark, sf), sensors)
+    schema = "timestamp timestamp, " + ", ".join(f"`{s}` double" for s in sensors)
+
+    def sink_of(path):
+        return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    path = _drained(spark, sf, "t02", lambda src: replay.wide_to_long(src, sensors), "append", sink_of, wide, schema)
+    return spark.read.parquet(path).select("edge_id", to_ntz("timestamp").alias("timestamp"), _r6("speed").alias("speed"))
+
+
+@query
+def q_o04_irregular_split(spark, sf):
+    """An ordered split at 70 and 85 % of the different instants of raw readings."""
+    r = features.ordered_split(tables.readings(spark, sf, grain="minute"))
+    return r.groupBy("split").agg(F.count("*").alias("rows"), F.min(to_ntz("timestamp")).alias("first_ts"), F.max(to_ntz("timestamp")).alias("last_ts"))

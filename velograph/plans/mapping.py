@@ -15,7 +15,7 @@ from velograph.operators import spatial
 from velograph.session import materialize
 
 
-def mapping_pipeline(sensors: DataFrame, edges: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
+def mapping_pipeline(sensors: DataFrame, edges: DataFrame, persist: bool = True, run_at: str | None = None) -> dict[str, DataFrame]:
     cand = spatial.candidates(sensors, edges)
     if persist:
         cand = materialize(cand, "map-candidates")
@@ -28,5 +28,5 @@ def mapping_pipeline(sensors: DataFrame, edges: DataFrame, persist: bool = True)
     errors = spatial.qa_errors(sensors, parts, interp)
     out = dict(parts)
     out.update(weights=weights, interp=interp, errors=errors,
-               stats=spatial.mapping_stats(sensors, edges, parts, interp, errors))
+               stats=spatial.mapping_stats(sensors, edges, parts, interp, errors, run_at))
     return out

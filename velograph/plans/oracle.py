@@ -593,7 +593,7 @@ def _q_a11_mapping_stats():
             "(SELECT count(*) FROM isum) AS edges_with_interpolation, "
             "round(((SELECT count(DISTINCT edge_id) FROM mp) + (SELECT count(*) FROM isum)) / (SELECT count(*) FROM ce) * 100, 9) "
             "AS edge_coverage_percent, round(coalesce((SELECT avg(avg_distance_km) FROM isum), 0.0), 9) "
-            "AS avg_interpolation_distance_km, (SELECT count(*) FROM qa) AS validation_errors")
+            "AS avg_interpolation_distance_km, (SELECT count(*) FROM qa) AS validation_errors, '20240131_000000' AS timestamp")
 
 
 def _q_j16_mapping_detail():
@@ -948,5 +948,61 @@ def _q_t10_stream_average():
                         "WHERE ts + INTERVAL 6 HOUR <= (SELECT max(timestamp) FROM g WHERE speed IS NOT NULL) - INTERVAL 1 HOUR")
 
 
+def _q_a03_sketch_percentile():
+    return (f"WITH {USER_DEDUP} SELECT edge_id, count(DISTINCT CAST(timestamp AS DATE)) AS n_days, count(*) AS n, true AS within FROM ud GROUP BY 1")
+
+
+def _q_m02_model_file():
+    return (f"WITH {_train_model_sql()}, cf AS (SELECT step, avg(b) AS b FROM model GROUP BY 1), "
+            "sts AS (SELECT edge_id, avg(x[12]) AS mu, coalesce(nullif(stddev_samp(x[12]), 0.0), 1.0) AS sd FROM trainwin GROUP BY 1), "
+            f"hw AS ({windows_sql_heldout()}), "
+            "p AS (SELECT label_start, edge_id, x, unnest(y) AS y, unnest(range(1, 13)) AS step FROM hw), "
+            f"s AS (SELECT label_start, p.step, p.y, {clip_sql('((x[12] - mu) / sd + ((x[12] - mu) / sd - (x[11] - mu) / sd) * b) * sd + mu')} AS pred "
+            "FROM p JOIN cf ON cf.step = p.step JOIN sts ON sts.edge_id = p.edge_id) "
+            f"SELECT label_start, horizon, round(avg(abs(pred - y)), 5) AS mae FROM s JOIN {horizons_values(12)} ON s.step <= hz.steps GROUP BY 1, 2")
+
+
+def windows_sql_heldout():
+    return f"SELECT * FROM (WITH {windows_ctes(60)} SELECT * FROM win)"
+
+
+def _z_windows_ctes():
+    plain = f"f AS (SELECT edge_id, timestamp, {clip_sql('speed')} AS v FROM gf)"
+    stats = ("st AS (SELECT edge_id, avg(speed) AS mu, coalesce(nullif(stddev_samp(speed), 0.0), 1.0) AS sd FROM "
+             "(SELECT edge_id, timestamp, avg(speed) AS speed FROM r WHERE speed IS NOT NULL GROUP BY 1, 2) GROUP BY 1)")
+    return windows_ctes(60, 6, 6, fill="none", within_day=True, drop_missing=False).replace(
+        plain, f"{stats}, f AS (SELECT edge_id, timestamp, (speed - mu) / sd AS v FROM gf JOIN st USING (edge_id))")
+
+
+def _q_w13_windows_normalized():
+    return f"WITH {_z_windows_ctes()} {_long('win', 6, 6)}"
+
+
+def _q_m06_error_units():
+    return (f"WITH {_z_windows_ctes()}, p AS (SELECT edge_id, x[6] AS pred, unnest(y) AS y, CAST(unnest(range(1, 7)) AS INTEGER) AS step FROM win), "
+            "e AS (SELECT step, edge_id, avg(abs(pred - y)) AS mae FROM p GROUP BY 1, 2) "
+            "SELECT step, edge_id, round(mae, 6) AS mae, round(mae * sd, 6) AS mae_speed FROM e JOIN st USING (edge_id)")
+
+
+def _q_s01_read_table():
+    return (f"SELECT kind, timestamp, edge_id, round(speed, 6) AS speed FROM ({readings_sql('minute')}) CROSS JOIN (VALUES ('csv'), ('pq')) AS k(kind)")
+
+
+def _q_s18_reports():
+    return (f"SELECT kind, edge_id, CAST(hour(timestamp) AS INTEGER) AS hour, round(avg(speed), 6) AS avg_speed, count(*) AS sample_count "
+            f"FROM ({readings_sql('minute')}) CROSS JOIN (VALUES ('csv'), ('json'), ('parquet')) AS k(kind) WHERE speed IS NOT NULL GROUP BY ALL")
+
+
+def _q_t02_stream_long():
+    return GRID_ONLY + " SELECT edge_id, timestamp, round(speed, 6) AS speed FROM g"
+
+
+def _q_o04_irregular_split():
+    return (f"WITH r AS ({readings_sql('minute')}), i AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) AS rn, count(*) OVER () AS n "
+            "FROM (SELECT DISTINCT timestamp FROM r)), l AS (SELECT timestamp, CASE WHEN rn <= floor(n * 0.7::DOUBLE) THEN 'train' "
+            "WHEN rn <= floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM i) "
+            "SELECT split, count(*) AS rows, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM r JOIN l USING (timestamp) GROUP BY 1")
+
+
 def _q_s16_sensor_files():
     return (f"WITH {SENSORS} SELECT sensor_id, sensor_id AS idx, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, highway, direction FROM sn")
