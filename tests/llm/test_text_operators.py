@@ -1,10 +1,12 @@
 """Operators on documents against brute force, on awkward texts."""
 
+import random
+import time
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,3 +277,39 @@ def test_classifier_without_both_classes(spark):
     ones = spark.createDataFrame([(i, 1, 0) for i in range(9)], none.schema)
     assert all(r.score > 0.5 for r in nb_svm.score(docs, nb_svm.fit(docs, ones)).collect())
     assert nb_svm.score(spark.createDataFrame([], NO_ROWS), nb_svm.fit(docs, none)).collect() == []
+
+
+def twin(model, unit, key, limit):
+    """Merges one by one: the best pair of the whole unit, skipped by its own hash."""
+    s, spans = [model.symbol.get(c, -1) for c in unit], [(i, i + 1) for i in range(len(unit))]
+    skipped = set()
+    while True:
+        found = [(model.merges[s[i] << 32 | s[i + 1]], i) for i in range(len(s) - 1)
+                 if s[i] << 32 | s[i + 1] in model.merges and (spans[i][0], *spans[i + 1]) not in skipped]
+        if not found:
+            break
+        best, i = min(found)
+        a, b, c = spans[i][0], *spans[i + 1]
+        mask = (1 << 64) - 1
+        x = (key ^ (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D)) * 0xBF58476D1CE4E5B9 & mask
+        if ((x ^ x >> 31) * 0x94D049BB133111EB & mask) >> 32 < limit:
+            skipped.add((a, b, c))
+            continue
+        s[i:i + 2], spans[i:i + 2] = [best & 0xFFFFFFFF], [(a, c)]
+    return [i for x, (a, c) in zip(s, spans, strict=True) for i in ([x] if 0 <= x < model.n_pieces else [model.byte_ids[y] for y in unit[a:c].encode()])]
+
+
+def test_pieces_of_long_units():
+    """A heap and a linked list give the ids of the plain way, in time that grows with the unit."""
+    model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    pick = random.Random(6)
+    for n in (20, 64, 65, 66, 130, 400):
+        for letters in ("a", "ab", "theingationédß日", "0123456789abcdef+/"):
+            unit = "".join(pick.choices(letters, k=n))
+            for limit in (0, 1 << 28, 1 << 31):
+                key = pick.getrandbits(64)
+                assert model.segment(unit, key, limit) == twin(model, unit, key, limit)
+    for unit in ("a" * 1_000_000, "".join(pick.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=1_000_000))):
+        began = time.time()
+        ids = model.segment(unit, 5, 1 << 28)
+        assert time.time() - began < 90 and b"".join(model.raw[i] for i in ids).decode() == unit

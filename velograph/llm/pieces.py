@@ -25,6 +25,8 @@ the result's are replaced.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -44,6 +46,7 @@ MASK = (1 << 64) - 1
 WIDTHS = (4, 8, 12, 16, 24)  # units of up to so many characters are segmented together
 KEPT_SKIPS = 2  # traces are kept for units with fewer skips
 WHOLE = 1 << 62  # depth of an agenda that may skip to its end
+LONG = 64  # units of more characters have a heap for an agenda
 
 
 def _keyed(key: int, a: int, b: int, c: int) -> int:
@@ -123,6 +126,8 @@ class Pieces:
 
         A skipped candidate never comes back: its symbols can only grow, and then it is
         another candidate with another hash."""
+        if len(unit) > LONG and depth == WHOLE:
+            return self._segment_long(unit, key, limit)
         look, get = self.merges, self.symbol.get
         s = [get(c, -1) for c in unit]  # -1 is in no merge
         at = list(range(len(s) + 1))  # first character of each symbol, and the end
@@ -146,6 +151,43 @@ class Pieces:
                 agenda[i - 1] = look.get(s[i - 1] << 32 | s[i], NEVER)
             if i < len(agenda):
                 agenda[i] = look.get(s[i] << 32 | s[i + 1], NEVER)
+        return self._ids(unit, s, at)
+
+    def _segment_long(self, unit: str, key: int, limit: int) -> list[int]:
+        """The same for a unit of any length: the agenda is a heap of (merge, first character),
+        the symbols a linked list, so a step costs the logarithm of the unit's length.
+        An entry whose symbols have changed since is passed over."""
+        look, get = self.merges, self.symbol.get
+        n = len(unit)
+        s = [get(c, -1) for c in unit]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # neighbours, by first character
+        wanted = [look.get(a << 32 | b, NEVER) for a, b in zip(s, s[1:], strict=False)] + [NEVER]
+        agenda = [(w, i) for i, w in enumerate(wanted) if w != NEVER]
+        heapq.heapify(agenda)
+        while agenda:
+            best, i = heapq.heappop(agenda)
+            if wanted[i] != best:
+                continue
+            j = after[i]
+            if limit and _keyed(key, i, j, after[j]) < limit:
+                wanted[i] = NEVER
+                continue
+            s[i], after[i], wanted[j] = best & LOW_BITS, after[j], NEVER
+            if after[j] < n:
+                before[after[j]] = i
+            for left in (before[i], i):
+                if left >= 0:
+                    right = after[left]
+                    wanted[left] = look.get(s[left] << 32 | s[right], NEVER) if right < n else NEVER
+                    if wanted[left] != NEVER:
+                        heapq.heappush(agenda, (wanted[left], left))
+        at = [0]
+        while at[-1] < n:
+            at.append(after[at[-1]])
+        return self._ids(unit, [s[i] for i in at[:-1]], at)
+
+    def _ids(self, unit: str, s: list[int], at: list[int]) -> list[int]:
+        """Ids of a unit's symbols; one that is no piece is spelt in bytes."""
         out: list[int] = []
         for i, x in enumerate(s):
             if 0 <= x < self.n_pieces:
