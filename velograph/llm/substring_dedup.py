@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from velograph.llm import textcodes as tc
 from velograph.llm.scratch import Scratch
+from velograph.session import off_its_keys
 
 SIZE = 50
 BASE = 13
@@ -159,7 +160,7 @@ def _shared(named: DataFrame, run: int, keep: Column) -> DataFrame:
     """Names (one row each in ``named``) that pass ``keep`` against the smallest and
     largest id that has them, as one list per document."""
     ends = named.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    return (named.join(ends, "name").where(keep).groupBy(*KEYS)
+    return (named.join(off_its_keys(ends), "name").where(keep).groupBy(*KEYS)
             .agg(F.collect_set("name").alias(f"shared_{run}")))  # at most the words of one document
 
 
@@ -174,7 +175,7 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     rows = scratch.write(source.mapInArrow(_rows(size, steps[0]), ROW_FIELDS), "rows")
     firsts = rows.where(f"n_words >= {size} AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("first_id"))
-    rows = scratch.write(rows.join(firsts, ["s1", "s2"], "left").drop("s1", "s2"), "rows-and-firsts")
+    rows = scratch.write(rows.join(off_its_keys(firsts), ["s1", "s2"], "left").drop("s1", "s2"), "rows-and-firsts")
     left = rows.where("doc_id = first_id").select(*KEYS, "names").dropDuplicates(KEYS)
 
     named = left.select(*KEYS, F.explode("names").alias("name"))
