@@ -207,3 +207,15 @@ def test_chat_order_positions_and_intervals(spark, tmp_path):
 
 def test_no_chats(spark, tmp_path):
     assert chat_tree.digests(_tables(spark, [], str(tmp_path / "t"))).collect() == []
+
+
+def test_deep_pages_take_time_in_their_length():
+    """100,000 nested elements, closed or not, with strays; a text at the bottom stays a block."""
+    import time
+    n = 100_000
+    began = time.time()
+    assert style_tree.main_text("<div>" * n + "text" + "</div>" * n + "<p>end", frozenset()) == "text\n\nend"
+    assert style_tree.main_text("<p><div>" + "<span><h1>" * n + "text" + "</x>" * n, frozenset()) == "text"
+    events = list(style_tree.walk("<div class=a><b>" * n + "text", nodes=True))
+    assert len(events) == 2 * n + 1 and max(len(e[1]) for e in events) == style_tree.DEPTH
+    assert time.time() - began < 60

@@ -25,7 +25,8 @@ host with a third of all pages is no hot task. The cut branches are sent to all
 tasks if there are at most ``SMALL`` of them; otherwise pages join them by host.
 
 Defined results: null html gives no text; markup that is never closed is closed
-at the end; a null or odd url belongs to the host ''. Repeated pages give equal
+at the end; elements nested deeper than ``DEPTH`` nodes are part of their ancestor's node
+(their texts stay blocks of their own); a null or odd url belongs to the host ''. Repeated pages give equal
 rows. Columns of the input other than the result's are kept.
 """
 
@@ -34,6 +35,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,7 @@ GAMMA = 0.9
 LOW = 0.2
 MIN_PAGES = 4
 SMALL = 500_000
+DEPTH = 256  # deeper elements belong to the node of their ancestor at this depth
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -78,11 +81,12 @@ def _hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "parts", "aside", "main", "top", "mute", "children")
+    __slots__ = ("tag", "code", "parts", "aside", "main", "top", "mute", "children", "block")
 
-    def __init__(self, tag, path, parts, aside, main, top=0, mute=False):
-        self.tag, self.path, self.parts, self.aside, self.main, self.top, self.mute = tag, path, parts, aside, main, top, mute
+    def __init__(self, tag, code, parts, aside, main, top=0, mute=False, block=None):
+        self.tag, self.code, self.parts, self.aside, self.main, self.top, self.mute = tag, code, parts, aside, main, top, mute
         self.children: list[str] = []
+        self.block = block or self  # the block whose text this is
 
 
 def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
@@ -90,8 +94,10 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
     for each block, and with ``nodes`` ("node", path parts, is aside, kind of main, top,
     child labels) where an element ends. ``top`` is the number of parts down to the
     article or main element, itself included."""
-    root = Element("", "", (), False, 0)
+    root = Element("", 0, (), False, 0)
     stack = [root]
+    where: defaultdict[str, list[int]] = defaultdict(list)  # places of the open elements of each tag
+    scopes = [0]  # where elements that an open p or list item does not reach beyond stand
     buffer: list[str] = []
     owner = root
 
@@ -105,6 +111,9 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
     def close(count):
         for _ in range(count):
             done = stack.pop()
+            where[done.tag].pop()
+            if scopes[-1] == len(stack):
+                scopes.pop()
             if nodes:
                 yield ("node", done.parts, done.aside, done.main, done.top, done.children)
 
@@ -114,7 +123,7 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
         piece = page[at:m.start()] if m else page[at:]
         if piece and not stack[-1].mute:
             if not buffer:
-                owner = next(e for e in reversed(stack) if e.tag in BLOCKS or e is root)
+                owner = stack[-1].block
             buffer.append(piece)
         if not m:
             break
@@ -125,30 +134,22 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
         if m[1] or m[4]:
             if tag in BLOCKS:
                 yield from flush()
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                yield from close(len(stack) - depth)
+            if where[tag]:
+                yield from close(len(stack) - where[tag][-1])
             continue
         if tag == "br":
             buffer.append(" ")
             continue
-        if tag not in HEAD:
-            depth = next((i for i, e in enumerate(stack) if e.tag == "head"), 0)
-            if depth:
-                yield from flush()
-                yield from close(len(stack) - depth)
+        if tag not in HEAD and where["head"]:
+            yield from flush()
+            yield from close(len(stack) - where["head"][0])
         if tag in BLOCKS:
             yield from flush()
-            if stack[-1].tag == "p" or any(e.tag == "p" for e in stack[1:]):
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-                if depth and not any(e.tag in SCOPES for e in stack[depth:]):
+            # an open p, or an element that this one follows, ends unless a scope stands between
+            for ended in (("p",), SIBLINGS.get(tag, ())):
+                depth = max((where[t][-1] for t in ended if where[t]), default=0)
+                if depth > scopes[-1]:
                     yield from close(len(stack) - depth)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in SIBLINGS.get(tag, ()):
-                    yield from close(len(stack) - i)
-                    break
-                if stack[i].tag in SCOPES:
-                    break
         if tag in VOID:
             continue
         attributes = {a[0].lower(): (a[1] or a[2] or a[3]).lower() for a in ATTRIBUTE.findall(m[3] or m[6] or "")}
@@ -164,10 +165,13 @@ def walk(page: str, nodes: bool = False) -> Iterator[tuple]:
             main = 2
         if not above.children or above.children[-1] != label:
             above.children.append(label)
-        path = f"{above.path}/{label}"
+        code = _hash(f"{above.code}/{label}")
         mute = above.mute or (aside and not above.aside and tag not in BLOCKS)  # inside a block that stays: no text of it
-        parts = (*above.parts, _hash(path)) if aside or not inline else above.parts
-        stack.append(Element(tag, path, parts, aside, main, len(parts) if main > above.main else above.top, mute))
+        parts = (*above.parts, code) if (aside or not inline) and len(above.parts) < DEPTH else above.parts
+        if tag in SCOPES:
+            scopes.append(len(stack))
+        where[tag].append(len(stack))
+        stack.append(Element(tag, code, parts, aside, main, len(parts) if main > above.main else above.top, mute, None if tag in BLOCKS else above.block))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
