@@ -43,6 +43,7 @@ BLOCK_TOKENS = 1 << 16
 LANE = 64
 GROUP_WORDS = 500
 IDS_FIELDS = "doc_id long, n_tokens long, crc long, ids binary, counts binary"
+SUMS = 32  # tasks that add up the counts of those that read them
 BLOCK_FIELDS = ("file int, block int, first_token long, n_tokens long, doc_ids array<long>, "
                 "doc_tokens array<long>, offsets array<long>, bits binary")
 #: Kinds of ASCII bytes in the tokenizer's word pattern; 0: leave the word to the tokenizer alone.
@@ -300,7 +301,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str
     source.mapInArrow(_tokenize(tokenizer, end_id), IDS_FIELDS).write.option("compression", "zstd").parquet(f"{path}/ids")
     ids = spark.read.parquet(f"{path}/ids")
     parts = ids.where("counts IS NOT NULL").select("counts")
-    total = parts.mapInArrow(_sum_counts, "counts binary").coalesce(1).mapInArrow(_sum_counts, "counts binary").first()
+    for width in (SUMS, 1):  # added up where they are read, then by a fixed number of tasks, then by one
+        parts = parts.mapInArrow(_sum_counts, "counts binary").repartition(width)
+    total = parts.mapInArrow(_sum_counts, "counts binary").first()
     counts = np.frombuffer(zlib.decompress(total.counts), np.int64) if total else np.zeros(end_id + 1, np.int64)
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths)

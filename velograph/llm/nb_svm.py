@@ -39,6 +39,7 @@ FOLDS = 5
 SMOOTH = 1.0
 COST = 1.0
 EPOCHS = 20
+COUNT_BLOCK = 1 << 15  # counters that are added up together
 WORD, PAIR, SHAPE, SHARE = (tc.U64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1) for i in range(1, 5))
 UPPER = tc.byte_class((0x41, 0x5A))
 LETTERS = UPPER | tc.byte_class((0x61, 0x7A), (0x80, 0xFF))
@@ -101,7 +102,8 @@ def indicators(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.
 
 
 def _count(bits: int):
-    """Class counts of every indicator over a task's rows, and the sampled rows' indicators."""
+    """The sampled rows' indicators, and at the end of a task its class counts of every
+    indicator, in blocks (their number in place of a label)."""
     def run(batches):
         counts = np.zeros((2, 1 << bits), np.int64)
         rows = np.zeros(2, np.int64)
@@ -119,20 +121,37 @@ def _count(bits: int):
                          pa.array([zlib.compress(found[ptr[i]:ptr[i + 1]].astype(np.int32).tobytes(), 1)], pa.binary()), pa.nulls(1, pa.binary())],
                         names=["doc_id", "quality", "found", "counts"])
         if rows.any():
-            packed = zlib.compress(np.concatenate([rows, counts.reshape(-1)]).tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([packed], pa.binary())],
-                                             names=["doc_id", "quality", "found", "counts"])
+            whole = np.concatenate([rows, counts.reshape(-1)])
+            for at in range(0, len(whole), COUNT_BLOCK):
+                part = whole[at:at + COUNT_BLOCK]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(1, pa.int64()), pa.array([at // COUNT_BLOCK], pa.int32()), pa.nulls(1, pa.binary()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                        names=["doc_id", "quality", "found", "counts"])
     return run
 
 
 def _add(batches):
-    total = None
+    """Sum the counters of each block number."""
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for packed in batch.column(0).to_pylist():
-            part = np.frombuffer(zlib.decompress(packed), np.int64)
-            total = part.copy() if total is None else total + part
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["counts"])
+        for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[block] = total.get(block, 0) + np.frombuffer(zlib.decompress(packed), np.int64)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in total.values()], pa.binary())],
+                                         names=["block", "counts"])
+
+
+def _totals(counted: DataFrame, size: int) -> np.ndarray:
+    """Rows and counts of both classes: blocks of counters added up by the tasks that read
+    them, then block by block, a fixed number of blocks whatever the input."""
+    parts = counted.where("counts IS NOT NULL").select(F.col("quality").alias("block"), "counts")
+    parts = parts.mapInArrow(_add, "block int, counts binary").repartition("block").mapInArrow(_add, "block int, counts binary")
+    out = np.zeros(2 + 2 * size, np.int64)
+    for r in parts.collect():
+        part = np.frombuffer(zlib.decompress(r.counts), np.int64)
+        out[r.block * COUNT_BLOCK:][:len(part)] = part
+    return out
 
 
 class Model:
@@ -197,17 +216,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             .select(F.col("__llm_key").cast("long").alias("doc_id"), "quality", "sampled", "text"))
     scratch = Scratch(docs.sparkSession, "nb-svm")
     counted = scratch.write(rows.mapInArrow(_count(bits), "doc_id long, quality int, found binary, counts binary"), "counted")
-    totals = counted.where("counts IS NOT NULL").select("counts")
-    totals = totals.mapInArrow(_add, "counts binary").coalesce(1).mapInArrow(_add, "counts binary").first()
+    totals = _totals(counted, 1 << bits)
     taken = sorted((r.doc_id, r.quality, r.found) for r in counted.where("found IS NOT NULL").select("doc_id", "quality", "found").collect())
     scratch.drop("counted")
     size = 1 << bits
-    n = np.zeros(2) if totals is None else np.frombuffer(zlib.decompress(totals.counts), np.int64)[:2].astype(float)
+    n = totals[:2].astype(float)
     y = np.array([q for _, q, _ in taken])
     if not n.all() or len(set(y.tolist())) < 2:
         good = (n[1] + 0.5) / (n.sum() + 1)
         return Model(np.zeros(size), np.zeros(size), 0.0, 0.0, math.log(good / (1 - good)))
-    counts = np.frombuffer(zlib.decompress(totals.counts), np.int64)[2:].reshape(2, size) + SMOOTH
+    counts = totals[2:].reshape(2, size) + SMOOTH
     ratio = np.log(counts[1] / (n[1] + 2 * SMOOTH)) - np.log(counts[0] / (n[0] + 2 * SMOOTH))
     sets = [np.frombuffer(zlib.decompress(f), np.int32) for _, _, f in taken]
     rest = np.array([zlib.crc32(str(d).encode()) // FOLDS % 4 == 0 for d, _, _ in taken])
