@@ -104,7 +104,7 @@ def test_wide_to_long_and_stream_static_lookup(spark):
 
 def test_run_replay_then_lookup(spark):
     r, root = _stage(spark)
-    st = replay.run_replay(spark, f"{root}/days", f"{root}/state", 60)
+    st = replay.run_replay(spark, f"{root}/days", f"{root}/state", 60, days_per_batch=12)
     latest, pred = st["latest"].read(), st["pred"].read()
     assert latest.count() == r.select("edge_id").distinct().count()
     assert pred.select("horizon").distinct().count() == 4

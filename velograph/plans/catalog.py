@@ -396,8 +396,9 @@ def _nation_values(spark, sf):
 
 @query
 def q_g07_neighbour_mix(spark, sf):
-    g = graph.with_self_loops(_clean_graph(spark, sf), N_NATIONS)
-    w = tables.graph_edges(spark, sf).where("src <> 3").select("src", "dst", ((F.col("src") - F.col("dst")) / 10.0).alias("W"))
+    raw = materialize(tables.graph_edges(spark, sf), "g07-edges")  # a row per pair of nodes, for the mask and the weights
+    g = graph.with_self_loops(graph.clean_edges(raw, N_NATIONS), N_NATIONS)
+    w = raw.where("src <> 3").select("src", "dst", ((F.col("src") - F.col("dst")) / 10.0).alias("W"))
     y = graph.neighbour_mix(_nation_values(spark, sf), g, w)
     return y.select(to_ntz("t").alias("t"), "node", round_to("y", 4).alias("y"))
 

@@ -31,6 +31,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from velograph.functions.columns import sigma_guard
 from velograph.operators.serve import STREAM_LOG_CAP, lookup, validate_requests
 from velograph.operators.windows import EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, point_index
+from velograph.sources.days import day_stream
 
 LONG_SCHEMA = "edge_id string, timestamp timestamp, speed double"
 
@@ -359,19 +360,17 @@ def run_available(query_df: DataFrame, checkpoint: str, mode: str, sink) -> None
 
 
 def run_replay(spark: SparkSession, days_dir: str, state_root: str, freq_minutes: int,
-               schema: str = LONG_SCHEMA, trigger_available_now: bool = True,
-               files_per_trigger: int = 1) -> dict[str, StateTable]:
-    """Replay staged daily files into the serving state tables.
+               schema: str = LONG_SCHEMA, drain: bool = True, days_per_batch: int = 1) -> dict[str, StateTable]:
+    """Replay date folders (``io.write_partitioned``) into the serving state tables.
 
-    Starts one streaming query per state table over the same ordered source —
+    Starts one streaming query per state table over the same day-ordered source —
     latest speed (T3), EMA (T4), per-horizon forecasts (T5/T6), freshness (T7)
     and the capped tick log (T8) — each with its own checkpoint under
-    ``state_root``. With ``trigger_available_now`` the call drains the
-    backlog and returns; otherwise the queries keep running (processing-time
-    trigger = replay pacing).
+    ``state_root``. With ``drain`` the call takes all days there are, stops the queries
+    and returns; otherwise they keep running (processing-time trigger = replay pacing).
     """
     root = state_root.rstrip("/")
-    src = replay_source(spark, days_dir, schema, files_per_trigger)
+    src = day_stream(spark, days_dir, schema, days_per_batch)
     tables = {
         "latest": StateTable(spark, f"{root}/latest", ["edge_id"]),
         "ema": StateTable(spark, f"{root}/ema", ["edge_id"]),
@@ -389,10 +388,13 @@ def run_replay(spark: SparkSession, days_dir: str, state_root: str, freq_minutes
     for df, name, mode, sink in jobs:
         w = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/_checkpoints/{name}")
              .foreachBatch(sink))
-        w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="25 seconds")
-        queries.append(w.start())
-    if trigger_available_now:
-        for q in queries:
-            q.awaitTermination()
+        queries.append((w if drain else w.trigger(processingTime="25 seconds")).start())
+    if drain:
+        try:
+            for q in queries:
+                q.processAllAvailable()
+        finally:
+            for q in queries:
+                q.stop()
     tables["log"] = StateTable(spark, f"{root}/log", ["timestamp"], order="timestamp")
     return tables
