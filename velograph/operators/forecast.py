@@ -7,15 +7,19 @@ aggregation before each shuffle.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph.functions.columns import clip, round_to, sigma_guard
 from velograph.operators.windows import (EVAL_EMA_ALPHA, HORIZONS_MIN, REPLAY_EMA_ALPHA, ema,
                                          last_value, prefix_steps)
-from velograph.session import off_its_keys
+from velograph.session import off_its_keys, scratch_folder
 
 # Fixed values that must equal the reference's.
 SMOOTH_L1_BETA = 0.02
@@ -235,17 +239,14 @@ def score_with_artifact(windows: DataFrame, artifact: str, load: Callable[[str],
     """M2 with a model file: ``load(path)`` gives ``predict(ndarray[B, T_in]) -> ndarray[B, T_out]``.
 
     ``artifact`` is a file or folder on any file system Spark reads; every executor
-    fetches it once, and every Python worker loads it once, however many batches,
-    tasks and queries it serves. ``params(edge_id, mu, sigma)`` normalise each sensor's
+    fetches its files once (``shipped``), and every Python worker loads it once, however
+    many batches, tasks and queries it serves; a rewritten artifact is loaded anew. ``params(edge_id, mu, sigma)`` normalise each sensor's
     inputs and turn its forecasts back into speeds (missing: 0 and 1, a spread of 0
     counts as 1); forecasts are clipped. Returns ``(label_start, edge_id, y, pred)``.
     """
     import numpy as np
-    from pyspark import SparkFiles
 
-    spark = windows.sparkSession
-    spark.sparkContext.addFile(artifact, recursive=True)
-    name = artifact.rstrip("/").rsplit("/", 1)[-1]
+    token, files = shipped(windows.sparkSession, artifact)
     rows = windows.select("label_start", "edge_id", "x", "y")
     if params is None:
         rows = rows.withColumns({"mu": F.lit(0.0), "sigma": F.lit(1.0)})
@@ -254,7 +255,7 @@ def score_with_artifact(windows: DataFrame, artifact: str, load: Callable[[str],
             {"mu": F.coalesce("mu", F.lit(0.0)), "sigma": sigma_guard("sigma")})
 
     def run(batches):
-        predict = loaded(SparkFiles.get(name), load)
+        predict = loaded(token, files, load)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -268,14 +269,56 @@ def score_with_artifact(windows: DataFrame, artifact: str, load: Callable[[str],
     return rows.mapInPandas(run, "label_start timestamp, edge_id string, y array<double>, pred array<double>")
 
 
+_SHIPPED: dict[tuple[str, str], list[tuple[str, str]]] = {}
 _LOADED: dict[str, Callable] = {}
 
 
-def loaded(path: str, load: Callable[[str], Callable]) -> Callable:
-    """The model at ``path``, loaded on first use in this process."""
-    if path not in _LOADED:
-        _LOADED[path] = load(path)
-    return _LOADED[path]
+def shipped(spark: SparkSession, artifact: str) -> tuple[str, list[tuple[str, str]]]:
+    """A token of the artifact's present state and its files as ``(path in the artifact,
+    name under SparkFiles)``, made known to all executors.
+
+    Spark ships no local folder beyond one process and no two files of one name, so each
+    file goes by itself, from a copy of its own name in the shared folder."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(artifact)
+    fs = source.getFileSystem(conf)
+    root = fs.makeQualified(source).toString().rstrip("/")
+    found, walk = [], fs.listFiles(source, True)
+    while walk.hasNext():
+        status = walk.next()
+        inner = status.getPath().toString()[len(root):].strip("/")
+        if not any(part.startswith(("_", ".")) for part in inner.split("/")):
+            found.append((inner or source.getName(), status))
+    found.sort(key=lambda f: f[0])
+    state = [(inner, f.getLen(), f.getModificationTime()) for inner, f in found]
+    token = hashlib.md5(repr((root, state)).encode()).hexdigest()
+    key = (sc.applicationId, token)
+    if key not in _SHIPPED:
+        stage, files = scratch_folder(spark, "artifact"), []
+        for i, (inner, status) in enumerate(found):
+            name = f"{token}-{i}"
+            copy = jvm.org.apache.hadoop.fs.Path(f"{stage}/{name}")
+            shared = copy.getFileSystem(conf)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, status.getPath(), shared, copy, False, conf)
+            sc.addFile(shared.makeQualified(copy).toString())
+            files.append((inner, name))
+        _SHIPPED[key] = files
+    single = not fs.getFileStatus(source).isDirectory()
+    return f"{token}/{source.getName()}" if single else token, _SHIPPED[key]
+
+
+def loaded(token: str, files: list[tuple[str, str]], load: Callable[[str], Callable]) -> Callable:
+    """The shipped model, put together under its own file names and loaded on first use
+    in this process."""
+    if token not in _LOADED:
+        prefix, _, single = token.partition("/")
+        folder = tempfile.mkdtemp(prefix=f"{prefix}-", dir=SparkFiles.getRootDirectory())
+        for inner, name in files:
+            os.makedirs(os.path.dirname(f"{folder}/{inner}"), exist_ok=True)
+            os.symlink(os.path.abspath(SparkFiles.get(name)), f"{folder}/{inner}")
+        _LOADED[token] = load(f"{folder}/{single}" if single else folder)
+    return _LOADED[token]
 
 
 def jitter(windows: DataFrame, std: float, seed: int = 0) -> DataFrame:
