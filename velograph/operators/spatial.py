@@ -11,6 +11,8 @@ candidate set never sorts in a single task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -227,29 +229,35 @@ def idw_speed(weights: DataFrame, sensor_speeds: DataFrame) -> DataFrame:
 
 
 PYRAMID_STEP = 8      # a cell of one level has 8 x 8 cells of the next
-
-
-def _pyramid(edges: DataFrame, size: float) -> tuple[list[DataFrame], DataFrame]:
-    """Occupied cells per level, finest first: (gx, gy, px, py), where (px, py) is a
-    vertex of an edge of the cell; and the edges by finest cell. A level has as many
-    rows as occupied cells, however many edges there are; the top one has a few."""
-    e = edge_geometry(edges)
-    box = e.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat")).first()
-    if box[0] is None:
-        return [], e.select("edge_id", "geom", F.lit(0).cast("long").alias("gx"), F.lit(0).cast("long").alias("gy")).where("false")
-    cells = e.select("edge_id", "geom", "min_lat", "max_lat", F.explode(F.sequence(
-        _cell(F.col("min_lon"), size), _cell(F.col("max_lon"), size))).alias("gx"))
-    cells = cells.select("edge_id", "geom", "gx", F.explode(F.sequence(
-        _cell(F.col("min_lat"), size), _cell(F.col("max_lat"), size))).alias("gy"))
-    vertex = F.element_at("geom", 1)
-    level = cells.groupBy("gx", "gy").agg(F.min(F.struct(vertex["lon"].alias("px"), vertex["lat"].alias("py"))).alias("p"))
-    level = materialize(level.select("gx", "gy", "p.px", "p.py"), "pyramid")
-    levels, span = [level], max(box[2] - box[0], box[3] - box[1])
+PYRAMID_CELL = 16     # edges of a finest cell on average, if these lie evenly
+PYRAMID_SMALL = 40_000  # cells of a level that is sent to all executors
+BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
+
+
+def _pyramid(edges: DataFrame, size: float) -> tuple[list[DataFrame], DataFrame, float]:
+    """Occupied cells per level, finest first: (gx, gy) and the box around the cell's
+    edges; the edges by finest cell; and this cell's width, ``size`` or less. An edge
+    belongs to the one cell that holds the middle of its box, so narrow cells copy
+    none; a box may stick out of its cell. The top level has a few cells."""
+    e = edge_geometry(edges).where("min_lon IS NOT NULL AND min_lat IS NOT NULL")
+    e = materialize(e.select("edge_id", "geom", *BOX), "edge-boxes")
+    mid_x, mid_y = (F.col("min_lon") + F.col("max_lon")) / 2, (F.col("min_lat") + F.col("max_lat")) / 2
+    low_x, low_y, high_x, high_y, n = e.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat"), F.count("*")).first()
+    if not n:
+        return [], e.withColumns({"gx": F.lit(0).cast("long"), "gy": F.lit(0).cast("long")}), size
+    span = max(high_x - low_x, high_y - low_y)
+    wanted = math.sqrt(max(high_x - low_x, size) * max(high_y - low_y, size) * PYRAMID_CELL / n)
+    if wanted < size:
+        size = max(wanted, span * 1e-9)
+    cells = e.withColumns({"gx": _cell(mid_x, size), "gy": _cell(mid_y, size)})
+    box = [F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"), F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat")]
+    level = materialize(cells.groupBy("gx", "gy").agg(*box), "pyramid")
+    levels = [level]
     while size * PYRAMID_STEP ** (len(levels) - 1) < span:
         up = lambda c: F.floor(F.col(c) / PYRAMID_STEP).cast("long").alias(c)
-        level = level.groupBy(up("gx"), up("gy")).agg(F.min(F.struct("px", "py")).alias("p")).select("gx", "gy", "p.px", "p.py")
+        level = level.groupBy(up("gx"), up("gy")).agg(*box)
         levels.append(level)
-    return levels, cells
+    return levels, cells, size
 
 
 def nearest_edge_unbounded(sensors: DataFrame, edges: DataFrame, size: float = 4 * MAP_RADIUS_DEG) -> DataFrame:
@@ -257,38 +265,48 @@ def nearest_edge_unbounded(sensors: DataFrame, edges: DataFrame, size: float = 4
     dist)``; a sensor without a position, or without any edge to map to, has NULLs.
 
     A pyramid of occupied cells is searched from the top: at each level a sensor keeps
-    the cells that can hold a nearer edge than the nearest known vertex, and goes on to
-    their occupied sub-cells; only edges of the finest cells left are measured. Every
-    step is an equi-join on the cell."""
-    levels, by_cell = _pyramid(edges, size)
+    the cells that can hold a nearer edge than the nearest that some cell is sure to
+    hold, and goes on to their occupied sub-cells. Of the edges of the finest cells left,
+    those are measured whose own box can be the nearest. Every step is an equi-join on
+    the cell; the sensors of a crowded cell are dealt over several tasks."""
+    levels, by_cell, _ = _pyramid(edges, size)
     todo = sensors.where("latitude IS NOT NULL AND longitude IS NOT NULL").select("sensor_id", "latitude", "longitude")
     if levels:
+        cell = ("gx", "gy", *BOX)
         top = levels[-1].collect()  # at most 2 x 2 cells, or 3 x 3 by rounding
-        cells = F.array(*[F.struct(F.lit(r.gx).alias("gx"), F.lit(r.gy).alias("gy"), F.lit(r.px).alias("px"), F.lit(r.py).alias("py")) for r in top])
-        found = todo.select("*", F.inline(cells))
-        for depth in range(len(levels) - 1, -1, -1):
-            width = size * PYRAMID_STEP ** depth
-            if depth < len(levels) - 1:
-                below = levels[depth].select("*", F.floor(F.col("gx") / PYRAMID_STEP).cast("long").alias("ux"),
-                                             F.floor(F.col("gy") / PYRAMID_STEP).cast("long").alias("uy"))
-                found = found.select("sensor_id", "latitude", "longitude", F.col("gx").alias("ux"), F.col("gy").alias("uy")).join(below, ["ux", "uy"])
-            found = _can_be_nearest(found, width)
-        found = found.select("sensor_id", "latitude", "longitude", "gx", "gy").join(by_cell, ["gx", "gy"])
+        cells = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cell]) for r in top])
+        n = int(sensors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = _can_be_nearest(todo.repartition(n, "sensor_id").select("*", F.inline(cells)))
+        for depth in range(len(levels) - 2, -1, -1):
+            below = levels[depth].select(*cell, F.floor(F.col("gx") / PYRAMID_STEP).cast("long").alias("ux"),
+                                         F.floor(F.col("gy") / PYRAMID_STEP).cast("long").alias("uy"))
+            if len(top) * PYRAMID_STEP ** (2 * (len(levels) - 1 - depth)) <= PYRAMID_SMALL:
+                below = F.broadcast(below)
+            found = found.select("sensor_id", "latitude", "longitude", F.col("gx").alias("ux"), F.col("gy").alias("uy")).join(below, ["ux", "uy"])
+            found = _can_be_nearest(found)
+        found = materialize(found.select("sensor_id", "latitude", "longitude", "_reach", "gx", "gy"), "nearest-cells")
+        # both are small in bytes and read as a few tasks' work, whichever side is broadcast
+        found = _can_be_nearest(_join_cells(found.repartition(n, "sensor_id", "gx", "gy"), by_cell.repartition(n, "edge_id")))
         best = nearest(found.select("sensor_id", "edge_id", geo.point_line_distance("longitude", "latitude", "geom").alias("dist")))
     else:
         best = by_cell.select(F.lit(None).cast(sensors.schema["sensor_id"].dataType).alias("sensor_id"), "edge_id", F.lit(0.0).alias("dist"))
     return sensors.select("sensor_id").join(best, "sensor_id", "left")
 
 
-def _can_be_nearest(found: DataFrame, width: float) -> DataFrame:
-    """Rows (sensor, cell, vertex) whose cell is no farther than the sensor's nearest vertex."""
-    def gap(at: str, cell: str) -> Column:
-        low = F.col(cell) * F.lit(width)
-        return F.greatest(low - F.col(at), F.col(at) - (low + F.lit(width)), F.lit(0.0))
-
-    reach = F.min(F.hypot(F.col("px") - F.col("longitude"), F.col("py") - F.col("latitude"))).over(Window.partitionBy("sensor_id"))
-    near = F.hypot(gap("longitude", "gx"), gap("latitude", "gy"))
-    return found.withColumn("_reach", reach).where(near <= F.col("_reach") * F.lit(1 + 1e-9) + F.lit(1e-9)).drop("_reach")
+def _can_be_nearest(found: DataFrame) -> DataFrame:
+    """Rows (sensor, box) whose box is no farther than ``_reach``, the sensor's nearest
+    distance within which some edge is sure to lie; a given ``_reach`` is used as it is.
+
+    An edge touches each side of the box around it or its cell's edges, so one lies no
+    farther than the far end of the side that is nearer in one direction."""
+    x, y = F.col("longitude"), F.col("latitude")
+    gap_x, gap_y = (F.greatest(F.col(low) - at, at - F.col(high), F.lit(0.0)) for at, low, high in ((x, "min_lon", "max_lon"), (y, "min_lat", "max_lat")))
+    near_x, far_x, near_y, far_y = (f(F.abs(at - F.col(low)), F.abs(at - F.col(high))) for at, low, high in ((x, "min_lon", "max_lon"), (y, "min_lat", "max_lat"))
+                                    for f in (F.least, F.greatest))
+    if "_reach" not in found.columns:
+        sure = F.least(F.hypot(near_x, far_y), F.hypot(far_x, near_y))
+        found = found.withColumn("_reach", F.min(sure).over(Window.partitionBy("sensor_id")))
+    return found.where(F.hypot(gap_x, gap_y) <= F.col("_reach") * F.lit(1 + 1e-9) + F.lit(1e-9))
 
 
 def split_candidates(sensors: DataFrame, edges: DataFrame) -> DataFrame:
