@@ -33,3 +33,31 @@ def test_far_sensors_measure_few_edges(spark, monkeypatch):
     got = {r.sensor_id: (r.edge_id, r.dist) for r in spatial.nearest_edge_unbounded(s, e).collect()}
     assert got == want
     assert measured[0] <= 10 * len(at)
+
+
+def test_edges_of_one_sensor_set_share_its_readings(spark):
+    """Sums of the definition; no aggregate by edge and instant, so no shuffle of its rows."""
+    pick = np.random.default_rng(3)
+    weights = [(i, int(s), float(pick.random() + 0.1)) for i in range(40) for s in ((1, 2, 3) if i < 30 else pick.choice(9, 3, replace=False))]
+    weights += [(50, 1, 0.5), (50, 1, 0.25), (51, 77, 1.0), (None, 2, 1.0), (52, None, 1.0)]
+    speeds = [(s, t, None if (s + t) % 7 == 0 else float(pick.random())) for s in range(9) for t in range(20) if (s * t) % 3 != 1]
+    speeds += [(1, 3, 9.0), (2, None, 4.0), (None, 3, 1.0)]
+    w = spark.createDataFrame(weights, "edge_id long, sensor_id long, weight double")
+    v = spark.createDataFrame(speeds, "sensor_id long, timestamp long, speed double")
+    want = {}
+    for e, s, a in weights:
+        for s2, t, b in speeds:
+            if s is not None and s == s2:
+                want.setdefault((e, t), []).append((a, b))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        for limit in (4096, 7):
+            df = spatial.idw_speed(w, v, limit)
+            got = {(r.edge_id, r.timestamp): r for r in df.collect()}
+            assert got.keys() == want.keys()
+            for k, pairs in want.items():
+                known = [a * b for a, b in pairs if b is not None]
+                assert got[k].n_sensors == len(pairs)
+                assert got[k].speed is None if not known else math.isclose(got[k].speed, sum(known) / sum(a for a, _ in pairs))
+            assert df.schema["n_sensors"].dataType.typeName() == "long"
+            plan = _plan(df).split("== Initial Plan")[0]
+            assert plan.index("SortMergeJoin") < plan.index("Aggregate")

@@ -220,12 +220,39 @@ def interpolation_summary(weights: DataFrame) -> DataFrame:
                                           (F.avg("dist") * F.lit(KM_PER_DEG)).alias("avg_distance_km"))
 
 
-def idw_speed(weights: DataFrame, sensor_speeds: DataFrame) -> DataFrame:
-    """Edge speed = Σ w·v / Σ w over the sensors that reported at that instant."""
-    j = weights.join(sensor_speeds, "sensor_id")
-    return (j.groupBy("edge_id", "timestamp")
-            .agg((F.sum(F.col("weight") * F.col("speed")) / F.sum("weight")).alias("speed"),
-                 F.count("*").alias("n_sensors")))
+SET_EDGES = 4096      # edges of one sensor set that one task joins
+
+
+def idw_speed(weights: DataFrame, sensor_speeds: DataFrame, limit: int = SET_EDGES) -> DataFrame:
+    """Edge speed = Σ w·v / Σ w over the sensors that reported at that instant.
+
+    Neighbouring edges have the same sensors, so readings are gathered by sensor set and
+    instant, once for all edges of the set, and no row per edge and instant is shuffled:
+    those come out of the last join. A set of more than ``limit`` edges is dealt over
+    several parts, each with the set's readings."""
+    n = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.sort_array(F.collect_list(F.struct("sensor_id", "weight")))  # at most k an edge
+    edges = weights.where("sensor_id IS NOT NULL").groupBy("edge_id").agg(own.alias("_own"))
+    edges = materialize(edges.select("edge_id", F.col("_own.sensor_id").alias("_set"), F.col("_own.weight").alias("_w")), "idw-sets")
+    sets = edges.groupBy("_set").agg(F.ceil(F.count("*") / limit).cast("int").alias("_parts"))
+    crowded = sets.where("_parts > 1")
+    edges = edges.join(crowded, "_set", "left").withColumn(
+        "_part", F.pmod(F.xxhash64("edge_id"), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts").repartition(n, "_set", "_part")
+    seats = sets.select("_set", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    seats = seats.select("_set", "_part", F.posexplode("_set").alias("pos", "sensor_id"))
+    seen = seats.join(sensor_speeds.select("sensor_id", "timestamp", "speed"), "sensor_id").repartition(n, "_set", "_part")
+    seen = seen.groupBy("_set", "_part", "timestamp").agg(F.collect_list(F.struct("pos", "speed")).alias("_seen"))
+
+    def total(value):  # as F.sum adds: without nulls, null of nothing
+        def add(have, s):
+            return F.coalesce(have + value(s), have, value(s))
+        return F.aggregate("_seen", F.lit(None).cast("double"), add)
+
+    def weight(s):
+        return F.get("_w", s["pos"])
+
+    return seen.join(edges, ["_set", "_part"]).select(
+        "edge_id", "timestamp", (total(lambda s: weight(s) * s["speed"]) / total(weight)).alias("speed"), F.size("_seen").cast("long").alias("n_sensors"))
 
 
 PYRAMID_STEP = 8      # a cell of one level has 8 x 8 cells of the next
