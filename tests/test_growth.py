@@ -61,3 +61,18 @@ def test_edges_of_one_sensor_set_share_its_readings(spark):
             assert df.schema["n_sensors"].dataType.typeName() == "long"
             plan = _plan(df).split("== Initial Plan")[0]
             assert plan.index("SortMergeJoin") < plan.index("Aggregate")
+
+
+@pytest.mark.parametrize("method", ["ffill", "interpolate", "ffill_bfill"])
+def test_fill_sorts_no_grid_rows(spark, method):
+    """The fill of a grid with carries equals that of one without, and sits above no sort of ticks."""
+    pick = np.random.default_rng(5)
+    rows = [(f"s{i % 4}", int(t) * 3600, float(pick.random())) for i, t in enumerate(pick.choice(24 * 9, 60, replace=False))] + [("one", 3600 * 50, 2.0), ("s1", 0, 1.0), (None, 7200, 3.0)]
+    r = spark.createDataFrame(rows, "edge_id string, t long, speed double").select("edge_id", F.timestamp_seconds("t").alias("timestamp"), "speed")
+    carried = align.fill(align.regular_grid(r, 60, carry=True), method)
+    plain = align.fill(align.regular_grid(r, 60), method)
+    keyed = [{(x.edge_id, x.timestamp): (x.speed, x.n_obs) for x in g.collect()} for g in (carried, plain)]
+    known = [k for k in keyed[0] if k[0] is not None]
+    assert keyed[0].keys() == keyed[1].keys() and [keyed[0][k] for k in known] == [keyed[1][k] for k in known]
+    above = _plan(carried).split("Generate")[0]
+    assert "Window" not in above and "Sort" not in above

@@ -116,9 +116,9 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
     speed, n_obs)``; ``speed`` is NULL on gaps. ``day_from_us``/``day_to_us``
     restrict the grid (and the scanned readings) to a day range.
 
-    ``carry=True`` also attaches ``_cprev``/``_cnext``: the nearest observation
-    before/after each sensor-day (from ``prior``/``posterior`` outside the
-    range), so ``fill`` needs no second pass over the grid.
+    ``carry=True`` also attaches ``_cprev``/``_cnext``: each gap's nearest observation
+    before/after it, on its day or another (from ``prior``/``posterior`` outside the
+    range), so ``fill`` sorts no grid rows.
 
     Plan: readings → partial-aggregating mean per (sensor, day, tick) → one sorted
     list per sensor-day (≤ ticks/day entries) → sensor-day rows (from a generator,
@@ -170,22 +170,30 @@ def regular_grid(readings: DataFrame, freq_minutes: int, align: str = "exact",
     sd = sd.withColumn("_k0", first_k).withColumn("_k1", last_k).where("_k0 <= _k1").withColumn("_obs", F.coalesce("_obs", none))
     runs = F.when(F.get("_obs", F.lit(0))["k"] == F.col("_k0"), F.col("_obs")).otherwise(F.concat(lead_in, "_obs"))
     sd = sd.withColumn("_runs", runs)
-    spans = F.transform("_runs", lambda o, i: F.struct(
-        o.alias("o"), (F.coalesce(F.get("_runs", i + 1)["k"], F.col("_k1") + 1) - 1).alias("to")))
-    g = sd.select("edge_id", "day", *extra, F.explode(spans).alias("_s"))
-    g = g.select("edge_id", "day", *extra, F.col("_s.o").alias("_o"), F.explode(F.sequence(F.col("_s.o.k"), F.col("_s.to"))).alias("k"))
+    spans = F.transform("_runs", lambda o, i: F.struct(o.alias("o"), F.get("_runs", i + 1).alias("next")))
+    g = sd.select("edge_id", "day", "_k1", *extra, F.explode(spans).alias("_s"))
+    # only the lead-in has no reading of its own, only the last run none behind it
+    near = {"_cprev": F.when(F.col("_s.o.speed").isNull(), F.col("_cprev")).otherwise(_point(F.col("_s.o"), lo_us, step_us)),
+            "_cnext": F.when(F.col("_s.next").isNull(), F.col("_cnext")).otherwise(_point(F.col("_s.next"), lo_us, step_us))}
+    to = F.coalesce(F.col("_s.next.k"), F.col("_k1") + 1) - 1
+    g = g.select("edge_id", "day", *(near[c].alias(c) for c in extra), F.col("_s.o").alias("_o"), F.explode(F.sequence(F.col("_s.o.k"), to)).alias("k"))
     opens = F.col("k") == F.col("_o.k")
     return g.select("edge_id", "day", F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("timestamp"),
                     F.when(opens, F.col("_o.speed")).alias("speed"),
                     F.when(opens, F.col("_o.n_obs")).otherwise(F.lit(0)).cast("long").alias("n_obs"), *extra)
 
 
+def _point(tick: Column, lo_us: int, step_us: int) -> Column:
+    """A tick's reading as the struct (ts, v)."""
+    return F.struct(F.timestamp_micros(F.lit(lo_us) + tick["k"] * F.lit(step_us)).alias("ts"), tick["speed"].alias("v"))
+
+
 def _day_carries(days: DataFrame, ticks: DataFrame, lo_us: int, step_us: int,
                  prior: DataFrame | None, posterior: DataFrame | None) -> DataFrame:
     """Per sensor-day: nearest observation on an earlier / later day (or outside the
     range). Only the first and last reading of each sensor-day take part: the window
     over a sensor's days holds two small structs a day, never its readings."""
-    point = F.struct(F.timestamp_micros(F.lit(lo_us) + F.col("k") * F.lit(step_us)).alias("ts"), F.col("speed").alias("v"))
+    point = _point(F.struct("k", "speed"), lo_us, step_us)
     ends = ticks.groupBy("edge_id", "day").agg(F.max_by(point, "k").alias("_last"), F.min_by(point, "k").alias("_first"))
     days = days.join(ends, ["edge_id", "day"], "left")
     we = Window.partitionBy("edge_id").orderBy("day")
@@ -289,19 +297,6 @@ def _prev_next(grid: DataFrame, prior: DataFrame | None,
     return g
 
 
-def _local_prev_next(grid: DataFrame, need_next: bool) -> DataFrame:
-    """Prev/next observation inside the sensor-day window, else the attached carry."""
-    obs = F.when(F.col("speed").isNotNull(), F.struct(F.col("timestamp").alias("ts"),
-                                                      F.col("speed").alias("v")))
-    wd = Window.partitionBy("edge_id", "day").orderBy("timestamp")
-    g = grid.withColumn("_obs", obs)
-    g = g.withColumn("_prev", F.coalesce(F.last("_obs", True).over(
-        wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_cprev")))
-    if need_next:
-        g = g.withColumn("_next", F.coalesce(F.last("_obs", True).over(_backwards()), F.col("_cnext")))
-    return g
-
-
 def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
          posterior: DataFrame | None = None) -> DataFrame:
     """W5 ffill / W6 interpolate (both ends extended) / W7 none / W8 ffill+bfill / C1 zero."""
@@ -313,7 +308,7 @@ def fill(grid: DataFrame, method: str = "ffill", prior: DataFrame | None = None,
         return grid.withColumn("speed", F.coalesce("speed", F.lit(0.0)))
     need_next = method in ("interpolate", "ffill_bfill")
     if "_cprev" in grid.columns:
-        g = _local_prev_next(grid, need_next)
+        g = grid.withColumns({"_prev": F.col("_cprev"), "_next": F.col("_cnext")})
     else:
         g = _prev_next(grid, prior, posterior, need_next)
     pv, nv = F.col("_prev.v"), F.col("_next.v") if need_next else None
